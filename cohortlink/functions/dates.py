@@ -35,32 +35,39 @@ def _int(c: Column) -> Column:
 
 
 def safe_date(y: Column, m: Column, d: Column) -> Column:
-    """Date from parts, null when the parts do not form a real calendar date."""
-    text = F.format_string("%04d-%02d-%02d", y, m, d)
-    ok = y.between(1, 9999) & m.between(1, 12) & d.between(1, 31)
-    return F.when(ok, F.try_to_date(text, "yyyy-MM-dd"))
+    """Date from integer parts, null when they do not form a real calendar date."""
+    text = F.concat_ws("-", y.cast("string"), m.cast("string"), d.cast("string"))
+    return F.when(y >= 1, F.try_to_date(text, "y-M-d"))
+
+
+def _text_date(y: Column, m: Column, d: Column) -> Column:
+    """Date from digit-text parts (year must be above 0); the parser validates the rest."""
+    text = F.concat_ws("-", y, m, d)
+    return F.when(_int(y) >= 1, F.try_to_date(text, "y-M-d"))
 
 
 def _digits_rule(s: Column, n: int) -> Column:
+    sub = lambda a, b: F.substring(s, a, b)
     if n == 8:
-        mm, dd, yy = _int(F.substring(s, 1, 2)), _int(F.substring(s, 3, 2)), _int(F.substring(s, 5, 4))
-        first = safe_date(yy, mm, dd)
-        y2, m2, d2 = _int(F.substring(s, 1, 4)), _int(F.substring(s, 5, 2)), _int(F.substring(s, 7, 2))
-        return F.coalesce(first, safe_date(y2, m2, d2))
+        return F.coalesce(_text_date(sub(5, 4), sub(1, 2), sub(3, 2)),
+                          _text_date(sub(1, 4), sub(5, 2), sub(7, 2)))
     if n == 7:
-        mm, dd, yy = _int(F.substring(s, 1, 1)), _int(F.substring(s, 2, 2)), _int(F.substring(s, 4, 4))
-        return safe_date(yy, mm, dd)
-    mm, dd, yy = _int(F.substring(s, 1, 2)), _int(F.substring(s, 3, 2)), _int(F.substring(s, 5, 2))
+        return _text_date(sub(4, 4), sub(1, 1), sub(2, 2))
+    yy = _int(sub(5, 2))
     year = F.when(yy > 30, yy + 1900).otherwise(yy + 2000)  # six digits: pivot at 30
-    return safe_date(year, mm, dd)
+    return _text_date(year.cast("string"), sub(1, 2), sub(3, 2))
 
 
 def _layout_rule(s: Column, pattern: str, order: str, two_digit: bool) -> Column:
-    parts = {k: _int(F.regexp_extract(s, pattern, i + 1)) for i, k in enumerate(order)}
-    y = parts["y"]
-    if two_digit:
-        y = F.when(y >= 69, y + 1900).otherwise(y + 2000)  # %y pivot at 69
-    return F.when(s.rlike(pattern), safe_date(y, parts["m"], parts["d"]))
+    pos = {k: i + 1 for i, k in enumerate(order)}
+    if not two_digit:
+        # one regex rewrite to y-M-d (day may carry a leading space: removed)
+        text = F.regexp_replace(F.regexp_replace(s, pattern, f"${pos['y']}-${pos['m']}-${pos['d']}"), " ", "")
+        return F.when(s.rlike(pattern), F.try_to_date(text, "y-M-d"))
+    yy = _int(F.regexp_extract(s, pattern, pos["y"]))
+    year = F.when(yy >= 69, yy + 1900).otherwise(yy + 2000)  # %y pivot at 69
+    md = F.regexp_replace(F.regexp_replace(s, pattern, f"${pos['m']}-${pos['d']}"), " ", "")
+    return F.when(s.rlike(pattern), F.try_to_date(F.concat_ws("-", year.cast("string"), md), "y-M-d"))
 
 
 def parse_partner_date(c: Column | str) -> Column:

@@ -77,3 +77,308 @@ SELECT {_DIST}, GRADE_ORDINAL AS GRADE, {_COUNTS},
             ELSE 'by_district_grade' END AS report
 FROM ev WHERE {_FLT1}
 GROUP BY GROUPING SETS (({_BASE}, GRADE_ORDINAL), ({_DIST}), ({_DIST}, GRADE_ORDINAL))"""
+
+
+# ---------------------------------------------------------------------------
+# Partner pipeline (wide -> long -> clean -> settings -> flags)
+# ---------------------------------------------------------------------------
+from ..config import GRADE_VARIANTS, SCORE_SUFFIXES  # noqa: E402
+from .roles import (DOB_BASE, PARTNER_SUBJECTS, SETTINGS_ROWS, STUDY_AS_OF,  # noqa: E402
+                    TERM_YEAR_SHIFT, TEST_DATE_SHIFT_DAYS)
+
+_GMAP = "MAP {" + ", ".join(f"'{v.replace(' ', '').upper()}': {g}"
+                            for g, vs in GRADE_VARIANTS.items() for v in vs) + "}"
+_AS_OF_YEAR = int(STUDY_AS_OF[:4])
+
+
+def _dfmt(d: str, style: str) -> str:
+    return {"mdY": f"strftime({d}, '%m/%d/%Y')", "mdY_unpadded": f"strftime({d}, '%-m/%-d/%Y')",
+            "Ymd": f"strftime({d}, '%Y%m%d')", "mdY_compact": f"strftime({d}, '%m%d%Y')",
+            "iso_time": f"(strftime({d}, '%Y-%m-%d') || ' 00:00:00')",
+            "mdy": f"strftime({d}, '%m/%d/%y')", "iso": f"strftime({d}, '%Y-%m-%d')",
+            "mdy_unpadded": f"strftime({d}, '%-m/%-d/%y')"}[style]
+
+
+def _nb(x: str) -> str:
+    return f"CASE WHEN regexp_full_match({x}, '\\s*') THEN NULL ELSE {x} END"
+
+
+def _partner_wide_cte() -> str:
+    aggs = []
+    for ln, s in PARTNER_SUBJECTS:
+        on = f"l_linenumber = {ln}"
+        aggs += [f"max(CASE WHEN {on} THEN CAST(floor(l_extendedprice) AS BIGINT) END) AS {s}_ss",
+                 f"min(CASE WHEN {on} THEN l_discount END) AS {s}_disc",
+                 f"min(CASE WHEN {on} THEN CAST(l_shipdate AS DATE) END) AS {s}_ship",
+                 f"min(CASE WHEN {on} THEN l_returnflag END) AS {s}_flag"]
+    key, cust = "o.o_orderkey", "c.c_custkey"
+    cs = f"CAST({cust} AS VARCHAR)"
+    yr = f"CAST(year(o.o_orderdate) + {TERM_YEAR_SHIFT} AS INTEGER)"
+    ys = f"CAST({yr} AS VARCHAR)"
+    dob = f"(DATE '{DOB_BASE}' + CAST({cust} % 7000 AS INTEGER))"
+    styles = ["mdY", "mdY_unpadded", "Ymd", "mdY_compact", "iso_time", "mdy"]
+    dob_txt = "CASE " + " ".join(f"WHEN {key} % 6 = {i} THEN {_dfmt(dob, st)}" for i, st in enumerate(styles)) + " END"
+    g = f"CAST({cust} % 12 + 1 AS VARCHAR)"
+    nat3 = "lpad(CAST(c.c_nationkey AS VARCHAR), 3, '0')"
+    cols = [
+        f"CAST({key} AS VARCHAR) AS RECORD_ID",
+        "'District ' || CAST(c.c_nationkey AS VARCHAR) AS DISTRICTNAME",
+        "c.c_mktsegment AS SCHOOLNAME",
+        f"CASE {key} % 5 WHEN 0 THEN ' ' || {cs} || ' ' WHEN 1 THEN lpad({cs}, 8, '0') "
+        f"WHEN 2 THEN {cs} || '.7' WHEN 3 THEN 'S' || {cs} ELSE {cs} END AS STATE_STID",
+        f"CASE {key} % 7 WHEN 0 THEN NULL WHEN 1 THEN '  ' ELSE CAST({cust} + 100000 AS VARCHAR) END AS LOCAL_STID",
+        "c.c_name AS LNAME", "c.c_mktsegment AS FNAME",
+        f"{dob_txt} AS DOB",
+        f"CASE {key} % 8 WHEN 0 THEN {g} WHEN 1 THEN lpad({g}, 2, '0') WHEN 2 THEN {g} || '.0' "
+        f"WHEN 3 THEN 'Grade ' || {g} WHEN 4 THEN 'GRADE ' || lpad({g}, 2, '0') WHEN 5 THEN 'K' "
+        f"WHEN 6 THEN 'KG' ELSE ' ' END AS GRADE",
+        f"CASE {cust} % 3 WHEN 0 THEN 'M' WHEN 1 THEN 'female' END AS SEX",
+        f"CASE o.o_orderpriority WHEN '1-URGENT' THEN 'Spring ' || {ys} WHEN '2-HIGH' THEN 'Fall ' || {ys} "
+        f"WHEN '3-MEDIUM' THEN 'SP' || substring({ys}, 3, 2) "
+        f"WHEN '4-NOT SPECIFIED' THEN CAST({yr} - 1 AS VARCHAR) || '-' || substring({ys}, 3, 2) END AS TERM",
+    ]
+    tstyle = {"MATH": "mdY", "ELA": "iso", "SCI": "mdy_unpadded"}
+    for _, s in PARTNER_SUBJECTS:
+        cols.append(f"CASE WHEN {s}_disc = 0 THEN ' ' WHEN {s}_disc = 0.01 THEN CAST({s}_ss AS VARCHAR) || 'x' "
+                    f"ELSE CAST({s}_ss AS VARCHAR) END AS {s}_SS")
+        cols.append(f"{s}_flag AS {s}_PLCODE")
+        if s != "SCI":
+            cols.append(f"'{s.title()} ' || {s}_flag AS {s}_TESTNAME")
+        cols.append(f"{_dfmt(f'({s}_ship + {TEST_DATE_SHIFT_DAYS})', tstyle[s])} AS {s}_TESTDATE")
+    cols += [f"'district_' || {nat3} || '.csv' AS FILENAMEFROMDISTRICT", f"{nat3} AS AGENCYCODE"]
+    names = [c.rsplit(" AS ", 1)[1] for c in cols]
+    norm = ", ".join(f"{_nb(n)} AS {n}" for n in names)
+    return (f"li AS (SELECT l_orderkey, {', '.join(aggs)} FROM lineitem GROUP BY l_orderkey),\n"
+            f"wide_raw AS (SELECT {', '.join(cols)} FROM li JOIN orders o ON li.l_orderkey = o.o_orderkey "
+            f"JOIN customer c ON o.o_custkey = c.c_custkey),\n"
+            f"wide AS (SELECT {norm} FROM wide_raw)"), names
+
+
+WIDE_CTE, WIDE_COLS = _partner_wide_cte()
+_REPEAT = [c for c in WIDE_COLS if not any(c == f"{s}_{x}" for _, s in PARTNER_SUBJECTS for x in SCORE_SUFFIXES)]
+
+
+def _long_cte() -> str:
+    parts = []
+    for _, s in sorted(PARTNER_SUBJECTS, key=lambda t: t[1]):
+        sel = [f"{c} AS D_{c}" for c in _REPEAT] + [f"'{s}' AS D_SUBJECT"]
+        for suf in SCORE_SUFFIXES:
+            src = f"{s}_{suf}"
+            sel.append(f"{src} AS D_{suf}" if src in WIDE_COLS else f"CAST(NULL AS VARCHAR) AS D_{suf}")
+        parts.append("SELECT " + ", ".join(sel) + " FROM wide")
+    return "long AS (SELECT * FROM (" + " UNION ALL ".join(parts) + ") WHERE D_SS IS NOT NULL)"
+
+
+LONG_CTE = _long_cte()
+
+
+def sql_clean_grade(x: str) -> str:
+    n = f"TRY_CAST(trim({x}) AS DECIMAL(38,10))"
+    whole = f"CASE WHEN {n} = floor({n}) THEN TRY_CAST({n} AS INTEGER) END"
+    valid = ", ".join(str(g) for g in sorted(GRADE_VARIANTS))
+    return (f"CAST(COALESCE(CASE WHEN ({whole}) IN ({valid}) THEN ({whole}) END, "
+            f"{_GMAP}[upper(regexp_replace({x}, '\\s+', '', 'g'))]) AS INTEGER)")
+
+
+def sql_clean_int(x: str) -> str:
+    return f"TRY_CAST(trunc(TRY_CAST(trim({x}) AS DECIMAL(38,10))) AS BIGINT)"
+
+
+def _mkdate(y: str, m: str, d: str) -> str:
+    return (f"CASE WHEN ({y}) BETWEEN 1 AND 9999 AND ({m}) BETWEEN 1 AND 12 AND ({d}) BETWEEN 1 AND 31 "
+            f"THEN CAST(try_strptime(printf('%04d-%02d-%02d', {y}, {m}, {d}), '%Y-%m-%d') AS DATE) END")
+
+
+def _i(x: str) -> str:
+    return f"TRY_CAST(trim({x}) AS INTEGER)"
+
+
+_M = "(1[0-2]|0[1-9]|[1-9])"
+_D = "(3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9])"
+_LAYOUTS = ((f"^{_M}/{_D}/([0-9]{{4}})$", "mdy", False), (f"^{_M}-{_D}-([0-9]{{4}})$", "mdy", False),
+            (f"^([0-9]{{4}})-{_M}-{_D}$", "ymd", False), (f"^([0-9]{{4}})/{_M}/{_D}$", "ymd", False),
+            (f"^{_M}/{_D}/([0-9]{{2}})$", "mdy", True), (f"^([0-9]{{4}}){_M}{_D}$", "ymd", False),
+            (f"^{_M}{_D}([0-9]{{4}})$", "mdy", False), (f"^{_M}{_D}([0-9]{{2}})$", "mdy", True))
+
+
+def sql_parse_date(x: str) -> str:
+    s = f"regexp_replace(trim({x}), '\\s+[0-9]{{1,2}}:[0-9]{{2}}(:[0-9]{{2}})?$', '')"
+    sub = lambda a, b: _i(f"substring({s}, {a}, {b})")
+    y6 = sub(5, 2)
+    rules = [
+        f"CASE WHEN regexp_full_match({s}, '[0-9]{{8}}') THEN COALESCE({_mkdate(sub(5, 4), sub(1, 2), sub(3, 2))}, "
+        f"{_mkdate(sub(1, 4), sub(5, 2), sub(7, 2))}) END",
+        f"CASE WHEN regexp_full_match({s}, '[0-9]{{7}}') THEN {_mkdate(sub(4, 4), sub(1, 1), sub(2, 2))} END",
+        f"CASE WHEN regexp_full_match({s}, '[0-9]{{6}}') THEN "
+        f"{_mkdate(f'CASE WHEN {y6} > 30 THEN {y6} + 1900 ELSE {y6} + 2000 END', sub(1, 2), sub(3, 2))} END",
+    ]
+    for pat, order, two in _LAYOUTS:
+        part = {k: _i(f"regexp_extract({s}, '{pat}', {i + 1})") for i, k in enumerate(order)}
+        y = part["y"]
+        if two:
+            y = f"CASE WHEN {y} >= 69 THEN {y} + 1900 ELSE {y} + 2000 END"
+        rules.append(f"CASE WHEN regexp_matches({s}, '{pat}') THEN {_mkdate(y, part['m'], part['d'])} END")
+    return "COALESCE(" + ", ".join(rules) + ")"
+
+
+def sql_plausible_dob(d: str) -> str:
+    return f"CASE WHEN {_AS_OF_YEAR} - year({d}) BETWEEN 4 AND 25 THEN {d} END"
+
+
+def sql_date_text(d: str) -> str:
+    return f"strftime({d}, '%m/%d/%Y')"
+
+
+def sql_study_year(t: str) -> str:
+    return f"TRY_CAST(NULLIF(regexp_extract(trim(CAST({t} AS VARCHAR)), '^([0-9]{{4}})', 1), '') AS INTEGER)"
+
+
+_SEASON = "|".join([r"\bFALL\b", r"\bAUTUMN\b", r"\bFA\b", r"\bF[0-9]{2}\b", r"\bSUMMER\b", r"\bSUM\b",
+                    r"\bSU\b", r"\bWINTER\b", r"\bWIN\b", r"\bWI\b", r"\bW[0-9]{2}\b"])
+
+
+def sql_incorrect_term(term: str, settings_term: str) -> str:
+    t = f"upper(trim({term}))"
+    y = sql_study_year(settings_term)
+    years = (f"list_concat(list_transform(regexp_extract_all({t}, '20[0-9]{{2}}'), lambda x: CAST(x AS INTEGER)), "
+             f"list_transform(list_filter(string_split_regex({t}, '[^0-9]+'), "
+             f"lambda x: length(x) = 2 AND TRY_CAST(x AS INTEGER) <= 50), lambda x: CAST(x AS INTEGER) + 2000))")
+    return (f"CASE WHEN {t} IS NULL OR {y} IS NULL THEN false "
+            f"WHEN regexp_matches({t}, '{_SEASON}') THEN true "
+            f"WHEN len({years}) > 0 AND NOT (list_contains({years}, {y}) OR list_contains({years}, {y} - 1)) "
+            f"THEN true ELSE false END")
+
+
+def sql_date_out_of_range(d: str, settings_term: str) -> str:
+    y = sql_study_year(settings_term)
+    return (f"COALESCE(({d} < make_date({y}, 2, 1) OR {d} > make_date({y}, 6, 30)) "
+            f"AND year({d}) BETWEEN 1678 AND 2261 AND {y} IS NOT NULL AND {d} IS NOT NULL, false)")
+
+
+def sql_grade_list(x: str) -> str:
+    g = lambda k: f"{_GMAP}[{k}]"
+    lo, hi = g("split_part(t, '-', 1)"), g("regexp_extract(t, '^[^-]*-(.*)$', 1)")
+    tok = (f"list_filter(string_split_regex(upper(trim(COALESCE(CAST({x} AS VARCHAR), ''))), '[,\\s;]+'), "
+           f"lambda t: t <> '')")
+    per = (f"lambda t: CASE WHEN contains(t, '-') THEN (CASE WHEN {lo} IS NOT NULL AND {hi} IS NOT NULL AND {lo} <= {hi} "
+           f"THEN generate_series(CAST({lo} AS BIGINT), CAST({hi} AS BIGINT)) ELSE CAST([] AS BIGINT[]) END) "
+           f"ELSE (CASE WHEN {g('t')} IS NOT NULL THEN [CAST({g('t')} AS BIGINT)] ELSE CAST([] AS BIGINT[]) END) END")
+    return f"list_sort(list_distinct(flatten(list_transform({tok}, {per}))))"
+
+
+def sql_list_text(x: str) -> str:
+    return f"CASE WHEN {x} IS NOT NULL THEN '[' || array_to_string({x}, ', ') || ']' END"
+
+
+_SETTINGS_VALUES = ", ".join(
+    "(" + ", ".join("NULL" if v is None else f"'{v}'" for v in row) + ")" for row in SETTINGS_ROWS)
+
+SETTINGS_CTE = (
+    f"settings_raw AS (SELECT * FROM (VALUES {_SETTINGS_VALUES}) "
+    f"AS t(D_SUBJECT, D_MAPGROWTH_TEST_NAME, STUDY_GRADES, TERM, NOTES)),\n"
+    f"settings AS (SELECT D_SUBJECT AS SETTINGS_D_SUBJECT, D_MAPGROWTH_TEST_NAME AS SETTINGS_D_MAPGROWTH_TEST_NAME, "
+    f"trim(STUDY_GRADES) AS SETTINGS_STUDY_GRADES, TERM AS SETTINGS_TERM, NOTES AS SETTINGS_NOTES, "
+    f"{sql_grade_list('STUDY_GRADES')} AS SETTINGS_GRADE_LIST FROM settings_raw),\n"
+    f"subject_grades AS (SELECT SETTINGS_D_SUBJECT AS _subj, list_sort(list_distinct(flatten(list(SETTINGS_GRADE_LIST)))) "
+    f"AS _subject_grades FROM settings GROUP BY SETTINGS_D_SUBJECT)")
+
+CLEAN_CTE = (
+    "clean_long AS (SELECT *, "
+    f"{sql_clean_grade('D_GRADE')} AS D_GRADE_CLEAN, "
+    + ", ".join(f"{sql_clean_int(c)} AS {c}_CLEAN" for c in ("D_LOCAL_STID", "D_STATE_STID", "D_AGENCYCODE", "D_SS"))
+    + f", {sql_parse_date('D_TESTDATE')} AS D_TESTDATE_DATE, "
+    f"{sql_plausible_dob(sql_parse_date('D_DOB'))} AS D_DOB_DATE FROM long)")
+
+FLAGS_CTE = (
+    "joined AS (SELECT c.*, s.*, s.SETTINGS_D_SUBJECT IS NOT NULL AS _in FROM clean_long c "
+    "LEFT JOIN settings s ON c.D_SUBJECT = s.SETTINGS_D_SUBJECT),\n"
+    "flags AS (SELECT j.*, strftime(D_TESTDATE_DATE, '%m/%d/%Y') AS D_TESTDATE_CLEAN, "
+    "strftime(D_DOB_DATE, '%m/%d/%Y') AS D_DOB_CLEAN, CASE WHEN _in THEN NULLIF(concat_ws('|', "
+    "CASE WHEN D_GRADE_CLEAN IS NULL THEN 'missing_grade' END, "
+    "CASE WHEN D_GRADE_CLEAN IS NOT NULL AND NOT COALESCE(list_contains(g._subject_grades, D_GRADE_CLEAN), false) "
+    "THEN 'grade_not_in_study' END, "
+    "CASE WHEN D_SS IS NOT NULL AND NOT regexp_full_match(D_SS, '\\s*') AND D_SS_CLEAN IS NULL THEN 'non_numeric_SS' END, "
+    f"CASE WHEN {sql_incorrect_term('D_TERM', 'SETTINGS_TERM')} THEN 'incorrect_term' END, "
+    f"CASE WHEN {sql_date_out_of_range('D_TESTDATE_DATE', 'SETTINGS_TERM')} THEN 'test_date_out_of_range' END"
+    "), '') END AS FLAG_REASON FROM joined j LEFT JOIN subject_grades g ON j.D_SUBJECT = g._subj),\n"
+    "split AS (SELECT *, CASE WHEN NOT _in THEN 'dropped_subject' WHEN FLAG_REASON IS NOT NULL THEN 'flagged' "
+    "WHEN COALESCE(list_contains(SETTINGS_GRADE_LIST, D_GRADE_CLEAN), false) THEN 'kept' "
+    "ELSE 'not_allowed' END AS SPLIT FROM flags)")
+
+PARTNER_CTES = ",\n".join([WIDE_CTE, LONG_CTE, SETTINGS_CTE, CLEAN_CTE, FLAGS_CTE])
+
+_LONG_COLS = [f"D_{c}" for c in _REPEAT] + ["D_SUBJECT"] + [f"D_{s}" for s in SCORE_SUFFIXES]
+ORACLE["wide_to_long"] = f"WITH {WIDE_CTE},\n{LONG_CTE}\nSELECT {', '.join(_LONG_COLS)} FROM long"
+
+ORACLE["clean_grade"] = f"""WITH {WIDE_CTE}
+SELECT GRADE, {sql_clean_grade('GRADE')} AS GRADE_CLEAN, count(*) AS record_count
+FROM wide GROUP BY ALL"""
+
+ORACLE["clean_int"] = f"""WITH {WIDE_CTE}
+SELECT RECORD_ID, STATE_STID, {sql_clean_int('STATE_STID')} AS STATE_STID_CLEAN,
+       LOCAL_STID, {sql_clean_int('LOCAL_STID')} AS LOCAL_STID_CLEAN,
+       {sql_clean_int('AGENCYCODE')} AS AGENCYCODE_CLEAN FROM wide"""
+
+_date_cols = ", ".join(f"{s}_TESTDATE, {sql_date_text(sql_parse_date(f'{s}_TESTDATE'))} AS {s}_TESTDATE_CLEAN"
+                       for _, s in PARTNER_SUBJECTS)
+ORACLE["clean_date"] = f"""WITH {WIDE_CTE}
+SELECT RECORD_ID, DOB, {sql_date_text(sql_plausible_dob(sql_parse_date('DOB')))} AS DOB_CLEAN, {_date_cols}
+FROM wide"""
+
+_FLAG_OUT = ("D_RECORD_ID, D_SUBJECT, SETTINGS_D_MAPGROWTH_TEST_NAME, D_GRADE, D_GRADE_CLEAN, D_SS, D_SS_CLEAN, "
+             "D_TERM, D_TESTDATE, D_TESTDATE_CLEAN, D_DOB_CLEAN, D_STATE_STID_CLEAN, D_LOCAL_STID_CLEAN, "
+             "D_AGENCYCODE_CLEAN, FLAG_REASON")
+ORACLE["settings_join_flags"] = f"""WITH {PARTNER_CTES}
+SELECT {_FLAG_OUT}, {sql_list_text('SETTINGS_GRADE_LIST')} AS SETTINGS_GRADE_LIST, SPLIT FROM split"""
+
+
+def _applies(col: str, reasons: list[str], cast: bool = False) -> str:
+    cond = " OR ".join(f"contains(FLAG_REASON, '{r}')" for r in reasons)
+    v = f"CAST({col} AS VARCHAR)" if cast else col
+    return f"CASE WHEN {cond} THEN {v} END AS {col}"
+
+
+ORACLE["flag_summary"] = f"""WITH {PARTNER_CTES},
+keyed AS (SELECT FLAG_REASON, D_FILENAMEFROMDISTRICT, D_SUBJECT,
+  {_applies('D_GRADE', ['grade_not_in_study', 'missing_grade'])},
+  {_applies('D_GRADE_CLEAN', ['grade_not_in_study'], True)},
+  {_applies('D_SS', ['non_numeric_SS'])},
+  {_applies('D_TERM', ['incorrect_term'])},
+  {_applies('SETTINGS_TERM', ['incorrect_term', 'test_date_out_of_range'])},
+  {_applies('D_TESTDATE', ['test_date_out_of_range'])},
+  {_applies('D_TESTDATE_CLEAN', ['test_date_out_of_range'])}
+  FROM split WHERE SPLIT = 'flagged'),
+cnt AS (SELECT *, count(*) AS record_count FROM keyed GROUP BY ALL),
+tot AS (SELECT D_FILENAMEFROMDISTRICT, D_SUBJECT, count(*) AS total_partner_subject_records
+        FROM split WHERE SPLIT = 'kept' GROUP BY ALL)
+SELECT cnt.*, tot.total_partner_subject_records,
+       round_even(CAST(cnt.record_count AS DOUBLE) * 100.0 / tot.total_partner_subject_records, 1) AS pct_affected_records
+FROM cnt LEFT JOIN tot ON cnt.D_FILENAMEFROMDISTRICT IS NOT DISTINCT FROM tot.D_FILENAMEFROMDISTRICT
+ AND cnt.D_SUBJECT IS NOT DISTINCT FROM tot.D_SUBJECT"""
+
+ORACLE["long_counts_subject_grade"] = f"""WITH {PARTNER_CTES}
+SELECT D_SUBJECT, D_GRADE_CLEAN, count(*) AS record_count FROM split WHERE SPLIT = 'kept' GROUP BY ALL"""
+
+
+def _missingness(src: str, groups: list[str], cols: list[str], text_cols: set[str]) -> str:
+    def miss(c):
+        m = f"{c} IS NULL"
+        if c in text_cols:
+            m += f" OR regexp_full_match({c}, '\\s*')"
+        return m
+    g = ", ".join(groups)
+    parts = [f"SELECT {g}, '{c}' AS col_name, count(*) AS total_count, "
+             f"count(*) FILTER (WHERE {miss(c)}) AS missing_count FROM {src} GROUP BY {g}" for c in cols]
+    return (f"SELECT {g}, col_name, total_count, missing_count, total_count - missing_count AS non_missing_count, "
+            f"round_even(CAST(missing_count AS DOUBLE) * 100.0 / total_count, 2) AS missing_percentage "
+            f"FROM ({' UNION ALL '.join(parts)})")
+
+
+ORACLE["missingness_by_group"] = (
+    "WITH dl AS (SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic "
+    "FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)\n"
+    + _missingness("dl", ["lang", "source"], ["doc_id", "text", "n_chars", "quality", "toxic"], {"text"}))
+
+_WIDE_MISS = [c for c in WIDE_COLS if c not in ("RECORD_ID", "GRADE", "FILENAMEFROMDISTRICT")]
+ORACLE["missingness_wide"] = (f"WITH {WIDE_CTE}\n"
+                              + _missingness("wide", ["GRADE", "FILENAMEFROMDISTRICT"], _WIDE_MISS, set(_WIDE_MISS)))

@@ -7,7 +7,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import counts
+import datetime as _dt
+
+from pyspark.sql import functions as F
+
+from .. import functions as fx
+from ..config import SCORE_SUFFIXES
+from ..operators import counts, quality, reshape
 from . import roles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,10 +39,97 @@ def q_counts_grouping_sets(spark: SparkSession, sf: str) -> DataFrame:
     return counts.counts_grouping_sets(roles.event_view(spark, sf), roles.STUDY_TEST_NAMES)
 
 
+AS_OF = _dt.date.fromisoformat(roles.STUDY_AS_OF)
+
+
+def partner_long(spark: SparkSession, sf: str) -> DataFrame:
+    """Normalised wide partner table -> long (drop rows without SS), ``D_`` headers."""
+    wide = fx.normalize_strings(roles.partner_wide(spark, sf))
+    long = reshape.wide_to_long(wide, SCORE_SUFFIXES, drop_rows_missing_ss=True)
+    return fx.rename_with_prefix(long, "D_")
+
+
+def partner_flags(spark: SparkSession, sf: str) -> DataFrame:
+    """Long + clean columns, settings join (fan-out per study) and flags."""
+    long = quality.add_clean_columns(partner_long(spark, sf), AS_OF)
+    s = quality.prepare_settings(roles.settings(spark))
+    merged = quality.join_settings(long, s)
+    return quality.add_flags(merged, s)
+
+
+def q_wide_to_long(spark: SparkSession, sf: str) -> DataFrame:
+    return partner_long(spark, sf)
+
+
+def q_clean_grade(spark: SparkSession, sf: str) -> DataFrame:
+    wide = fx.normalize_strings(roles.partner_wide(spark, sf))
+    return counts.record_counts(wide.withColumn("GRADE_CLEAN", fx.clean_grade("GRADE")),
+                                ["GRADE", "GRADE_CLEAN"])
+
+
+def q_clean_int(spark: SparkSession, sf: str) -> DataFrame:
+    wide = fx.normalize_strings(roles.partner_wide(spark, sf))
+    return wide.select("RECORD_ID", "STATE_STID", fx.clean_int("STATE_STID").alias("STATE_STID_CLEAN"),
+                       "LOCAL_STID", fx.clean_int("LOCAL_STID").alias("LOCAL_STID_CLEAN"),
+                       fx.clean_int("AGENCYCODE").alias("AGENCYCODE_CLEAN"))
+
+
+def q_clean_date(spark: SparkSession, sf: str) -> DataFrame:
+    wide = fx.normalize_strings(roles.partner_wide(spark, sf))
+    cols = [F.col("RECORD_ID"), F.col("DOB"),
+            fx.date_text(fx.plausible_dob(fx.parse_partner_date("DOB"), AS_OF)).alias("DOB_CLEAN")]
+    for _, subj in roles.PARTNER_SUBJECTS:
+        c = f"{subj}_TESTDATE"
+        cols += [F.col(c), fx.date_text(fx.parse_partner_date(c)).alias(f"{c}_CLEAN")]
+    return wide.select(*cols)
+
+
+FLAG_OUTPUT = ("D_RECORD_ID", "D_SUBJECT", "SETTINGS_D_MAPGROWTH_TEST_NAME", "D_GRADE", "D_GRADE_CLEAN",
+               "D_SS", "D_SS_CLEAN", "D_TERM", "D_TESTDATE", "D_TESTDATE_CLEAN", "D_DOB_CLEAN",
+               "D_STATE_STID_CLEAN", "D_LOCAL_STID_CLEAN", "D_AGENCYCODE_CLEAN", "FLAG_REASON")
+
+
+def q_settings_join_flags(spark: SparkSession, sf: str) -> DataFrame:
+    flags = partner_flags(spark, sf)
+    return flags.select(*FLAG_OUTPUT, fx.list_to_text("SETTINGS_GRADE_LIST").alias("SETTINGS_GRADE_LIST"),
+                        quality.split_label(flags).alias("SPLIT"))
+
+
+def q_flag_summary(spark: SparkSession, sf: str) -> DataFrame:
+    flagged, clean, _ = quality.split_flagged(partner_flags(spark, sf))
+    return counts.flag_summary(flagged, clean)
+
+
+def q_long_counts_subject_grade(spark: SparkSession, sf: str) -> DataFrame:
+    _, clean, _ = quality.split_flagged(partner_flags(spark, sf))
+    return counts.record_counts(clean, ["D_SUBJECT", "D_GRADE_CLEAN"])
+
+
+def q_missingness_by_group(spark: SparkSession, sf: str) -> DataFrame:
+    docs = roles.read_table(spark, sf, "documents")
+    labels = roles.read_table(spark, sf, "labels")
+    df = docs.join(labels, "doc_id", "left")
+    return counts.missingness_long(df, ["lang", "source"])
+
+
+def q_missingness_wide(spark: SparkSession, sf: str) -> DataFrame:
+    wide = fx.normalize_strings(roles.partner_wide(spark, sf))
+    return counts.missingness_long(wide.drop("RECORD_ID"), ["GRADE", "FILENAMEFROMDISTRICT"])
+
+
 QUERIES: dict[str, Query] = {
     "counts_total_by_test": q_counts_total_by_test,
     "counts_by_grade": q_counts_by_grade,
     "counts_by_district": q_counts_by_district,
     "counts_by_district_grade": q_counts_by_district_grade,
     "counts_grouping_sets": q_counts_grouping_sets,
+    "wide_to_long": q_wide_to_long,
+    "clean_grade": q_clean_grade,
+    "clean_int": q_clean_int,
+    "clean_date": q_clean_date,
+    "settings_join_flags": q_settings_join_flags,
+    "flag_summary": q_flag_summary,
+    "long_counts_subject_grade": q_long_counts_subject_grade,
+    "missingness_by_group": q_missingness_by_group,
+    "missingness_wide": q_missingness_wide,
 }

@@ -68,3 +68,115 @@ def event_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 STUDY_TEST_NAMES = tuple(f"Brand#{i}" for i in range(1, 26))
 # Scale codes counted by the total-count report (all scales of the role tables).
 STUDY_SCALE_CODES = tuple(range(6, 13))
+
+
+# Days added to ship dates so test dates fall in the study years (2022..2028).
+TEST_DATE_SHIFT_DAYS = 9862
+# Years added to order years for partner term text.
+TERM_YEAR_SHIFT = 27
+DOB_BASE = "2005-01-01"
+
+
+def _fmt(d, style: str):
+    """Date text in a named layout (the oracle uses the same layouts)."""
+    if style == "mdY":
+        return F.date_format(d, "MM/dd/yyyy")
+    if style == "mdY_unpadded":
+        return F.date_format(d, "M/d/yyyy")
+    if style == "Ymd":
+        return F.date_format(d, "yyyyMMdd")
+    if style == "mdY_compact":
+        return F.date_format(d, "MMddyyyy")
+    if style == "iso_time":
+        return F.concat(F.date_format(d, "yyyy-MM-dd"), F.lit(" 00:00:00"))
+    if style == "mdy":
+        return F.date_format(d, "MM/dd/yy")
+    if style == "iso":
+        return F.date_format(d, "yyyy-MM-dd")
+    if style == "mdy_unpadded":
+        return F.date_format(d, "M/d/yy")
+    raise ValueError(style)
+
+
+def partner_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide partner table: one all-text row per order (student record), score columns
+    ``<SUBJECT>_<SUFFIX>`` from the order's lines 1..3 (one aggregation by order key)."""
+    l = read_table(spark, sf_dir, "lineitem")
+    o = read_table(spark, sf_dir, "orders")
+    c = read_table(spark, sf_dir, "customer")
+    aggs = []
+    for ln, subj in PARTNER_SUBJECTS:
+        on = F.col("l_linenumber") == ln
+        aggs += [F.max(F.when(on, F.floor("l_extendedprice").cast("bigint"))).alias(f"{subj}_ss"),
+                 F.min(F.when(on, F.col("l_discount"))).alias(f"{subj}_disc"),
+                 F.min(F.when(on, F.col("l_shipdate").cast("date"))).alias(f"{subj}_ship"),
+                 F.min(F.when(on, F.col("l_returnflag"))).alias(f"{subj}_flag")]
+    lines = l.groupBy("l_orderkey").agg(*aggs)
+    w = lines.join(o, lines.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
+    key, cust = F.col("o_orderkey"), F.col("c_custkey")
+    nat3 = F.lpad(F.col("c_nationkey").cast("string"), 3, "0")
+    cust_s = cust.cast("string")
+    yr = (F.year("o_orderdate") + TERM_YEAR_SHIFT).cast("int")
+    yr_s = yr.cast("string")
+    dob = F.date_add(F.lit(DOB_BASE).cast("date"), (cust % 7000).cast("int"))
+    dob_styles = ["mdY", "mdY_unpadded", "Ymd", "mdY_compact", "iso_time", "mdy"]
+    dob_txt = F.when(key % 6 == 0, _fmt(dob, dob_styles[0]))
+    for i, st in enumerate(dob_styles[1:], start=1):
+        dob_txt = dob_txt.when(key % 6 == i, _fmt(dob, st))
+    g = (cust % 12 + 1).cast("string")
+    grade = (F.when(key % 8 == 0, g).when(key % 8 == 1, F.lpad(g, 2, "0"))
+              .when(key % 8 == 2, F.concat(g, F.lit(".0")))
+              .when(key % 8 == 3, F.concat(F.lit("Grade "), g))
+              .when(key % 8 == 4, F.concat(F.lit("GRADE "), F.lpad(g, 2, "0")))
+              .when(key % 8 == 5, F.lit("K")).when(key % 8 == 6, F.lit("KG")).otherwise(F.lit(" ")))
+    pr = F.col("o_orderpriority")
+    term = (F.when(pr == "1-URGENT", F.concat(F.lit("Spring "), yr_s))
+             .when(pr == "2-HIGH", F.concat(F.lit("Fall "), yr_s))
+             .when(pr == "3-MEDIUM", F.concat(F.lit("SP"), F.substring(yr_s, 3, 2)))
+             .when(pr == "4-NOT SPECIFIED", F.concat((yr - 1).cast("string"), F.lit("-"), F.substring(yr_s, 3, 2))))
+    cols = [
+        key.cast("string").alias("RECORD_ID"),
+        F.concat(F.lit("District "), F.col("c_nationkey").cast("string")).alias("DISTRICTNAME"),
+        F.col("c_mktsegment").alias("SCHOOLNAME"),
+        (F.when(key % 5 == 0, F.concat(F.lit(" "), cust_s, F.lit(" ")))
+          .when(key % 5 == 1, F.lpad(cust_s, 8, "0"))
+          .when(key % 5 == 2, F.concat(cust_s, F.lit(".7")))
+          .when(key % 5 == 3, F.concat(F.lit("S"), cust_s))
+          .otherwise(cust_s)).alias("STATE_STID"),
+        (F.when(key % 7 == 0, F.lit(None).cast("string")).when(key % 7 == 1, F.lit("  "))
+          .otherwise((cust + 100000).cast("string"))).alias("LOCAL_STID"),
+        F.col("c_name").alias("LNAME"),
+        F.col("c_mktsegment").alias("FNAME"),
+        dob_txt.alias("DOB"),
+        grade.alias("GRADE"),
+        F.when(cust % 3 == 0, F.lit("M")).when(cust % 3 == 1, F.lit("female")).alias("SEX"),
+        term.alias("TERM"),
+    ]
+    test_styles = {"MATH": "mdY", "ELA": "iso", "SCI": "mdy_unpadded"}
+    for _, subj in PARTNER_SUBJECTS:
+        ss, disc = F.col(f"{subj}_ss"), F.col(f"{subj}_disc")
+        ship = F.date_add(F.col(f"{subj}_ship"), TEST_DATE_SHIFT_DAYS)
+        cols.append(F.when(disc == 0, F.lit(" ")).when(disc == 0.01, F.concat(ss.cast("string"), F.lit("x")))
+                    .otherwise(ss.cast("string")).alias(f"{subj}_SS"))
+        cols.append(F.col(f"{subj}_flag").alias(f"{subj}_PLCODE"))
+        if subj != "SCI":
+            cols.append(F.concat(F.lit(subj.title() + " "), F.col(f"{subj}_flag")).alias(f"{subj}_TESTNAME"))
+        cols.append(_fmt(ship, test_styles[subj]).alias(f"{subj}_TESTDATE"))
+    cols += [F.concat(F.lit("district_"), nat3, F.lit(".csv")).alias("FILENAMEFROMDISTRICT"),
+             nat3.alias("AGENCYCODE")]
+    return w.select(*cols)
+
+
+# Study settings (a configuration sheet: one row per subject x vendor test).
+SETTINGS_ROWS = (
+    ("MATH", "Brand#1", "3-5", "202502", None),
+    ("MATH", "Brand#2", "6,7 8", "202502", "second study of the subject"),
+    ("ELA", "Brand#3", "K-2", "202502", "range that parses to no grades"),
+    ("ELA", "Brand#4", "GRADE 4;5-12", "202502", None),
+)
+SETTINGS_SCHEMA = "D_SUBJECT string, D_MAPGROWTH_TEST_NAME string, STUDY_GRADES string, TERM string, NOTES string"
+STUDY_AS_OF = "2025-09-01"
+
+
+def settings(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(list(SETTINGS_ROWS), SETTINGS_SCHEMA)
