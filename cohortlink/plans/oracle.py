@@ -382,3 +382,71 @@ ORACLE["missingness_by_group"] = (
 _WIDE_MISS = [c for c in WIDE_COLS if c not in ("RECORD_ID", "GRADE", "FILENAMEFROMDISTRICT")]
 ORACLE["missingness_wide"] = (f"WITH {WIDE_CTE}\n"
                               + _missingness("wide", ["GRADE", "FILENAMEFROMDISTRICT"], _WIDE_MISS, set(_WIDE_MISS)))
+
+
+# ---------------------------------------------------------------------------
+# Vendor event extract
+# ---------------------------------------------------------------------------
+from .roles import ETHNIC_NAMES  # noqa: E402
+from ..config import ETHNIC_GROUP_CODES  # noqa: E402
+
+_ETH_CASE = "CASE n_nationkey % 9 " + " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(ETHNIC_NAMES)) + " END"
+_ETH_CODE = "CASE nwea_ethnic_group_name " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in ETHNIC_GROUP_CODES.items()) + " END"
+
+EXTRACT_CTE = f"""
+schools AS (
+  SELECT s.s_suppkey AS school_business_identifier, s.s_name AS school_standard_name,
+         r.r_name AS state, CAST(n.n_nationkey AS BIGINT) AS district_business_identifier,
+         n.n_name AS district_standard_name, lpad(CAST(n.n_nationkey AS VARCHAR), 4, '0') AS district_agency_code
+  FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey),
+stu AS (
+  SELECT c.c_custkey AS student_bid, CASE WHEN c.c_custkey % 2 = 0 THEN 'F' ELSE 'MALE' END AS gender,
+         ' ' || lower(c.c_mktsegment) AS name_first, c.c_name AS name_last,
+         CASE WHEN c.c_custkey % 10 = 0 THEN 'X' || CAST(c.c_custkey AS VARCHAR) ELSE CAST(c.c_custkey AS VARCHAR) END
+           AS state_student_external_id,
+         CAST(c.c_custkey + 100000 AS VARCHAR) AS district_student_external_id,
+         DATE '{DOB_BASE}' + CAST(c.c_custkey % 7000 AS INTEGER) AS date_of_birth, eg.nwea_ethnic_group_name
+  FROM customer c LEFT JOIN (SELECT CAST(n_nationkey AS BIGINT) AS ethnic_group_id, {_ETH_CASE} AS nwea_ethnic_group_name
+                             FROM nation) eg ON CAST(c.c_nationkey AS BIGINT) = eg.ethnic_group_id),
+tst AS (
+  SELECT p_partkey AS test_id, p_brand AS name, 'T-' || CAST(p_partkey AS VARCHAR) || '-' || CAST(p_size AS VARCHAR) AS test_bid,
+         CAST(p_size AS INTEGER) AS grade_bid, p_type AS subject FROM part WHERE p_brand IN ({_TESTS})),
+cst AS (
+  SELECT p_partkey AS test_key, CAST(p_size % 6 + 1 AS INTEGER) AS test_grade_low, CAST(p_size % 6 + 6 AS INTEGER) AS test_grade_high,
+         CASE WHEN p_size % 2 = 0 THEN 'EN' ELSE 'ES' END AS language_id FROM part WHERE p_type <> 'PROMO'),
+evt AS (
+  SELECT l.l_orderkey * 8 + l.l_linenumber AS test_event_bid, o.o_custkey AS student_bid, l.l_suppkey AS school_bid,
+         l.l_partkey AS test_id, CAST(year(o.o_orderdate) AS INTEGER) AS term_number, l.l_extendedprice AS score,
+         l.l_tax * 10 + l.l_discount AS standard_error, CAST(l.l_shipdate AS DATE) AS event_end_date,
+         CAST(l.l_linenumber + 5 AS INTEGER) AS measurement_scale_bid, l.l_linestatus = 'F' AS growth_event_yn
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  WHERE l.l_returnflag <> 'R' AND l.l_linestatus = 'F' AND l.l_extendedprice IS NOT NULL),
+x AS (
+  SELECT e.test_event_bid AS test_event_business_identifier, sc.state, sc.district_business_identifier,
+         sc.district_standard_name, sc.district_agency_code, sc.school_business_identifier, sc.school_standard_name,
+         CAST(CASE WHEN t.grade_bid IN (13, 16, 17) THEN 0 WHEN t.grade_bid = 14 THEN -1
+              WHEN t.grade_bid BETWEEN 1 AND 12 THEN t.grade_bid END AS INTEGER) AS grade_ordinal,
+         e.student_bid AS student_business_identifier, s.nwea_ethnic_group_name,
+         CAST({_ETH_CODE.replace('nwea_ethnic_group_name', 's.nwea_ethnic_group_name')} AS INTEGER) AS nwea_ethnic_group_code,
+         CAST(round(e.score) AS INTEGER) AS irit, CAST(e.standard_error AS DECIMAL(5,2)) AS sem,
+         t.name AS test_name, t.test_bid AS test_key, s.gender AS student_gender,
+         upper(trim(s.name_first)) AS student_first_name, upper(trim(s.name_last)) AS student_last_name,
+         TRY_CAST(s.state_student_external_id AS DECIMAL(38,0)) AS student_state_id,
+         TRY_CAST(s.district_student_external_id AS DECIMAL(38,0)) AS student_id,
+         CASE WHEN e.measurement_scale_bid = 12 THEN 7 ELSE e.measurement_scale_bid END AS measurement_scale_bid,
+         e.measurement_scale_bid AS measurement_scale_bid_raw, t.subject, e.term_number,
+         c.test_grade_low, c.test_grade_high, e.event_end_date AS testdate, c.language_id,
+         s.date_of_birth AS dob, CAST(strftime(date_trunc('month', s.date_of_birth), '%Y%m') AS INTEGER) AS dob_yyyy_mm,
+         e.score AS _score, e.growth_event_yn
+  FROM evt e JOIN schools sc ON e.school_bid = sc.school_business_identifier
+  JOIN stu s ON e.student_bid = s.student_bid
+  JOIN tst t ON e.test_id = t.test_id
+  LEFT JOIN cst c ON TRY_CAST(TRY_CAST(split_part(t.test_bid, '-', 2) AS DECIMAL(38,0)) AS BIGINT) = c.test_key),
+extract AS (
+  SELECT * EXCLUDE (_score), CAST(row_number() OVER (PARTITION BY student_business_identifier, term_number,
+      measurement_scale_bid_raw ORDER BY _score DESC NULLS LAST, test_event_business_identifier, test_key,
+      school_business_identifier, testdate, sem) AS INTEGER) AS score_rank FROM x)"""
+
+ORACLE["event_extract"] = f"WITH {EXTRACT_CTE}\nSELECT * FROM extract"
+ORACLE["score_rank"] = (f"WITH {EXTRACT_CTE}\nSELECT student_business_identifier, term_number, measurement_scale_bid_raw, "
+                        "test_event_business_identifier, test_key, irit, score_rank FROM extract")

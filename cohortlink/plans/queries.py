@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as fx
 from ..config import SCORE_SUFFIXES
-from ..operators import counts, quality, reshape
+from ..operators import counts, extract, quality, reshape
 from . import roles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,6 +117,23 @@ def q_missingness_wide(spark: SparkSession, sf: str) -> DataFrame:
     return counts.missingness_long(wide.drop("RECORD_ID"), ["GRADE", "FILENAMEFROMDISTRICT"])
 
 
+def vendor_extract(spark: SparkSession, sf: str) -> DataFrame:
+    schools = extract.included_schools(roles.organization(spark, sf))
+    return extract.event_extract(schools, roles.students(spark, sf), roles.ethnic_groups(spark, sf),
+                                 roles.vendor_events(spark, sf), roles.tests(spark, sf),
+                                 roles.content_tests(spark, sf), roles.STUDY_TEST_NAMES)
+
+
+def q_event_extract(spark: SparkSession, sf: str) -> DataFrame:
+    return vendor_extract(spark, sf)
+
+
+def q_score_rank(spark: SparkSession, sf: str) -> DataFrame:
+    return vendor_extract(spark, sf).select(
+        "student_business_identifier", "term_number", "measurement_scale_bid_raw",
+        "test_event_business_identifier", "test_key", "irit", "score_rank")
+
+
 QUERIES: dict[str, Query] = {
     "counts_total_by_test": q_counts_total_by_test,
     "counts_by_grade": q_counts_by_grade,
@@ -132,4 +149,6 @@ QUERIES: dict[str, Query] = {
     "long_counts_subject_grade": q_long_counts_subject_grade,
     "missingness_by_group": q_missingness_by_group,
     "missingness_wide": q_missingness_wide,
+    "event_extract": q_event_extract,
+    "score_rank": q_score_rank,
 }

@@ -180,3 +180,77 @@ STUDY_AS_OF = "2025-09-01"
 
 def settings(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(SETTINGS_ROWS), SETTINGS_SCHEMA)
+
+
+# ---------------------------------------------------------------------------
+# Vendor base tables (roles for the event extract)
+# ---------------------------------------------------------------------------
+# Ethnic group names by id % 9 (0 = a name outside the code list).
+ETHNIC_NAMES = ("Unknown", "American Indian or Alaska Native", "Asian", "Black or African American",
+                "Hispanic or Latino", "Multi-ethnic", "Native Hawaiian or Other Pacific Islander",
+                "Not Specified or Other", "White")
+
+
+def organization(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Districts (nations, with state = region) and schools (suppliers) in one table."""
+    d = districts(spark, sf_dir).select(
+        F.col("n_nationkey").cast("bigint").alias("organization_bid"), F.lit("DISTRICT").alias("organization_type"),
+        F.col("n_name").alias("custom_name"), F.col("n_nationkey").cast("string").alias("partner_id"),
+        F.lpad(F.col("n_nationkey").cast("string"), 4, "0").alias("district_organization_external_id"),
+        F.col("r_name").alias("state"))
+    s = read_table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").alias("organization_bid"), F.lit("SCHOOL").alias("organization_type"),
+        F.col("s_name").alias("custom_name"), F.col("s_nationkey").cast("string").alias("partner_id"),
+        F.lit(None).cast("string").alias("district_organization_external_id"), F.lit(None).cast("string").alias("state"))
+    return d.unionByName(s)
+
+
+def ethnic_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = F.element_at(F.array(*[F.lit(n) for n in ETHNIC_NAMES]), (F.col("n_nationkey") % 9 + 1).cast("int"))
+    return read_table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").cast("bigint").alias("ethnic_group_id"), names.alias("nwea_ethnic_group_name"))
+
+
+def students(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = read_table(spark, sf_dir, "customer")
+    ck = F.col("c_custkey")
+    return c.select(
+        ck.alias("student_bid"), F.col("c_nationkey").cast("bigint").alias("ethnic_group_id"),
+        F.when(ck % 2 == 0, F.lit("F")).otherwise(F.lit("MALE")).alias("gender"),
+        F.concat(F.lit(" "), F.lower("c_mktsegment")).alias("name_first"),
+        F.col("c_name").alias("name_last"),
+        F.when(ck % 10 == 0, F.concat(F.lit("X"), ck.cast("string"))).otherwise(ck.cast("string"))
+         .alias("state_student_external_id"),
+        (ck + 100000).cast("string").alias("district_student_external_id"),
+        F.date_add(F.lit(DOB_BASE).cast("date"), (ck % 7000).cast("int")).alias("date_of_birth"))
+
+
+def vendor_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    l = read_table(spark, sf_dir, "lineitem")
+    o = read_table(spark, sf_dir, "orders")
+    ev = l.join(o, l.l_orderkey == o.o_orderkey)
+    return ev.select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("test_event_bid"),
+        F.col("o_custkey").alias("student_bid"), F.col("l_suppkey").alias("school_bid"),
+        F.col("l_partkey").alias("test_id"), F.year("o_orderdate").cast("int").alias("term_number"),
+        F.col("l_extendedprice").alias("score"),
+        (F.col("l_tax") * 10 + F.col("l_discount")).alias("standard_error"),
+        F.col("l_shipdate").cast("date").alias("event_end_date"),
+        (F.col("l_returnflag") != "R").alias("valid_event_yn"),
+        (F.col("l_linestatus") == "F").alias("growth_event_yn"),
+        (F.col("l_linenumber") + 5).cast("int").alias("measurement_scale_bid"))
+
+
+def tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = read_table(spark, sf_dir, "part")
+    return p.select(F.col("p_partkey").alias("test_id"), F.col("p_brand").alias("name"),
+                    F.concat(F.lit("T-"), F.col("p_partkey").cast("string"), F.lit("-"), F.col("p_size").cast("string"))
+                     .alias("test_bid"),
+                    F.col("p_size").cast("int").alias("grade_bid"), F.col("p_type").alias("subject"))
+
+
+def content_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = read_table(spark, sf_dir, "part").where(F.col("p_type") != "PROMO")
+    low = (F.col("p_size") % 6 + 1).cast("int")
+    return p.select(F.col("p_partkey").alias("test_key"), low.alias("test_grade_low"), (low + 5).alias("test_grade_high"),
+                    F.when(F.col("p_size") % 2 == 0, F.lit("EN")).otherwise(F.lit("ES")).alias("language_id"))
