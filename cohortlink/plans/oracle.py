@@ -127,7 +127,7 @@ def _partner_wide_cte() -> str:
         f"CASE {key} % 5 WHEN 0 THEN ' ' || {cs} || ' ' WHEN 1 THEN lpad({cs}, 8, '0') "
         f"WHEN 2 THEN {cs} || '.7' WHEN 3 THEN 'S' || {cs} ELSE {cs} END AS STATE_STID",
         f"CASE {key} % 7 WHEN 0 THEN NULL WHEN 1 THEN '  ' ELSE CAST({cust} + 100000 AS VARCHAR) END AS LOCAL_STID",
-        "c.c_name AS LNAME", "c.c_mktsegment AS FNAME",
+        f"CASE WHEN {key} % 3 = 0 THEN upper(c.c_name) ELSE c.c_name END AS LNAME", "c.c_mktsegment AS FNAME",
         f"{dob_txt} AS DOB",
         f"CASE {key} % 8 WHEN 0 THEN {g} WHEN 1 THEN lpad({g}, 2, '0') WHEN 2 THEN {g} || '.0' "
         f"WHEN 3 THEN 'Grade ' || {g} WHEN 4 THEN 'GRADE ' || lpad({g}, 2, '0') WHEN 5 THEN 'K' "
@@ -450,3 +450,82 @@ extract AS (
 ORACLE["event_extract"] = f"WITH {EXTRACT_CTE}\nSELECT * FROM extract"
 ORACLE["score_rank"] = (f"WITH {EXTRACT_CTE}\nSELECT student_business_identifier, term_number, measurement_scale_bid_raw, "
                         "test_event_business_identifier, test_key, irit, score_rank FROM extract")
+
+
+# ---------------------------------------------------------------------------
+# Linkage (naive OR-join + QUALIFY: the definition our lookup plan must equal)
+# ---------------------------------------------------------------------------
+def _nk(x: str) -> str:
+    return f"upper(regexp_replace({x}, '[^A-Z]', '', 'g'))"
+
+
+def _idk(x: str) -> str:
+    return f"NULLIF(trim(CAST({x} AS VARCHAR)), '')"
+
+
+LINK_CTE = f"""
+partner AS (
+  SELECT concat_ws('|', D_RECORD_ID, D_SUBJECT, SETTINGS_D_MAPGROWTH_TEST_NAME) AS p_id,
+         SETTINGS_D_MAPGROWTH_TEST_NAME AS test_name, {_idk('D_STATE_STID_CLEAN')} AS state_key,
+         {_idk('D_LOCAL_STID_CLEAN')} AS local_key, {_nk('D_FNAME')} AS fname_key, {_nk('D_LNAME')} AS lname_key,
+         D_DOB_DATE AS dob, D_SEX, D_GRADE_CLEAN, D_STATE_STID, D_LOCAL_STID, D_DOB, D_FILENAMEFROMDISTRICT,
+         CAST(D_STATE_STID_CLEAN AS DECIMAL(38,0)) AS state_id, CAST(D_LOCAL_STID_CLEAN AS DECIMAL(38,0)) AS local_id,
+         D_AGENCYCODE AS agency_code, D_LNAME AS lname, D_FNAME AS fname
+  FROM split WHERE SPLIT = 'kept'),
+vraw AS (
+  SELECT o.o_orderkey AS m_id, c.c_custkey AS student_business_identifier,
+         'Brand#' || CAST(o.o_orderkey % 5 + 1 AS VARCHAR) AS test_name,
+         'T-' || CAST(o.o_orderkey % 5 + 1 AS VARCHAR) || '-' || CAST(year(o.o_orderdate) AS VARCHAR) AS test_key,
+         CASE WHEN c.c_custkey % 10 = 0 THEN 'X' || CAST(c.c_custkey AS VARCHAR) ELSE CAST(c.c_custkey AS VARCHAR) END AS sid_txt,
+         CASE WHEN o.o_orderkey % 11 = 0 THEN NULL ELSE CAST(c.c_custkey + 100000 AS VARCHAR) END AS lid_txt,
+         lpad(CAST(c.c_nationkey AS VARCHAR), 3, '0') AS district_agency_code,
+         upper(trim(c.c_mktsegment)) AS student_first_name, upper(trim(c.c_name)) AS student_last_name,
+         CASE WHEN o.o_orderkey % 9 = 0 THEN DATE '{DOB_BASE}' + CAST(c.c_custkey % 7000 AS INTEGER) + 1
+              ELSE DATE '{DOB_BASE}' + CAST(c.c_custkey % 7000 AS INTEGER) END AS r_dob,
+         CASE WHEN c.c_custkey % 2 = 0 THEN 'F' ELSE 'MALE' END AS M_SEX
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+vendor AS (
+  SELECT *, TRY_CAST(sid_txt AS DECIMAL(38,0)) AS student_state_id, TRY_CAST(lid_txt AS DECIMAL(38,0)) AS student_id,
+         {_idk('TRY_CAST(sid_txt AS DECIMAL(38,0))')} AS state_key, {_idk('TRY_CAST(lid_txt AS DECIMAL(38,0))')} AS local_key,
+         {_nk('student_first_name')} AS fname_key, {_nk('student_last_name')} AS lname_key, r_dob AS dob
+  FROM vraw),
+cand AS (
+  SELECT v.m_id, v.student_business_identifier, v.test_key, p.*, v.student_state_id AS M_STATE_STID,
+         v.student_id AS M_LOCAL_STID, v.r_dob AS R_DOB, v.M_SEX,
+         CASE WHEN (p.state_key = v.state_key OR p.local_key = v.local_key) AND p.fname_key = v.fname_key
+                   AND p.lname_key = v.lname_key AND p.dob = v.dob THEN 1
+              WHEN (p.state_key = v.state_key OR p.local_key = v.local_key) AND p.dob = v.dob THEN 3
+              ELSE 4 END AS phase_rank
+  FROM partner p JOIN vendor v ON p.test_name = v.test_name
+   AND (p.state_key = v.state_key OR p.local_key = v.local_key OR p.dob = v.dob))"""
+
+_PHASE = ("CASE phase_rank WHEN 1 THEN 'PHASE_1_FULL_ID_NAME_DOB' WHEN 2 THEN 'PHASE_2_ID_NAME_DOB' "
+          "WHEN 3 THEN 'PHASE_3_ID_DOB' ELSE 'UNMATCHED' END")
+_SEX = ("COALESCE(CASE WHEN upper(D_SEX) IN ('M','MALE','1') THEN 1 WHEN upper(D_SEX) IN ('F','FEMALE','0') THEN 0 END, "
+        "CASE WHEN upper(M_SEX) IN ('M','MALE','1') THEN 1 WHEN upper(M_SEX) IN ('F','FEMALE','0') THEN 0 END)")
+_BEST = f"""best AS (
+  SELECT {_PHASE} AS MATCH_TYPE, student_business_identifier, test_key, m_id, p_id, D_SEX, D_GRADE_CLEAN,
+         D_STATE_STID, D_LOCAL_STID, D_DOB, D_FILENAMEFROMDISTRICT, M_STATE_STID, M_LOCAL_STID, R_DOB, M_SEX,
+         {_SEX} AS SEX, 'ZZ' AS STATE
+  FROM cand QUALIFY row_number() OVER (PARTITION BY student_business_identifier, test_key
+                                       ORDER BY phase_rank, p_id, m_id) = 1)"""
+
+ORACLE["link_best"] = f"WITH {PARTNER_CTES},\n{LINK_CTE},\n{_BEST}\nSELECT * FROM best"
+ORACLE["link_phases"] = f"""WITH {PARTNER_CTES},\n{LINK_CTE}
+SELECT m_id, student_business_identifier, test_key, {_PHASE} AS MATCH_TYPE, p_id
+FROM cand QUALIFY row_number() OVER (PARTITION BY m_id ORDER BY phase_rank, p_id) = 1"""
+ORACLE["match_rates"] = f"""WITH {PARTNER_CTES},\n{LINK_CTE},\n{_BEST},
+c AS (SELECT MATCH_TYPE, D_GRADE_CLEAN, count(*) AS n FROM best GROUP BY ALL)
+SELECT *, sum(n) OVER (PARTITION BY D_GRADE_CLEAN) AS grade_total,
+       round_even(CAST(n AS DOUBLE) * 100.0 / sum(n) OVER (PARTITION BY D_GRADE_CLEAN), 2) AS pct_of_grade FROM c"""
+ORACLE["link_legacy"] = f"""WITH {PARTNER_CTES},\n{LINK_CTE}
+SELECT CASE WHEN v.student_state_id = p.state_id THEN 'STATE_STID'
+            WHEN p.local_id = v.student_id AND p.agency_code = v.district_agency_code THEN 'LOCAL'
+            WHEN p.lname = v.student_last_name AND p.fname = v.student_first_name AND p.dob = v.r_dob THEN 'FUZZY'
+            ELSE 'UNMATCHED' END AS MATCH_TYPE,
+       p.p_id, v.m_id, v.student_business_identifier, p.test_name
+FROM partner p JOIN vendor v
+  ON (v.test_name = p.test_name AND v.student_state_id = p.state_id)
+  OR (v.test_name = p.test_name AND p.agency_code = v.district_agency_code AND p.local_id = v.student_id)
+  OR (v.test_name = p.test_name AND p.agency_code = v.district_agency_code AND p.lname = v.student_last_name
+      AND p.fname = v.student_first_name AND p.dob = v.r_dob)"""

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as fx
 from ..config import SCORE_SUFFIXES
-from ..operators import counts, extract, quality, reshape
+from ..operators import counts, extract, linkage, quality, reshape
 from . import roles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -134,6 +134,64 @@ def q_score_rank(spark: SparkSession, sf: str) -> DataFrame:
         "test_event_business_identifier", "test_key", "irit", "score_rank")
 
 
+PARTNER_CARRY = ("D_SEX", "D_GRADE_CLEAN", "D_STATE_STID", "D_LOCAL_STID", "D_DOB", "D_FILENAMEFROMDISTRICT")
+
+
+def linkage_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Partner side = clean, study-allowed long rows with the study's vendor test name;
+    vendor side = one test event per order. Both with canonical key columns."""
+    _, kept, _ = quality.split_flagged(partner_flags(spark, sf))
+    p_id = F.concat_ws("|", "D_RECORD_ID", "D_SUBJECT", "SETTINGS_D_MAPGROWTH_TEST_NAME")
+    partner = kept.select(
+        p_id.alias("p_id"),
+        *linkage.link_keys(F.col("SETTINGS_D_MAPGROWTH_TEST_NAME"), F.col("D_STATE_STID_CLEAN").cast("string"),
+                           F.col("D_LOCAL_STID_CLEAN").cast("string"), F.col("D_FNAME"), F.col("D_LNAME"),
+                           F.col("D_DOB_DATE")),
+        *PARTNER_CARRY)
+    v = roles.linkage_vendor(spark, sf)
+    vendor = v.select(
+        "m_id", "student_business_identifier", "test_key",
+        *linkage.link_keys(F.col("test_name"), fx.try_number("state_student_external_id").cast("string"),
+                           fx.try_number("district_student_external_id").cast("string"),
+                           F.col("student_first_name"), F.col("student_last_name"), F.col("r_dob")),
+        fx.sentinel_to_null(fx.try_number("state_student_external_id"), -1).alias("M_STATE_STID"),
+        fx.sentinel_to_null(fx.try_number("district_student_external_id"), -1).alias("M_LOCAL_STID"),
+        F.col("r_dob").alias("R_DOB"), F.col("student_gender").alias("M_SEX"))
+    return partner, vendor
+
+
+def q_link_best(spark: SparkSession, sf: str) -> DataFrame:
+    partner, vendor = linkage_inputs(spark, sf)
+    best = linkage.link_best(partner, vendor, PARTNER_CARRY, ("M_STATE_STID", "M_LOCAL_STID", "R_DOB", "M_SEX"))
+    return best.withColumn("SEX", fx.sex_code("D_SEX", "M_SEX")).withColumn("STATE", F.lit("ZZ"))
+
+
+def q_link_phases(spark: SparkSession, sf: str) -> DataFrame:
+    partner, vendor = linkage_inputs(spark, sf)
+    return linkage.link_per_event(partner, vendor)
+
+
+def q_match_rates(spark: SparkSession, sf: str) -> DataFrame:
+    return linkage.match_rates(q_link_best(spark, sf), "D_GRADE_CLEAN")
+
+
+def q_link_legacy(spark: SparkSession, sf: str) -> DataFrame:
+    _, kept, _ = quality.split_flagged(partner_flags(spark, sf))
+    partner = kept.select(
+        F.concat_ws("|", "D_RECORD_ID", "D_SUBJECT", "SETTINGS_D_MAPGROWTH_TEST_NAME").alias("p_id"),
+        F.col("SETTINGS_D_MAPGROWTH_TEST_NAME").alias("test_name"),
+        F.col("D_STATE_STID_CLEAN").cast("decimal(38,0)").alias("state_id"),
+        F.col("D_LOCAL_STID_CLEAN").cast("decimal(38,0)").alias("local_id"),
+        F.col("D_AGENCYCODE").alias("agency_code"), F.col("D_LNAME").alias("lname"),
+        F.col("D_FNAME").alias("fname"), F.col("D_DOB_DATE").alias("dob"))
+    v = roles.linkage_vendor(spark, sf)
+    vendor = v.select("m_id", "student_business_identifier", "test_name",
+                      fx.try_number("state_student_external_id").alias("student_state_id"),
+                      fx.try_number("district_student_external_id").alias("student_id"),
+                      "district_agency_code", "student_last_name", "student_first_name", "r_dob")
+    return linkage.link_legacy(partner, vendor)
+
+
 QUERIES: dict[str, Query] = {
     "counts_total_by_test": q_counts_total_by_test,
     "counts_by_grade": q_counts_by_grade,
@@ -151,4 +209,8 @@ QUERIES: dict[str, Query] = {
     "missingness_wide": q_missingness_wide,
     "event_extract": q_event_extract,
     "score_rank": q_score_rank,
+    "link_best": q_link_best,
+    "link_phases": q_link_phases,
+    "match_rates": q_match_rates,
+    "link_legacy": q_link_legacy,
 }

@@ -145,7 +145,7 @@ def partner_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
           .otherwise(cust_s)).alias("STATE_STID"),
         (F.when(key % 7 == 0, F.lit(None).cast("string")).when(key % 7 == 1, F.lit("  "))
           .otherwise((cust + 100000).cast("string"))).alias("LOCAL_STID"),
-        F.col("c_name").alias("LNAME"),
+        F.when(key % 3 == 0, F.upper("c_name")).otherwise(F.col("c_name")).alias("LNAME"),
         F.col("c_mktsegment").alias("FNAME"),
         dob_txt.alias("DOB"),
         grade.alias("GRADE"),
@@ -254,3 +254,26 @@ def content_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
     low = (F.col("p_size") % 6 + 1).cast("int")
     return p.select(F.col("p_partkey").alias("test_key"), low.alias("test_grade_low"), (low + 5).alias("test_grade_high"),
                     F.when(F.col("p_size") % 2 == 0, F.lit("EN")).otherwise(F.lit("ES")).alias("language_id"))
+
+
+def linkage_vendor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vendor side of the linkage: one test event per order (event id = order key)."""
+    o = read_table(spark, sf_dir, "orders")
+    c = read_table(spark, sf_dir, "customer")
+    x = o.join(c, o.o_custkey == c.c_custkey)
+    key, ck = F.col("o_orderkey"), F.col("c_custkey")
+    k = (key % 5 + 1).cast("string")
+    state_txt = F.when(ck % 10 == 0, F.concat(F.lit("X"), ck.cast("string"))).otherwise(ck.cast("string"))
+    dob = F.date_add(F.lit(DOB_BASE).cast("date"), (ck % 7000).cast("int"))
+    return x.select(
+        key.alias("m_id"), ck.alias("student_business_identifier"),
+        F.concat(F.lit("Brand#"), k).alias("test_name"),
+        F.concat(F.lit("T-"), k, F.lit("-"), F.year("o_orderdate").cast("string")).alias("test_key"),
+        state_txt.alias("state_student_external_id"),
+        F.when(key % 11 == 0, F.lit(None).cast("string")).otherwise((ck + 100000).cast("string"))
+         .alias("district_student_external_id"),
+        F.lpad(F.col("c_nationkey").cast("string"), 3, "0").alias("district_agency_code"),
+        F.upper(F.trim("c_mktsegment")).alias("student_first_name"),
+        F.upper(F.trim("c_name")).alias("student_last_name"),
+        F.when(key % 9 == 0, F.date_add(dob, 1)).otherwise(dob).alias("r_dob"),
+        F.when(ck % 2 == 0, F.lit("F")).otherwise(F.lit("MALE")).alias("student_gender"))
