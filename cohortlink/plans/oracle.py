@@ -529,3 +529,74 @@ FROM partner p JOIN vendor v
   OR (v.test_name = p.test_name AND p.agency_code = v.district_agency_code AND p.local_id = v.student_id)
   OR (v.test_name = p.test_name AND p.agency_code = v.district_agency_code AND p.lname = v.student_last_name
       AND p.fname = v.student_first_name AND p.dob = v.r_dob)"""
+
+
+# ---------------------------------------------------------------------------
+# Intake
+# ---------------------------------------------------------------------------
+from .roles import INTAKE_EXPECTED_COLS, INTAKE_HEADER  # noqa: E402
+
+
+def _fname(ck: str) -> str:
+    return f"('district file ' || lpad(CAST({ck} AS VARCHAR), 5, '0') || '.csv')"
+
+
+def _opt(cond: str, v: str) -> str:
+    return f"CASE WHEN {cond} THEN [{v}] ELSE CAST([] AS VARCHAR[]) END"
+
+
+_HDR = "[" + ", ".join(f"'{h}'" for h in INTAKE_HEADER) + "]"
+INTAKE_CTE = f"""
+cells AS (
+  SELECT {_fname('c_custkey')} AS file_name, CAST(0 AS BIGINT) AS row_idx,
+         list_concat(list_concat({_HDR}, {_opt('c_custkey % 7 = 0', "'EXTRA'")}), {_opt('c_custkey % 5 = 0', "'AGENCYCODE'")}) AS cells,
+         CAST(NULL AS VARCHAR) AS read_error FROM customer WHERE c_custkey % 13 <> 0
+  UNION ALL
+  SELECT {_fname('c_custkey')}, 0, NULL, 'decode error' FROM customer WHERE c_custkey % 13 = 0
+  UNION ALL
+  SELECT {_fname('o_custkey')}, o_orderkey + 1,
+         list_concat(list_concat(CASE WHEN o_orderstatus = 'P' THEN ['', ' ', '', '', '']
+              ELSE [CAST(o_orderkey AS VARCHAR), o_orderstatus, CAST(CAST(floor(o_totalprice) AS BIGINT) AS VARCHAR),
+                    strftime(o_orderdate, '%Y-%m-%d'), o_orderpriority] END,
+              {_opt('o_custkey % 7 = 0', "'x'")}), {_opt('o_custkey % 5 = 0', "lpad(CAST(o_custkey % 100 AS VARCHAR), 3, '0')")}),
+         NULL FROM orders WHERE o_custkey % 13 <> 0),
+pf AS (
+  SELECT file_name,
+         CAST(max(CASE WHEN row_idx = 0 THEN len(list_filter(cells, lambda h: upper(trim(h)) NOT IN
+              ('AGENCYCODE', 'AGENCY_CODE', 'FILENAMEFROMDISTRICT'))) END) AS INTEGER) AS received_cols,
+         count(*) FILTER (WHERE row_idx > 0 AND len(list_filter(cells, lambda c: c IS NOT NULL
+              AND NOT regexp_full_match(c, '\\s*'))) > 0) AS non_blank_records,
+         max(read_error) AS read_error
+  FROM cells GROUP BY file_name),
+verdicts AS (
+  SELECT file_name, {INTAKE_EXPECTED_COLS} AS expected_cols, received_cols,
+         CASE WHEN read_error IS NULL THEN non_blank_records END AS non_blank_records,
+         CASE WHEN read_error IS NULL THEN CASE WHEN received_cols = {INTAKE_EXPECTED_COLS} THEN 'WORKING_FILES'
+              ELSE 'REJECTED_FILES' END END AS STATUS,
+         CASE WHEN read_error IS NULL AND received_cols <> {INTAKE_EXPECTED_COLS}
+              THEN printf('expected_cols=%d; received_cols=%d', {INTAKE_EXPECTED_COLS}, received_cols) END AS notes,
+         read_error
+  FROM pf),
+newrows AS (
+  SELECT file_name AS original_file, '2025-09-01' AS date_ingested,
+         CASE WHEN read_error IS NULL THEN CAST(non_blank_records AS VARCHAR) END AS non_blank_records,
+         CASE WHEN read_error IS NULL THEN STATUS END AS STATUS,
+         CASE WHEN read_error IS NULL THEN notes END AS notes, CAST(NULL AS VARCHAR) AS notes2 FROM verdicts),
+oldlog AS (
+  SELECT upper({_fname('c_custkey')}) AS original_file, '2025-01-01' AS date_ingested,
+         CAST(NULL AS VARCHAR) AS non_blank_records, 'REJECTED_FILES' AS STATUS, 'first drop' AS notes,
+         CAST(NULL AS VARCHAR) AS notes2 FROM customer WHERE c_custkey % 4 = 0)"""
+
+ORACLE["intake_routing"] = f"WITH {INTAKE_CTE}\nSELECT * FROM verdicts"
+ORACLE["log_upsert"] = f"""WITH {INTAKE_CTE}
+SELECT COALESCE(o.original_file, n.original_file) AS original_file,
+       COALESCE(o.date_ingested, n.date_ingested) AS date_ingested,
+       COALESCE(o.non_blank_records, n.non_blank_records) AS non_blank_records,
+       CASE WHEN n.original_file IS NOT NULL THEN n.STATUS ELSE o.STATUS END AS STATUS,
+       CASE WHEN o.original_file IS NOT NULL THEN COALESCE(o.notes, n.notes) ELSE n.notes END AS notes,
+       CASE WHEN o.original_file IS NOT NULL THEN COALESCE(o.notes2, n.notes2) ELSE n.notes2 END AS notes2
+FROM oldlog o FULL OUTER JOIN newrows n ON lower(o.original_file) = lower(n.original_file)"""
+ORACLE["log_new_files"] = f"""WITH {INTAKE_CTE}
+SELECT * FROM oldlog
+UNION ALL
+SELECT * FROM newrows n WHERE NOT EXISTS (SELECT 1 FROM oldlog o WHERE lower(o.original_file) = lower(n.original_file))"""

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as fx
 from ..config import SCORE_SUFFIXES
-from ..operators import counts, extract, linkage, quality, reshape
+from ..operators import counts, extract, intake, linkage, quality, reshape
 from . import roles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -192,6 +192,23 @@ def q_link_legacy(spark: SparkSession, sf: str) -> DataFrame:
     return linkage.link_legacy(partner, vendor)
 
 
+def q_intake_routing(spark: SparkSession, sf: str) -> DataFrame:
+    return intake.file_verdicts(roles.raw_cells(spark, sf), roles.INTAKE_EXPECTED_COLS)
+
+
+def q_log_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    verdicts = intake.file_verdicts(roles.raw_cells(spark, sf), roles.INTAKE_EXPECTED_COLS)
+    return intake.upsert_log(roles.prior_log(spark, sf), intake.routing_rows(verdicts, "2025-09-01"))
+
+
+def q_log_new_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Incremental intake: only files the log has not seen, appended to the log."""
+    verdicts = intake.file_verdicts(roles.raw_cells(spark, sf), roles.INTAKE_EXPECTED_COLS)
+    log = roles.prior_log(spark, sf)
+    fresh = intake.new_files(verdicts, log)
+    return intake.append_if_missing(log, intake.routing_rows(fresh, "2025-09-01"))
+
+
 QUERIES: dict[str, Query] = {
     "counts_total_by_test": q_counts_total_by_test,
     "counts_by_grade": q_counts_by_grade,
@@ -213,4 +230,7 @@ QUERIES: dict[str, Query] = {
     "link_phases": q_link_phases,
     "match_rates": q_match_rates,
     "link_legacy": q_link_legacy,
+    "intake_routing": q_intake_routing,
+    "log_upsert": q_log_upsert,
+    "log_new_files": q_log_new_files,
 }

@@ -277,3 +277,54 @@ def linkage_vendor(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.upper(F.trim("c_name")).alias("student_last_name"),
         F.when(key % 9 == 0, F.date_add(dob, 1)).otherwise(dob).alias("r_dob"),
         F.when(ck % 2 == 0, F.lit("F")).otherwise(F.lit("MALE")).alias("student_gender"))
+
+
+# ---------------------------------------------------------------------------
+# Intake roles: a raw-cells frame where each customer is one partner file
+# ---------------------------------------------------------------------------
+INTAKE_HEADER = ("ORDERKEY", "STATUS", "TOTALPRICE", "ORDERDATE", "PRIORITY")
+INTAKE_EXPECTED_COLS = len(INTAKE_HEADER)
+
+
+def intake_file_name(ck):
+    return F.concat(F.lit("district file "), F.lpad(ck.cast("string"), 5, "0"), F.lit(".csv"))
+
+
+def raw_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Header row per customer file (an extra column when key % 7 == 0, a provenance
+    AGENCYCODE column when key % 5 == 0), one data row per order (all blank when the order
+    status is 'P'), and an unreadable file when key % 13 == 0."""
+    c = read_table(spark, sf_dir, "customer")
+    o = read_table(spark, sf_dir, "orders")
+    ck = F.col("c_custkey")
+
+    def optional(cond, value):
+        return F.when(cond, F.array(value)).otherwise(F.array().cast("array<string>"))
+
+    header = F.concat(F.array(*[F.lit(h) for h in INTAKE_HEADER]), optional(ck % 7 == 0, F.lit("EXTRA")),
+                      optional(ck % 5 == 0, F.lit("AGENCYCODE")))
+    hdr = c.where(ck % 13 != 0).select(intake_file_name(ck).alias("file_name"), F.lit(0).cast("bigint").alias("row_idx"),
+                                       header.alias("cells"), F.lit(None).cast("string").alias("read_error"))
+    bad = c.where(ck % 13 == 0).select(intake_file_name(ck).alias("file_name"), F.lit(0).cast("bigint").alias("row_idx"),
+                                       F.lit(None).cast("array<string>").alias("cells"),
+                                       F.lit("decode error").alias("read_error"))
+    oc = F.col("o_custkey")
+    values = F.array(F.col("o_orderkey").cast("string"), F.col("o_orderstatus"),
+                     F.floor("o_totalprice").cast("bigint").cast("string"),
+                     F.date_format("o_orderdate", "yyyy-MM-dd"), F.col("o_orderpriority"))
+    blank = F.array(F.lit(""), F.lit(" "), F.lit(""), F.lit(""), F.lit(""))
+    data = F.concat(F.when(F.col("o_orderstatus") == "P", blank).otherwise(values),
+                    optional(oc % 7 == 0, F.lit("x")), optional(oc % 5 == 0, F.lpad((oc % 100).cast("string"), 3, "0")))
+    rows = o.where(oc % 13 != 0).select(intake_file_name(oc).alias("file_name"),
+                                        (F.col("o_orderkey") + 1).alias("row_idx"), data.alias("cells"),
+                                        F.lit(None).cast("string").alias("read_error"))
+    return hdr.unionByName(bad).unionByName(rows)
+
+
+def prior_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An earlier ingest log: every fourth customer's file, logged under an upper-cased name."""
+    c = read_table(spark, sf_dir, "customer").where(F.col("c_custkey") % 4 == 0)
+    return c.select(F.upper(intake_file_name(F.col("c_custkey"))).alias("original_file"),
+                    F.lit("2025-01-01").alias("date_ingested"), F.lit(None).cast("string").alias("non_blank_records"),
+                    F.lit("REJECTED_FILES").alias("STATUS"), F.lit("first drop").alias("notes"),
+                    F.lit(None).cast("string").alias("notes2"))
