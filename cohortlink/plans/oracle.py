@@ -600,3 +600,92 @@ ORACLE["log_new_files"] = f"""WITH {INTAKE_CTE}
 SELECT * FROM oldlog
 UNION ALL
 SELECT * FROM newrows n WHERE NOT EXISTS (SELECT 1 FROM oldlog o WHERE lower(o.original_file) = lower(n.original_file))"""
+
+
+# ---------------------------------------------------------------------------
+# Smaller operators
+# ---------------------------------------------------------------------------
+ORACLE["combine_template"] = f"""WITH {INTAKE_CTE},
+hdr AS (SELECT file_name, list_transform(cells, lambda h: upper(trim(h)) NOT IN ('AGENCYCODE', 'AGENCY_CODE',
+        'FILENAMEFROMDISTRICT')) AS keep FROM cells WHERE row_idx = 0),
+body AS (SELECT c.file_name, list_filter(c.cells, lambda x, i: h.keep[i]) AS c
+         FROM cells c JOIN hdr h ON c.file_name = h.file_name
+         WHERE c.row_idx > 0 AND c.file_name IN (SELECT file_name FROM verdicts WHERE STATUS = 'WORKING_FILES'))
+SELECT {', '.join(f'c[{i + 1}] AS {h}' for i, h in enumerate(INTAKE_HEADER))}, file_name AS FILENAMEFROMDISTRICT,
+       NULLIF(regexp_extract(file_name, '(?i)(?:^|[ _-])([0-9]+)\\.(?:xlsx|csv)$', 1), '') AS AGENCYCODE
+FROM body"""
+
+ORACLE["skip_report"] = f"""WITH {INTAKE_CTE}
+SELECT file_name AS FILE, CASE WHEN read_error IS NOT NULL THEN 'UNREADABLE' ELSE 'COL_MISMATCH' END AS REASON,
+       COALESCE(read_error, notes) AS DETAIL
+FROM verdicts WHERE read_error IS NOT NULL OR received_cols <> expected_cols"""
+
+
+def _slice(prios: str, batch: str) -> str:
+    return (f"SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS status, "
+            f"o_orderpriority, '{batch}' AS source_file FROM orders WHERE o_orderpriority IN ({prios})")
+
+
+ORACLE["insert_if_absent"] = f"""WITH t AS ({_slice("'1-URGENT', '2-HIGH', '3-MEDIUM'", 'batch_a.csv')}),
+s AS ({_slice("'2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW'", 'batch_b.csv')})
+SELECT * FROM s WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.o_orderkey IS NOT DISTINCT FROM s.o_orderkey
+  AND t.o_custkey IS NOT DISTINCT FROM s.o_custkey AND t.status IS NOT DISTINCT FROM s.status
+  AND t.o_orderpriority IS NOT DISTINCT FROM s.o_orderpriority)"""
+
+ORACLE["reject_antijoin"] = """SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'F'
+AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderstatus = 'O')"""
+
+_REASONS = {"1-URGENT": "removed_DOB", "2-HIGH": "removed_gradeRange", "3-MEDIUM": "removed_noScores",
+            "4-NOT SPECIFIED": "removed_Lname", "5-LOW": "removed_Fname"}
+ORACLE["reason_pivot"] = ("SELECT lpad(CAST(c.c_nationkey AS VARCHAR), 3, '0') AS AGENCYCODE, "
+                          + ", ".join(f"count(*) FILTER (WHERE o.o_orderpriority = '{k}') AS {v}" for k, v in _REASONS.items())
+                          + " FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey GROUP BY 1")
+
+ORACLE["tests_by_grade"] = (f"WITH {WIDE_CTE}\nSELECT {sql_clean_grade('GRADE')} AS GRADE_CLEAN, "
+                            + ", ".join(f"count({s}_SS) AS n_{s}_SS" for _, s in PARTNER_SUBJECTS)
+                            + " FROM wide GROUP BY 1")
+
+_EXPORT_DROP = {"SCI_SS", "SCI_PLCODE", "SCI_TESTDATE", "DOB"}
+ORACLE["any_score_export"] = (f"WITH {WIDE_CTE}\nSELECT {', '.join(c for c in WIDE_COLS if c not in _EXPORT_DROP)} "
+                              "FROM wide WHERE MATH_SS IS NOT NULL OR ELA_SS IS NOT NULL")
+
+
+def _messy_name(k: str, n: str) -> str:
+    n4 = f"lpad(CAST({n} AS VARCHAR), 4, '0')"
+    ns = f"CAST({n} AS VARCHAR)"
+    return (f"CASE {k} % 6 WHEN 0 THEN 'North District ' || {n4} || '.csv' WHEN 1 THEN 'south_' || {ns} || '.CSV' "
+            f"WHEN 2 THEN 'West' || {ns} || '.csv' WHEN 3 THEN 'East-' || {ns} || '.xlsx' "
+            f"WHEN 4 THEN 'edited_East-' || {ns} || '.csv' ELSE {ns} || ' files v2.txt' END")
+
+
+ORACLE["agency_code"] = f"""WITH f AS (SELECT o.o_orderkey, {_messy_name('o.o_orderkey', 'c.c_nationkey')} AS file_name
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey)
+SELECT o_orderkey, file_name,
+  NULLIF(regexp_extract(file_name, '(?i)(?:^|[ _-])([0-9]+)\\.(?:xlsx|csv)$', 1), '') AS agency_code,
+  regexp_extract_all(file_name, '[0-9]+')[-1] AS agency_code_legacy,
+  regexp_matches(file_name, '(?i)^edited_') AS is_edited,
+  regexp_replace(file_name, '(?i)^edited_', '') AS original_name
+FROM f"""
+
+ORACLE["name_key"] = """WITH n AS (SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN c_name WHEN 1 THEN lower(c_name)
+  WHEN 2 THEN 'Ann-Lee ' || CAST(c_custkey AS VARCHAR) ELSE upper(c_mktsegment) END AS raw_name FROM customer)
+SELECT c_custkey, raw_name, upper(regexp_replace(raw_name, '[^A-Z]', '', 'g')) AS name_key,
+       regexp_replace(upper(raw_name), '[^A-Z]', '', 'g') AS name_key_folded FROM n"""
+
+
+def _grade_text(k: str, c: str) -> str:
+    lo, hi = f"CAST({c} % 13 AS VARCHAR)", f"CAST({k} % 13 AS VARCHAR)"
+    return (f"CASE {k} % 5 WHEN 0 THEN {lo} || '-' || {hi} WHEN 1 THEN {lo} || ', ' || {hi} "
+            f"WHEN 2 THEN 'K-' || {hi} WHEN 3 THEN 'GRADE ' || {lo} || ';' || {hi} || ' 3 - 5' "
+            f"ELSE 'grade ' || {hi} END")
+
+
+ORACLE["grade_list_parse"] = f"""WITH p AS (SELECT o_orderkey, o_orderstatus, {_grade_text('o_orderkey', 'o_custkey')} AS grades_text
+  FROM orders),
+q AS (SELECT *, {sql_grade_list('grades_text')} AS gl FROM p),
+s AS (SELECT o_orderstatus, list_sort(list_distinct(flatten(list(gl)))) AS sg FROM q GROUP BY 1)
+SELECT q.o_orderkey, q.o_orderstatus, q.grades_text, {sql_list_text('q.gl')} AS grade_list,
+       {sql_list_text('s.sg')} AS status_grades FROM q JOIN s ON q.o_orderstatus = s.o_orderstatus"""
+
+ORACLE["counts_subject"] = f"""WITH {PARTNER_CTES}
+SELECT D_SUBJECT, count(*) AS record_count FROM split WHERE SPLIT = 'kept' GROUP BY ALL"""

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as fx
 from ..config import SCORE_SUFFIXES
-from ..operators import counts, extract, intake, linkage, quality, reshape
+from ..operators import counts, extract, intake, linkage, quality, reshape, store
 from . import roles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -209,6 +209,102 @@ def q_log_new_files(spark: SparkSession, sf: str) -> DataFrame:
     return intake.append_if_missing(log, intake.routing_rows(fresh, "2025-09-01"))
 
 
+def q_combine_template(spark: SparkSession, sf: str) -> DataFrame:
+    cells = roles.raw_cells(spark, sf)
+    verdicts = intake.file_verdicts(cells, roles.INTAKE_EXPECTED_COLS)
+    return intake.combine_with_template(cells, verdicts, roles.INTAKE_HEADER)
+
+
+def q_skip_report(spark: SparkSession, sf: str) -> DataFrame:
+    return intake.skip_report(intake.file_verdicts(roles.raw_cells(spark, sf), roles.INTAKE_EXPECTED_COLS))
+
+
+def _order_slice(spark: SparkSession, sf: str, priorities: tuple[str, ...], batch: str) -> DataFrame:
+    o = roles.read_table(spark, sf, "orders").where(F.col("o_orderpriority").isin(list(priorities)))
+    return o.select("o_orderkey", "o_custkey",
+                    F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("status"),
+                    "o_orderpriority", F.lit(batch).alias("source_file"))
+
+
+def q_insert_if_absent(spark: SparkSession, sf: str) -> DataFrame:
+    target = _order_slice(spark, sf, ("1-URGENT", "2-HIGH", "3-MEDIUM"), "batch_a.csv")
+    staged = _order_slice(spark, sf, ("2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"), "batch_b.csv")
+    return store.absent_rows(staged, target, ignore=["source_file"])
+
+
+def q_reject_antijoin(spark: SparkSession, sf: str) -> DataFrame:
+    o = roles.read_table(spark, sf, "orders")
+    rejected = o.where(F.col("o_orderstatus") == "F").select("o_custkey").distinct()
+    kept = o.where(F.col("o_orderstatus") == "O").select("o_custkey")
+    return rejected.join(kept, "o_custkey", "left_anti")
+
+
+REASONS_BY_PRIORITY = dict(zip(("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"),
+                               ("removed_DOB", "removed_gradeRange", "removed_noScores", "removed_Lname",
+                                "removed_Fname")))
+
+
+def q_reason_pivot(spark: SparkSession, sf: str) -> DataFrame:
+    o = roles.read_table(spark, sf, "orders")
+    c = roles.read_table(spark, sf, "customer")
+    m = F.create_map(*[x for kv in REASONS_BY_PRIORITY.items() for x in map(F.lit, kv)])
+    removed = o.join(c, o.o_custkey == c.c_custkey).select(
+        F.lpad(F.col("c_nationkey").cast("string"), 3, "0").alias("AGENCYCODE"),
+        F.element_at(m, F.col("o_orderpriority")).alias("reason"))
+    reasons = list(REASONS_BY_PRIORITY.values())
+    return reshape.reason_pivot(removed, ["AGENCYCODE"], "reason", reasons).na.fill(0, reasons)
+
+
+def q_tests_by_grade(spark: SparkSession, sf: str) -> DataFrame:
+    wide = fx.normalize_strings(roles.partner_wide(spark, sf))
+    ss = [f"{s}_SS" for _, s in roles.PARTNER_SUBJECTS]
+    return wide.groupBy(fx.clean_grade("GRADE").alias("GRADE_CLEAN")).agg(
+        *[F.count(c).alias(f"n_{c}") for c in ss])
+
+
+def q_any_score_export(spark: SparkSession, sf: str) -> DataFrame:
+    wide = fx.normalize_strings(roles.partner_wide(spark, sf))
+    out = wide.where(fx.is_nonblank("MATH_SS") | fx.is_nonblank("ELA_SS"))
+    return reshape.drop_existing(out, ["SCI_SS", "SCI_PLCODE", "SCI_TESTDATE", "DOB", "NOT_A_COLUMN"])
+
+
+def q_agency_code(spark: SparkSession, sf: str) -> DataFrame:
+    o = roles.read_table(spark, sf, "orders")
+    c = roles.read_table(spark, sf, "customer")
+    x = o.join(c, o.o_custkey == c.c_custkey)
+    return x.select("o_orderkey", roles.messy_file_name(F.col("o_orderkey"), F.col("c_nationkey")).alias("file_name")) \
+            .select("o_orderkey", "file_name", fx.agency_code("file_name").alias("agency_code"),
+                    fx.agency_code_legacy("file_name").alias("agency_code_legacy"),
+                    fx.is_edited_file("file_name").alias("is_edited"),
+                    fx.strip_edited_prefix("file_name").alias("original_name"))
+
+
+def q_name_key(spark: SparkSession, sf: str) -> DataFrame:
+    c = roles.read_table(spark, sf, "customer")
+    ck = F.col("c_custkey")
+    raw = (F.when(ck % 4 == 0, F.col("c_name")).when(ck % 4 == 1, F.lower("c_name"))
+            .when(ck % 4 == 2, F.concat(F.lit("Ann-Lee "), ck.cast("string"))).otherwise(F.upper("c_mktsegment")))
+    return c.select("c_custkey", raw.alias("raw_name")).select(
+        "c_custkey", "raw_name", fx.name_key("raw_name").alias("name_key"),
+        fx.name_key("raw_name", fold_first=True).alias("name_key_folded"))
+
+
+def q_grade_list_parse(spark: SparkSession, sf: str) -> DataFrame:
+    o = roles.read_table(spark, sf, "orders")
+    text = roles.grade_list_text(F.col("o_orderkey"), F.col("o_custkey"))
+    parsed = o.select("o_orderkey", "o_orderstatus", text.alias("grades_text")).withColumn(
+        "grade_list", fx.parse_grade_list("grades_text"))
+    per_status = reshape.collect_sorted_sets(parsed, "o_orderstatus", "grade_list", "status_grades")
+    return parsed.join(per_status, "o_orderstatus").select(
+        "o_orderkey", "o_orderstatus", "grades_text", fx.list_to_text("grade_list").alias("grade_list"),
+        fx.list_to_text("status_grades").alias("status_grades"))
+
+
+def q_counts_subject(spark: SparkSession, sf: str) -> DataFrame:
+    _, clean, _ = quality.split_flagged(partner_flags(spark, sf))
+    return counts.record_counts(clean, ["D_SUBJECT"])
+
+
 QUERIES: dict[str, Query] = {
     "counts_total_by_test": q_counts_total_by_test,
     "counts_by_grade": q_counts_by_grade,
@@ -233,4 +329,15 @@ QUERIES: dict[str, Query] = {
     "intake_routing": q_intake_routing,
     "log_upsert": q_log_upsert,
     "log_new_files": q_log_new_files,
+    "combine_template": q_combine_template,
+    "skip_report": q_skip_report,
+    "insert_if_absent": q_insert_if_absent,
+    "reject_antijoin": q_reject_antijoin,
+    "reason_pivot": q_reason_pivot,
+    "tests_by_grade": q_tests_by_grade,
+    "any_score_export": q_any_score_export,
+    "agency_code": q_agency_code,
+    "name_key": q_name_key,
+    "grade_list_parse": q_grade_list_parse,
+    "counts_subject": q_counts_subject,
 }

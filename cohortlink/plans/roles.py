@@ -328,3 +328,26 @@ def prior_log(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit("2025-01-01").alias("date_ingested"), F.lit(None).cast("string").alias("non_blank_records"),
                     F.lit("REJECTED_FILES").alias("STATUS"), F.lit("first drop").alias("notes"),
                     F.lit(None).cast("string").alias("notes2"))
+
+
+def messy_file_name(key, nation):
+    """Partner file names in several spellings (agency code rules)."""
+    n4 = F.lpad(nation.cast("string"), 4, "0")
+    n = nation.cast("string")
+    return (F.when(key % 6 == 0, F.concat(F.lit("North District "), n4, F.lit(".csv")))
+             .when(key % 6 == 1, F.concat(F.lit("south_"), n, F.lit(".CSV")))
+             .when(key % 6 == 2, F.concat(F.lit("West"), n, F.lit(".csv")))
+             .when(key % 6 == 3, F.concat(F.lit("East-"), n, F.lit(".xlsx")))
+             .when(key % 6 == 4, F.concat(F.lit("edited_East-"), n, F.lit(".csv")))
+             .otherwise(F.concat(n, F.lit(" files v2.txt"))))
+
+
+def grade_list_text(key, cust):
+    """Study grade list text in several spellings."""
+    lo = (cust % 13).cast("string")
+    hi = (key % 13).cast("string")
+    return (F.when(key % 5 == 0, F.concat(lo, F.lit("-"), hi))
+             .when(key % 5 == 1, F.concat(lo, F.lit(", "), hi))
+             .when(key % 5 == 2, F.concat(F.lit("K-"), hi))
+             .when(key % 5 == 3, F.concat(F.lit("GRADE "), lo, F.lit(";"), hi, F.lit(" 3 - 5")))
+             .otherwise(F.concat(F.lit("grade "), hi)))
