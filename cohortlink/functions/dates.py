@@ -4,6 +4,7 @@ test-window and term checks. Pure Column expressions, no Python on workers."""
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -58,16 +59,26 @@ def _digits_rule(s: Column, n: int) -> Column:
     return _text_date(year.cast("string"), sub(1, 2), sub(3, 2))
 
 
+def _layout_guard(s: Column, pattern: str) -> Column:
+    """Cheap literal test that must hold before the layout's regex can match."""
+    literal = re.sub(r"\[[^\]]*\]", "", pattern)  # separators outside character classes
+    if "/" in literal:
+        return s.contains("/") & s.rlike(pattern)
+    if "-" in literal:
+        return s.contains("-") & s.rlike(pattern)
+    return s.rlike("^[0-9]+$") & s.rlike(pattern)
+
+
 def _layout_rule(s: Column, pattern: str, order: str, two_digit: bool) -> Column:
     pos = {k: i + 1 for i, k in enumerate(order)}
     if not two_digit:
         # one regex rewrite to y-M-d (day may carry a leading space: removed)
         text = F.regexp_replace(F.regexp_replace(s, pattern, f"${pos['y']}-${pos['m']}-${pos['d']}"), " ", "")
-        return F.when(s.rlike(pattern), F.try_to_date(text, "y-M-d"))
+        return F.when(_layout_guard(s, pattern), F.try_to_date(text, "y-M-d"))
     yy = _int(F.regexp_extract(s, pattern, pos["y"]))
     year = F.when(yy >= 69, yy + 1900).otherwise(yy + 2000)  # %y pivot at 69
     md = F.regexp_replace(F.regexp_replace(s, pattern, f"${pos['m']}-${pos['d']}"), " ", "")
-    return F.when(s.rlike(pattern), F.try_to_date(F.concat_ws("-", year.cast("string"), md), "y-M-d"))
+    return F.when(_layout_guard(s, pattern), F.try_to_date(F.concat_ws("-", year.cast("string"), md), "y-M-d"))
 
 
 def parse_partner_date(c: Column | str) -> Column:
@@ -135,17 +146,24 @@ _NON_SPRING_PATTERNS = (
 
 def incorrect_term(d_term: Column | str, settings_term: Column | str) -> Column:
     """Term check. Null either side / no study year -> False. Fall, summer or winter
-    wording -> True. Years named in the text (every ``20dd``, and isolated two-digit
-    numbers 0..50 read as 20dd): none -> False; study year or the year before among
-    them -> False; otherwise True."""
+    wording -> True. Years named in the text (every ``20dd`` found left to right, and
+    isolated two-digit numbers 0..50 read as 20dd): none -> False; study year or the year
+    before among them -> False; otherwise True.
+
+    Written without higher-order functions so the whole rule stays in generated code:
+    membership of a year is a lookup in the regex match arrays."""
     t = F.upper(strip(_c(d_term).cast("string")))
     y = study_year(settings_term)
     season = t.rlike("(?U)" + "|".join(_NON_SPRING_PATTERNS))
-    four = F.transform(F.regexp_extract_all(t, F.lit("20[0-9]{2}"), 0), lambda x: x.cast("int"))
-    two = F.filter(F.transform(F.regexp_extract_all(t, F.lit("(?<![0-9])([0-9]{2})(?![0-9])"), 1),
-                               lambda x: x.cast("int")), lambda v: v <= 50)
-    years = F.concat(four, F.transform(two, lambda v: v + 2000))
-    has_years = F.size(years) > 0
-    near = F.array_contains(years, y) | F.array_contains(years, y - 1)
+    four = F.regexp_extract_all(t, F.lit("20[0-9]{2}"), 0)
+    two = F.regexp_extract_all(t, F.lit("(?<![0-9])([0-9]{2})(?![0-9])"), 1)
+    has_years = (F.size(four) > 0) | t.rlike("(?<![0-9])([0-4][0-9]|50)(?![0-9])")
+
+    def named(year: Column) -> Column:
+        short = year - 2000
+        in_two = short.between(0, 50) & F.array_contains(two, F.lpad(short.cast("string"), 2, "0"))
+        return F.array_contains(four, year.cast("string")) | in_two
+
+    near = named(y) | named(y - 1)
     verdict = F.when(season, True).when(has_years & ~near, True).otherwise(False)
     return F.when(t.isNull() | y.isNull(), F.lit(False)).otherwise(verdict)

@@ -131,17 +131,28 @@ def link_per_event(partner: DataFrame, vendor: DataFrame, include_dob_only: bool
                        phase_label(F.col("phase_rank")).alias("MATCH_TYPE"), F.col("p.p_id").alias("p_id"))
 
 
+def _leg_keys(legs: Sequence[Sequence[str]]) -> Column:
+    """Array of (leg id, key struct) for every leg whose key columns are all present;
+    values as text (equal values give equal text), unused positions filled."""
+    width = max(len(leg) for leg in legs)
+    items = []
+    for i, cols in enumerate(legs):
+        fields = [F.col(c).cast("string").alias(f"k{j}") for j, c in enumerate(cols)]
+        fields += [F.lit(_UNUSED_TEXT).alias(f"k{j}") for j in range(len(cols), width)]
+        items.append(F.when(_not_null(cols), F.struct(F.lit(i).alias("leg"), F.struct(*fields).alias("key"))))
+    return F.filter(F.array(*items), lambda x: x.isNotNull())
+
+
 def equi_legs_pairs(partner: DataFrame, vendor: DataFrame, legs: Sequence[Sequence[tuple[str, str]]],
                     partner_cols: Sequence[str], vendor_cols: Sequence[str]) -> DataFrame:
-    """Disjunctive join as a union of equi-join legs, de-duplicated on (p_id, m_id).
-    Rows with a null key never join in SQL, so they are filtered before each leg."""
-    parts = []
-    for leg in legs:
-        p = partner.where(_not_null([pk for pk, _ in leg]))
-        v = vendor.where(_not_null([vk for _, vk in leg]))
-        cond = reduce(lambda a, b: a & b, [p[pk] == v[vk] for pk, vk in leg])
-        parts.append(p.join(v, cond).select(*[p[c] for c in partner_cols], *[v[c] for c in vendor_cols]))
-    return reduce(lambda a, b: a.unionByName(b), parts).dropDuplicates(["p_id", "m_id"])
+    """Disjunctive join as one equi-join on (leg, key): each side is exploded to one row
+    per leg whose keys are all non-null (SQL equality never matches null), then pairs
+    found by several legs are de-duplicated on (p_id, m_id). One scan of each side."""
+    p = partner.select(*partner_cols, F.explode(_leg_keys([[pk for pk, _ in leg] for leg in legs])).alias("l"))
+    v = vendor.select(*vendor_cols, F.explode(_leg_keys([[vk for _, vk in leg] for leg in legs])).alias("l"))
+    p = p.select(*partner_cols, F.col("l.leg").alias("leg"), F.col("l.key").alias("key"))
+    v = v.select(*vendor_cols, F.col("l.leg").alias("leg"), F.col("l.key").alias("key"))
+    return p.join(v, ["leg", "key"]).select(*partner_cols, *vendor_cols).dropDuplicates(["p_id", "m_id"])
 
 
 def link_legacy(partner: DataFrame, vendor: DataFrame) -> DataFrame:

@@ -24,14 +24,20 @@ from ..functions.numbers import clean_grade, clean_int, parse_grade_list
 from ..functions.text import is_nonblank, rename_with_prefix, strip
 from .reshape import place_clean_next_to_originals
 
-SETTINGS_MAX_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = SETTINGS_MAX_ROWS) -> DataFrame:
-    """Broadcast a configuration-sized table after checking its size; larger inputs are
-    joined with a normal shuffle join instead."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+BROADCAST_MAX_BYTES = 64 * 1024 * 1024
+BROADCAST_MAX_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES,
+                       max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast a configuration-sized table only after a size check: Catalyst's size
+    estimate when it is known (file size for scans, an upper bound after filters), else a
+    bounded row count (``limit(max_rows + 1)``, never a full count). Anything larger is
+    joined with a normal shuffle join."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size <= max_bytes:
+        return F.broadcast(df)
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
 def add_clean_columns(long: DataFrame, as_of: _dt.date, grade_col: str = "D_GRADE",
