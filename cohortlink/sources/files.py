@@ -94,11 +94,25 @@ def raw_cells_from_binary(files: DataFrame, null_tokens: tuple[str, ...] = DEFAU
     return src.mapInPandas(_decode_partition(tuple(null_tokens)), RAW_CELLS_SCHEMA)
 
 
+def zero_length_files(spark: SparkSession, folder: str, glob: str) -> list[str]:
+    """Names of zero-byte files (the file source skips them, but intake must log them as
+    unreadable). A metadata listing on the driver: one entry per file, no file content."""
+    jvm = spark._jvm
+    conf = spark._jsc.hadoopConfiguration()
+    pattern = jvm.org.apache.hadoop.fs.Path(folder.rstrip("/") + "/" + glob)
+    statuses = pattern.getFileSystem(conf).globStatus(pattern) or []
+    return [st.getPath().getName() for st in statuses if st.isFile() and st.getLen() == 0]
+
+
 def read_raw_cells(spark: SparkSession, folder: str, glob: str = "*.[cC][sS][vV]",
                    null_tokens: tuple[str, ...] = DEFAULT_NULL_TOKENS) -> DataFrame:
     # The file source already packs small files into splits; no shuffle of file bytes.
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
-    return raw_cells_from_binary(files, null_tokens)
+    cells = raw_cells_from_binary(files, null_tokens)
+    empty = zero_length_files(spark, folder, glob)
+    if empty:
+        cells = cells.unionByName(spark.createDataFrame([(n, 0, None, "empty file") for n in empty], RAW_CELLS_SCHEMA))
+    return cells
 
 
 def template_columns(spark: SparkSession, path: str) -> list[str]:

@@ -16,13 +16,15 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import intake
 from ..sources.files import raw_cells_from_binary
 
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+
 
 def start_intake_stream(spark: SparkSession, drop_folder: str, checkpoint: str, expected_cols: int,
                         on_log: Callable[[DataFrame, int], None], date_ingested: str,
                         glob: str = "*.[cC][sS][vV]"):
     """Start an availableNow stream; ``on_log(rows, batch_id)`` receives the new log rows
     of each batch (e.g. ``store.save_log_versioned`` after ``intake.upsert_log``)."""
-    files = (spark.readStream.format("binaryFile").option("pathGlobFilter", glob)
+    files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", glob)
              .option("recursiveFileLookup", "false").load(drop_folder))
 
     def handle(batch: DataFrame, batch_id: int) -> None:
