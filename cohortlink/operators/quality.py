@@ -50,14 +50,16 @@ def add_clean_columns(long: DataFrame, as_of: _dt.date, grade_col: str = "D_GRAD
     for c in int_cols:
         if c in long.columns:
             new.append(clean_int(c).alias(f"{c}_CLEAN"))
-    for c in date_cols:
-        if c in long.columns:
-            d = parse_partner_date(c)
-            if c.endswith("DOB"):
-                d = plausible_dob(d, as_of)
-            new.append(date_text(d).alias(f"{c}_CLEAN"))
-            new.append(d.alias(f"{c}_DATE"))
-    return place_clean_next_to_originals(long.select("*", *new))
+    dates = [c for c in date_cols if c in long.columns]
+    for c in dates:
+        d = parse_partner_date(c)
+        if c.endswith("DOB"):
+            d = plausible_dob(d, as_of)
+        new.append(d.alias(f"{c}_DATE"))
+    # parse each date once; the text form is derived from the parsed column
+    out = long.select("*", *new)
+    out = out.select("*", *[date_text(f"{c}_DATE").alias(f"{c}_CLEAN") for c in dates])
+    return place_clean_next_to_originals(out)
 
 
 def prepare_settings(settings: DataFrame) -> DataFrame:

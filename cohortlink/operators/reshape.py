@@ -46,12 +46,13 @@ def wide_to_long(df: DataFrame, suffixes: Sequence[str], drop_rows_missing_ss: b
         fields = [F.lit(subj).alias(subject_col)]
         for suf in suffixes:
             src = by_subject.get((subj, suf))
-            val = (blank_to_null(F.col(f"`{src}`").cast("string")) if src
-                   else F.lit(None).cast("string"))
+            val = F.col(f"`{src}`").cast("string") if src else F.lit(None).cast("string")
             fields.append(val.alias(suf))
         structs.append(F.struct(*fields))
     long = df.select(*keep_cols, F.explode(F.array(*structs)).alias("_s"))
-    long = long.select(*[F.col(f"`{c}`") for c in keep], "_s.*")
+    # blank -> null once per suffix after the explode (not once per subject inside it)
+    long = long.select(*[F.col(f"`{c}`") for c in keep], F.col(f"_s.{subject_col}").alias(subject_col),
+                       *[blank_to_null(F.col(f"_s.{suf}")).alias(suf) for suf in suffixes])
     if drop_rows_all_scores_missing:
         long = long.dropna(how="all", subset=suffixes)
     if drop_rows_missing_ss and "SS" in suffixes:
