@@ -8,14 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .frames import table
 from .jaccard_join import jaccard_components
+from .suffix_dedup import remove_repeats
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op6_suffix_array_dedup": op6_suffix_array_dedup,
 }
 
 ORACLE: dict[str, str] = {}

@@ -162,7 +162,8 @@ def pack6(x: np.ndarray) -> bytes:
 
 
 def unpack6(blob: bytes) -> np.ndarray:
+    """The packed values with their low 16 bits zero."""
     raw = np.frombuffer(blob, np.uint8).reshape(-1, 6)
     wide = np.zeros((len(raw), 8), np.uint8)
-    wide[:, :6] = raw
+    wide[:, 2:] = raw
     return wide.view(U64).ravel()
