@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontaminate import find_items
 from .frames import table
 from .jaccard_join import jaccard_components
 from .suffix_dedup import remove_repeats
+from .winnow import edited_fingerprints
 
 
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,9 +21,19 @@ def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
+    "op9_benchmark_decontamination": op9_benchmark_decontamination,
+    "op10_document_fingerprints": op10_document_fingerprints,
 }
 
 ORACLE: dict[str, str] = {}

@@ -167,3 +167,22 @@ def unpack6(blob: bytes) -> np.ndarray:
     wide = np.zeros((len(raw), 8), np.uint8)
     wide[:, 2:] = raw
     return wide.view(U64).ravel()
+
+
+def shingle_runs(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All five-word shingles of a chunk in text order (repeats kept), and each text's offsets."""
+    w, at = word_hashes(buf, offs)
+    n = np.diff(at)
+    if len(w) >= SHINGLE_WORDS:
+        wide = run_hash(w, SHINGLE_WORDS)
+        text = np.repeat(np.arange(len(n)), n)
+        ok = text[:len(wide)] == text[SHINGLE_WORDS - 1:]
+        value, text = wide[ok], text[:len(wide)][ok]
+    else:
+        value, text = np.zeros(0, U64), np.zeros(0, np.int64)
+    few = np.flatnonzero((n > 0) & (n < SHINGLE_WORDS))
+    if len(few):
+        short = np.concatenate([run_hash(w[at[i]:at[i + 1]], int(n[i])) for i in few])
+        order = np.argsort(np.r_[text, few], kind="stable")
+        value, text = np.r_[value, short][order], np.r_[text, few][order]
+    return value, np.searchsorted(text, np.arange(len(offs)))
