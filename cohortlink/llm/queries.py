@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import quality, toxicity
 from .decontaminate import find_items
 from .frames import table
 from .jaccard_join import jaccard_components
@@ -13,6 +14,11 @@ from .suffix_dedup import remove_repeats
 from .winnow import edited_fingerprints
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -21,6 +27,11 @@ def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -30,8 +41,10 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
+    "op7_quality_classifier": op7_quality_classifier,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_document_fingerprints": op10_document_fingerprints,
 }
