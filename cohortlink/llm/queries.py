@@ -10,6 +10,7 @@ from . import quality, toxicity
 from .decontaminate import find_items
 from .frames import table
 from .jaccard_join import jaccard_components
+from .mixing import mix
 from .suffix_dedup import remove_repeats
 from .winnow import edited_fingerprints
 
@@ -19,6 +20,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
@@ -42,6 +47,7 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_mixing": op2_mixing,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_quality_classifier": op7_quality_classifier,
