@@ -10,6 +10,7 @@ from . import quality, toxicity
 from .decontaminate import find_items
 from .frames import table
 from .jaccard_join import jaccard_components
+from .line_dedup import line_summary
 from .mixing import mix
 from .suffix_dedup import remove_repeats
 from .winnow import edited_fingerprints
@@ -37,6 +38,10 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_summary(table(spark, sf_dir, "documents"))
+
+
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -51,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_quality_classifier": op7_quality_classifier,
+    "op8_line_dedup": op8_line_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_document_fingerprints": op10_document_fingerprints,
 }
