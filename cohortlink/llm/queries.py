@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, toxicity
+from . import html_text, quality, secrets, toxicity
 from .decontaminate import find_items
 from .frames import table
 from .jaccard_join import jaccard_components
@@ -25,10 +25,18 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"))
 
 
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -53,7 +61,9 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_mixing": op2_mixing,
+    "op3_html_extraction": op3_html_extraction,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op5_secret_scans": op5_secret_scans,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_line_dedup": op8_line_dedup,
