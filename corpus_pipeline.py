@@ -1,8 +1,71 @@
-"""Corpus pipeline: placeholder until its stages exist."""
+"""Corpus pipeline: five stages over ``documents``, each working on what the one before kept.
 
-STAGES = []
-ORACLE_SQL = None
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame; between stages the rows are
+written as Parquet into the shared checkpoint folder and read again, so a lost executor costs a
+stage's unfinished tasks only. All but the last return the columns of ``documents``.
+"""
 
+from __future__ import annotations
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from cohortlink.llm import toxicity
+from cohortlink.llm.decontaminate import without_items
+from cohortlink.llm.frames import table
+from cohortlink.llm.jaccard_join import jaccard_components
+from cohortlink.llm.line_dedup import dedup_lines
+from cohortlink.llm.mixing import mix
+from cohortlink.session import ensure_checkpoint_dir
+
+
+def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model scores below 0.5."""
+    return toxicity.without_toxic(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without lines that occur earlier; documents with nothing left go; n_chars follows."""
+    out = dedup_lines(docs, drop_emptied=True)
+    names = [c for c in out.columns if c not in ("dedup_n_lines", "dedup_n_removed")]
+    kind = dict(docs.dtypes).get("n_chars")
+    chars = F.when(F.col("dedup_n_removed") > 0, F.char_length("text")).otherwise(F.col("n_chars")).cast(kind) if kind else None
+    return out.select(*[chars.alias(c) if c == "n_chars" else F.col(c) for c in names])
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest doc_id; null ids stay."""
+    others = jaccard_components(docs).where("component_id <> doc_id").select("doc_id").distinct()
+    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return without_items(docs, table(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: doc_id, size, source_size, target, taken, copies, rate."""
+    return mix(docs)
+
+
+STAGES = [
+    ("toxicity", reject_toxic),
+    ("line_dedup", drop_repeated_lines),
+    ("ngram_jaccard_join", drop_near_duplicates),
+    ("benchmark_decontamination", drop_contaminated),
+    ("mixing", mix_sources),
+]
+
+ORACLE_SQL = None  # trained scores, edit distances and Newton iterations are beyond SQL; see tests/llm
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    for name, stage in STAGES:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return docs
