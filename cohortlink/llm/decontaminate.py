@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textkit as tk
-from .frames import pick
+from .frames import filter_rows, pick
 
 PERCENT = 75
 MISS = 1e-5
@@ -151,5 +151,5 @@ def without_items(docs: DataFrame, items: DataFrame, percent: int = PERCENT) ->
         return run
 
     for index in item_blocks(items, percent):
-        docs = docs.mapInArrow(keep(index), docs.schema)
+        docs = filter_rows(docs, keep(index))
     return docs

@@ -21,6 +21,17 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
             .select(*[F.col(f"_in{i}").alias(n) for i, n in zip(at, names)]))
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """The table with columns _c0, _c1, ...: names that cannot clash."""
+    return df.toDF(*[f"_c{i}" for i in range(len(df.columns))])
+
+
+def filter_rows(df: DataFrame, run) -> DataFrame:
+    """``df`` through an Arrow function that only drops rows; names may clash."""
+    flat = numbered(df)
+    return flat.mapInArrow(run, flat.schema).toDF(*df.columns)
+
+
 def keep_plan(df: DataFrame) -> DataFrame:
     """Checkpoint into the shared folder that the cluster names (lost executors lose nothing)."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .frames import keep_plan, pick
+from .frames import filter_rows, keep_plan, pick
 
 TRAIN_ROWS = 8000  # labelled rows that a fit uses at most, by hash of doc_id
 MINED_TERMS = 800  # mined terms at most
@@ -295,4 +295,4 @@ def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
             for a in range(0, b.num_rows, 512):
                 part = b.slice(a, 512)
                 yield part.filter(pa.array(model.scores(part.column(at).to_pylist()) < 0.5))
-    return docs.mapInArrow(run, docs.schema)
+    return filter_rows(docs, run)

@@ -83,8 +83,9 @@ def in_ranges(docs: DataFrame, ranges: int) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("ord", F.coalesce("doc_id", F.lit(LAST)))
     ids = rows.select("ord")
-    cuts = sorted({int(x) for x in ids.approxQuantile("ord", [i / ranges for i in range(1, ranges)], 1 / (4 * ranges)) or []})
-    cuts = np.array(cuts, np.int64)
+    at = [i / ranges for i in range(1, ranges)]
+    cuts = ids.approxQuantile("ord", at, 1 / (4 * ranges)) if at else []  # none for an empty table
+    cuts = np.array(sorted({int(x) for x in cuts if x < LAST}), np.int64)
 
     @F.pandas_udf("int")
     def range_of(ord_: pd.Series) -> pd.Series:

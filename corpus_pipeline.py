@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from cohortlink.llm import toxicity
 from cohortlink.llm.decontaminate import without_items
-from cohortlink.llm.frames import table
+from cohortlink.llm.frames import numbered, table
 from cohortlink.llm.jaccard_join import jaccard_components
 from cohortlink.llm.line_dedup import dedup_lines
 from cohortlink.llm.mixing import mix
@@ -28,17 +28,22 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that occur earlier; documents with nothing left go; n_chars follows."""
-    out = dedup_lines(docs, drop_emptied=True)
-    names = [c for c in out.columns if c not in ("dedup_n_lines", "dedup_n_removed")]
-    kind = dict(docs.dtypes).get("n_chars")
-    chars = F.when(F.col("dedup_n_removed") > 0, F.char_length("text")).otherwise(F.col("n_chars")).cast(kind) if kind else None
-    return out.select(*[chars.alias(c) if c == "n_chars" else F.col(c) for c in names])
+    out = numbered(dedup_lines(docs, drop_emptied=True))  # ends with the numbers of lines and of removed ones
+    names = docs.columns
+    cols = [F.col(f"_c{i}") for i in range(len(names))]
+    if "n_chars" in names:
+        i = names.index("n_chars")
+        chars = F.char_length(cols[names.index("text")]).cast(docs.schema[i].dataType)
+        cols[i] = F.when(F.col(f"_c{len(names) + 1}") > 0, chars).otherwise(cols[i])
+    return out.select(*cols).toDF(*names)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest doc_id; null ids stay."""
-    others = jaccard_components(docs).where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    key = f"_c{docs.columns.index('doc_id')}"
+    others = jaccard_components(docs).where("component_id <> doc_id").select(F.col("doc_id").alias(key)).distinct()
+    flat = numbered(docs)
+    return flat.join(others, key, "left_anti").select(*flat.columns).toDF(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
