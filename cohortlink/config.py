@@ -1,15 +1,12 @@
 """Study configuration and the fixed values the rules depend on.
 
-Everything a study varies (state, term, suffixes, template, as-of date) is a
-``StudyConfig`` field; the fixed values below must stay exactly as they are for
-results to agree with the established study rules.
+What a study varies (state, term, suffixes, template, as-of date) is passed to the operators;
+the fixed values below must stay exactly as they are for results to agree with the established
+study rules.
 """
 
 from __future__ import annotations
 
-import datetime as _dt
-from dataclasses import dataclass, field
-
 # ---------------------------------------------------------------------------
 # FIXED VALUES (must equal the established rules; do not edit)
 # ---------------------------------------------------------------------------
@@ -43,10 +40,8 @@ ETHNIC_GROUP_CODES: dict[str, int] = {
     "White": 8,
 }
 
-# Score-column suffixes of the wide partner table (live list and the alternative).
+# Score-column suffixes of the wide partner table.
 SCORE_SUFFIXES = ("SS", "PLCODE", "PLDESC", "TESTNAME", "TESTDATE", "RETEST")
-SCORE_SUFFIXES_ALT = ("SS", "PLCODE", "PLDESC", "TESTNAME", "TESTDATE", "SS_CONVERTED",
-                      "SS_UNCONVERTED")
 
 # Columns that get an integer *_CLEAN twin, and date columns with a *_CLEAN twin.
 INT_CLEAN_COLUMNS = ("D_LOCAL_STID", "D_STATE_STID", "D_AGENCYCODE", "D_SS")
@@ -94,17 +89,9 @@ DOB_MIN_AGE, DOB_MAX_AGE = 4, 25
 TEST_WINDOW_START = (2, 1)
 TEST_WINDOW_END = (6, 30)
 
-
-@dataclass(frozen=True)
-class StudyConfig:
-    """Parameters of one study run (replaces per-state settings modules)."""
-
-    state: str | None = None
-    term: str | None = None
-    suffixes: tuple[str, ...] = SCORE_SUFFIXES
-    template: tuple[str, ...] = ()
-    as_of: _dt.date = field(default_factory=lambda: _dt.date(2025, 9, 1))
-    null_tokens: tuple[str, ...] = DEFAULT_NULL_TOKENS
-    test_names: tuple[str, ...] = ()
-    flag_absurd_dates: bool = False
-    name_fold_first: bool = False
+# Season words and forms that mark a term as not spring.
+NON_SPRING_PATTERNS = (
+    r"\bFALL\b", r"\bAUTUMN\b", r"\bFA\b", r"\bF\d{2}\b",
+    r"\bSUMMER\b", r"\bSUM\b", r"\bSU\b",
+    r"\bWINTER\b", r"\bWIN\b", r"\bWI\b", r"\bW\d{2}\b",
+)

@@ -9,7 +9,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..config import DOB_MAX_AGE, DOB_MIN_AGE, TEST_WINDOW_END, TEST_WINDOW_START
+from ..config import DOB_MAX_AGE, DOB_MIN_AGE, NON_SPRING_PATTERNS, TEST_WINDOW_END, TEST_WINDOW_START
 from .text import _c, try_cast, strip
 
 # Field grammars of the strptime-style layouts (alternatives tried in this order).
@@ -136,14 +136,6 @@ def yyyymm_number(d: Column | str) -> Column:
     return F.date_format(_c(d), "yyyyMM").cast("int")
 
 
-# Season words/forms that mark a term as *not* spring (fixed values).
-_NON_SPRING_PATTERNS = (
-    r"\bFALL\b", r"\bAUTUMN\b", r"\bFA\b", r"\bF\d{2}\b",
-    r"\bSUMMER\b", r"\bSUM\b", r"\bSU\b",
-    r"\bWINTER\b", r"\bWIN\b", r"\bWI\b", r"\bW\d{2}\b",
-)
-
-
 def incorrect_term(d_term: Column | str, settings_term: Column | str) -> Column:
     """Term check. Null either side / no study year -> False. Fall, summer or winter
     wording -> True. Years named in the text (every ``20dd`` found left to right, and
@@ -154,7 +146,7 @@ def incorrect_term(d_term: Column | str, settings_term: Column | str) -> Column:
     membership of a year is a lookup in the regex match arrays."""
     t = F.upper(strip(_c(d_term).cast("string")))
     y = study_year(settings_term)
-    season = t.rlike("(?U)" + "|".join(_NON_SPRING_PATTERNS))
+    season = t.rlike("(?U)" + "|".join(NON_SPRING_PATTERNS))
     four = F.regexp_extract_all(t, F.lit("20[0-9]{2}"), 0)
     two = F.regexp_extract_all(t, F.lit("(?<![0-9])([0-9]{2})(?![0-9])"), 1)
     has_years = (F.size(four) > 0) | t.rlike("(?<![0-9])([0-4][0-9]|50)(?![0-9])")

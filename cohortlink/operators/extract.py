@@ -18,7 +18,7 @@ from ..functions.text import upper_trim
 EXTRACT_COLUMNS = (
     "test_event_business_identifier", "state", "district_business_identifier", "district_standard_name",
     "district_agency_code", "school_business_identifier", "school_standard_name", "grade_ordinal",
-    "student_business_identifier", "nwea_ethnic_group_name", "nwea_ethnic_group_code", "irit", "sem",
+    "student_business_identifier", "ethnic_group_name", "ethnic_group_code", "irit", "sem",
     "test_name", "test_key", "student_gender", "student_first_name", "student_last_name",
     "student_state_id", "student_id", "measurement_scale_bid", "measurement_scale_bid_raw", "subject",
     "term_number", "test_grade_low", "test_grade_high", "testdate", "language_id", "dob", "dob_yyyy_mm",
@@ -71,7 +71,7 @@ def event_extract(schools: DataFrame, students: DataFrame, ethnic_groups: DataFr
         "school_business_identifier", "school_standard_name",
         vendor_grade("grade_bid").alias("grade_ordinal"),
         F.col("student_bid").alias("student_business_identifier"),
-        "nwea_ethnic_group_name", ethnic_code("nwea_ethnic_group_name").alias("nwea_ethnic_group_code"),
+        "ethnic_group_name", ethnic_code("ethnic_group_name").alias("ethnic_group_code"),
         F.round("score").cast("int").alias("irit"),
         F.col("standard_error").cast("decimal(5,2)").alias("sem"),
         F.col("name").alias("test_name"), F.col("test_bid").alias("test_key"),

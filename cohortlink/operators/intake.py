@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import (LOG_COLUMNS, PROVENANCE_DROP_BEFORE_CHECK, STATUS_EDITED_REJECTED,
-                      STATUS_EDITED_WORKING, STATUS_REJECTED, STATUS_WORKING)
-from ..functions.text import BLANK_RE, agency_code, is_edited_file, strip_edited_prefix
+                      STATUS_EDITED_WORKING, STATUS_REJECTED, STATUS_WORKING, STATUS_EDITED)
+from ..functions.text import BLANK_RE, agency_code, blank_to_null, is_edited_file, strip_edited_prefix
 
 LOG_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in LOG_COLUMNS])
 
@@ -24,22 +24,35 @@ def _nonblank_cell(c: Column) -> Column:
     return c.isNotNull() & ~c.rlike(BLANK_RE)
 
 
-def file_verdicts(cells: DataFrame, expected_cols: int, working: str = STATUS_WORKING,
-                  rejected: str = STATUS_REJECTED) -> DataFrame:
-    """One row per file: received column count (header without provenance columns),
-    non-blank record count, status and the mismatch note; unreadable files keep only
-    their read error."""
+def _kept_header() -> Column:
+    """Per header cell, whether it is not a provenance column."""
     drop = [c.upper() for c in PROVENANCE_DROP_BEFORE_CHECK]
-    header = F.filter("cells", lambda h: ~F.upper(F.trim(h)).isin(drop))
-    per_file = cells.groupBy("file_name").agg(
-        F.max(F.when(F.col("row_idx") == 0, F.size(header))).alias("received_cols"),
-        F.count_if((F.col("row_idx") > 0) & F.exists("cells", _nonblank_cell)).alias("non_blank_records"),
-        F.max("read_error").alias("read_error"))
-    readable = F.col("read_error").isNull()
+    return F.transform("cells", lambda h: ~F.coalesce(F.upper(F.trim(h)).isin(drop), F.lit(False)))
+
+
+def file_verdicts(cells: DataFrame, expected_cols: int, working: str = STATUS_WORKING,
+                  rejected: str = STATUS_REJECTED, drop_provenance: bool = False) -> DataFrame:
+    """One row per file: received column count, non-blank record count, status and the mismatch
+    note; unreadable files keep only their read error. Routing counts every received column;
+    ``drop_provenance`` leaves the provenance columns out (the combine's own count).
+
+    Each row is first reduced to three small numbers, so the aggregation hashes numbers and
+    never sorts cells; the few error texts are joined back."""
+    width = F.size(F.filter(_kept_header(), lambda k: k)) if drop_provenance else F.size("cells")
+    small = cells.select(
+        "file_name", F.when(F.col("row_idx") == 0, width).alias("w"),
+        F.when((F.col("row_idx") > 0) & F.exists("cells", _nonblank_cell), 1).otherwise(0).alias("nb"),
+        F.when(F.col("read_error").isNotNull(), 1).otherwise(0).alias("bad"))
+    per_file = small.groupBy("file_name").agg(
+        F.max("w").alias("received_cols"), F.sum("nb").alias("non_blank_records"), F.max("bad").alias("bad"))
+    errors = (cells.where(F.col("read_error").isNotNull()).groupBy("file_name").agg(F.max("read_error").alias("read_error")))
+    per_file = per_file.join(errors, "file_name", "left")
+    readable = F.col("bad") == 0
     status = F.when(readable, F.when(F.col("received_cols") == expected_cols, working).otherwise(rejected))
     note = F.when(readable & (F.col("received_cols") != expected_cols),
                   F.format_string("expected_cols=%d; received_cols=%d", F.lit(expected_cols), F.col("received_cols")))
-    return per_file.select("file_name", F.lit(expected_cols).alias("expected_cols"), "received_cols",
+    return per_file.select("file_name", F.lit(expected_cols).alias("expected_cols"),
+                           F.when(readable, F.col("received_cols")).alias("received_cols"),
                            F.when(readable, F.col("non_blank_records")).alias("non_blank_records"),
                            status.alias("STATUS"), note.alias("notes"), "read_error")
 
@@ -58,7 +71,7 @@ def normalize_log(log: DataFrame) -> DataFrame:
 
 def new_files(verdicts: DataFrame, log: DataFrame) -> DataFrame:
     """Files not yet in the log (case-insensitive name match) -> incremental intake."""
-    seen = log.select(F.lower("original_file").alias("_k")).distinct()
+    seen = log.select(F.lower("original_file").alias("_k"))
     return verdicts.join(seen, F.lower(verdicts["file_name"]) == seen["_k"], "left_anti")
 
 
@@ -80,18 +93,32 @@ def routing_rows(verdicts: DataFrame, date_ingested: str, existing: DataFrame |
         F.lit(None).cast("string").alias("notes2"))
 
 
+def _one_per_file(rows: DataFrame) -> DataFrame:
+    """Of rows whose file names differ in case only, the one with the least name."""
+    rows = normalize_log(rows)
+    return (rows.groupBy(F.lower("original_file").alias("_k")).agg(F.min(F.struct(*LOG_COLUMNS)).alias("r")).select("r.*"))
+
+
 def append_if_missing(log: DataFrame, rows: DataFrame) -> DataFrame:
-    """Append rows whose file is not in the log yet."""
-    seen = log.select(F.lower("original_file").alias("_k")).distinct()
-    add = rows.join(seen, F.lower(rows["original_file"]) == seen["_k"], "left_anti")
-    return normalize_log(log).unionByName(normalize_log(add))
+    """Append rows whose file is not in the log yet (one per name, whatever its case)."""
+    seen = log.select(F.lower("original_file").alias("_k"))
+    rows = _one_per_file(rows)
+    return normalize_log(log).unionByName(rows.join(seen, F.lower(rows["original_file"]) == seen["_k"], "left_anti"))
+
+
+def mark_edited(log: DataFrame, names: DataFrame, date_ingested: str) -> DataFrame:
+    """Set STATUS to EDITED for the files in ``names`` (file_name); a file that the log does not
+    have gets a row with its name, the date and the status."""
+    rows = names.select(F.col("file_name").alias("original_file"), F.lit(date_ingested).alias("date_ingested"),
+                        F.lit(STATUS_EDITED).alias("STATUS"))
+    return upsert_log(log, rows)
 
 
 def upsert_log(log: DataFrame, updates: DataFrame) -> DataFrame:
     """Upsert on lower(file name): STATUS always takes the update (even a null), other
     fields are filled only where the log has null, the ingest date is never overwritten."""
     o = normalize_log(log).alias("o")
-    n = normalize_log(updates).alias("n")
+    n = _one_per_file(updates).alias("n")
     j = o.join(n, F.lower(F.col("o.original_file")) == F.lower(F.col("n.original_file")), "full_outer")
     has_new = F.col("n.original_file").isNotNull()
     has_old = F.col("o.original_file").isNotNull()
@@ -113,26 +140,25 @@ def edited_verdicts(cells: DataFrame, expected_cols: int) -> DataFrame:
     return v.withColumn("original_name", strip_edited_prefix("file_name"))
 
 
-def combine_with_template(cells: DataFrame, verdicts: DataFrame, template: Sequence[str]) -> DataFrame:
-    """Stack working files as text: cells renamed by position to the template (provenance
-    columns in the received header removed first), plus FILENAMEFROMDISTRICT and AGENCYCODE."""
-    ok = verdicts.where(F.col("STATUS").isin(STATUS_WORKING, STATUS_EDITED_WORKING)).select("file_name")
-    drop = [c.upper() for c in PROVENANCE_DROP_BEFORE_CHECK]
-    hdr = (cells.where(F.col("row_idx") == 0)
-                .select("file_name", F.transform("cells", lambda h: ~F.upper(F.trim(h)).isin(drop)).alias("keep")))
-    body = cells.where(F.col("row_idx") > 0).join(ok, "file_name", "left_semi")
-    body = body.join(hdr, "file_name")
+def combine_with_template(cells: DataFrame, template: Sequence[str]) -> DataFrame:
+    """Stack the files that fit the template as text: provenance columns of the received header
+    removed, the other cells renamed by position, blank cells null, plus FILENAMEFROMDISTRICT
+    and AGENCYCODE. One join brings each file's header mask to its rows."""
+    hdr = cells.where((F.col("row_idx") == 0) & F.col("read_error").isNull()).select("file_name", _kept_header().alias("keep"))
+    hdr = hdr.where(F.size(F.filter("keep", lambda k: k)) == len(template))
+    body = cells.where(F.col("row_idx") > 0).select("file_name", "cells").join(hdr, "file_name")
     kept = F.filter(F.arrays_zip("cells", "keep"), lambda z: z["keep"])
-    body = body.select("file_name", "row_idx", F.transform(kept, lambda z: z["cells"]).alias("c"))
-    cols = [F.col("c")[i].alias(name) for i, name in enumerate(template)]
+    body = body.select("file_name", F.transform(kept, lambda z: z["cells"]).alias("c"))
+    cols = [blank_to_null(F.col("c")[i]).alias(name) for i, name in enumerate(template)]
     return body.select(*cols, F.col("file_name").alias("FILENAMEFROMDISTRICT"),
                        agency_code("file_name").alias("AGENCYCODE"))
 
 
 def skip_report(verdicts: DataFrame) -> DataFrame:
-    """FILE, REASON (UNREADABLE / COL_MISMATCH), DETAIL for files left out of the combine."""
-    reason = F.when(F.col("read_error").isNotNull(), "UNREADABLE").when(
-        F.col("received_cols") != F.col("expected_cols"), "COL_MISMATCH")
-    detail = F.coalesce(F.col("read_error"), F.col("notes"))
+    """FILE, REASON (UNREADABLE / COL_MISMATCH), DETAIL for files left out of the combine
+    (verdicts with ``drop_provenance``)."""
+    mismatch = F.col("received_cols") != F.col("expected_cols")
+    reason = F.when(F.col("read_error").isNotNull(), "UNREADABLE").when(mismatch, "COL_MISMATCH")
+    detail = F.coalesce(F.col("read_error"), F.format_string("expected %d, got %d", "expected_cols", "received_cols"))
     return verdicts.select(F.col("file_name").alias("FILE"), reason.alias("REASON"), detail.alias("DETAIL")) \
                    .where(F.col("REASON").isNotNull())

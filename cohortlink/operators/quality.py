@@ -1,8 +1,7 @@
 """Typed *_CLEAN columns, the study-settings join, record flags and the split.
 
-The settings table is a study configuration (one row per subject x vendor test), so its
-size is bounded by the study design, not by the data; it is checked before being
-broadcast (``broadcast_if_small``). Every flag is a Column expression evaluated in the
+The settings table is a study configuration (one row per subject x vendor test); how it is
+joined is left to the optimizer. Every flag is a Column expression evaluated in the
 same projection, so the long table is scanned once with no shuffle between the file
 scan and the flag split.
 """
@@ -24,22 +23,6 @@ from ..functions.numbers import clean_grade, clean_int, parse_grade_list
 from ..functions.text import is_nonblank, rename_with_prefix, strip
 from .reshape import place_clean_next_to_originals
 
-BROADCAST_MAX_BYTES = 64 * 1024 * 1024
-BROADCAST_MAX_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES,
-                       max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast a configuration-sized table only after a size check: Catalyst's size
-    estimate when it is known (file size for scans, an upper bound after filters), else a
-    bounded row count (``limit(max_rows + 1)``, never a full count). Anything larger is
-    joined with a normal shuffle join."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size <= max_bytes:
-        return F.broadcast(df)
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def add_clean_columns(long: DataFrame, as_of: _dt.date, grade_col: str = "D_GRADE",
                       int_cols: Sequence[str] = INT_CLEAN_COLUMNS,
                       date_cols: Sequence[str] = DATE_CLEAN_COLUMNS) -> DataFrame:
@@ -80,7 +63,7 @@ def subject_grade_union(settings_prefixed: DataFrame) -> DataFrame:
 def join_settings(long: DataFrame, settings_prefixed: DataFrame) -> DataFrame:
     """Left join on subject (fan-out to every study of the subject) with a ``_merge``
     indicator: ``both`` (kept) or ``left_only`` (subject not in the study)."""
-    s = broadcast_if_small(settings_prefixed.withColumn("_in_settings", F.lit(True)))
+    s = settings_prefixed.withColumn("_in_settings", F.lit(True))
     joined = long.join(s, long["D_SUBJECT"] == s["SETTINGS_D_SUBJECT"], "left")
     return joined.withColumn("_merge", F.when(F.col("_in_settings"), "both").otherwise("left_only")) \
                  .drop("_in_settings")
@@ -94,7 +77,7 @@ def flag_reason(rules: Sequence[tuple[Column, str]]) -> Column:
 def add_flags(merged: DataFrame, settings_prefixed: DataFrame, flag_absurd_dates: bool = False) -> DataFrame:
     """FLAG_REASON over kept rows (subjects in the study; dropped subjects stay null): missing_grade, grade_not_in_study, non_numeric_SS,
     incorrect_term, test_date_out_of_range (in that order)."""
-    union = broadcast_if_small(subject_grade_union(settings_prefixed))
+    union = subject_grade_union(settings_prefixed)
     df = merged.join(union, merged["D_SUBJECT"] == union["_subj"], "left").drop("_subj")
     grade = F.col("D_GRADE_CLEAN")
     rules = [

@@ -7,7 +7,6 @@ table, no per-subject re-scan and no union.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -17,15 +16,15 @@ from ..functions.text import blank_to_null
 
 
 def score_columns(columns: Sequence[str], suffixes: Sequence[str]) -> dict[str, tuple[str, str]]:
-    """Map column -> (subject, SUFFIX) for ``<SUBJECT>_<SUFFIX>`` names (greedy subject,
-    case-insensitive suffix)."""
-    pat = re.compile(rf"^(?P<subject>.+)_(?P<suffix>{'|'.join(suffixes)})$", re.IGNORECASE)
-    out = {}
-    for c in columns:
-        m = pat.match(c)
-        if m:
-            out[c] = (m.group("subject"), m.group("suffix").upper())
-    return out
+    """Score columns with the (subject, SUFFIX) that their names state: a name that ends in an
+    underscore and one of the suffixes (in any case) scores the subject named by what stands
+    before; of several suffixes that fit, the shortest leaves the longest subject."""
+    def ending(name: str) -> str | None:
+        fits = [s for s in suffixes if len(name) > len(s) + 1 and name.upper().endswith(f"_{s.upper()}")]
+        return min(fits, key=len, default=None)
+
+    named = {c: ending(c) for c in columns}
+    return {c: (c[:-len(s) - 1], s.upper()) for c, s in named.items() if s}
 
 
 def wide_to_long(df: DataFrame, suffixes: Sequence[str], drop_rows_missing_ss: bool = False,
@@ -61,15 +60,15 @@ def wide_to_long(df: DataFrame, suffixes: Sequence[str], drop_rows_missing_ss: b
 
 
 def place_clean_next_to_originals(df: DataFrame, marker: str = "_CLEAN") -> DataFrame:
-    """Put every ``X_CLEAN`` column right after ``X`` (others keep their order)."""
-    cols = list(df.columns)
-    for clean in [c for c in cols if c.endswith(marker)]:
-        orig = clean[: -len(marker)]
-        if orig not in cols:
-            continue
-        cols.remove(clean)
-        cols.insert(cols.index(orig) + 1, clean)
-    return df.select(*[F.col(f"`{c}`") for c in cols])
+    """Column order by (place of the original, cleaned after original): a column named like
+    another one plus ``marker`` follows it, all others stay in place."""
+    place = {c: i for i, c in enumerate(df.columns)}
+
+    def key(c: str) -> tuple[int, bool]:
+        original = c.removesuffix(marker)
+        return (place[original], True) if original != c and original in place else (place[c], False)
+
+    return df.select(*[F.col(f"`{c}`") for c in sorted(df.columns, key=key)])
 
 
 def move_column(df: DataFrame, col: str, to: str = "end") -> DataFrame:

@@ -84,7 +84,7 @@ GROUP BY GROUPING SETS (({_BASE}, GRADE_ORDINAL), ({_DIST}), ({_DIST}, GRADE_ORD
 # ---------------------------------------------------------------------------
 from ..config import GRADE_VARIANTS, SCORE_SUFFIXES  # noqa: E402
 from .roles import (DOB_BASE, PARTNER_SUBJECTS, SETTINGS_ROWS, STUDY_AS_OF,  # noqa: E402
-                    TERM_YEAR_SHIFT, TEST_DATE_SHIFT_DAYS)
+                    TERM_YEAR_SHIFT, TEST_DATE_SHIFT_DAYS, NO_TESTNAME, TEST_DATE_STYLES, LINE_ORDER)
 
 _GMAP = "MAP {" + ", ".join(f"'{v.replace(' ', '').upper()}': {g}"
                             for g, vs in GRADE_VARIANTS.items() for v in vs) + "}"
@@ -121,7 +121,7 @@ def _partner_wide_cte() -> str:
     g = f"CAST({cust} % 12 + 1 AS VARCHAR)"
     nat3 = "lpad(CAST(c.c_nationkey AS VARCHAR), 3, '0')"
     cols = [
-        f"CAST({key} AS VARCHAR) AS RECORD_ID",
+        f"CASE WHEN _nth = 1 THEN CAST({key} AS VARCHAR) ELSE CAST({key} AS VARCHAR) || '/' || CAST(_nth AS VARCHAR) END AS RECORD_ID",
         "'District ' || CAST(c.c_nationkey AS VARCHAR) AS DISTRICTNAME",
         "c.c_mktsegment AS SCHOOLNAME",
         f"CASE {key} % 5 WHEN 0 THEN ' ' || {cs} || ' ' WHEN 1 THEN lpad({cs}, 8, '0') "
@@ -137,18 +137,19 @@ def _partner_wide_cte() -> str:
         f"WHEN '3-MEDIUM' THEN 'SP' || substring({ys}, 3, 2) "
         f"WHEN '4-NOT SPECIFIED' THEN CAST({yr} - 1 AS VARCHAR) || '-' || substring({ys}, 3, 2) END AS TERM",
     ]
-    tstyle = {"MATH": "mdY", "ELA": "iso", "SCI": "mdy_unpadded"}
+    tstyle = TEST_DATE_STYLES
     for _, s in PARTNER_SUBJECTS:
         cols.append(f"CASE WHEN {s}_disc = 0 THEN ' ' WHEN {s}_disc = 0.01 THEN CAST({s}_ss AS VARCHAR) || 'x' "
                     f"ELSE CAST({s}_ss AS VARCHAR) END AS {s}_SS")
         cols.append(f"{s}_flag AS {s}_PLCODE")
-        if s != "SCI":
+        if s not in NO_TESTNAME:
             cols.append(f"'{s.title()} ' || {s}_flag AS {s}_TESTNAME")
         cols.append(f"{_dfmt(f'({s}_ship + {TEST_DATE_SHIFT_DAYS})', tstyle[s])} AS {s}_TESTDATE")
     cols += [f"'district_' || {nat3} || '.csv' AS FILENAMEFROMDISTRICT", f"{nat3} AS AGENCYCODE"]
     names = [c.rsplit(" AS ", 1)[1] for c in cols]
     norm = ", ".join(f"{_nb(n)} AS {n}" for n in names)
-    return (f"li AS (SELECT l_orderkey, {', '.join(aggs)} FROM lineitem GROUP BY l_orderkey),\n"
+    return (f"li AS (SELECT l_orderkey, _nth, {', '.join(aggs)} FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber "
+            f"ORDER BY {', '.join(LINE_ORDER)}) AS _nth FROM lineitem) GROUP BY l_orderkey, _nth),\n"
             f"wide_raw AS (SELECT {', '.join(cols)} FROM li JOIN orders o ON li.l_orderkey = o.o_orderkey "
             f"JOIN customer c ON o.o_custkey = c.c_custkey),\n"
             f"wide AS (SELECT {norm} FROM wide_raw)"), names
@@ -275,8 +276,8 @@ _SETTINGS_VALUES = ", ".join(
 
 SETTINGS_CTE = (
     f"settings_raw AS (SELECT * FROM (VALUES {_SETTINGS_VALUES}) "
-    f"AS t(D_SUBJECT, D_MAPGROWTH_TEST_NAME, STUDY_GRADES, TERM, NOTES)),\n"
-    f"settings AS (SELECT D_SUBJECT AS SETTINGS_D_SUBJECT, D_MAPGROWTH_TEST_NAME AS SETTINGS_D_MAPGROWTH_TEST_NAME, "
+    f"AS t(D_SUBJECT, VENDOR_TEST_NAME, STUDY_GRADES, TERM, NOTES)),\n"
+    f"settings AS (SELECT D_SUBJECT AS SETTINGS_D_SUBJECT, VENDOR_TEST_NAME AS SETTINGS_VENDOR_TEST_NAME, "
     f"trim(STUDY_GRADES) AS SETTINGS_STUDY_GRADES, TERM AS SETTINGS_TERM, NOTES AS SETTINGS_NOTES, "
     f"{sql_grade_list('STUDY_GRADES')} AS SETTINGS_GRADE_LIST FROM settings_raw),\n"
     f"subject_grades AS (SELECT SETTINGS_D_SUBJECT AS _subj, list_sort(list_distinct(flatten(list(SETTINGS_GRADE_LIST)))) "
@@ -325,7 +326,7 @@ ORACLE["clean_date"] = f"""WITH {WIDE_CTE}
 SELECT RECORD_ID, DOB, {sql_date_text(sql_plausible_dob(sql_parse_date('DOB')))} AS DOB_CLEAN, {_date_cols}
 FROM wide"""
 
-_FLAG_OUT = ("D_RECORD_ID, D_SUBJECT, SETTINGS_D_MAPGROWTH_TEST_NAME, D_GRADE, D_GRADE_CLEAN, D_SS, D_SS_CLEAN, "
+_FLAG_OUT = ("D_RECORD_ID, D_SUBJECT, SETTINGS_VENDOR_TEST_NAME, D_GRADE, D_GRADE_CLEAN, D_SS, D_SS_CLEAN, "
              "D_TERM, D_TESTDATE, D_TESTDATE_CLEAN, D_DOB_CLEAN, D_STATE_STID_CLEAN, D_LOCAL_STID_CLEAN, "
              "D_AGENCYCODE_CLEAN, FLAG_REASON")
 ORACLE["settings_join_flags"] = f"""WITH {PARTNER_CTES}
@@ -391,7 +392,7 @@ from .roles import ETHNIC_NAMES  # noqa: E402
 from ..config import ETHNIC_GROUP_CODES  # noqa: E402
 
 _ETH_CASE = "CASE n_nationkey % 9 " + " ".join(f"WHEN {i} THEN '{n}'" for i, n in enumerate(ETHNIC_NAMES)) + " END"
-_ETH_CODE = "CASE nwea_ethnic_group_name " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in ETHNIC_GROUP_CODES.items()) + " END"
+_ETH_CODE = "CASE ethnic_group_name " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in ETHNIC_GROUP_CODES.items()) + " END"
 
 EXTRACT_CTE = f"""
 schools AS (
@@ -405,8 +406,8 @@ stu AS (
          CASE WHEN c.c_custkey % 10 = 0 THEN 'X' || CAST(c.c_custkey AS VARCHAR) ELSE CAST(c.c_custkey AS VARCHAR) END
            AS state_student_external_id,
          CAST(c.c_custkey + 100000 AS VARCHAR) AS district_student_external_id,
-         DATE '{DOB_BASE}' + CAST(c.c_custkey % 7000 AS INTEGER) AS date_of_birth, eg.nwea_ethnic_group_name
-  FROM customer c LEFT JOIN (SELECT CAST(n_nationkey AS BIGINT) AS ethnic_group_id, {_ETH_CASE} AS nwea_ethnic_group_name
+         DATE '{DOB_BASE}' + CAST(c.c_custkey % 7000 AS INTEGER) AS date_of_birth, eg.ethnic_group_name
+  FROM customer c LEFT JOIN (SELECT CAST(n_nationkey AS BIGINT) AS ethnic_group_id, {_ETH_CASE} AS ethnic_group_name
                              FROM nation) eg ON CAST(c.c_nationkey AS BIGINT) = eg.ethnic_group_id),
 tst AS (
   SELECT p_partkey AS test_id, p_brand AS name, 'T-' || CAST(p_partkey AS VARCHAR) || '-' || CAST(p_size AS VARCHAR) AS test_bid,
@@ -426,8 +427,8 @@ x AS (
          sc.district_standard_name, sc.district_agency_code, sc.school_business_identifier, sc.school_standard_name,
          CAST(CASE WHEN t.grade_bid IN (13, 16, 17) THEN 0 WHEN t.grade_bid = 14 THEN -1
               WHEN t.grade_bid BETWEEN 1 AND 12 THEN t.grade_bid END AS INTEGER) AS grade_ordinal,
-         e.student_bid AS student_business_identifier, s.nwea_ethnic_group_name,
-         CAST({_ETH_CODE.replace('nwea_ethnic_group_name', 's.nwea_ethnic_group_name')} AS INTEGER) AS nwea_ethnic_group_code,
+         e.student_bid AS student_business_identifier, s.ethnic_group_name,
+         CAST({_ETH_CODE.replace('ethnic_group_name', 's.ethnic_group_name')} AS INTEGER) AS ethnic_group_code,
          CAST(round(e.score) AS INTEGER) AS irit, CAST(e.standard_error AS DECIMAL(5,2)) AS sem,
          t.name AS test_name, t.test_bid AS test_key, s.gender AS student_gender,
          upper(trim(s.name_first)) AS student_first_name, upper(trim(s.name_last)) AS student_last_name,
@@ -465,8 +466,8 @@ def _idk(x: str) -> str:
 
 LINK_CTE = f"""
 partner AS (
-  SELECT concat_ws('|', D_RECORD_ID, D_SUBJECT, SETTINGS_D_MAPGROWTH_TEST_NAME) AS p_id,
-         SETTINGS_D_MAPGROWTH_TEST_NAME AS test_name, {_idk('D_STATE_STID_CLEAN')} AS state_key,
+  SELECT concat_ws('|', D_RECORD_ID, D_SUBJECT, SETTINGS_VENDOR_TEST_NAME) AS p_id,
+         SETTINGS_VENDOR_TEST_NAME AS test_name, {_idk('D_STATE_STID_CLEAN')} AS state_key,
          {_idk('D_LOCAL_STID_CLEAN')} AS local_key, {_nk('D_FNAME')} AS fname_key, {_nk('D_LNAME')} AS lname_key,
          D_DOB_DATE AS dob, D_SEX, D_GRADE_CLEAN, D_STATE_STID, D_LOCAL_STID, D_DOB, D_FILENAMEFROMDISTRICT,
          CAST(D_STATE_STID_CLEAN AS DECIMAL(38,0)) AS state_id, CAST(D_LOCAL_STID_CLEAN AS DECIMAL(38,0)) AS local_id,
@@ -561,9 +562,9 @@ cells AS (
               {_opt('o_custkey % 7 = 0', "'x'")}), {_opt('o_custkey % 5 = 0', "lpad(CAST(o_custkey % 100 AS VARCHAR), 3, '0')")}),
          NULL FROM orders WHERE o_custkey % 13 <> 0),
 pf AS (
-  SELECT file_name,
+  SELECT file_name, CAST(max(CASE WHEN row_idx = 0 THEN len(cells) END) AS INTEGER) AS received_cols,
          CAST(max(CASE WHEN row_idx = 0 THEN len(list_filter(cells, lambda h: upper(trim(h)) NOT IN
-              ('AGENCYCODE', 'AGENCY_CODE', 'FILENAMEFROMDISTRICT'))) END) AS INTEGER) AS received_cols,
+              ('AGENCYCODE', 'AGENCY_CODE', 'FILENAMEFROMDISTRICT'))) END) AS INTEGER) AS own_cols,
          count(*) FILTER (WHERE row_idx > 0 AND len(list_filter(cells, lambda c: c IS NOT NULL
               AND NOT regexp_full_match(c, '\\s*'))) > 0) AS non_blank_records,
          max(read_error) AS read_error
@@ -610,15 +611,30 @@ hdr AS (SELECT file_name, list_transform(cells, lambda h: upper(trim(h)) NOT IN
         'FILENAMEFROMDISTRICT')) AS keep FROM cells WHERE row_idx = 0),
 body AS (SELECT c.file_name, list_filter(c.cells, lambda x, i: h.keep[i]) AS c
          FROM cells c JOIN hdr h ON c.file_name = h.file_name
-         WHERE c.row_idx > 0 AND c.file_name IN (SELECT file_name FROM verdicts WHERE STATUS = 'WORKING_FILES'))
-SELECT {', '.join(f'c[{i + 1}] AS {h}' for i, h in enumerate(INTAKE_HEADER))}, file_name AS FILENAMEFROMDISTRICT,
+         WHERE c.row_idx > 0 AND c.file_name IN (SELECT file_name FROM pf WHERE own_cols = {INTAKE_EXPECTED_COLS}))
+SELECT {', '.join(f"{_nb(f'c[{i + 1}]')} AS {h}" for i, h in enumerate(INTAKE_HEADER))}, file_name AS FILENAMEFROMDISTRICT,
        NULLIF(regexp_extract(file_name, '(?i)(?:^|[ _-])([0-9]+)\\.(?:xlsx|csv)$', 1), '') AS AGENCYCODE
 FROM body"""
 
 ORACLE["skip_report"] = f"""WITH {INTAKE_CTE}
 SELECT file_name AS FILE, CASE WHEN read_error IS NOT NULL THEN 'UNREADABLE' ELSE 'COL_MISMATCH' END AS REASON,
-       COALESCE(read_error, notes) AS DETAIL
-FROM verdicts WHERE read_error IS NOT NULL OR received_cols <> expected_cols"""
+       COALESCE(read_error, printf('expected %d, got %d', {INTAKE_EXPECTED_COLS}, own_cols)) AS DETAIL
+FROM pf WHERE read_error IS NOT NULL OR own_cols <> {INTAKE_EXPECTED_COLS}"""
+
+_ENAME = f"'edited_' || {_fname('c_custkey')}"
+ORACLE["edited_promotion"] = f"""WITH {INTAKE_CTE},
+ed AS (SELECT c_custkey AS k, {_ENAME} AS f, 5 + c_custkey % 2 AS got, c_custkey % 13 = 0 AS bad,
+              (SELECT count(*) FROM orders WHERE o_custkey = c_custkey) AS n FROM customer WHERE c_custkey % 7 = 0),
+nw AS (SELECT f, CASE WHEN NOT bad THEN CAST(n AS VARCHAR) END AS n,
+              CASE WHEN NOT bad THEN CASE WHEN k % 21 = 0 THEN 'REJECTED_FILES' WHEN got = 5 THEN 'EDITED_WORKING'
+                   ELSE 'EDITED_REJECTED' END END AS st,
+              CASE WHEN NOT bad AND got <> 5 THEN 'expected_cols=5; received_cols=6' END AS nt FROM ed),
+old AS (SELECT * FROM oldlog UNION ALL
+        SELECT {_ENAME}, '2025-02-02', '1', 'EDITED_REJECTED', NULL, 'by hand' FROM customer WHERE c_custkey % 28 = 0)
+SELECT COALESCE(original_file, f) AS original_file, COALESCE(date_ingested, '2025-09-01') AS date_ingested,
+       COALESCE(non_blank_records, n) AS non_blank_records, CASE WHEN f IS NOT NULL THEN st ELSE STATUS END AS STATUS,
+       COALESCE(notes, nt) AS notes, notes2
+FROM old FULL OUTER JOIN nw ON lower(original_file) = lower(f)"""
 
 
 def _slice(prios: str, batch: str) -> str:

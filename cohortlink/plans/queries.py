@@ -84,7 +84,7 @@ def q_clean_date(spark: SparkSession, sf: str) -> DataFrame:
     return wide.select(*cols)
 
 
-FLAG_OUTPUT = ("D_RECORD_ID", "D_SUBJECT", "SETTINGS_D_MAPGROWTH_TEST_NAME", "D_GRADE", "D_GRADE_CLEAN",
+FLAG_OUTPUT = ("D_RECORD_ID", "D_SUBJECT", "SETTINGS_VENDOR_TEST_NAME", "D_GRADE", "D_GRADE_CLEAN",
                "D_SS", "D_SS_CLEAN", "D_TERM", "D_TESTDATE", "D_TESTDATE_CLEAN", "D_DOB_CLEAN",
                "D_STATE_STID_CLEAN", "D_LOCAL_STID_CLEAN", "D_AGENCYCODE_CLEAN", "FLAG_REASON")
 
@@ -141,10 +141,10 @@ def linkage_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Partner side = clean, study-allowed long rows with the study's vendor test name;
     vendor side = one test event per order. Both with canonical key columns."""
     _, kept, _ = quality.split_flagged(partner_flags(spark, sf))
-    p_id = F.concat_ws("|", "D_RECORD_ID", "D_SUBJECT", "SETTINGS_D_MAPGROWTH_TEST_NAME")
+    p_id = F.concat_ws("|", "D_RECORD_ID", "D_SUBJECT", "SETTINGS_VENDOR_TEST_NAME")
     partner = kept.select(
         p_id.alias("p_id"),
-        *linkage.link_keys(F.col("SETTINGS_D_MAPGROWTH_TEST_NAME"), F.col("D_STATE_STID_CLEAN").cast("string"),
+        *linkage.link_keys(F.col("SETTINGS_VENDOR_TEST_NAME"), F.col("D_STATE_STID_CLEAN").cast("string"),
                            F.col("D_LOCAL_STID_CLEAN").cast("string"), F.col("D_FNAME"), F.col("D_LNAME"),
                            F.col("D_DOB_DATE")),
         *PARTNER_CARRY)
@@ -178,8 +178,8 @@ def q_match_rates(spark: SparkSession, sf: str) -> DataFrame:
 def q_link_legacy(spark: SparkSession, sf: str) -> DataFrame:
     _, kept, _ = quality.split_flagged(partner_flags(spark, sf))
     partner = kept.select(
-        F.concat_ws("|", "D_RECORD_ID", "D_SUBJECT", "SETTINGS_D_MAPGROWTH_TEST_NAME").alias("p_id"),
-        F.col("SETTINGS_D_MAPGROWTH_TEST_NAME").alias("test_name"),
+        F.concat_ws("|", "D_RECORD_ID", "D_SUBJECT", "SETTINGS_VENDOR_TEST_NAME").alias("p_id"),
+        F.col("SETTINGS_VENDOR_TEST_NAME").alias("test_name"),
         F.col("D_STATE_STID_CLEAN").cast("decimal(38,0)").alias("state_id"),
         F.col("D_LOCAL_STID_CLEAN").cast("decimal(38,0)").alias("local_id"),
         F.col("D_AGENCYCODE").alias("agency_code"), F.col("D_LNAME").alias("lname"),
@@ -210,13 +210,19 @@ def q_log_new_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_combine_template(spark: SparkSession, sf: str) -> DataFrame:
-    cells = roles.raw_cells(spark, sf)
-    verdicts = intake.file_verdicts(cells, roles.INTAKE_EXPECTED_COLS)
-    return intake.combine_with_template(cells, verdicts, roles.INTAKE_HEADER)
+    return intake.combine_with_template(roles.raw_cells(spark, sf), roles.INTAKE_HEADER)
 
 
 def q_skip_report(spark: SparkSession, sf: str) -> DataFrame:
-    return intake.skip_report(intake.file_verdicts(roles.raw_cells(spark, sf), roles.INTAKE_EXPECTED_COLS))
+    return intake.skip_report(intake.file_verdicts(roles.raw_cells(spark, sf), roles.INTAKE_EXPECTED_COLS, drop_provenance=True))
+
+
+def q_edited_promotion(spark: SparkSession, sf: str) -> DataFrame:
+    """The log after edited copies were checked: each copy has an entry of its own with its status
+    (or the place where it already lies), a copy logged before gets the new status only."""
+    verdicts = intake.edited_verdicts(roles.edited_cells(spark, sf), roles.INTAKE_EXPECTED_COLS)
+    rows = intake.routing_rows(verdicts, "2025-09-01", roles.placed_files(spark, sf))
+    return intake.upsert_log(roles.edited_log(spark, sf), rows)
 
 
 def _order_slice(spark: SparkSession, sf: str, priorities: tuple[str, ...], batch: str) -> DataFrame:
@@ -331,6 +337,7 @@ QUERIES: dict[str, Query] = {
     "log_new_files": q_log_new_files,
     "combine_template": q_combine_template,
     "skip_report": q_skip_report,
+    "edited_promotion": q_edited_promotion,
     "insert_if_absent": q_insert_if_absent,
     "reject_antijoin": q_reject_antijoin,
     "reason_pivot": q_reason_pivot,

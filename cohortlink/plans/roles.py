@@ -8,27 +8,31 @@
 
 Messy partner text is *derived* from key columns with deterministic expressions that
 the DuckDB oracle repeats (``plans/oracle.py``), so both engines see identical input.
-Only ``nation``/``region`` are broadcast explicitly: their size is fixed by the schema
-(25 / 5 rows). Every other join is left to the optimizer (size-checked broadcast or
-sort-merge, AQE re-plans at runtime).
+Every join is left to the optimizer (size-checked broadcast or sort-merge, AQE re-plans at
+runtime).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
 
 # Subjects of the wide partner table, by line number of the order (fixed for the roles).
-PARTNER_SUBJECTS = ((1, "MATH"), (2, "ELA"), (3, "SCI"))
+PARTNER_SUBJECTS = ((1, "MATH"), (2, "ELA"), (3, "SCI"), (4, "SOC"), (5, "BIO"), (6, "ALG"), (7, "GEO"))
+# Subjects without a test name column, and the layout of each subject's test dates.
+NO_TESTNAME = ("SCI", "ALG")
+TEST_DATE_STYLES = {s: ("mdY", "iso", "mdy_unpadded")[(ln - 1) % 3] for ln, s in PARTNER_SUBJECTS}
+# What orders lines that repeat an order's line number: the n-th of them goes to the n-th record.
+LINE_ORDER = ("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_shipdate", "l_returnflag", "l_linestatus")
 
 
 def districts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """District (nation) with its state (region); 25 rows at every scale."""
     n = read_table(spark, sf_dir, "nation")
     r = read_table(spark, sf_dir, "region")
-    return n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select(
+    return n.join(r, n.n_regionkey == r.r_regionkey).select(
         "n_nationkey", "n_name", "r_name")
 
 
@@ -43,7 +47,7 @@ def event_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     year = F.year("o_orderdate").cast("int")
     ev = (l.join(o, l.l_orderkey == o.o_orderkey)
            .join(c, o.o_custkey == c.c_custkey)
-           .join(F.broadcast(d), c.c_nationkey == d.n_nationkey)
+           .join(d, c.c_nationkey == d.n_nationkey)
            .join(p, l.l_partkey == p.p_partkey)
            .join(s, l.l_suppkey == s.s_suppkey))
     return ev.select(
@@ -99,9 +103,11 @@ def _fmt(d, style: str):
 
 
 def partner_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Wide partner table: one all-text row per order (student record), score columns
-    ``<SUBJECT>_<SUFFIX>`` from the order's lines 1..3 (one aggregation by order key)."""
-    l = read_table(spark, sf_dir, "lineitem")
+    """Wide partner table: all-text student records with score columns ``<SUBJECT>_<SUFFIX>``
+    from the order's lines 1..7. An order whose line numbers repeat has a further record per
+    repetition, so every line is a score of some record."""
+    nth = F.row_number().over(Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*LINE_ORDER))
+    l = read_table(spark, sf_dir, "lineitem").withColumn("_nth", nth)
     o = read_table(spark, sf_dir, "orders")
     c = read_table(spark, sf_dir, "customer")
     aggs = []
@@ -111,7 +117,7 @@ def partner_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.min(F.when(on, F.col("l_discount"))).alias(f"{subj}_disc"),
                  F.min(F.when(on, F.col("l_shipdate").cast("date"))).alias(f"{subj}_ship"),
                  F.min(F.when(on, F.col("l_returnflag"))).alias(f"{subj}_flag")]
-    lines = l.groupBy("l_orderkey").agg(*aggs)
+    lines = l.groupBy("l_orderkey", "_nth").agg(*aggs)
     w = lines.join(o, lines.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
     key, cust = F.col("o_orderkey"), F.col("c_custkey")
     nat3 = F.lpad(F.col("c_nationkey").cast("string"), 3, "0")
@@ -135,7 +141,8 @@ def partner_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(pr == "3-MEDIUM", F.concat(F.lit("SP"), F.substring(yr_s, 3, 2)))
              .when(pr == "4-NOT SPECIFIED", F.concat((yr - 1).cast("string"), F.lit("-"), F.substring(yr_s, 3, 2))))
     cols = [
-        key.cast("string").alias("RECORD_ID"),
+        F.when(F.col("_nth") == 1, key.cast("string")).otherwise(F.concat_ws("/", key.cast("string"), F.col("_nth").cast("string")))
+         .alias("RECORD_ID"),
         F.concat(F.lit("District "), F.col("c_nationkey").cast("string")).alias("DISTRICTNAME"),
         F.col("c_mktsegment").alias("SCHOOLNAME"),
         (F.when(key % 5 == 0, F.concat(F.lit(" "), cust_s, F.lit(" ")))
@@ -152,16 +159,15 @@ def partner_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(cust % 3 == 0, F.lit("M")).when(cust % 3 == 1, F.lit("female")).alias("SEX"),
         term.alias("TERM"),
     ]
-    test_styles = {"MATH": "mdY", "ELA": "iso", "SCI": "mdy_unpadded"}
     for _, subj in PARTNER_SUBJECTS:
         ss, disc = F.col(f"{subj}_ss"), F.col(f"{subj}_disc")
         ship = F.date_add(F.col(f"{subj}_ship"), TEST_DATE_SHIFT_DAYS)
         cols.append(F.when(disc == 0, F.lit(" ")).when(disc == 0.01, F.concat(ss.cast("string"), F.lit("x")))
                     .otherwise(ss.cast("string")).alias(f"{subj}_SS"))
         cols.append(F.col(f"{subj}_flag").alias(f"{subj}_PLCODE"))
-        if subj != "SCI":
+        if subj not in NO_TESTNAME:
             cols.append(F.concat(F.lit(subj.title() + " "), F.col(f"{subj}_flag")).alias(f"{subj}_TESTNAME"))
-        cols.append(_fmt(ship, test_styles[subj]).alias(f"{subj}_TESTDATE"))
+        cols.append(_fmt(ship, TEST_DATE_STYLES[subj]).alias(f"{subj}_TESTDATE"))
     cols += [F.concat(F.lit("district_"), nat3, F.lit(".csv")).alias("FILENAMEFROMDISTRICT"),
              nat3.alias("AGENCYCODE")]
     return w.select(*cols)
@@ -173,8 +179,12 @@ SETTINGS_ROWS = (
     ("MATH", "Brand#2", "6,7 8", "202502", "second study of the subject"),
     ("ELA", "Brand#3", "K-2", "202502", "range that parses to no grades"),
     ("ELA", "Brand#4", "GRADE 4;5-12", "202502", None),
+    ("SCI", "Brand#5", "1-12", "202302", None),
+    ("SOC", "Brand#1", "K, 1-9", "202402", None),
+    ("BIO", "Brand#2", "3-12", "202602", "term one year on"),
+    ("ALG", "Brand#3", "1-6;8-12", "202502", None),
 )
-SETTINGS_SCHEMA = "D_SUBJECT string, D_MAPGROWTH_TEST_NAME string, STUDY_GRADES string, TERM string, NOTES string"
+SETTINGS_SCHEMA = "D_SUBJECT string, VENDOR_TEST_NAME string, STUDY_GRADES string, TERM string, NOTES string"
 STUDY_AS_OF = "2025-09-01"
 
 
@@ -208,7 +218,7 @@ def organization(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ethnic_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = F.element_at(F.array(*[F.lit(n) for n in ETHNIC_NAMES]), (F.col("n_nationkey") % 9 + 1).cast("int"))
     return read_table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").cast("bigint").alias("ethnic_group_id"), names.alias("nwea_ethnic_group_name"))
+        F.col("n_nationkey").cast("bigint").alias("ethnic_group_id"), names.alias("ethnic_group_name"))
 
 
 def students(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -321,6 +331,47 @@ def raw_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hdr.unionByName(bad).unionByName(rows)
 
 
+def edited_file_name(ck):
+    return F.concat(F.lit("edited_"), intake_file_name(ck))
+
+
+def edited_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edited copies of the rejected files (key % 7 == 0): corrected when the key is even, still
+    with the extra column when odd, unreadable when key % 13 == 0; their orders as rows."""
+    c = read_table(spark, sf_dir, "customer").where(F.col("c_custkey") % 7 == 0)
+    o = read_table(spark, sf_dir, "orders").where(F.col("o_custkey") % 7 == 0)
+
+    def extra(ck, value):
+        return F.when(ck % 2 == 1, F.array(F.lit(value))).otherwise(F.array().cast("array<string>"))
+
+    def cut(ck, cells):
+        return F.when(ck % 13 != 0, cells)
+
+    ck, oc = F.col("c_custkey"), F.col("o_custkey")
+    header = F.concat(F.array(*[F.lit(h) for h in INTAKE_HEADER]), extra(ck, "EXTRA"))
+    hdr = c.select(edited_file_name(ck).alias("file_name"), F.lit(0).cast("bigint").alias("row_idx"), cut(ck, header).alias("cells"),
+                   F.when(ck % 13 == 0, F.lit("decode error")).alias("read_error"))
+    data = F.concat(F.array(F.col("o_orderkey").cast("string"), F.col("o_orderstatus"), F.lit(""), F.lit(" "), F.col("o_orderpriority")), extra(oc, "x"))
+    rows = o.where(oc % 13 != 0).select(edited_file_name(oc).alias("file_name"), (F.col("o_orderkey") + 1).alias("row_idx"),
+                                        data.alias("cells"), F.lit(None).cast("string").alias("read_error"))
+    return hdr.unionByName(rows)
+
+
+def placed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edited copies that already lie somewhere (key % 21 == 0), under upper-cased names."""
+    c = read_table(spark, sf_dir, "customer").where(F.col("c_custkey") % 21 == 0)
+    return c.select(F.upper(edited_file_name(F.col("c_custkey"))).alias("file_name"), F.lit("REJECTED_FILES").alias("STATUS"))
+
+
+def edited_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The earlier log with entries of some edited copies (key % 28 == 0)."""
+    c = read_table(spark, sf_dir, "customer").where(F.col("c_custkey") % 28 == 0)
+    mine = c.select(edited_file_name(F.col("c_custkey")).alias("original_file"), F.lit("2025-02-02").alias("date_ingested"),
+                    F.lit("1").alias("non_blank_records"), F.lit("EDITED_REJECTED").alias("STATUS"),
+                    F.lit(None).cast("string").alias("notes"), F.lit("by hand").alias("notes2"))
+    return prior_log(spark, sf_dir).unionByName(mine)
+
+
 def prior_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """An earlier ingest log: every fourth customer's file, logged under an upper-cased name."""
     c = read_table(spark, sf_dir, "customer").where(F.col("c_custkey") % 4 == 0)

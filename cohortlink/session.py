@@ -1,8 +1,8 @@
 """Session helpers: a tuned local session for tests/bench, and the shared checkpoint folder.
 
 On a cluster the session comes from the platform; ``checkpoint_dir`` only reads
-``spark.checkpoint.dir`` from it. A folder is set here only when none is configured
-(local tests), and then it is a fresh scratch folder, never a fixed machine path.
+``spark.checkpoint.dir`` from it. A folder is set here only in a local session without
+one (tests), and then it is a fresh scratch folder; on a cluster a missing setting is an error.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Session settings that matter for the plans in this package.
 SESSION_CONF = {
@@ -38,7 +38,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's shared checkpoint folder; create a scratch one only if unset."""
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``). Only a local session,
+    whose executors are the driver itself, gets a scratch folder where none is set."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         if spark.sparkContext.getCheckpointDir() is None:
@@ -47,13 +48,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     scratch = tempfile.mkdtemp(prefix="cohortlink-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", scratch)
     spark.sparkContext.setCheckpointDir(scratch)
     return scratch
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared folder (survives executor loss; never local)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

@@ -1,7 +1,7 @@
 """Partner files as raw cells.
 
-A partner file is read whole as one ``binaryFile`` record (files are small; the format
-caps a record at 2 GB), decoded on an executor by ``mapInPandas`` with the encoding ladder
+Every file of a folder counts, whatever its extension. It is read whole as one ``binaryFile``
+record (up to ``MAX_FILE_BYTES``; longer files are reported as unreadable), decoded on an executor by ``mapInPandas`` with the encoding ladder
 utf-8-sig -> utf-8 -> cp1252 -> utf-8 with replacement, and parsed with the standard CSV
 grammar (quotes, embedded newlines). Output: one row per CSV row,
 
@@ -27,6 +27,8 @@ from ..functions.text import file_name_of
 RAW_CELLS_SCHEMA = "file_name string, row_idx bigint, cells array<string>, read_error string"
 ENCODINGS = ("utf-8-sig", "utf-8", "cp1252")
 BATCH_ROWS = 10_000
+# Largest file that is decoded; the file source holds a file as one record of at most 2 GB.
+MAX_FILE_BYTES = 1 << 30
 
 
 def decode_bytes(data: bytes) -> str:
@@ -38,28 +40,38 @@ def decode_bytes(data: bytes) -> str:
     return data.decode("utf-8", errors="replace")
 
 
+def _csv_rows(text: str) -> Iterator[list[str]]:
+    """CSV records in order; empty lines are not records."""
+    return (r for r in csv.reader(io.StringIO(text, newline="")) if r)
+
+
 def parse_csv_rows(name: str, data: bytes, null_tokens: tuple[str, ...]) -> Iterator[tuple]:
-    """Yield (file_name, row_idx, cells, read_error). A file that cannot be parsed, is
-    empty, or has a row longer than its header yields one row with ``read_error``."""
+    """Yield (file_name, row_idx, cells, read_error). A file that cannot be parsed, is empty,
+    holds NUL bytes (a binary format) or has a row longer than its header yields one row with
+    ``read_error``. The text is parsed twice, once to judge it and once to emit its rows, so
+    that rows never pile up."""
     if not data:
         yield (name, 0, None, "empty file")
         return
+    if b"\0" in data:
+        yield (name, 0, None, "not a text file")
+        return
     text = decode_bytes(data)
     tokens = set(null_tokens)
+    width = None
     try:
-        rows = list(csv.reader(io.StringIO(text, newline="")))
+        for i, r in enumerate(_csv_rows(text)):
+            width = len(r) if width is None else width
+            if len(r) > width:
+                yield (name, 0, None, f"row {i} has {len(r)} cells, header has {width}")
+                return
     except csv.Error as e:  # malformed quoting
         yield (name, 0, None, f"csv error: {e}")
         return
-    if not rows:
+    if width is None:
         yield (name, 0, None, "no header")
         return
-    width = len(rows[0])
-    for i, r in enumerate(rows[1:], start=1):
-        if len(r) > width:
-            yield (name, 0, None, f"row {i} has {len(r)} cells, header has {width}")
-            return
-    for i, r in enumerate(rows):
+    for i, r in enumerate(_csv_rows(text)):
         cells = [None if (c in tokens and i > 0) else c for c in r]
         if i > 0 and len(cells) < width:
             cells = cells + [None] * (width - len(cells))  # short rows padded with null
@@ -81,13 +93,6 @@ def _decode_partition(null_tokens: tuple[str, ...]):
     return run
 
 
-def list_files(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
-    """Non-recursive listing: path, lower-cased file name, size (file content is pruned)."""
-    df = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
-    return df.select("path", file_name_of("path").alias("file_name"),
-                     F.lower(file_name_of("path")).alias("file_name_lower"), "length")
-
-
 def raw_cells_from_binary(files: DataFrame, null_tokens: tuple[str, ...] = DEFAULT_NULL_TOKENS) -> DataFrame:
     """``binaryFile`` rows (path, content) -> raw cells. Batch and streaming inputs alike."""
     src = files.select(file_name_of("path").alias("file_name"), "content")
@@ -104,12 +109,18 @@ def zero_length_files(spark: SparkSession, folder: str, glob: str) -> list[str]:
     return [st.getPath().getName() for st in statuses if st.isFile() and st.getLen() == 0]
 
 
-def read_raw_cells(spark: SparkSession, folder: str, glob: str = "*.[cC][sS][vV]",
-                   null_tokens: tuple[str, ...] = DEFAULT_NULL_TOKENS) -> DataFrame:
+def read_raw_cells(spark: SparkSession, folder: str, glob: str = "*",
+                   null_tokens: tuple[str, ...] = DEFAULT_NULL_TOKENS, max_bytes: int = MAX_FILE_BYTES) -> DataFrame:
+    """Raw cells of every file of the folder, whatever its extension. A file over ``max_bytes``
+    is not read and gets one row with ``read_error``, like an unreadable one."""
     # The file source already packs small files into splits; no shuffle of file bytes.
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
-    cells = raw_cells_from_binary(files, null_tokens)
+    cells = raw_cells_from_binary(files.where(F.col("length") <= max_bytes), null_tokens)
+    long_ = files.where(F.col("length") > max_bytes).select(
+        file_name_of("path").alias("file_name"), F.lit(0).cast("bigint").alias("row_idx"),
+        F.lit(None).cast("array<string>").alias("cells"), F.lit("file too large").alias("read_error"))
     empty = zero_length_files(spark, folder, glob)
+    cells = cells.unionByName(long_)
     if empty:
         cells = cells.unionByName(spark.createDataFrame([(n, 0, None, "empty file") for n in empty], RAW_CELLS_SCHEMA))
     return cells

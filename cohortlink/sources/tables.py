@@ -1,33 +1,11 @@
-"""Parquet / catalog table scans."""
+"""Parquet table scans."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Inputs above this estimated size should be read by at least one task per core.
-MIN_SPLIT_GUARD_BYTES = 4 * 1024 * 1024
-
-
-def spread_if_unsplit(df: DataFrame) -> DataFrame:
-    """Scan-parallelism guard. A large input stored as one unsplittable unit (one row
-    group) would run every pipelined step of its stage in a single task. If the scan has
-    fewer partitions than the cluster has cores and its estimated size is large, spread
-    it round-robin. At cluster scale a table has thousands of splits, so this is a no-op
-    there and adds no shuffle."""
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(str(size)) >= MIN_SPLIT_GUARD_BYTES and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
-
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """Scan ``{root}/{name}.parquet`` (column pruning and filter pushdown are left to
     Catalyst: only the columns a plan uses reach ``ReadSchema``)."""
-    return spread_if_unsplit(spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet"))
-
-
-def read_catalog_table(spark: SparkSession, name: str) -> DataFrame:
-    """Warehouse-table scan (``spark.table``); the replacement for remote SQL pulls."""
-    return spark.table(name)
+    return spark.read.parquet(f"{root.rstrip('/')}/{name}.parquet")

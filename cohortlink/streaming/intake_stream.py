@@ -3,8 +3,8 @@
 ``readStream.format("binaryFile")`` lists new files; ``trigger(availableNow=True)`` drains
 what is there and stops; ``foreachBatch`` decodes each micro-batch of files into raw cells,
 computes verdicts and upserts the log. The stream's file-source checkpoint remembers which
-files were processed, and the log anti-join on lower-cased names keeps a re-run idempotent,
-so a restarted or re-delivered batch does not add a second log row.
+files were processed. A batch may still be delivered twice, so each is joined against the
+current log first and only files that the log does not have are handed on.
 """
 
 from __future__ import annotations
@@ -19,18 +19,26 @@ from ..sources.files import raw_cells_from_binary
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
+def batch_handler(expected_cols: int, on_log: Callable[[DataFrame, int], None], date_ingested: str,
+                  current_log: Callable[[], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """The step for each micro-batch: verdicts, minus files already logged, as log rows."""
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        verdicts = intake.file_verdicts(raw_cells_from_binary(batch), expected_cols)
+        fresh = intake.new_files(verdicts, current_log())
+        on_log(intake.routing_rows(fresh, date_ingested), batch_id)
+    return handle
+
+
 def start_intake_stream(spark: SparkSession, drop_folder: str, checkpoint: str, expected_cols: int,
                         on_log: Callable[[DataFrame, int], None], date_ingested: str,
-                        glob: str = "*.[cC][sS][vV]"):
+                        current_log: Callable[[], DataFrame], glob: str = "*"):
     """Start an availableNow stream; ``on_log(rows, batch_id)`` receives the new log rows
-    of each batch (e.g. ``store.save_log_versioned`` after ``intake.upsert_log``)."""
+    of each batch (e.g. ``store.save_log_versioned`` after ``intake.append_if_missing``) and
+    must have stored them when it returns; ``current_log()`` reads the log as it then is."""
     files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", glob)
              .option("recursiveFileLookup", "false").load(drop_folder))
 
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        cells = raw_cells_from_binary(batch)
-        verdicts = intake.file_verdicts(cells, expected_cols)
-        on_log(intake.routing_rows(verdicts, date_ingested), batch_id)
+    handle = batch_handler(expected_cols, on_log, date_ingested, current_log)
 
     return (files.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

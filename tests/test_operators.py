@@ -4,12 +4,14 @@ import datetime as dt
 import os
 import tempfile
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from cohortlink import functions as fx
 from cohortlink.operators import counts, intake, linkage, quality, reshape, store
-from cohortlink.sources.files import read_raw_cells
-from cohortlink.streaming.intake_stream import start_intake_stream
+from cohortlink.sources.files import read_raw_cells, template_columns
+from cohortlink.streaming.intake_stream import batch_handler, start_intake_stream
 
 
 def _write(folder, name, data: bytes):
@@ -27,6 +29,10 @@ def _partner_folder():
     _write(d, "blank rows 9.csv", (hdr + "A,B,4,1\nC,D,5,2\n,,,\n , , , \n,,,\n").encode())
     _write(d, "ragged 10.csv", (hdr + "A,B,4,1,9,9\n").encode())
     _write(d, "bom 11.csv", ("﻿" + hdr + '"Lee\nJr",Ann,4,200\n').encode("utf-8"))
+    _write(d, "notes.txt", (hdr + "A,B,4,1\n").encode())
+    _write(d, "no_extension", (hdr + "A,B,4,1\n").encode())
+    _write(d, "book.xlsx", b"PK\x03\x04\x00\x00")
+    _write(d, "gaps 13.csv", ("\n\n" + hdr + "\nA,B,4,1\n\nC,D,5,2\n").encode())
     _write(d, "agency 12.csv", ("LNAME,FNAME,GRADE,MATH_SS,AGENCYCODE\nA,B,4,1,12\n").encode())
     return d
 
@@ -43,16 +49,24 @@ def test_intake_verdicts_and_combine(spark):
     assert v["blank rows 9.csv"]["non_blank_records"] == 2
     assert v["ragged 10.csv"]["read_error"] is not None
     assert v["bom 11.csv"]["non_blank_records"] == 1
-    assert v["agency 12.csv"]["STATUS"] == "WORKING_FILES"  # provenance column dropped before the check
-    verdicts = intake.file_verdicts(cells, 4)
-    combined = intake.combine_with_template(cells, verdicts, ["LNAME", "FNAME", "GRADE", "MATH_SS"])
+    assert v["agency 12.csv"]["STATUS"] == "REJECTED_FILES"  # routing counts every received column
+    assert v["notes.txt"]["STATUS"] == "WORKING_FILES" and v["no_extension"]["non_blank_records"] == 1
+    assert v["book.xlsx"]["STATUS"] is None and v["book.xlsx"]["read_error"] == "not a text file"
+    assert v["gaps 13.csv"]["non_blank_records"] == 2 and v["gaps 13.csv"]["received_cols"] == 4
+    small = {r["file_name"]: r for r in intake.file_verdicts(read_raw_cells(spark, folder, max_bytes=40), 4).collect()}
+    assert small.keys() == v.keys() and small["North District 0123.csv"]["read_error"] == "file too large"
+    assert {r["file_name"] for r in intake.routing_rows(intake.file_verdicts(cells, 4), "d").selectExpr("original_file as file_name").collect()} == v.keys()
+    verdicts = intake.file_verdicts(cells, 4, drop_provenance=True)
+    combined = intake.combine_with_template(cells, ["LNAME", "FNAME", "GRADE", "MATH_SS"])
     rows = {(r["FILENAMEFROMDISTRICT"], r["LNAME"]): r for r in combined.collect()}
     assert rows[("bom 11.csv", "Lee\nJr")]["AGENCYCODE"] == "11"
     assert rows[("south_45.CSV", "Gar\xe7on")]["AGENCYCODE"] == "45"
     assert rows[("North District 0123.csv", "Lee")]["AGENCYCODE"] == "0123"
-    assert not any(f == "East-7.csv" for f, _ in rows)
+    assert not any(f == "East-7.csv" for f, _ in rows) and ("agency 12.csv", "A") in rows
     report = {r["FILE"]: r["REASON"] for r in intake.skip_report(verdicts).collect()}
-    assert report == {"East-7.csv": "COL_MISMATCH", "empty 5.csv": "UNREADABLE", "ragged 10.csv": "UNREADABLE"}
+    assert report == {"East-7.csv": "COL_MISMATCH", "empty 5.csv": "UNREADABLE", "ragged 10.csv": "UNREADABLE",
+                      "book.xlsx": "UNREADABLE"}
+    assert [r["DETAIL"] for r in intake.skip_report(verdicts).collect() if r["FILE"] == "East-7.csv"] == ["expected 4, got 5"]
 
 
 def test_log_upsert_idempotent(spark):
@@ -87,15 +101,35 @@ def test_intake_stream_available_now(spark):
     def on_log(rows, batch_id):
         got.extend(rows.collect())
 
-    q = start_intake_stream(spark, folder, ckpt, 4, on_log, "2025-09-01")
+    def log():
+        return spark.createDataFrame(got, intake.LOG_SCHEMA)
+
+    q = start_intake_stream(spark, folder, ckpt, 4, on_log, "2025-09-01", log)
     q.awaitTermination(120)
     names = {r["original_file"] for r in got}
     assert "North District 0123.csv" in names and "ragged 10.csv" in names  # zero-byte files: batch path only
-    q2 = start_intake_stream(spark, folder, ckpt, 4, on_log, "2025-09-01")  # restart: nothing new
+    q2 = start_intake_stream(spark, folder, ckpt, 4, on_log, "2025-09-01", log)  # restart: nothing new
     q2.awaitTermination(120)
+    batch = spark.read.format("binaryFile").load(folder)
+    batch_handler(4, on_log, "2025-09-01", log)(batch, 0)  # the batch delivered once more
     assert len(got) == len(names)
 
 
+def test_case_variants_of_a_name_are_one_file(spark):
+    rows = spark.createDataFrame([("b.CSV", "d", "1", "WORKING_FILES", None, None), ("B.csv", "d", "2", "WORKING_FILES", None, None)],
+                                 intake.LOG_SCHEMA)
+    out = intake.append_if_missing(intake.empty_log(spark), rows).collect()
+    assert [r["original_file"] for r in out] == ["B.csv"]
+    assert len(intake.upsert_log(intake.empty_log(spark), rows).collect()) == 1
+
+
+def test_mark_edited(spark):
+    log = spark.createDataFrame([("A.csv", "d0", "1", "REJECTED_FILES", "n", None)], intake.LOG_SCHEMA)
+    names = spark.createDataFrame([("a.csv",), ("new.csv",)], "file_name string")
+    got = {r["original_file"]: (r["date_ingested"], r["STATUS"], r["notes"]) for r in intake.mark_edited(log, names, "d1").collect()}
+    assert got == {"A.csv": ("d0", "EDITED", "n"), "new.csv": ("d1", "EDITED", None)}
+
+
 def test_wide_to_long(spark):
     wide = spark.createDataFrame([("1", "200", " ", "x", None, "7"), ("2", None, None, None, None, None)],
                                  "ID string, MATH_SS string, MATH_PLCODE string, ela_ss string, ELA_TESTDATE string, "
@@ -118,9 +152,9 @@ def test_flags_and_split_invariant(spark):
     long = quality.add_clean_columns(long, dt.date(2025, 9, 1))
     settings = quality.prepare_settings(spark.createDataFrame(
         [("MATH", "T1", "3-5", "202502", None), ("MATH", "T2", "6,7 8", "202502", None), ("ELA", "T3", "K-2", "202502", None)],
-        "D_SUBJECT string, D_MAPGROWTH_TEST_NAME string, STUDY_GRADES string, TERM string, NOTES string"))
+        "D_SUBJECT string, VENDOR_TEST_NAME string, STUDY_GRADES string, TERM string, NOTES string"))
     flags = quality.add_flags(quality.join_settings(long, settings), settings)
-    got = {(r["D_ID"], r["SETTINGS_D_MAPGROWTH_TEST_NAME"]): (r["FLAG_REASON"], r["s"])
+    got = {(r["D_ID"], r["SETTINGS_VENDOR_TEST_NAME"]): (r["FLAG_REASON"], r["s"])
            for r in flags.select("*", quality.split_label(flags).alias("s")).collect()}
     assert got[("1", "T1")] == (None, "kept") and got[("1", "T2")] == (None, "not_allowed")
     assert got[("2", "T1")] == ("grade_not_in_study|non_numeric_SS|incorrect_term|test_date_out_of_range", "flagged")
@@ -196,12 +230,58 @@ def test_insert_if_absent_null_safe(spark):
 def test_versioned_log_save(spark):
     root = tempfile.mkdtemp(prefix="cohortlink-log-")
     empty = intake.empty_log(spark)
-    assert store.load_log(spark, root, empty).count() == 0
+    assert store.load_log(spark, root + "/none", empty).count() == 0
+    with pytest.raises(FileNotFoundError):
+        store.load_log(spark, root, empty)
     log = spark.createDataFrame([("a.csv", "2025-09-01", "2", "WORKING_FILES", None, None)], intake.LOG_SCHEMA)
     v1 = store.save_log_versioned(log, root)
     assert store.load_log(spark, root, empty).count() == 1
     v2 = store.save_log_versioned(intake.append_if_missing(store.load_log(spark, root, empty), log), root)
-    assert v1 != v2 and store.load_log(spark, root, empty).count() == 1
+    assert v1 < v2 and store.load_log(spark, root, empty).count() == 1
+    os.makedirs(os.path.join(root, "v-000000000003"))  # an interrupted save
+    assert store.load_log(spark, root, empty).count() == 1
+    v4 = store.save_log_versioned(empty, root)
+    assert v4.endswith("v-000000000004") and store.load_log(spark, root, empty).count() == 0
+
+
+def test_table_writers(spark):
+    d = tempfile.mkdtemp(prefix="cohortlink-store-")
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    store.write_parquet(df, f"{d}/t", partition_by=["v"])
+    assert spark.read.parquet(f"{d}/t").where("v = 'a'").count() == 1
+    store.write_reports({"r1": df, "r2": df.limit(0)}, d)
+    assert spark.read.parquet(f"{d}/r1").count() == 2 and spark.read.parquet(f"{d}/r2").columns == ["k", "v"]
+    name = f"t_{os.path.basename(d).replace('-', '_')}".lower()
+    store.publish_table(df, name, replace=False)
+    with pytest.raises(Exception):
+        store.publish_table(df, name, replace=False)
+    store.publish_table(df.limit(1), name)
+    assert spark.table(name).count() == 1
+    assert store.insert_if_absent(spark, df, name) == 1 and store.insert_if_absent(spark, df, name) == 0
+    assert store.insert_if_absent(spark, df, name + "_new") == 2
+    for t in (name, name + "_new"):
+        spark.sql(f"DROP TABLE {t}")
+
+
+def test_column_layout(spark):
+    df = spark.createDataFrame([(1, 2, 3, 4)], "a int, b int, a_CLEAN int, x_CLEAN int")
+    assert reshape.place_clean_next_to_originals(df).columns == ["a", "a_CLEAN", "b", "x_CLEAN"]
+    assert reshape.move_column(df, "b").columns[-1] == "b" and reshape.move_column(df, "b", "first").columns[0] == "b"
+    assert reshape.keep_existing(df, ["b", "zz", "a"]).columns == ["b", "a"]
+    got = reshape.score_columns(["MATH_SS", "my_math_ss", "SS", "_SS", "ELA_SS_CONVERTED", "X_TESTDATES"], ["SS", "SS_CONVERTED", "TESTDATE"])
+    assert got == {"MATH_SS": ("MATH", "SS"), "my_math_ss": ("my_math", "SS"), "ELA_SS_CONVERTED": ("ELA", "SS_CONVERTED")}
+
+
+def test_template_header(spark):
+    d = tempfile.mkdtemp(prefix="cohortlink-template-")
+    _write(d, "t.csv", b" lname ,Grade\n")
+    assert template_columns(spark, f"{d}/t.csv") == ["LNAME", "GRADE"]
+
+
+def test_sentinels_and_gender(spark):
+    df = spark.createDataFrame([(-1, "M"), (-99, " female "), (7, None)], "n int, g string")
+    got = df.select(fx.sentinel_to_null(F.col("n"), -1, -99).alias("n"), fx.gender_fix("g").alias("g")).collect()
+    assert [r["n"] for r in got] == [None, None, 7]
 
 
 def test_grade_pivot_and_sets(spark):
