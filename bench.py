@@ -30,7 +30,7 @@ HEADLINE = (
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = local_session(cores=cpus, shuffle_partitions=int(cpus) * 2, memory="24g", app="cohortlink-bench")
+    spark = local_session(cores=cpus, shuffle_partitions=int(cpus) * 2, memory="8g", app="cohortlink-bench")
     QUERIES["reject_antijoin"](spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
     times = {}
     for name in HEADLINE:

@@ -4,94 +4,61 @@ test-window and term checks. Pure Column expressions, no Python on workers."""
 from __future__ import annotations
 
 import datetime as _dt
-import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..config import DOB_MAX_AGE, DOB_MIN_AGE, NON_SPRING_PATTERNS, TEST_WINDOW_END, TEST_WINDOW_START
-from .text import _c, try_cast, strip
-
-# Field grammars of the strptime-style layouts (alternatives tried in this order).
-_MONTH = r"(1[0-2]|0[1-9]|[1-9])"
-_DAY = r"(3[01]|[12][0-9]|0[1-9]|[1-9]| [1-9])"
-_YEAR4 = r"([0-9]{4})"
-_YEAR2 = r"([0-9]{2})"
-
-# Layout list in priority order: (anchored regex, order of the y/m/d groups, 2-digit year?).
-_LAYOUTS = (
-    (f"^{_MONTH}/{_DAY}/{_YEAR4}$", "mdy", False),   # %m/%d/%Y
-    (f"^{_MONTH}-{_DAY}-{_YEAR4}$", "mdy", False),   # %m-%d-%Y
-    (f"^{_YEAR4}-{_MONTH}-{_DAY}$", "ymd", False),   # %Y-%m-%d
-    (f"^{_YEAR4}/{_MONTH}/{_DAY}$", "ymd", False),   # %Y/%m/%d
-    (f"^{_MONTH}/{_DAY}/{_YEAR2}$", "mdy", True),    # %m/%d/%y
-    (f"^{_YEAR4}{_MONTH}{_DAY}$", "ymd", False),     # %Y%m%d
-    (f"^{_MONTH}{_DAY}{_YEAR4}$", "mdy", False),     # %m%d%Y
-    (f"^{_MONTH}{_DAY}{_YEAR2}$", "mdy", True),      # %m%d%y
-)
-
-
-def _int(c: Column) -> Column:
-    return try_cast(F.trim(c), "int")
-
-
-def safe_date(y: Column, m: Column, d: Column) -> Column:
-    """Date from integer parts, null when they do not form a real calendar date."""
-    text = F.concat_ws("-", y.cast("string"), m.cast("string"), d.cast("string"))
-    return F.when(y >= 1, F.try_to_date(text, "y-M-d"))
-
-
-def _text_date(y: Column, m: Column, d: Column) -> Column:
-    """Date from digit-text parts (year must be above 0); the parser validates the rest."""
-    text = F.concat_ws("-", y, m, d)
-    return F.when(_int(y) >= 1, F.try_to_date(text, "y-M-d"))
-
-
-def _digits_rule(s: Column, n: int) -> Column:
-    sub = lambda a, b: F.substring(s, a, b)
-    if n == 8:
-        return F.coalesce(_text_date(sub(5, 4), sub(1, 2), sub(3, 2)),
-                          _text_date(sub(1, 4), sub(5, 2), sub(7, 2)))
-    if n == 7:
-        return _text_date(sub(4, 4), sub(1, 1), sub(2, 2))
-    yy = _int(sub(5, 2))
-    year = F.when(yy > 30, yy + 1900).otherwise(yy + 2000)  # six digits: pivot at 30
-    return _text_date(year.cast("string"), sub(1, 2), sub(3, 2))
-
-
-def _layout_guard(s: Column, pattern: str) -> Column:
-    """Cheap literal test that must hold before the layout's regex can match."""
-    literal = re.sub(r"\[[^\]]*\]", "", pattern)  # separators outside character classes
-    if "/" in literal:
-        return s.contains("/") & s.rlike(pattern)
-    if "-" in literal:
-        return s.contains("-") & s.rlike(pattern)
-    return s.rlike("^[0-9]+$") & s.rlike(pattern)
-
-
-def _layout_rule(s: Column, pattern: str, order: str, two_digit: bool) -> Column:
-    pos = {k: i + 1 for i, k in enumerate(order)}
-    if not two_digit:
-        # one regex rewrite to y-M-d (day may carry a leading space: removed)
-        text = F.regexp_replace(F.regexp_replace(s, pattern, f"${pos['y']}-${pos['m']}-${pos['d']}"), " ", "")
-        return F.when(_layout_guard(s, pattern), F.try_to_date(text, "y-M-d"))
-    yy = _int(F.regexp_extract(s, pattern, pos["y"]))
-    year = F.when(yy >= 69, yy + 1900).otherwise(yy + 2000)  # %y pivot at 69
-    md = F.regexp_replace(F.regexp_replace(s, pattern, f"${pos['m']}-${pos['d']}"), " ", "")
-    return F.when(_layout_guard(s, pattern), F.try_to_date(F.concat_ws("-", year.cast("string"), md), "y-M-d"))
+from .text import _c, strip, try_cast
+
+def _year2(text: Column) -> Column:
+    """Two-digit year text with its century (%y: 69 and later are 19xx)."""
+    return F.concat(F.when(text >= "69", F.lit("19")).otherwise(F.lit("20")), text)
+
+
+def _with_separators(s: Column) -> Column:
+    """``y-M-d`` text of the slash and dash layouts; other texts come out unlike a date."""
+    day = "( [1-9]|[0-9]{1,2})"
+    u = F.regexp_replace(s, f"^([0-9]{{1,2}})/{day}/([0-9]{{2}})$", "~$3-$1-$2")            # M/D/yy
+    u = F.regexp_replace(u, f"^([0-9]{{1,2}})([/-]){day}\\2([0-9]{{4}})$", "$4-$1-$3")      # M/D/Y, M-D-Y
+    u = F.regexp_replace(u, f"^([0-9]{{4}})/([0-9]{{1,2}})/{day}$", "$1-$2-$3")             # Y/M/D
+    u = F.when(u.startswith("~"), F.concat(_year2(F.substring(u, 2, 2)), F.substring(u, 4, 9))).otherwise(u)
+    return F.when(u.rlike(f"^[0-9]{{4}}-[0-9]{{1,2}}-{day}$"), F.translate(u, " ", ""))
+
+
+def _compact(s: Column) -> Column:
+    """``y-M-d`` texts that a run of 4 to 8 digits may mean, in the order in which they are tried."""
+    def part(a: int, n: int) -> Column:
+        return F.substring(s, a, n)
+
+    def ymd(y: Column, m: Column, d: Column) -> Column:
+        return F.concat_ws("-", y, m, d)
+
+    pivot30 = F.concat(F.when(part(5, 2) > "30", F.lit("19")).otherwise(F.lit("20")), part(5, 2))
+    n = F.length(s)
+    return (F.when(n == 8, F.array(ymd(part(5, 4), part(1, 2), part(3, 2)), ymd(part(1, 4), part(5, 2), part(7, 2))))
+            .when(n == 7, F.array(ymd(part(4, 4), part(1, 1), part(2, 2)), ymd(part(1, 4), part(5, 2), part(7, 1)),
+                                  ymd(part(1, 4), part(5, 1), part(6, 2)), ymd(part(4, 4), part(1, 2), part(3, 1))))
+            .when(n == 6, F.array(ymd(pivot30, part(1, 2), part(3, 2)), ymd(part(1, 4), part(5, 1), part(6, 1)),
+                                  ymd(part(3, 4), part(1, 1), part(2, 1))))
+            .when(n == 5, F.array(ymd(_year2(part(4, 2)), part(1, 2), part(3, 1)), ymd(_year2(part(4, 2)), part(1, 1), part(2, 2))))
+            .when(n == 4, F.array(ymd(_year2(part(3, 2)), part(1, 1), part(2, 1)))))
 
 
 def parse_partner_date(c: Column | str) -> Column:
-    """Partner date text -> DateType, first rule that yields a real date wins.
+    """Partner date text -> DateType, first reading that is a real date wins.
+
+    Strip, drop a trailing `` HH:MM[:SS]``. A run of digits: 8 digits MMDDYYYY else YYYYMMDD;
+    7 digits MDDYYYY, then year first, then MMDYYYY; 6 digits MMDDYY (pivot 30), then YYYYMD,
+    then MDYYYY; 5 and 4 digits month, day and two-digit year (pivot 69). Otherwise the slash
+    and dash layouts, month or four-digit year first. Else null; there is no year 0.
 
-    Strip, drop a trailing `` HH:MM[:SS]``; then 8 digits MMDDYYYY else YYYYMMDD; 7 digits
-    MDDYYYY; 6 digits MMDDYY (pivot 30); then the eight slash/dash/compact layouts
-    (two-digit years pivot at 69); else null."""
+    The text is sorted into one of the two classes first; a class yields candidate texts and one
+    parser reads them, which keeps the generated code of a row small."""
     s = F.regexp_replace(strip(c), r"(?U)\s+[0-9]{1,2}:[0-9]{2}(:[0-9]{2})?$", "")
-    digits_len = F.when(s.rlike("^[0-9]+$"), F.length(s))
-    rules = [F.when(digits_len == n, _digits_rule(s, n)) for n in (8, 7, 6)]
-    rules += [_layout_rule(s, p, o, t) for p, o, t in _LAYOUTS]
-    return F.coalesce(*rules)
+    texts = F.when(s.rlike("^[0-9]{4,8}$"), _compact(s)).otherwise(F.array(_with_separators(s)))
+    real = F.filter(F.transform(texts, lambda t: F.when(~t.startswith("0000"), F.try_to_date(t, "y-M-d"))), lambda d: d.isNotNull())
+    return F.get(real, F.lit(0))
 
 
 def date_text(d: Column | str) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import (FLAG_GRADE_NOT_IN_STUDY, FLAG_INCORRECT_TERM, FLAG_MISSING_GRADE,
@@ -49,7 +49,7 @@ def counts_total_by_test(ev: DataFrame, scale_codes: Sequence[int], state: str |
     """Growth events per (state, term, subject, scale, test) for the listed scale codes."""
     ev = filter_events(ev, state, term, None, require_score=False)
     ev = ev.where(F.col("MEASUREMENT_SCALE_BID").isin(list(scale_codes)) & F.col("GROWTH_EVENT_YN"))
-    return ev.groupBy(*BASE_KEYS).agg(F.count(F.lit(1)).alias("test_count"))
+    return ev.groupBy(*BASE_KEYS).agg(F.count(F.lit(1)).alias("test_count")).orderBy(F.desc("test_count"), *BASE_KEYS)
 
 
 def _distinct_counts(ev: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -145,12 +145,13 @@ FLAG_SUMMARY_KEYS = (
 FLAG_SUMMARY_BASE = ("FLAG_REASON", "D_FILENAMEFROMDISTRICT", "D_SUBJECT")
 
 
-def flag_summary(flagged: DataFrame, clean: DataFrame) -> DataFrame:
-    """Counts per flag reason over reason-specific keys, with the per-(file, subject)
-    denominator from the clean table and % affected (1 dp, half-even).
+def flag_summary(flags: DataFrame, allowed: Column) -> DataFrame:
+    """Counts per flag reason over reason-specific keys, with the number of clean and ``allowed``
+    rows per (file, subject) as denominator and % affected (1 dp, half-even).
 
-    One group-by over the superset of keys: a key that does not apply to a row's reason
-    is nulled, which is exact because the reason itself is a group key."""
+    One pass: flagged rows are grouped over the superset of keys (a key that does not apply to a
+    row's reason is nulled, which is exact because the reason itself is a group key), clean rows
+    of a (file, subject) are one more group, and a window over the groups hands their count on."""
     extra: list[str] = []
     for _, cols in FLAG_SUMMARY_KEYS:
         for c in cols:
@@ -165,13 +166,11 @@ def flag_summary(flagged: DataFrame, clean: DataFrame) -> DataFrame:
             cond = cond | h
         return F.when(cond, F.col(c).cast("string")).alias(c)
 
-    keyed = flagged.select(*FLAG_SUMMARY_BASE, *[applies(c) for c in extra])
-    counts = keyed.groupBy(*FLAG_SUMMARY_BASE, *extra).agg(F.count(F.lit(1)).alias("record_count"))
-    totals = (clean.groupBy("D_FILENAMEFROMDISTRICT", "D_SUBJECT")
-                   .agg(F.count(F.lit(1)).alias("total_partner_subject_records")))
-    cond = ((counts["D_FILENAMEFROMDISTRICT"].eqNullSafe(totals["D_FILENAMEFROMDISTRICT"]))
-            & (counts["D_SUBJECT"].eqNullSafe(totals["D_SUBJECT"])))
-    out = counts.join(totals, cond, "left").select(
-        counts["*"], totals["total_partner_subject_records"])
+    rows = flags.where((F.col("_merge") == "both") & (reason.isNotNull() | allowed))
+    groups = (rows.select(*FLAG_SUMMARY_BASE, *[applies(c) for c in extra])
+              .groupBy(*FLAG_SUMMARY_BASE, *extra).agg(F.count(F.lit(1)).alias("record_count")))
+    clean = F.sum(F.when(reason.isNull(), F.col("record_count"))).over(
+        Window.partitionBy("D_FILENAMEFROMDISTRICT", "D_SUBJECT"))
+    out = groups.withColumn("total_partner_subject_records", clean).where(reason.isNotNull())
     return out.withColumn("pct_affected_records",
                           pct("record_count", "total_partner_subject_records", 1))

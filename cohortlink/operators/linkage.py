@@ -8,7 +8,7 @@ Catalyst can only plan the OR as "test name + residual", i.e. every partner x ve
 of one test, and the test name has a handful of values. This module never builds those
 pairs for the best-candidate result. Each phase becomes equi-join *lookups* against partner
 rows pre-aggregated by that phase's key (``min(struct(p_id, ...))``, one row per key), so
-every join is many-to-one (no fan-out, AQE can split a hot vendor key) and the best pair
+every join is many-to-one (no fan-out) and the best pair
 is a ``min`` aggregation (partial aggregation map-side, no window over a hot group):
 
     phase 1: (test, state, fname, lname, dob) and (test, local, fname, lname, dob)
@@ -113,13 +113,11 @@ def link_best(partner: DataFrame, vendor: DataFrame, partner_carry: Sequence[str
               vendor_carry: Sequence[str] = (), include_dob_only: bool = True) -> DataFrame:
     """One row per vendor (student, test key) that has any candidate: MATCH_TYPE, ids and
     the carried columns of both sides."""
-    vcols = ["m_id", "student_business_identifier", "test_key"]
-    cands = phase_candidates(partner, vendor, vcols, partner_carry, include_dob_only)
-    best = best_per(cands, ["student_business_identifier", "test_key"], ["m_id"])
-    attrs = vendor.select("m_id", *vendor_carry)
-    out = best.join(attrs, "m_id")
-    return out.select(phase_label(F.col("phase_rank")).alias("MATCH_TYPE"), "student_business_identifier",
-                      "test_key", "m_id", "p.*", *vendor_carry)
+    cands = phase_candidates(partner, vendor, ["m_id", "student_business_identifier", "test_key", *vendor_carry],
+                             partner_carry, include_dob_only)
+    best = best_per(cands, ["student_business_identifier", "test_key"], ["m_id", *vendor_carry])
+    return best.select(phase_label(F.col("phase_rank")).alias("MATCH_TYPE"), "student_business_identifier",
+                       "test_key", "m_id", "p.*", *vendor_carry)
 
 
 def link_per_event(partner: DataFrame, vendor: DataFrame, include_dob_only: bool = True) -> DataFrame:
@@ -146,13 +144,20 @@ def _leg_keys(legs: Sequence[Sequence[str]]) -> Column:
 def equi_legs_pairs(partner: DataFrame, vendor: DataFrame, legs: Sequence[Sequence[tuple[str, str]]],
                     partner_cols: Sequence[str], vendor_cols: Sequence[str]) -> DataFrame:
     """Disjunctive join as one equi-join on (leg, key): each side is exploded to one row
-    per leg whose keys are all non-null (SQL equality never matches null), then pairs
-    found by several legs are de-duplicated on (p_id, m_id). One scan of each side."""
+    per leg whose keys are all non-null (SQL equality never matches null). A pair found by
+    several legs is kept from the first that fits, which its own columns tell: no second
+    shuffle. One scan of each side. Every matching pair is the defined result, so an id that
+    many rows of both sides share gives as many pairs as their product."""
     p = partner.select(*partner_cols, F.explode(_leg_keys([[pk for pk, _ in leg] for leg in legs])).alias("l"))
     v = vendor.select(*vendor_cols, F.explode(_leg_keys([[vk for _, vk in leg] for leg in legs])).alias("l"))
     p = p.select(*partner_cols, F.col("l.leg").alias("leg"), F.col("l.key").alias("key"))
     v = v.select(*vendor_cols, F.col("l.leg").alias("leg"), F.col("l.key").alias("key"))
-    return p.join(v, ["leg", "key"]).select(*partner_cols, *vendor_cols).dropDuplicates(["p_id", "m_id"])
+
+    def fits(leg: Sequence[tuple[str, str]]) -> Column:
+        return reduce(lambda a, b: a & b, [F.col(x).cast("string") == F.col(y).cast("string") for x, y in leg])
+
+    first = F.coalesce(*[F.when(fits(leg), F.lit(i)) for i, leg in enumerate(legs)])
+    return p.join(v, ["leg", "key"]).where(F.col("leg") == first).select(*partner_cols, *vendor_cols)
 
 
 def link_legacy(partner: DataFrame, vendor: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,11 +70,6 @@ def join_settings(long: DataFrame, settings_prefixed: DataFrame) -> DataFrame:
                  .drop("_in_settings")
 
 
-def flag_reason(rules: Sequence[tuple[Column, str]]) -> Column:
-    """Pipe-joined reasons in rule order; null when no rule fires."""
-    return F.nullif(F.concat_ws("|", *[F.when(cond, F.lit(name)) for cond, name in rules]), F.lit(""))
-
-
 def add_flags(merged: DataFrame, settings_prefixed: DataFrame, flag_absurd_dates: bool = False) -> DataFrame:
     """FLAG_REASON over kept rows (subjects in the study; dropped subjects stay null): missing_grade, grade_not_in_study, non_numeric_SS,
     incorrect_term, test_date_out_of_range (in that order)."""
@@ -89,8 +85,14 @@ def add_flags(merged: DataFrame, settings_prefixed: DataFrame, flag_absurd_dates
         (test_date_out_of_range("D_TESTDATE_DATE", "SETTINGS_TERM", flag_absurd_dates),
          FLAG_TEST_DATE_OUT_OF_RANGE),
     ]
-    reason = F.when(F.col("_merge") == "both", flag_reason(rules))
-    return df.withColumn("FLAG_REASON", reason).drop("_subject_grades")
+    # Each rule becomes a small boolean once; as the output of a generator it is not computed
+    # again by filters on the reason.
+    flags = F.struct(*[F.coalesce(cond, F.lit(False)).alias(f"_flag{i}") for i, (cond, _) in enumerate(rules)])
+    df = df.select("*", F.inline(F.array(flags)))
+    on = [F.col(f"_flag{i}") for i in range(len(rules))]
+    reason = F.concat_ws("|", *[F.when(f, F.lit(name)) for f, (_, name) in zip(on, rules)])
+    df = df.withColumn("FLAG_REASON", F.when((F.col("_merge") == "both") & reduce(lambda a, b: a | b, on), reason))
+    return df.drop("_subject_grades", *[f"_flag{i}" for i in range(len(rules))])
 
 
 def grade_allowed(df: DataFrame) -> Column:

@@ -96,8 +96,8 @@ def q_settings_join_flags(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_flag_summary(spark: SparkSession, sf: str) -> DataFrame:
-    flagged, clean, _ = quality.split_flagged(partner_flags(spark, sf))
-    return counts.flag_summary(flagged, clean)
+    flags = partner_flags(spark, sf)
+    return counts.flag_summary(flags, quality.grade_allowed(flags))
 
 
 def q_long_counts_subject_grade(spark: SparkSession, sf: str) -> DataFrame:
