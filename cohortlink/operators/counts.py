@@ -49,7 +49,7 @@ def counts_total_by_test(ev: DataFrame, scale_codes: Sequence[int], state: str |
     """Growth events per (state, term, subject, scale, test) for the listed scale codes."""
     ev = filter_events(ev, state, term, None, require_score=False)
     ev = ev.where(F.col("MEASUREMENT_SCALE_BID").isin(list(scale_codes)) & F.col("GROWTH_EVENT_YN"))
-    return ev.groupBy(*BASE_KEYS).agg(F.count(F.lit(1)).alias("test_count")).orderBy(F.desc("test_count"), *BASE_KEYS)
+    return ev.groupBy(*BASE_KEYS).agg(F.count(F.lit(1)).alias("test_count")).orderBy("MEASUREMENT_SCALE_BID", F.desc("test_count"), *BASE_KEYS)
 
 
 def _distinct_counts(ev: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import LEGACY_MATCH_TYPES, MATCH_PHASES
+from ..functions.numbers import pct
 from ..functions.text import id_key, name_key
 
 KEY_COLS = ("test_name", "state_key", "local_key", "fname_key", "lname_key", "dob")
@@ -193,3 +194,13 @@ def match_rates(linked: DataFrame, grade_col: str) -> DataFrame:
     total = F.sum("n").over(Window.partitionBy(grade_col))
     return counts.withColumn("grade_total", total).withColumn(
         "pct_of_grade", F.bround(F.col("n") * 100.0 / F.col("grade_total"), 2))
+
+
+def merge_rates(partner: DataFrame, best: DataFrame, grade_col: str) -> DataFrame:
+    """Per grade of the partner rows: how many there are, how many are the best candidate of some
+    vendor event in a match phase (merged) or at all (potential), and the percentage merged."""
+    merged = best.groupBy("p_id").agg(F.max(F.col("MATCH_TYPE") != MATCH_PHASES[3]).alias("_merged"))
+    rows = partner.select("p_id", grade_col).join(merged, "p_id", "left")
+    out = rows.groupBy(grade_col).agg(F.count(F.lit(1)).alias("partner_rows"), F.count("_merged").alias("potential_rows"),
+                                      F.count_if("_merged").alias("merged_rows"))
+    return out.withColumn("pct_merged", pct("merged_rows", "partner_rows", 2)).orderBy(F.col(grade_col).asc_nulls_last())

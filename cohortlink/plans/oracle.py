@@ -705,3 +705,126 @@ SELECT q.o_orderkey, q.o_orderstatus, q.grades_text, {sql_list_text('q.gl')} AS
 
 ORACLE["counts_subject"] = f"""WITH {PARTNER_CTES}
 SELECT D_SUBJECT, count(*) AS record_count FROM split WHERE SPLIT = 'kept' GROUP BY ALL"""
+
+
+# ---------------------------------------------------------------------------
+# Filters, roster, older checks, merge counts
+# ---------------------------------------------------------------------------
+from .roles import LEGACY_GRADES, ONE_STATE, ONE_TERM, SOME_SCALES, SOME_TESTS  # noqa: E402
+
+_SOME = ", ".join(f"'{t}'" for t in SOME_TESTS)
+_ONE = f"TERM_NUMBER = {ONE_TERM} AND DISTRICT_GEOGRAPHY_NAME = '{ONE_STATE}'"
+ORACLE["counts_total_by_test_filtered"] = f"""WITH {EVENT_VIEW}
+SELECT {_BASE}, count(*) AS test_count FROM ev
+WHERE {_ONE} AND MEASUREMENT_SCALE_BID IN ({', '.join(map(str, SOME_SCALES))}) AND GROWTH_EVENT_YN GROUP BY {_BASE}"""
+ORACLE["counts_by_grade_filtered"] = f"""WITH {EVENT_VIEW}
+SELECT {_BASE}, GRADE_ORDINAL AS GRADE, {_COUNTS} FROM ev
+WHERE {_ONE} AND ASSESS_SCORE IS NOT NULL AND TEST_NAME IN ({_SOME}) GROUP BY {_BASE}, GRADE_ORDINAL"""
+ORACLE["counts_by_district_grade_filtered"] = f"""WITH {EVENT_VIEW}
+SELECT {_DIST}, GRADE_ORDINAL AS GRADE, {_COUNTS} FROM ev
+WHERE {_ONE} AND ASSESS_SCORE IS NOT NULL AND TEST_NAME IN ({_SOME}) GROUP BY {_DIST}, GRADE_ORDINAL"""
+ORACLE["term_statement"] = f"""WITH {EVENT_VIEW}
+SELECT TEST_NAME, GRADE_ORDINAL, count(*) AS test_count, count(DISTINCT STUDENT_BUSINESS_IDENTIFIER) AS student_count
+FROM ev WHERE {_ONE} AND ASSESS_SCORE IS NOT NULL AND TEST_NAME IN ({_SOME}) GROUP BY TEST_NAME, GRADE_ORDINAL"""
+
+_STU_ID = "TRY_CAST({} AS DECIMAL(38,0))"
+ORACLE["event_extract_term"] = f"""
+WITH first_school AS (SELECT s_nationkey, min(s_suppkey) AS school FROM supplier GROUP BY 1),
+stu AS (
+  SELECT r.r_name AS state, CAST(n.n_nationkey AS BIGINT) AS district_business_identifier, n.n_name AS district_standard_name,
+         lpad(CAST(n.n_nationkey AS VARCHAR), 4, '0') AS district_agency_code, s.s_suppkey AS school_business_identifier,
+         s.s_name AS school_standard_name, y.y AS term_number, (c.c_custkey + y.y) % 18 AS g, c.c_custkey AS k,
+         CASE n.n_nationkey % 9 {' '.join(f"WHEN {i} THEN '{e}'" for i, e in enumerate(ETHNIC_NAMES))} END AS ethnic_group_name,
+         c.c_mktsegment, c.c_name
+  FROM customer c JOIN (SELECT DISTINCT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS y FROM orders) y ON y.o_custkey = c.c_custkey
+  JOIN first_school f ON f.s_nationkey = c.c_nationkey JOIN supplier s ON s.s_suppkey = f.school
+  JOIN nation n ON n.n_nationkey = c.c_nationkey JOIN region r ON r.r_regionkey = n.n_regionkey
+  WHERE y.y = {ONE_TERM} AND r.r_name = '{ONE_STATE}'),
+x AS (
+  SELECT l.l_orderkey * 8 + l.l_linenumber AS test_event_business_identifier, stu.*, l.*, p.p_brand, p.p_partkey, p.p_size, p.p_type
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN stu ON o.o_custkey = stu.k AND year(o.o_orderdate) = stu.term_number
+  JOIN part p ON p.p_partkey = l.l_partkey
+  WHERE l.l_returnflag <> 'R' AND l.l_linestatus = 'F' AND l.l_extendedprice IS NOT NULL AND p.p_brand IN ({_SOME}))
+SELECT test_event_business_identifier, state, district_business_identifier, district_standard_name, district_agency_code,
+       school_business_identifier, school_standard_name,
+       CAST(CASE WHEN g IN (13, 16, 17) THEN 0 WHEN g = 14 THEN -1 WHEN g BETWEEN 1 AND 12 THEN g END AS INTEGER) AS grade_ordinal,
+       k AS student_business_identifier, ethnic_group_name, CAST({_ETH_CODE} AS INTEGER) AS ethnic_group_code,
+       CAST(round(l_extendedprice) AS INTEGER) AS irit, CAST(l_tax * 10 + l_discount AS DECIMAL(5,2)) AS sem, p_brand AS test_name,
+       'T-' || CAST(p_partkey AS VARCHAR) || '-' || CAST(p_size AS VARCHAR) AS test_key,
+       CASE WHEN k % 2 = 0 THEN 'F' ELSE 'MALE' END AS student_gender, upper(c_mktsegment) AS student_first_name,
+       upper(trim(c_name)) AS student_last_name,
+       CASE WHEN k % 10 <> 0 THEN CAST(k AS DECIMAL(38,0)) END AS student_state_id, CAST(k + 100000 AS DECIMAL(38,0)) AS student_id,
+       CAST(CASE WHEN l_linenumber = 7 THEN 7 ELSE l_linenumber + 5 END AS INTEGER) AS measurement_scale_bid,
+       CAST(l_linenumber + 5 AS INTEGER) AS measurement_scale_bid_raw, 'Subject ' || CAST(l_linenumber AS VARCHAR) AS subject, term_number,
+       CASE WHEN p_type <> 'PROMO' THEN CAST(p_size % 6 + 1 AS INTEGER) END AS test_grade_low,
+       CASE WHEN p_type <> 'PROMO' THEN CAST(p_size % 6 + 6 AS INTEGER) END AS test_grade_high, CAST(l_shipdate AS DATE) AS testdate,
+       CASE WHEN p_type <> 'PROMO' THEN CASE WHEN p_size % 2 = 0 THEN 'EN' ELSE 'ES' END END AS language_id,
+       DATE '{DOB_BASE}' + CAST(k % 7000 AS INTEGER) AS dob,
+       CAST(strftime(DATE '{DOB_BASE}' + CAST(k % 7000 AS INTEGER), '%Y%m') AS INTEGER) AS dob_yyyy_mm,
+       CAST(row_number() OVER (PARTITION BY k, term_number, l_linenumber ORDER BY l_extendedprice DESC, test_event_business_identifier,
+            school_business_identifier) AS INTEGER) AS score_rank, l_linestatus = 'F' AS growth_event_yn
+FROM x"""
+
+ORACLE["event_view_roster"] = f"""
+WITH ev AS (
+  SELECT l.l_orderkey * 8 + l.l_linenumber AS test_event_business_identifier, r.r_name AS state,
+         CAST(year(o.o_orderdate) AS INTEGER) AS term_number, c.c_custkey AS student_business_identifier, p.p_brand AS test_name,
+         CAST(c.c_custkey % 12 + 1 AS INTEGER) AS grade_ordinal, CAST(p.p_size % 6 + 1 AS INTEGER) AS test_grade_low,
+         CAST(p.p_size % 6 + 6 AS INTEGER) AS test_grade_high, l.l_extendedprice AS score,
+         CAST(l.l_linenumber + 5 AS INTEGER) AS measurement_scale_bid_raw
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN part p ON l.l_partkey = p.p_partkey JOIN nation n ON n.n_nationkey = c.c_nationkey JOIN region r ON r.r_regionkey = n.n_regionkey
+  WHERE l.l_returnflag <> 'R' AND l.l_extendedprice IS NOT NULL AND p.p_brand IN ({_TESTS})
+    AND c.c_custkey % 12 + 1 BETWEEN p.p_size % 6 + 1 AND p.p_size % 6 + 6 AND year(o.o_orderdate) = {ONE_TERM} AND r.r_name = '{ONE_STATE}'),
+births AS (
+  SELECT DISTINCT o_custkey, DATE '{DOB_BASE}' + CAST(o_custkey % 7000 + CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END AS INTEGER) AS r_dob
+  FROM orders WHERE o_custkey % 17 <> 0 AND year(o_orderdate) = {ONE_TERM})
+SELECT DISTINCT ev.*, CASE WHEN measurement_scale_bid_raw = 12 THEN 7 ELSE measurement_scale_bid_raw END AS measurement_scale_bid, r_dob,
+       CAST(row_number() OVER (PARTITION BY student_business_identifier, term_number, measurement_scale_bid_raw
+            ORDER BY score DESC, test_event_business_identifier, r_dob NULLS FIRST) AS INTEGER) AS score_rank
+FROM ev LEFT JOIN births ON o_custkey = student_business_identifier"""
+
+
+def _legacy_fit() -> str:
+    out = []
+    for c, grades in LEGACY_GRADES.items():
+        cond = f"TRY_CAST(trim({c}) AS DECIMAL(38,0)) IS NOT NULL"
+        if grades:
+            cond += f" AND TRY_CAST(trim(GRADE) AS DECIMAL(38,0)) IN ({', '.join(map(str, grades))})"
+        out.append(f"COALESCE({cond}, false)")
+    return " OR ".join(out)
+
+
+_SCORED = " OR ".join(f"TRY_CAST(trim({c}) AS DECIMAL(38,0)) IS NOT NULL" for c in LEGACY_GRADES)
+CHECKED_CTE = f"""{WIDE_CTE},
+judged AS (SELECT *, {_SCORED} AS scored, {_legacy_fit()} AS fit FROM wide),
+reasons AS (
+  SELECT *, CASE WHEN NOT scored THEN 'removed_noScores' WHEN NOT fit THEN CASE WHEN EXISTS (SELECT 1 FROM judged k
+       WHERE k.fit AND k.STATE_STID IS NOT DISTINCT FROM j.STATE_STID) THEN '_' ELSE 'removed_gradeRange' END
+       WHEN LNAME IS NULL THEN 'removed_Lname' WHEN FNAME IS NULL THEN 'removed_Fname' END AS reason FROM judged j),
+checked AS (SELECT * FROM reasons WHERE reason IS NULL OR reason <> '_')"""
+_SHOWN = ", ".join(f"CASE WHEN reason IS NULL THEN CAST(CAST(TRY_CAST(trim({c}) AS DECIMAL(38,0)) AS BIGINT) AS VARCHAR) ELSE {c} END AS {c}"
+                   for c in LEGACY_GRADES)
+ORACLE["legacy_checks"] = f"""WITH {CHECKED_CTE}
+SELECT reason AS reasonForRemoval, RECORD_ID, STATE_STID, GRADE, {_SHOWN}, strftime({sql_parse_date('DOB')}, '%m-%d-%Y') AS DOB_TEXT
+FROM checked"""
+_REPORT = ("removed_gradeRange", "removed_noScores", "removed_Lname", "removed_Fname")
+ORACLE["district_counts"] = f"""WITH {CHECKED_CTE},
+n AS (SELECT AGENCYCODE, NULLIF(count(*) FILTER (WHERE reason IS NULL), 0) AS final_counts,
+      {', '.join(f"NULLIF(count(*) FILTER (WHERE reason = '{r}'), 0) AS {r}" for r in _REPORT)} FROM checked GROUP BY 1)
+SELECT f.FILENAMEFROMDISTRICT, n.* FROM (SELECT DISTINCT AGENCYCODE, FILENAMEFROMDISTRICT FROM checked) f JOIN n ON n.AGENCYCODE = f.AGENCYCODE"""
+
+ORACLE["merge_rates"] = f"""WITH {PARTNER_CTES},\n{LINK_CTE},\n{_BEST},
+hit AS (SELECT p_id, bool_or(MATCH_TYPE <> 'UNMATCHED') AS merged FROM best GROUP BY 1),
+g AS (SELECT p.D_GRADE_CLEAN, count(*) AS partner_rows, count(h.merged) AS potential_rows, count(*) FILTER (WHERE h.merged) AS merged_rows
+      FROM partner p LEFT JOIN hit h ON h.p_id = p.p_id GROUP BY 1)
+SELECT *, round_even(CAST(merged_rows AS DOUBLE) * 100.0 / partner_rows, 2) AS pct_merged FROM g"""
+
+_FILE_MISS = [c for c in WIDE_COLS if c not in ("RECORD_ID", "FILENAMEFROMDISTRICT")]
+ORACLE["missingness_by_file"] = f"WITH {WIDE_CTE}\n" + _missingness("wide", ["FILENAMEFROMDISTRICT"], _FILE_MISS, set(_FILE_MISS))
+ORACLE["missingness_long_table"] = (
+    f"WITH {WIDE_CTE},\n{LONG_CTE},\n{CLEAN_CTE},\n"
+    "shown AS (SELECT *, strftime(D_TESTDATE_DATE, '%m/%d/%Y') AS D_TESTDATE_CLEAN, strftime(D_DOB_DATE, '%m/%d/%Y') AS D_DOB_CLEAN FROM clean_long)\n"
+    + _missingness("shown", ["D_GRADE_CLEAN", "D_FILENAMEFROMDISTRICT"],
+                   ["D_SS", "D_SS_CLEAN", "D_GRADE", "D_TERM", "D_TESTNAME", "D_TESTDATE_CLEAN", "D_DOB_CLEAN", "D_STATE_STID_CLEAN"],
+                   {"D_SS", "D_GRADE", "D_TERM", "D_TESTNAME", "D_TESTDATE_CLEAN", "D_DOB_CLEAN"}))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as fx
 from ..config import SCORE_SUFFIXES
-from ..operators import counts, extract, intake, linkage, quality, reshape, store
+from ..operators import counts, extract, intake, legacy_checks, linkage, quality, reshape, roster, store
 from . import roles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -311,6 +311,80 @@ def q_counts_subject(spark: SparkSession, sf: str) -> DataFrame:
     return counts.record_counts(clean, ["D_SUBJECT"])
 
 
+def q_counts_total_by_test_filtered(spark: SparkSession, sf: str) -> DataFrame:
+    return counts.counts_total_by_test(roles.event_view(spark, sf), roles.SOME_SCALES, roles.ONE_STATE, roles.ONE_TERM)
+
+
+def q_counts_by_grade_filtered(spark: SparkSession, sf: str) -> DataFrame:
+    return counts.counts_by_grade(roles.event_view(spark, sf), roles.SOME_TESTS, roles.ONE_STATE, roles.ONE_TERM)
+
+
+def q_counts_by_district_grade_filtered(spark: SparkSession, sf: str) -> DataFrame:
+    return counts.counts_by_district_grade(roles.event_view(spark, sf), roles.SOME_TESTS, roles.ONE_STATE, roles.ONE_TERM)
+
+
+TERM_STATEMENT = """
+SELECT TEST_NAME, GRADE_ORDINAL, count(*) AS test_count, count(DISTINCT STUDENT_BUSINESS_IDENTIFIER) AS student_count
+FROM IDENTIFIER(:view)
+WHERE TERM_NUMBER = :term AND DISTRICT_GEOGRAPHY_NAME = :state AND array_contains(:tests, TEST_NAME) AND ASSESS_SCORE IS NOT NULL
+GROUP BY TEST_NAME, GRADE_ORDINAL"""
+
+
+def q_term_statement(spark: SparkSession, sf: str) -> DataFrame:
+    """A study statement with named parameters and the view's name as one of them."""
+    roles.event_view(spark, sf).createOrReplaceTempView("study_event_view")
+    return spark.sql(TERM_STATEMENT, args={"view": "study_event_view", "term": roles.ONE_TERM, "state": roles.ONE_STATE,
+                                           "tests": list(roles.SOME_TESTS)})
+
+
+def q_event_extract_term(spark: SparkSession, sf: str) -> DataFrame:
+    """The extract of one state and term by enrollment (grade and school of the primary one)."""
+    students = roster.included_students(
+        extract.included_schools(roles.organization(spark, sf), roles.ONE_STATE), roles.enrollments(spark, sf),
+        roster.included_terms(roles.terms(spark, sf), roles.ONE_TERM), roles.students(spark, sf).drop("ethnic_group_id"),
+        roles.ethnic_groups(spark, sf))
+    return roster.term_events(students, roles.term_vendor_events(spark, sf), roles.courses(spark, sf), roles.tests(spark, sf),
+                              roles.content_tests(spark, sf), roles.SOME_TESTS)
+
+
+def q_event_view_roster(spark: SparkSession, sf: str) -> DataFrame:
+    return roster.view_events_with_roster(roles.view_events(spark, sf), roles.student_roster(spark, sf), roles.ONE_STATE,
+                                          roles.ONE_TERM, roles.STUDY_TEST_NAMES)
+
+
+def checked(spark: SparkSession, sf: str) -> DataFrame:
+    return legacy_checks.checked_records(fx.normalize_strings(roles.partner_wide(spark, sf)), roles.LEGACY_GRADES)
+
+
+def q_legacy_checks(spark: SparkSession, sf: str) -> DataFrame:
+    return checked(spark, sf).select("reasonForRemoval", "RECORD_ID", "STATE_STID", "GRADE", *roles.LEGACY_GRADES,
+                                     legacy_checks.dob_text("DOB").alias("DOB_TEXT"))
+
+
+def q_district_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return legacy_checks.district_report(checked(spark, sf))
+
+
+def q_merge_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """Per grade: partner rows, those linked to a vendor event, and their share."""
+    partner, vendor = linkage_inputs(spark, sf)
+    best = linkage.link_best(partner, vendor, ("D_GRADE_CLEAN",), ())
+    return linkage.merge_rates(partner, best, "D_GRADE_CLEAN")
+
+
+def q_missingness_by_file(spark: SparkSession, sf: str) -> DataFrame:
+    wide = fx.normalize_strings(roles.partner_wide(spark, sf))
+    return counts.missingness_long(wide.drop("RECORD_ID"), ["FILENAMEFROMDISTRICT"])
+
+
+LONG_SUMMARY = ("D_SS", "D_SS_CLEAN", "D_GRADE", "D_TERM", "D_TESTNAME", "D_TESTDATE_CLEAN", "D_DOB_CLEAN", "D_STATE_STID_CLEAN")
+
+
+def q_missingness_long_table(spark: SparkSession, sf: str) -> DataFrame:
+    long = quality.add_clean_columns(partner_long(spark, sf), AS_OF)
+    return counts.missingness_long(long, ["D_GRADE_CLEAN", "D_FILENAMEFROMDISTRICT"], columns_to_summarize=LONG_SUMMARY)
+
+
 QUERIES: dict[str, Query] = {
     "counts_total_by_test": q_counts_total_by_test,
     "counts_by_grade": q_counts_by_grade,
@@ -347,4 +421,15 @@ QUERIES: dict[str, Query] = {
     "name_key": q_name_key,
     "grade_list_parse": q_grade_list_parse,
     "counts_subject": q_counts_subject,
+    "counts_total_by_test_filtered": q_counts_total_by_test_filtered,
+    "counts_by_grade_filtered": q_counts_by_grade_filtered,
+    "counts_by_district_grade_filtered": q_counts_by_district_grade_filtered,
+    "term_statement": q_term_statement,
+    "event_extract_term": q_event_extract_term,
+    "event_view_roster": q_event_view_roster,
+    "legacy_checks": q_legacy_checks,
+    "district_counts": q_district_counts,
+    "merge_rates": q_merge_rates,
+    "missingness_by_file": q_missingness_by_file,
+    "missingness_long_table": q_missingness_long_table,
 }

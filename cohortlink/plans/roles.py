@@ -266,6 +266,93 @@ def content_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.when(F.col("p_size") % 2 == 0, F.lit("EN")).otherwise(F.lit("ES")).alias("language_id"))
 
 
+# Parameters of the filtered queries: one state, one term, some of the tests and scales.
+ONE_STATE, ONE_TERM = "ASIA", 1996
+SOME_TESTS = ("Brand#1", "Brand#4", "Brand#7", "Brand#13", "Brand#22")
+SOME_SCALES = (6, 8, 12)
+
+
+def terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A term per partner (nation) and order year."""
+    o = read_table(spark, sf_dir, "orders")
+    c = read_table(spark, sf_dir, "customer")
+    key = F.col("c_nationkey").cast("bigint")
+    x = o.join(c, o.o_custkey == c.c_custkey).select(key.alias("k"), F.year("o_orderdate").cast("int").alias("y")).distinct()
+    return x.select(F.col("k").cast("string").alias("partner_id"), (F.col("k") * 10000 + F.col("y")).alias("term_bid"),
+                    F.col("y").alias("term_number"),
+                    F.concat((F.col("y") - 1).cast("string"), F.lit("-"), F.col("y").cast("string")).alias("academic_year_name"))
+
+
+def enrollments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per student and order year an enrollment in the partner's first school (primary), for every
+    fifth student one more in its last school (not primary)."""
+    o = read_table(spark, sf_dir, "orders")
+    c = read_table(spark, sf_dir, "customer")
+    s = read_table(spark, sf_dir, "supplier").groupBy("s_nationkey").agg(F.min("s_suppkey").alias("first"), F.max("s_suppkey").alias("last"))
+    years = o.select("o_custkey", F.year("o_orderdate").cast("int").alias("y")).distinct()
+    x = years.join(c, years.o_custkey == c.c_custkey).join(s, c.c_nationkey == s.s_nationkey)
+    ck, key = F.col("c_custkey"), F.col("c_nationkey").cast("bigint")
+    places = F.array(F.struct(F.col("first").alias("school"), F.lit(True).alias("main")),
+                     F.struct(F.when(ck % 5 == 0, F.col("last")).alias("school"), F.lit(False).alias("main")))
+    return (x.select(ck.alias("student_bid"), key.cast("string").alias("partner_id"), (key * 10000 + F.col("y")).alias("term_bid"),
+                     ((ck + F.col("y")) % 18).cast("int").alias("grade_bid"), key.alias("ethnic_group_id"), F.explode(places).alias("p"))
+            .where("p.school is not null")
+            .select("student_bid", F.col("p.school").alias("organization_bid"), "partner_id", "term_bid", "grade_bid", "ethnic_group_id",
+                    F.col("p.main").alias("primary_yn")))
+
+
+def courses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A course per line number."""
+    l = read_table(spark, sf_dir, "lineitem").select("l_linenumber").distinct()
+    return l.select(F.col("l_linenumber").cast("bigint").alias("course_id"), (F.col("l_linenumber") + 5).cast("int").alias("measurement_scale_bid"),
+                    F.concat(F.lit("Subject "), F.col("l_linenumber").cast("string")).alias("subject"))
+
+
+def term_vendor_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vendor events with partner, term and course keys."""
+    l = read_table(spark, sf_dir, "lineitem")
+    o = read_table(spark, sf_dir, "orders")
+    c = read_table(spark, sf_dir, "customer")
+    x = l.join(o, l.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
+    key = F.col("c_nationkey").cast("bigint")
+    return x.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("test_event_bid"), F.col("c_custkey").alias("student_bid"),
+                    key.cast("string").alias("partner_id"), (key * 10000 + F.year("o_orderdate")).alias("term_bid"),
+                    F.col("l_linenumber").cast("bigint").alias("course_id"), F.col("l_partkey").alias("test_id"),
+                    F.col("l_extendedprice").alias("score"), (F.col("l_tax") * 10 + F.col("l_discount")).alias("standard_error"),
+                    F.col("l_shipdate").cast("date").alias("event_end_date"), (F.col("l_returnflag") != "R").alias("valid_event_yn"),
+                    (F.col("l_linestatus") == "F").alias("growth_event_yn"))
+
+
+def view_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event view with ids, grades of the test and scores (for the roster join)."""
+    l = read_table(spark, sf_dir, "lineitem")
+    o = read_table(spark, sf_dir, "orders")
+    c = read_table(spark, sf_dir, "customer")
+    p = read_table(spark, sf_dir, "part")
+    d = districts(spark, sf_dir)
+    x = (l.join(o, l.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey).join(p, l.l_partkey == p.p_partkey)
+         .join(d, c.c_nationkey == d.n_nationkey))
+    low = (F.col("p_size") % 6 + 1).cast("int")
+    return x.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("test_event_business_identifier"), F.col("r_name").alias("state"),
+                    F.year("o_orderdate").cast("int").alias("term_number"), F.col("c_custkey").alias("student_business_identifier"),
+                    F.col("p_brand").alias("test_name"), (F.col("c_custkey") % 12 + 1).cast("int").alias("grade_ordinal"),
+                    low.alias("test_grade_low"), (low + 5).alias("test_grade_high"), F.col("l_extendedprice").alias("score"),
+                    (F.col("l_linenumber") + 5).cast("int").alias("measurement_scale_bid"),
+                    (F.col("l_returnflag") != "R").alias("valid_event_yn"), (F.col("l_linestatus") == "F").alias("growth_event_yn"))
+
+
+def student_roster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A roster row per order; every seventh order states a birth date one day later."""
+    o = read_table(spark, sf_dir, "orders").where(F.col("o_custkey") % 17 != 0)
+    dob = F.date_add(F.lit(DOB_BASE).cast("date"), (F.col("o_custkey") % 7000 + F.when(F.col("o_orderkey") % 7 == 0, 1).otherwise(0)).cast("int"))
+    return o.select(F.col("o_custkey").alias("student_business_identifier"), F.year("o_orderdate").cast("int").alias("term_number"),
+                    dob.alias("date_of_birth"))
+
+
+# Study grades per score column of the older checks (none: any grade).
+LEGACY_GRADES = {"MATH_SS": (3, 4, 5, 6), "ELA_SS": (7, 8, 9), "SCI_SS": (12,), "SOC_SS": (), "BIO_SS": (1, 2)}
+
+
 def linkage_vendor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Vendor side of the linkage: one test event per order (event id = order key)."""
     o = read_table(spark, sf_dir, "orders")
