@@ -145,7 +145,7 @@ def _ordered(t: pa.Table) -> tuple[pa.Table, np.ndarray]:
     return t, np.r_[0, np.cumsum(size)].astype(np.int64)
 
 
-def _pieces(length: int, buckets: int):
+def _pieces(length: int, tallies: int, buckets: int):
     """Of one group of texts: the pieces whose anchor is shared, dealt to the suffix buckets."""
     schema = pa.schema([("bucket", pa.int32()), ("grp", pa.int32())] + [(n, pa.binary()) for n in
                        ("owners", "counts", "vals", "pos", "runs", "shift", "bytes")])
@@ -162,7 +162,7 @@ def _pieces(length: int, buckets: int):
         for row, buf, offs in tk.chunks(texts.column("text"), CHUNK):
             at, runs, value, text, h = anchor_runs(buf, offs, length)
             to = packs.bucket_of(value, buckets)
-            key = _key(value, to)
+            key = _key(value, packs.bucket_of(value, tallies))
             hit = known[np.minimum(np.searchsorted(known, key), len(known) - 1)] == key
             at, runs, value, text, to = at[hit], runs[hit], value[hit], text[hit], to[hit]
             if not len(at):
@@ -181,7 +181,7 @@ def _pieces(length: int, buckets: int):
                 step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
                 parts.append((int(to[o[0]]), grp, who, counts, tk.pack6(value[o]),
                               (at[o] + base[row]).astype(np.int64).tobytes(), runs[o].astype(np.uint32).tobytes(),
-                              shift[o].tobytes(), buf[np.repeat(at[o], n) + step].tobytes()))
+                              shift[o].tobytes(), pa.compress(buf[np.repeat(at[o], n) + step].tobytes(), "zstd", asbytes=True)))
         return pa.table([pa.array([p[i] for p in parts], f.type) for i, f in enumerate(schema)], schema=schema)
     return run
 
@@ -271,11 +271,13 @@ def _repeats(length: int):
     def run(t: pa.Table) -> pa.Table:
         doc = packs.unpack_owners(t.column("owners"), t.column("counts")).view(np.int64)
         cols = {n: np.concatenate([np.frombuffer(x, d) for x in t.column(n).to_pylist()])
-                for n, d in (("pos", np.int64), ("runs", np.uint32), ("shift", np.uint8), ("bytes", np.uint8))}
+                for n, d in (("pos", np.int64), ("runs", np.uint32), ("shift", np.uint8))}
+        raw = [int(np.frombuffer(x, np.uint32).sum(dtype=np.int64)) + len(x) // 4 * (length - 1) for x in t.column("runs").to_pylist()]
+        blob = np.concatenate([np.frombuffer(pa.decompress(x, n, "zstd"), np.uint8) for x, n in zip(t.column("bytes").to_pylist(), raw)])
         value = np.concatenate([tk.unpack6(x) for x in t.column("vals").to_pylist()])
         per_row = [len(x) // 8 for x in t.column("pos").to_pylist()]
         grp = np.repeat(np.array(t.column("grp").to_pylist(), np.int32), per_row)
-        pos, runs, shift, blob = cols["pos"], cols["runs"].astype(np.int64), cols["shift"].astype(np.int64), cols["bytes"]
+        pos, runs, shift = cols["pos"], cols["runs"].astype(np.int64), cols["shift"].astype(np.int64)
         size = runs + length - 1
         first = np.cumsum(size) - size
         content = np.empty(len(pos), U64)
@@ -371,19 +373,20 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, buckets: int | None =
     others. Rows with the same doc_id never remove from one another. Texts shorter than ``length``
     bytes stay whole. An empty table gives no rows; other columns are ignored. ``with_text`` adds
     the kept bytes (a cut may fall inside a character). ``buckets`` and ``groups`` are the numbers
-    of suffix buckets and of text groups held by one task at a time (default: four per shuffle
-    partition).
+    of suffix buckets and of text groups held by one task at a time (default: two per shuffle
+    partition); anchors are counted in half as many buckets.
     """
     n = partitions(docs.sparkSession)
-    buckets, groups = buckets or 4 * n, groups or 4 * n
+    buckets, groups = buckets or 2 * n, groups or 2 * n
+    tallies = max(1, buckets // 2)
     rows = (pick(docs, "doc_id", "text").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
         .withColumn("ord", F.coalesce("doc_id", F.lit((1 << 63) - 1)))
         .withColumn("rid", F.xxhash64("doc_id", "text")))
-    anchors = rows.select("rid", "text").mapInArrow(_anchors(length, buckets), packs.SCHEMA)
+    anchors = rows.select("rid", "text").mapInArrow(_anchors(length, tallies), packs.SCHEMA)
     shared = anchors.groupBy("bucket").applyInArrow(_shared(groups), "grp int, bucket int, vals binary")
     texts = rows.select(F.pmod("rid", F.lit(groups)).cast("int").alias("grp"), "doc_id", "ord", "rid", "text")
-    pieces = texts.groupBy("grp").cogroup(shared.groupBy("grp")).applyInArrow(_pieces(length, buckets), PIECES)
+    pieces = texts.groupBy("grp").cogroup(shared.groupBy("grp")).applyInArrow(_pieces(length, tallies, buckets), PIECES)
     repeats = pieces.groupBy("bucket").applyInArrow(_repeats(length), "grp int, pos binary, runs binary")
     return texts.groupBy("grp").cogroup(repeats.groupBy("grp")).applyInArrow(
         _cut(length, with_text), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
