@@ -86,6 +86,7 @@ class Lexicon:
         self._next: list[dict[str, int]] = []
         self._hit: list[tuple] = []
         self._start = self._state({0: 0}, -1)
+        self._known: dict[str, tuple | None] = {}
 
     def __getstate__(self):
         return dict(zip(self.terms, self.weight))
@@ -144,15 +145,15 @@ class Lexicon:
 
     def match(self, word: str) -> tuple | None:
         """(term, how) of a lower-case word, or None."""
-        state = self._start
-        if len(self._sets) > 200_000:  # bounds what a long-lived worker remembers
+        if len(self._sets) > 200_000 or len(self._known) > 400_000:  # bounds what a long-lived worker remembers
             self._restart()
-            state = self._start
+        state = self._start
         for ch in word:
             nxt = self._next[state].get(ch)
             state = self._step(state, ch) if nxt is None else nxt
             if not self._sets[state][0]:
                 break
+        self._known[word] = self._hit[state]
         return self._hit[state]
 
     def features(self, text: str | None) -> list[float]:
@@ -161,7 +162,12 @@ class Lexicon:
         text = text or ""
         low = text.lower()
         words = _WORD.findall(low)
-        found = {w: hit for w in set(words) if (hit := self.match(w))}
+        known = self._known
+        found = {}
+        for w in set(words):
+            hit = known[w] if w in known else self.match(w)
+            if hit:
+                found[w] = hit
         if found:
             spans = [m.span() for m in _WORD.finditer(low)]
             at = [i for i, w in enumerate(words) if w in found]
