@@ -292,3 +292,69 @@ def test_grade_pivot_and_sets(spark):
     p = {row["a"]: (row["x"], row["y"]) for row in reshape.reason_pivot(r, ["a"], "reason", ["x", "y"]).collect()}
     assert p["1"] == (1, 1) and p["2"][0] == 1
     assert fx is not None
+
+
+def test_planning_starts_no_job(spark):
+    from cohortlink.plans import roles
+    long = spark.createDataFrame([("1", "MATH", "4", "200", "2025", None, None)],
+                                 "D_ID string, D_SUBJECT string, D_GRADE string, D_SS string, D_TERM string, D_TESTDATE string, D_DOB string")
+    tracker, group = spark.sparkContext.statusTracker(), "planning"
+    spark.sparkContext.setJobGroup(group, "plan only")
+    try:
+        s = quality.prepare_settings(roles.settings(spark))
+        flags = quality.add_flags(quality.join_settings(quality.add_clean_columns(long, dt.date(2025, 9, 1)), s), s)
+        counts.record_counts(flags, ["FLAG_REASON"])._jdf.queryExecution().optimizedPlan()
+        assert list(tracker.getJobIdsForGroup(group)) == []
+    finally:
+        spark.sparkContext.setJobGroup("tests", "tests")
+
+
+def test_flag_summary_reads_and_judges_once(spark):
+    from cohortlink.plans.queries import QUERIES
+    plan = QUERIES["flag_summary"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_linenumber") and sum("Relation [l_" in line for line in plan.split("\n")) == 1
+    assert sum("Generate inline" in line for line in plan.split("\n")) == 1
+
+
+def test_legacy_checks_and_district_report(spark):
+    from cohortlink.operators import legacy_checks
+    wide = spark.createDataFrame([
+        ("1", "s1", "L", "F", "4", "200", None, "01", "a.csv"), ("2", "s2", "L", "F", "9", "200", None, "01", "a.csv"),
+        ("3", "s1", "L", "F", "9", "210", None, "01", "a.csv"), ("4", "s4", "L", "F", "4", "x", " ", "02", "b.csv"),
+        ("5", None, "L", "F", "4", "7", None, "02", "b.csv"), ("6", None, "L", "F", "11", "7", None, "02", "b.csv"),
+        ("7", "s7", None, "F", "zz", None, "5", "03", "c.csv"), ("8", "s8", "L", None, None, None, "5", "03", "c.csv")],
+        "RECORD_ID string, STATE_STID string, LNAME string, FNAME string, GRADE string, MATH_SS string, ELA_SS string, "
+        "AGENCYCODE string, FILENAMEFROMDISTRICT string")
+    out = legacy_checks.checked_records(wide, {"MATH_SS": (3, 4), "ELA_SS": ()})
+    got = {r["RECORD_ID"]: r["reasonForRemoval"] for r in out.collect()}
+    # 3 and 6 do not fit, but a record with their state id (null included) does: neither accepted nor reported
+    assert got == {"1": None, "2": "removed_gradeRange", "4": "removed_noScores", "5": None, "7": "removed_Lname", "8": "removed_Fname"}
+    assert out.columns[0] == "reasonForRemoval"
+    rep = {r["AGENCYCODE"]: r for r in legacy_checks.district_report(out).collect()}
+    assert rep["01"]["final_counts"] == 1 and rep["01"]["removed_gradeRange"] == 1 and rep["01"]["removed_noScores"] is None
+    assert rep["03"]["final_counts"] is None and rep["03"]["removed_Fname"] == 1
+
+
+def test_roster_takes_the_enrollment_of_the_term(spark):
+    from cohortlink.operators import roster
+    d = dt.date(2012, 1, 1)
+    schools = spark.createDataFrame([("ZZ", 1, "D", "p", "0001", 10, "S10"), ("ZZ", 1, "D", "p", "0001", 11, "S11")],
+                                    "state string, district_business_identifier long, district_standard_name string, partner_id string, "
+                                    "district_agency_code string, school_business_identifier long, school_standard_name string")
+    enr = spark.createDataFrame([(1, 10, "p", 1, 4, 0, True), (1, 11, "p", 2, 5, 0, True), (1, 11, "p", 1, 9, 0, False), (1, 10, "q", 1, 7, 0, True)],
+                                "student_bid long, organization_bid long, partner_id string, term_bid long, grade_bid int, ethnic_group_id long, primary_yn boolean")
+    terms = spark.createDataFrame([("p", 1, 2025, "2024-2025"), ("p", 2, 2026, "2025-2026")], "partner_id string, term_bid long, term_number int, academic_year_name string")
+    stu = spark.createDataFrame([(1, "F", " a", "b", "7", "8", d)], "student_bid long, gender string, name_first string, name_last string, "
+                                "state_student_external_id string, district_student_external_id string, date_of_birth date")
+    eg = spark.createDataFrame([(0, "White")], "ethnic_group_id long, ethnic_group_name string")
+    out = roster.included_students(schools, enr, roster.included_terms(terms), stu, eg)
+    got = sorted((r["term_number"], r["school_standard_name"], r["grade_ordinal"], r["academic_year_code"]) for r in out.collect())
+    assert got == [(2025, "S10", 4, 2024), (2026, "S11", 5, 2025)]  # not the second, non-primary school; not the other partner
+    assert roster.included_students(schools, enr, roster.included_terms(terms, 2026), stu, eg).count() == 1
+    ev = spark.createDataFrame([("ZZ", 2025, 1, "T", 5, 3, 8, 200.0, 12, True, True, 77), ("ZZ", 2025, 1, "T", 9, 3, 8, 210.0, 12, True, True, 78)],
+                               "state string, term_number int, student_business_identifier long, test_name string, grade_ordinal int, test_grade_low int, "
+                               "test_grade_high int, score double, measurement_scale_bid int, valid_event_yn boolean, growth_event_yn boolean, "
+                               "test_event_business_identifier long")
+    births = spark.createDataFrame([(1, 2025, d), (1, 2025, d), (1, 2025, dt.date(2013, 1, 1))], "student_business_identifier long, term_number int, date_of_birth date")
+    v = roster.view_events_with_roster(ev, births, "ZZ", 2025, ["T"]).collect()
+    assert sorted((r["test_event_business_identifier"], r["r_dob"].year, r["measurement_scale_bid"]) for r in v) == [(77, 2012, 7), (77, 2013, 7)]
