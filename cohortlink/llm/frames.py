@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,6 +40,14 @@ def keep_plan(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def drop_shuffles(spark: SparkSession) -> None:
+    """Let Spark's context cleaner remove the shuffle files of steps that were checkpointed.
+
+    It does so once their plans are garbage on the driver, which may otherwise take long."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

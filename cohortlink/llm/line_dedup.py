@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .frames import HOT_SHARE, keep_plan, pick
+from .frames import HOT_SHARE, drop_shuffles, keep_plan, pick
 
 MIN_CHARS = 20
 BLOCKS = 16
@@ -64,8 +64,10 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     """(ord, pos) of every line of ``docs`` (ord, text) that goes."""
     distinct = keep_plan(_lines(docs).withColumn("halves", F.expr(_HALVES)).groupBy("line").agg(
         F.min(F.struct("ord", "pos")).alias("first"), F.count("*").alias("n"), F.first("halves").alias("halves")))
+    drop_shuffles(docs.sparkSession)
     halves = distinct.select("line", F.explode("halves").alias("key"))
     near = keep_plan(_shared(halves, "key").select("line").distinct().join(distinct.select("line", "first"), "line"))
+    drop_shuffles(docs.sparkSession)
     # texts of the lines that may have neighbours, from where each occurs first
     where = near.select("line", F.col("first.ord").alias("ord"), F.col("first.pos").alias("pos"))
     text = (_lines(docs.join(where.select("ord").distinct(), "ord", "left_semi")).select("line", "ord", "pos", "s", "len")
@@ -86,6 +88,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     best = (letters.withColumn("least", F.min(F.struct("first", "inner")).over(clique))
             .where(F.expr("levenshtein(inner, least.inner, 1) between 0 and 1"))
             .groupBy("line").agg(F.min("least.first").alias("least")))
+    drop_shuffles(docs.sparkSession)
     # what decides about a line: the earliest of its neighbours and itself
     rule = keep_plan(distinct.select("line", "first", "n").join(best, "line", "left")
                      .select("line", "n", F.col("first"), F.least(F.coalesce("least", "first"), "first").alias("least"))
