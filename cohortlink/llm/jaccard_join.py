@@ -15,9 +15,11 @@ many empty partitions that the bound no longer gives a shared non-empty projecti
 with its prefix (its least hashes), which finds the links among such sets.
 
 Sets with equal content are one node. Signature groups of up to ``GROUP`` nodes give all their
-pairs. A larger group gives the links to its most central node only; then, for nodes that could
-have shared nothing but such groups (the bound tells which), the pairs whose ends are not yet
-connected. Candidates are verified on the whole sets. Links between different texts that the
+pairs. A larger group gives the links to its most central node only. Then the nodes that could
+have shared nothing but such groups (the bound tells which) and are not connected yet are joined
+by prefix filtering, rare shingles first, so frequent passages and the common part of many
+near copies make no candidates there.
+Candidates are verified on the whole sets. Links between different texts that the
 components need are all found: a pair left out is already connected or shares a small group.
 
 Nodes are 64-bit keys of whole sets and shingles are 64-bit hashes.
@@ -27,20 +29,25 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from math import comb
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import packs
 from . import textkit as tk
-from .frames import HOT_SHARE, components, join_by_key, keep_plan, partitions, pick
+from .frames import HOT_SHARE, components, drop_shuffles, join_by_key, keep_plan, partitions, pick
 
 PERCENT = 75
 GROUP = 12  # nodes of a signature group up to which all pairs are made
+LEAST_SKETCH, SKETCH_LOAD = 64, 6  # counters of a sketch at least, shingles per counter at most
+FREQUENT = 1 << 22  # places of the table of shingle frequencies, one byte each (a power of two)
+ID_PLACES = 1 << 20  # places of the table of doc_ids whose texts are wanted (a power of two)
 SEEN = 1 << 20  # set keys that a task remembers, so that it signs equal sets once
 U64 = np.uint64
-_BATCH = 1 << 18
 
 
 def hamming_bound(size: int, percent: int) -> int:
@@ -51,10 +58,10 @@ def hamming_bound(size: int, percent: int) -> int:
 
 @lru_cache(maxsize=None)
 def bands(top: int) -> tuple[int, ...]:
-    """Distance bounds K of the bands: 0..6 one by one, then half as much again each time."""
+    """Distance bounds K of the bands: 0..6 one by one, then twice as much each time."""
     k = [0, 1, 2, 3, 4, 5, 6]
     while k[-1] < top:
-        k.append(k[-1] + k[-1] // 2)
+        k.append(2 * k[-1])
     return tuple(k)
 
 
@@ -85,6 +92,7 @@ def signatures(s: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, int]:
     out, shared = [], 1 << 30
     for band in range(band_of(-(-percent * size // 100), percent), band_of(size, percent) + 1):
         k, q, cuts, salt, pairs = layout(band)
+        k = min(k, hamming_bound(size, percent))  # no pair of the band with this set is further apart
         edge = np.concatenate(([0], np.searchsorted(s, cuts), [size]))
         proj = sums[edge[1:]] - sums[edge[:-1]]
         full = edge[1:] > edge[:-1]
@@ -96,7 +104,8 @@ def signatures(s: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, int]:
             part = tk.mix(proj + salt)
             some = full[pairs].any(axis=1)
             out.append(tk.mix(part[pairs[some, 0]] * U64(3) + part[pairs[some, 1]]))
-            sure = 1 - (empty >= 2)
+            same = len(salt) - k
+            sure = comb(same, 2) - comb(min(empty, same), 2)
         if sure < 1:
             out.append(tk.mix(s[:size - -(-percent * size // 100) + 1] + U64((band + 1) << 20)))
             sure = 1
@@ -108,24 +117,44 @@ def set_key(s: np.ndarray) -> np.uint64:
     return tk.mix(np.array([tk.mix(s).sum(dtype=U64) + U64(len(s))], U64))[0]
 
 
+def sketch(s: np.ndarray) -> np.ndarray:
+    """Shingles counted by their low bits (a power of two of counters, each up to 255)."""
+    size = max(LEAST_SKETCH, 1 << (-(-len(s) // SKETCH_LOAD) - 1).bit_length())
+    return np.minimum(np.bincount(s.view(np.int64) & (size - 1), minlength=size), 255).astype(np.uint8)
+
+
+def sketch_distance(x: bytes, y: bytes) -> int:
+    """At most the Hamming distance of the two sets; the longer sketch is folded onto the shorter."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    if len(a) < len(b):
+        a, b = b, a
+    full = len(a) > len(b) and (a.max() == 255 or b.max() == 255)
+    if full:
+        return 0  # capped counters cannot be added up
+    return int(np.abs(a.reshape(-1, len(b)).sum(0, dtype=np.int64) - b).sum())
+
+
 def _nodes(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n = np.zeros(b.num_rows, np.int64)
             node = np.zeros(b.num_rows, U64)
             sure = np.zeros(b.num_rows, np.int64)
+            counts = [b""] * b.num_rows
             for row, buf, offs in tk.chunks(b.column(1)):
                 for i, s in enumerate(tk.shingle_sets(buf, offs), row):
                     n[i] = len(s)
                     if len(s):
                         node[i], sure[i] = set_key(s), signatures(s, percent)[1]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n), pa.array(tk.as_long(node), mask=n == 0),
-                                              pa.array(sure)], ["doc_id", "n_shingles", "node", "sure"])
+                        counts[i] = sketch(s).tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(n), pa.array(tk.as_long(node), mask=n == 0), pa.array(sure),
+                 pa.array(counts, pa.binary())], ["doc_id", "n_shingles", "node", "sure", "sketch"])
     return run
 
 
 def _signed(percent: int, buckets: int):
-    """Rows (bucket, nodes, counts, signatures): each text chunk's signatures, dealt by hash."""
+    """Each text chunk's signatures, dealt to buckets by hash."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for b in batches:
@@ -139,33 +168,16 @@ def _signed(percent: int, buckets: int):
                         if len(sig):
                             keys.append(key)
                             sigs.append(sig)
-                if not keys:
-                    continue
-                own = np.repeat(np.arange(len(keys)), [len(x) for x in sigs])
-                sig = np.concatenate(sigs)
-                to = (sig & U64(0xFFFFFFFF)) % U64(buckets)
-                order = np.argsort(to.astype(np.uint16 if buckets < 1 << 16 else np.uint32), kind="stable")
-                sig, own, to = sig[order], own[order], to[order]
-                keys = np.array(keys, U64)
-                rows = []
-                at = np.flatnonzero(np.r_[True, to[1:] != to[:-1], True])
-                for a, z in zip(at[:-1], at[1:]):
-                    who = np.flatnonzero(np.r_[True, np.diff(own[a:z]) > 0, True])
-                    rows.append((int(to[a]), keys[own[a:z][who[:-1]]].tobytes(),
-                                 np.diff(who).astype(np.uint32).tobytes(), tk.pack6(sig[a:z])))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in rows], pa.int32())] + [pa.array([r[i] for r in rows], pa.binary()) for i in (1, 2, 3)],
-                    ["bucket", "nodes", "counts", "sigs"])
+                if keys:
+                    yield packs.pack(np.concatenate(sigs), np.repeat(np.arange(len(keys)), [len(x) for x in sigs]),
+                                     np.array(keys, U64), buckets)
     return run
 
 
 def _grouped(group: int):
     """Of one bucket: pairs (0, a, b) of nodes in small groups, and rows (1, signature, node) of large ones."""
     def run(t: pa.Table) -> pa.Table:
-        node = np.concatenate([np.repeat(np.frombuffer(a, U64), np.frombuffer(c, np.uint32))
-                               for a, c in zip(t.column("nodes").to_pylist(), t.column("counts").to_pylist())])
-        sig = np.concatenate([tk.unpack6(x) for x in t.column("sigs").to_pylist()])
-        bucket = t.column("bucket")[0].as_py()
+        bucket, sig, node = packs.unpack(t)
         order = np.argsort(sig)
         sig, node = sig[order], node[order]
         same = sig[1:] == sig[:-1]
@@ -204,6 +216,57 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "shingles"])
 
 
+def _near(percent: int):
+    """Drop pairs whose sketches alone put them beyond the distance bound (never a linked pair)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n = (b.column("_na").to_numpy() + b.column("_nb").to_numpy()) * (100 - percent)
+            far = np.array([sketch_distance(x, y) for x, y in zip(b.column("_ka").to_pylist(), b.column("_kb").to_pylist())], np.int64)
+            hit = pa.array(far * (100 + percent) <= n)
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(hit), b.column(1).filter(hit)], ["a", "b"])
+    return run
+
+
+def _places(s: np.ndarray) -> np.ndarray:
+    return (s >> U64(64 - FREQUENT.bit_length() + 1)).astype(np.int64)
+
+
+def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many sets of the task have a shingle at each place of the table of frequencies, where
+    there are several (a place that is left out only counts as rare)."""
+    count = np.zeros(FREQUENT, np.int64)
+    for b in batches:
+        for x in b.column(0):
+            count[_places(np.frombuffer(x.as_buffer(), U64))] += 1
+    at = np.flatnonzero(count > 1)
+    yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(count[at])], ["place", "n"])
+
+
+def _prefixes(percent: int, frequent: Broadcast):
+    """Per set, the shingles that a linked set must share one of, the likely rare ones first:
+    ``index`` marks those that suffice when the linked set is no smaller."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for a in range(0, b.num_rows, 256):
+                part = b.slice(a, 256)
+                token, index, pos, n = [], [], [], []
+                for x in part.column(2):
+                    s = np.frombuffer(x.as_buffer(), U64)
+                    probe = len(s) - -(-percent * len(s) // 100) + 1
+                    inner = len(s) - -(-2 * percent * len(s) // (100 + percent)) + 1
+                    token.append(s[np.argsort(frequent.value[_places(s)], kind="stable")[:probe]])
+                    index.append(np.arange(probe) < inner)
+                    pos.append(np.arange(probe))
+                    n.append(len(s))
+                each = np.array([len(t) for t in token])
+                at = pa.array(np.repeat(np.arange(part.num_rows), each))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(at), part.column(1).take(at), pa.array(np.repeat(np.array(n, np.int64), each)),
+                     pa.array(tk.as_long(np.concatenate(token))), pa.array(np.concatenate(index)),
+                     pa.array(np.concatenate(pos))], ["node", "comp", "n", "token", "index", "pos"])
+    return run
+
+
 def _linked(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -222,39 +285,57 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, group: int = GRO
     """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text).
 
     Null or blank texts have empty sets and link with nothing: component_id is their own doc_id.
-    Rows with a null doc_id take part in links but never name a component (a component of such
-    rows alone is null). Repeated rows are returned as often as they come. An empty table gives
-    no rows. Columns other than doc_id and text are ignored. ``buckets`` (default: the session's
+    Rows with a null doc_id belong to the component of equal texts with an id; a text that only
+    such rows hold links with equal texts alone, and its component_id is null. Repeated rows are
+    returned as often as they come. An empty table gives no rows. Columns other than doc_id and text are ignored. ``buckets`` (default: the session's
     shuffle partitions) is the number of signature groups tasks; give more for larger inputs.
     """
     spark = docs.sparkSession
     docs = pick(docs, "doc_id", "text")
-    rows = keep_plan(docs.mapInArrow(_nodes(percent), "doc_id long, n_shingles long, node long, sure long"))
+    rows = keep_plan(docs.mapInArrow(_nodes(percent), "doc_id long, n_shingles long, node long, sure long, sketch binary"))
     nodes = keep_plan(rows.where("node is not null").groupBy("node")
-                      .agg(F.min("doc_id").alias("rep"), F.first("sure").alias("sure"),
+                      .agg(F.min("doc_id").alias("rep"), F.first("sure").alias("sure"), F.first("sketch").alias("sketch"),
                            F.first("n_shingles").alias("n"), F.count("*").alias("copies")))
-    found = keep_plan(docs.select("text").mapInArrow(_signed(percent, buckets or partitions(spark)),
-                                                     "bucket int, nodes binary, counts binary, sigs binary")
+    drop_shuffles(spark)
+    found = keep_plan(docs.select("text").mapInArrow(_signed(percent, buckets or partitions(spark)), packs.SCHEMA)
                       .groupBy("bucket").applyInArrow(_grouped(group), "kind byte, a long, b long"))
+    drop_shuffles(spark)
     large = found.where("kind = 1").select(F.col("a").alias("sig"), F.col("b").alias("node"))
     weight = large.groupBy("node").agg(F.count("*").alias("h"))
     central = (large.join(weight, "node").groupBy("sig")
                .agg(F.max(F.struct("h", "node")).getField("node").alias("hub")))
     star = large.join(central, "sig").where("node <> hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
-    pairs = keep_plan(found.where("kind = 0").select("a", "b").unionByName(star).distinct())
-    need = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    texts = nodes.join(need, "node", "left_semi").select(F.col("rep").alias("doc_id")).where("doc_id is not null").distinct()
-    sets = keep_plan(docs.join(texts, "doc_id", "left_semi").select("text")
+    pairs = found.where("kind = 0").select("a", "b").unionByName(star).distinct()
+
+    def near(p: DataFrame) -> DataFrame:
+        left = nodes.select(F.col("node").alias("a"), F.col("n").alias("_na"), F.col("sketch").alias("_ka"))
+        right = nodes.select(F.col("node").alias("b"), F.col("n").alias("_nb"), F.col("sketch").alias("_kb"))
+        return keep_plan(p.join(left, "a").join(right, "b").select("a", "b", "_na", "_nb", "_ka", "_kb")
+                         .mapInArrow(_near(percent), "a long, b long"))
+
+    tried = near(pairs)
+    # nodes whose links may all lie in large groups
+    open_ = keep_plan(large.groupBy("node").agg(F.count("*").alias("h")).join(nodes.select("node", "sure"), "node")
+                      .where("h >= sure").select("node"))
+    need = (tried.select(F.explode(F.array("a", "b")).alias("node"), F.lit(True).alias("tried"))
+            .unionByName(open_.select("node", F.lit(False).alias("tried"))).groupBy("node").agg(F.max("tried").alias("tried")))
+    need = keep_plan(nodes.join(need, "node").select("node", "tried", F.col("rep").alias("doc_id")).where("doc_id is not null"))
+    # texts go by a table of ID_PLACES places first, so that most others are not shuffled
+    place = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - ID_PLACES.bit_length() + 1)
+    some = docs.where("doc_id is not null").withColumn("_place", place).join(
+        F.broadcast(need.select(place.alias("_place")).distinct()), "_place", "left_semi")  # ID_PLACES rows at most
+    sets = keep_plan(some.join(need.select("doc_id").distinct(), "doc_id", "left_semi").select("text")
                      .mapInArrow(_sets, "node long, shingles binary")
-                     .groupBy("node").agg(F.first("shingles").alias("shingles")).join(need, "node", "left_semi"))
+                     .groupBy("node").agg(F.first("shingles").alias("shingles")).join(need.select("node", "tried"), "node"))
+    drop_shuffles(spark)
 
-    def verified(p: DataFrame) -> DataFrame:
-        left = sets.toDF("a", "_sa")
-        right = sets.toDF("b", "_sb")
-        return (p.join(left, "a").join(right, "b").select("a", "b", "_sa", "_sb")
-                .mapInArrow(_linked(percent), "a long, b long"))
+    def verified(p: DataFrame, sets: DataFrame) -> DataFrame:
+        sets = sets.select("node", "shingles")
+        return keep_plan(p.join(sets.toDF("a", "_sa"), "a").join(sets.toDF("b", "_sb"), "b").select("a", "b", "_sa", "_sb")
+                         .mapInArrow(_linked(percent), "a long, b long"))
 
-    links = keep_plan(verified(pairs))
+    links = verified(tried, sets.where("tried"))
+    drop_shuffles(spark)
     rep = nodes.select("node", "rep")
 
     def labels(linked: DataFrame) -> DataFrame:
@@ -264,15 +345,33 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, group: int = GRO
                 .select("node", "n", "sure", "copies", F.coalesce("root", "rep").alias("component_id")))
 
     label = keep_plan(labels(links))
-    open_ = (large.join(weight, "node").join(label, "node").where("h >= sure")
-             .select("sig", "node", "n", "component_id"))
-    split = open_.groupBy("sig").agg(F.min("component_id").alias("x"), F.max("component_id").alias("y")).where("x <> y").select("sig")
-    left = open_.join(split, "sig", "left_semi")
-    more = left.toDF("sig", "a", "_na", "_ca").join(left.toDF("sig", "b", "_nb", "_cb"), "sig").where(
-        F.expr(f"a < b and _ca <> _cb and 100 * least(_na, _nb) >= {percent} * greatest(_na, _nb)")).select("a", "b").distinct()
-    more = keep_plan(more.join(pairs, ["a", "b"], "left_anti"))
-    if not more.isEmpty():
-        label = keep_plan(labels(links.unionByName(verified(more))))
+    # Open nodes that are not connected yet: prefix filtering, rare shingles first. Any order is
+    # exact; frequencies come from a table of fixed size.
+    frequent = np.zeros(FREQUENT, np.uint8)
+    loose = sets.join(open_, "node", "left_semi")
+    counted = (loose.select("shingles").mapInArrow(_tally, "place int, n long").groupBy("place").agg(F.least(F.sum("n"), F.lit(255)).alias("n"))
+               .toArrow())  # FREQUENT rows at most
+    frequent[counted.column("place").to_numpy()] = counted.column("n").to_numpy()
+    order = spark.sparkContext.broadcast(frequent)
+    tokens = keep_plan(loose.join(label.select("node", F.col("component_id").alias("comp")), "node").select("node", "comp", "shingles")
+                       .mapInArrow(_prefixes(percent, order), "node long, comp long, n long, token long, index boolean, pos long"))
+    index = tokens.where("index").select("token", F.col("comp").alias("_ci"), F.col("node").alias("_i"), F.col("n").alias("_ni"), F.col("pos").alias("_pi"))
+    probe = tokens.select("token", F.col("comp").alias("_cp"), F.col("node").alias("_p"), F.col("n").alias("_np"), F.col("pos").alias("_pp"))
+    # components that meet at a shingle first, so that nodes of one component never meet, and only
+    # those whose sizes and places leave room for a link
+    left = index.groupBy("token", "_ci").agg(F.min("_ni").alias("_a"), F.max("_ni").alias("_b"), F.max(F.expr("_ni - _pi")).alias("_c"))
+    right = probe.groupBy("token", "_cp").agg(F.min("_np").alias("_x"), F.max("_np").alias("_y"), F.max(F.expr("_np - _pp")).alias("_z"))
+    meet = left.join(right, "token").where(
+        f"_ci <> _cp and _a <= _y and 100 * _b >= {percent} * _x and {100 + percent} * least(_c, _z) >= {percent} * (_a + _x)").select(
+        "token", "_ci", "_cp")
+    more = (index.join(meet, ["token", "_ci"]).join(probe, ["token", "_cp"])
+            .where(f"(_ni < _np or _ni = _np and _i < _p) and 100 * _ni >= {percent} * _np and "  # and by what may still follow
+                   f"{100 + percent} * least(_ni - _pi, _np - _pp) >= {percent} * (_ni + _np)")
+            .select(F.least("_i", "_p").alias("a"), F.greatest("_i", "_p").alias("b")).distinct())
+    more = near(more.join(tried, ["a", "b"], "left_anti"))
+    found_late = verified(more, sets)
+    if not found_late.isEmpty():
+        label = keep_plan(labels(links.unionByName(found_late)))
     total = nodes.agg(F.sum("copies")).first()[0] or 0
     hot = label.where(F.col("copies") * HOT_SHARE > total)
     out = join_by_key(rows.where("node is not null").select("doc_id", "n_shingles", "node"),
