@@ -363,8 +363,10 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, group: int = GRO
     right = probe.groupBy("token", "_cp").agg(F.min("_np").alias("_x"), F.max("_np").alias("_y"), F.max(F.expr("_np - _pp")).alias("_z"))
     meet = left.join(right, "token").where(
         f"_ci <> _cp and _a <= _y and 100 * _b >= {percent} * _x and {100 + percent} * least(_c, _z) >= {percent} * (_a + _x)").select(
-        "token", "_ci", "_cp")
-    more = (index.join(meet, ["token", "_ci"]).join(probe, ["token", "_cp"])
+        "token", "_ci", "_cp", "_x", "_y", "_z")
+    met = index.join(meet, ["token", "_ci"]).where(
+        f"_ni <= _y and 100 * _ni >= {percent} * _x and {100 + percent} * least(_ni - _pi, _z) >= {percent} * (_ni + _x)")
+    more = (met.join(probe, ["token", "_cp"])
             .where(f"(_ni < _np or _ni = _np and _i < _p) and 100 * _ni >= {percent} * _np and "  # and by what may still follow
                    f"{100 + percent} * least(_ni - _pi, _np - _pp) >= {percent} * (_ni + _np)")
             .select(F.least("_i", "_p").alias("a"), F.greatest("_i", "_p").alias("b")).distinct())
