@@ -8,10 +8,12 @@ copy each, subject to the token constraint of their source and to at most CAP co
 
 The dual is convex and has one variable per source; its solution tilts rates exponentially,
 r_i = min(CAP, exp(lambda_s n_i / mean_s)). Newton iterations solve all sources at once, each a
-distributed aggregation over (source, size) counts, kept inside a shrinking bracket. Rates are
-rounded into whole copies per (source, size) cell; what rounding leaves over is settled with
-copies of the largest documents that still fit, again and again; and a cell's copies go to its
-documents in hash order, so that reruns agree.
+distributed aggregation over (source, size) counts, kept inside a shrinking bracket. Copies are
+rounded over the whole source: in order of size, the expected copies so far are rounded, and a
+(source, size) cell gets the difference to the cell before. No prefix is off by more than half a
+copy, so a source is off by less than its largest document, however many sizes it has. That rest
+is settled with copies of the largest documents that still fit, again and again; and a cell's
+copies go to its documents in hash order, so that reruns agree.
 
 DataFrame operations only. Documents of one size in one source are interchangeable, so all but
 the first and last step work on the cell counts, whose number is bounded by distinct sizes.
@@ -100,7 +102,10 @@ def tilts(cells: DataFrame, targets: DataFrame, cap: int = CAP) -> DataFrame:
 def rounded(cells: DataFrame, cap: int = CAP) -> DataFrame:
     """``cells`` (key, size, m, target, rate) with ``copies``: whole copies for all m documents together."""
     per = Window.partitionBy("key")
-    cells = cells.withColumn("copies", F.when(F.col("size") > 0, F.least(F.col("m") * cap, F.floor(F.col("rate") * F.col("m") + 0.5))).otherwise(0).cast("long"))
+    upward = per.orderBy("size")
+    cells = (cells.withColumn("_upto", F.floor(F.sum(F.when(F.col("size") > 0, F.col("rate") * F.col("m")).otherwise(0.0))
+                                               .over(upward.rowsBetween(Window.unboundedPreceding, 0)) + 0.5))
+             .withColumn("copies", F.least(F.col("m") * cap, F.col("_upto") - F.lag("_upto", 1, 0).over(upward)).cast("long")).drop("_upto"))
     for _ in range(SETTLING):
         gap = F.col("target") - F.col("_taken")
         room = F.when(gap > 0, F.col("m") * cap - F.col("copies")).otherwise(F.col("copies"))

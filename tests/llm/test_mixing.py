@@ -65,3 +65,19 @@ def test_edges(spark, rng):
     assert mx.mix(df.limit(0)).count() == 0
     blank = spark.createDataFrame([(1, "", "a"), (2, None, None)], "doc_id long, text string, source string")
     assert [(r.taken, r.target) for r in mx.mix(blank).collect()] == [(0, 0.0), (0, 0.0)]
+
+
+def test_targets_are_met_with_mostly_distinct_sizes(spark, rng):
+    n, docs = {"s0": 700, "s1": 700, "s2": 700}, []
+    for s, m in n.items():
+        docs += [(len(docs) + i, "w " * int(rng.lognormvariate(6.5, 0.3)), s) for i in range(m)]
+    assert len({len(t) for _, t, s in docs if s == "s1"}) > 400
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(4)
+    taken, target, source = defaultdict(int), {}, {i: s for i, _, s in docs}
+    for r in mx.mix(df).collect():
+        s = source[r.doc_id]
+        taken[s] += r.taken
+        target[s] = r.target
+        assert 0 <= r.copies <= 2 and abs(r.copies - r.rate) < 2
+    for s in n:
+        assert abs(taken[s] - target[s]) <= 0.002 * target[s], (s, taken[s], target[s])
