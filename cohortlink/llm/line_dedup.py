@@ -1,8 +1,9 @@
 """Line dedup by a deletion-neighbourhood join.
 
 A line goes if a line within one edit of it (insert, delete or replace a character; equal lines
-included) occurs earlier, in (doc_id, line number) order of the input. Lines of fewer than
-``MIN_CHARS`` characters stay and remove nothing.
+included) occurs earlier, in (doc_id, line number) order of the input. The one-edit step takes
+lines of ``MIN_CHARS`` characters or more. Shorter lines that are not blank take part in the
+equal-line step from ``equal_chars`` characters on; below that they stay and remove nothing.
 
 Lines within one edit have equal deletion variants. Emitting a variant per character of every
 line would multiply the corpus, so variants are emitted from coarse to fine, each step only for
@@ -47,9 +48,10 @@ def _shared(rows: DataFrame, key: str) -> DataFrame:
     return _semi(rows, keys, key, total)
 
 
-def _lines(docs: DataFrame) -> DataFrame:
+def _lines(docs: DataFrame, equal_chars: int = MIN_CHARS) -> DataFrame:
+    short = (F.col("len") >= equal_chars) & F.col("s").rlike(r"[^\x20\x09-\x0D]")
     return (docs.select("ord", F.posexplode(F.split("text", "\n", -1)).alias("pos", "s"))
-            .withColumn("len", F.char_length("s")).where(F.col("len") >= MIN_CHARS)
+            .withColumn("len", F.char_length("s")).where((F.col("len") >= MIN_CHARS) | short)
             .withColumn("line", F.xxhash64("s", "len")))
 
 
@@ -60,9 +62,9 @@ _BLOCKS = """flatten(transform(array(len, len + 1), r -> transform(sequence(0, {
     'r', r, 'g0', cast(i * r div {p} as int), 'g1', cast((i + 1) * r div {p} as int)))))"""
 
 
-def repeated_lines(docs: DataFrame) -> DataFrame:
+def repeated_lines(docs: DataFrame, equal_chars: int = MIN_CHARS) -> DataFrame:
     """(ord, pos) of every line of ``docs`` (ord, text) that goes."""
-    distinct = keep_plan(_lines(docs).withColumn("halves", F.expr(_HALVES)).groupBy("line").agg(
+    distinct = keep_plan(_lines(docs, equal_chars).withColumn("halves", F.when(F.col("len") >= MIN_CHARS, F.expr(_HALVES))).groupBy("line").agg(
         F.min(F.struct("ord", "pos")).alias("first"), F.count("*").alias("n"), F.first("halves").alias("halves")))
     drop_shuffles(docs.sparkSession)
     halves = distinct.select("line", F.explode("halves").alias("key"))
@@ -94,14 +96,14 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
                      .select("line", "n", F.col("first"), F.least(F.coalesce("least", "first"), "first").alias("least"))
                      .where("n > 1 or least < first"))
     total = distinct.agg(F.sum("n")).first()[0] or 0
-    at = _lines(docs).select("line", "ord", "pos")
+    at = _lines(docs, equal_chars).select("line", "ord", "pos")
     hot = F.broadcast(rule.where(F.col("n") * HOT_SHARE > total))  # HOT_SHARE rows at most
     gone = F.struct("ord", "pos") > F.col("least")
     return (at.join(hot, "line").where(gone).select("ord", "pos").unionByName(
         at.join(hot.select("line"), "line", "left_anti").join(rule, "line").where(gone).select("ord", "pos")))
 
 
-def dedup_lines(docs: DataFrame, drop_emptied: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, drop_emptied: bool = False, equal_chars: int = MIN_CHARS) -> DataFrame:
     """``docs`` (doc_id, text and any other columns) with repeated lines cut out of ``text``.
 
     Null texts stay null with 0 lines, empty texts are one empty line. A null doc_id comes last.
@@ -116,7 +118,7 @@ def dedup_lines(docs: DataFrame, drop_emptied: bool = False) -> DataFrame:
     rows = docs.toDF(*cols)
     text, doc = f"_c{at}", f"_c{names.index('doc_id')}"
     rows = rows.withColumn("ord", F.coalesce(F.col(doc).cast("long"), F.lit(LAST)))
-    gone = (repeated_lines(rows.select("ord", F.col(text).alias("text"))).distinct().groupBy("ord")
+    gone = (repeated_lines(rows.select("ord", F.col(text).alias("text")), equal_chars).distinct().groupBy("ord")
             .agg(F.collect_set("pos").alias("gone")))  # bounded by one document's lines
     lines = F.split(F.col(text), "\n", -1)
     rows = (rows.join(gone, "ord", "left").withColumn("_lines", lines)
@@ -133,11 +135,11 @@ def dedup_lines(docs: DataFrame, drop_emptied: bool = False) -> DataFrame:
     return rows.select(*out, "n_lines", "n_removed").toDF(*names, "dedup_n_lines", "dedup_n_removed")
 
 
-def line_summary(docs: DataFrame) -> DataFrame:
+def line_summary(docs: DataFrame, equal_chars: int = MIN_CHARS) -> DataFrame:
     """(doc_id, n_lines, n_removed, kept_sha256) for every row of ``docs``; see dedup_lines.
 
     ``kept_sha256`` is the lowercase hex digest of the kept text's UTF-8 bytes (null text: of none).
     """
-    out = dedup_lines(pick(docs, "doc_id", "text"))
+    out = dedup_lines(pick(docs, "doc_id", "text"), equal_chars=equal_chars)
     return out.select("doc_id", F.col("dedup_n_lines").alias("n_lines"), F.col("dedup_n_removed").alias("n_removed"),
                       F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))

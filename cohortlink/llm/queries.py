@@ -47,7 +47,7 @@ def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_summary(table(spark, sf_dir, "documents"))
+    return line_summary(table(spark, sf_dir, "documents"), equal_chars=1)
 
 
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -60,3 +60,15 @@ def test_edges(spark, rng):
     kept = {r[0] for r in ld.dedup_lines(full, drop_emptied=True).collect()}
     assert kept == {1, 3, 4, 5, 6, 7, 8, 9, 10}
     assert ld.line_summary(df.limit(0)).count() == 0
+
+
+def test_query_drops_equal_short_lines(spark, tmp_path):
+    from cohortlink.llm.queries import QUERIES
+
+    long_ = "a line of more than twenty characters"
+    docs = [(1, "Les.\n\n" + long_ + "\nLes."), (2, "Les!\n   \nAnd ornd.\n"), (3, "And ornd.\n   \n" + long_ + "s\n短い行です"), (4, "短い行です\nLes!\nLes. ")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = rows(QUERIES["op8_line_dedup"](spark, str(tmp_path)))
+    kept = {1: "Les.\n\n" + long_, 2: "Les!\n   \nAnd ornd.\n", 3: "   \n短い行です", 4: "Les. "}
+    assert [(r[0], r[2], r[3]) for r in got] == [
+        (i, t.count("\n") - kept[i].count("\n"), hashlib.sha256(kept[i].encode()).hexdigest()) for i, t in docs]
