@@ -1,9 +1,13 @@
 """Document fingerprints by winnowing.
 
-Every run of ``GRAM`` code points is hashed; of each ``WINDOW`` consecutive hashes the least is
-chosen (the rightmost of equal ones) and kept with its position. Two texts that share a run of
-GRAM + WINDOW - 1 code points share a chosen hash; nothing shorter than GRAM matches except in
-texts shorter than that, whose fingerprint is the hash of all they hold.
+Every run of ``GRAM`` code points is hashed; of each window of consecutive hashes the least is
+chosen (the rightmost of equal ones) and kept with its position. The window follows from the
+text's length alone (``window_of``): ``WINDOW`` from 784 code points on, less in classes of powers
+of two below, 1 under 48. Two texts that share a run of GRAM + window - 1 code points, by the
+larger of their windows, share a chosen hash, as a smaller window chooses all that a larger one
+does; so a text of 31 code points or more shares one with every text that keeps its first half.
+Nothing shorter than GRAM matches except in texts shorter than that, whose fingerprint is the
+hash of all they hold. Likenesses of texts of different classes are taken by the larger window.
 
 Neighbours in ascending doc_id come from a range partition: split points (one per partition) are
 taken from the ids, each text is dealt to its range once, and the first text of a range also goes
@@ -34,9 +38,16 @@ def codes(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
 
 
-def winnow(code: np.ndarray, gram: int = GRAM, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
-    """Chosen 32-bit hashes and their positions, in order of position."""
+def window_of(n: int) -> int:
+    """The window of a text of ``n`` code points."""
+    room = (n - 2 * GRAM) // 16 + 1  # at most what half of the text has room for
+    return WINDOW if room >= WINDOW else 1 << (max(1, room).bit_length() - 1)
+
+
+def winnow(code: np.ndarray, gram: int = GRAM, window: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Chosen 32-bit hashes and their positions, in order of position; the window is ``window_of`` unless given."""
     n = len(code)
+    window = window or window_of(n)
     if n == 0:
         return np.zeros(0, np.uint32), np.zeros(0, np.int64)
     gram = min(gram, n)
@@ -58,7 +69,7 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return 2 * len(np.intersect1d(a, b, assume_unique=True)) / (len(a) + len(b))
 
 
-def fingerprints(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
+def fingerprints(docs: DataFrame, gram: int = GRAM, window: int | None = None) -> DataFrame:
     """(doc_id, hashes array<long>, positions array<long>) of every row of (doc_id, text).
 
     Null texts count as empty; empty texts have empty arrays; repeated rows give repeated results.
@@ -105,7 +116,7 @@ def in_ranges(docs: DataFrame, ranges: int) -> DataFrame:
             .repartition(ranges, "range").sortWithinPartitions("range", "tail", "ord", "text"))
 
 
-def edited_fingerprints(docs: DataFrame, gram: int = GRAM, window: int = WINDOW, ranges: int | None = None) -> DataFrame:
+def edited_fingerprints(docs: DataFrame, gram: int = GRAM, window: int | None = None, ranges: int | None = None) -> DataFrame:
     """Fingerprints of every row of (doc_id, text) and of its text edited by its successor's.
 
     The edited text has its last floor(n_chars / 2) code points replaced by as many of the first
@@ -119,13 +130,20 @@ def edited_fingerprints(docs: DataFrame, gram: int = GRAM, window: int = WINDOW,
     def hexed(h: np.ndarray) -> str:
         return h.astype(">u4").tobytes().hex()
 
+    def alike(a: str, a_hashes: np.ndarray, b: str, b_hashes: np.ndarray) -> float:
+        m, n = window or window_of(len(a)), window or window_of(len(b))
+        if m < n:
+            a_hashes, _ = winnow(codes(a), gram, n)
+        elif n < m:
+            b_hashes, _ = winnow(codes(b), gram, m)
+        return likeness(np.unique(a_hashes), np.unique(b_hashes))
+
     def one(doc_id, text, own, nxt_text, nxt) -> tuple:
         half = len(text) // 2
         edited = text[:len(text) - half] + nxt_text[:half]
         e, _ = winnow(codes(edited), gram, window)
-        mine, theirs = np.unique(own[0]), np.unique(nxt[0])
         return (doc_id, len(text), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), hexed(own[0]), hexed(e),
-                likeness(mine, np.unique(e)), likeness(mine, theirs), own[1].astype(np.int32))
+                alike(text, own[0], edited, e), alike(text, own[0], nxt_text, nxt[0]), own[1].astype(np.int32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, out = None, []

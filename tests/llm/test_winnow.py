@@ -54,3 +54,15 @@ def test_edges(spark, rng):
     assert single.near_next == 1.0
     assert wn.edited_fingerprints(df.limit(0)).count() == 0
     assert rows(wn.fingerprints(clashing(df))) == rows(wn.fingerprints(df))
+
+
+def test_short_edited_texts_stay_alike(spark, rng):
+    docs = [(i, "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(rng.choice([rng.randrange(31, 128), rng.randrange(128, 1200)]))))
+            for i in range(300)]
+    got = wn.edited_fingerprints(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()
+    assert len(got) == 300 and all(0 < r.near_edited < 1 for r in got)
+    for n in range(31, 1000):  # one text's choices by a larger window are among those by a smaller one
+        assert wn.window_of(n) <= wn.window_of(n + 1) <= wn.WINDOW and wn.window_of(n) <= (n + 1) // 2 - wn.GRAM + 1
+    long_ = wn.codes(docs[0][1] * 9)
+    by = [set(zip(*(x.tolist() for x in wn.winnow(long_, wn.GRAM, w)))) for w in (1, 2, 4, 8, 16, 32, 48)]
+    assert all(b <= a for a, b in zip(by, by[1:]))
