@@ -1,12 +1,13 @@
 """Secret scan: candidate strings and a random forest that removes false positives.
 
 Candidates are words of at least ``LEAST`` characters with a digit, cut into the name and value
-of an assignment where they are one. A forest over length, character classes and the transitions
+of an assignment where they are one, and, whatever their length or digits, the values assigned to
+a credential name or standing right after one (``=``, ``:``, ``is`` may stand between). A forest over length, character classes and the transitions
 between them, coverage by the corpus's most frequent words, marks of paths and addresses, and
 neighbouring words decides which are secrets. It is trained from labelled findings, a table
 (features as made here, and ``label``); where none is given, findings label themselves by
 formats that leave no doubt (issued key prefixes, values assigned to credential names; mail
-addresses, plain numbers, links), and the forest, which does not see those rules, decides about
+addresses, plain numbers, links, plain words of prose), and the forest, which does not see those rules, decides about
 all. DataFrame operations and Spark's own forest only.
 """
 
@@ -29,6 +30,9 @@ TREES, DEPTH = 20, 6
 CREDENTIAL = "pass(word|wd|phrase)?|pwd|secret|token|api_?key|access_?key|private_?key|auth|bearer|credential|client_?secret"
 HARMLESS = "http|https|url|uri|path|file|version|phone|tel|call|mail|email|isbn|doi|card|account|order|invoice|commit|sha|hash|uuid|guid"
 ISSUED = "^(AKIA[A-Z0-9]{16}|ASIA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36,}|xox[abprs]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35}|sk_live_[A-Za-z0-9]{16,}|eyJ[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]*)$"
+NAMED = f"(^|[^a-z])({CREDENTIAL})([^a-z]|$)"  # in lower case
+AFTER = f"(^|[^a-z])({CREDENTIAL})[^a-z0-9]*$"  # the word before, in lower case
+BETWEEN = "^([=:>-]+|is)$"
 NUMERIC = ("len", "digits", "upper", "lower", "other", "runs", "distinct", "vowel_turns", "covered", "slashes", "dots",
            "dashes", "at", "link", "assigned", "quoted", "near_credential", "near_harmless", "left_len", "right_len")
 
@@ -42,17 +46,24 @@ def dictionary(docs: DataFrame, size: int = DICTIONARY) -> list[str]:
 
 def candidates(docs: DataFrame) -> DataFrame:
     """(doc_id, pos, name, value, left, right, quoted): candidate strings with their neighbours."""
-    return (docs.select("doc_id", F.split("text", r"[ \t\n\x0B\f\r]+").alias("w"))
-            .withColumn("pos", F.explode(F.expr(f"filter(sequence(0, size(w) - 1), i -> length(w[i]) >= {LEAST} and w[i] rlike '[0-9]')")))
-            .select("doc_id", "pos", F.expr("w[pos]").alias("raw"),
+    after = (f"((i > 0 and lower(w[i - 1]) rlike '{AFTER}') or "
+             f"(i > 1 and lower(w[i - 1]) rlike '{BETWEEN}' and lower(w[i - 2]) rlike '{AFTER}'))")
+    return (docs.select("doc_id", F.split("text", r"[ \t\n\x0B\f\r]+").alias("w"), F.lower("text").rlike(CREDENTIAL).alias("any"))
+            .withColumn("pos", F.explode(F.expr(
+                f"filter(sequence(0, size(w) - 1), i -> (length(w[i]) >= {LEAST} and w[i] rlike '[0-9]') or "
+                f"(any and ((w[i] rlike '[=:]' and lower(w[i]) rlike '{NAMED}') or {after})))")))
+            .select("doc_id", "pos", F.expr("w[pos]").alias("raw"), F.expr(f"any and {after.replace('i ', 'pos ')}").alias("after"),
                     F.expr("lower(concat_ws(' ', if(pos > 2, w[pos - 3], ''), if(pos > 1, w[pos - 2], ''), if(pos > 0, w[pos - 1], '')))").alias("left"),
                     F.expr("lower(coalesce(get(w, pos + 1), ''))").alias("right"))
             .withColumn("bare", F.regexp_replace("raw", r"""^[\p{Punct}&&[^+/_=-]]+|[\p{Punct}&&[^+/_=-]]+$""", ""))
-            .withColumn("name", F.regexp_extract("bare", r"^([A-Za-z_][A-Za-z0-9_.-]{0,40})[=:]+[\"']?[^\s]", 1))
+            .withColumn("name", F.regexp_extract("bare", r"^-*([A-Za-z_][A-Za-z0-9_.-]{0,40})[\"']?[=:]+[\"']?[^\s]", 1))
             .withColumn("value", F.when(F.col("name") != "", F.regexp_replace(
-                F.expr("substring(bare, length(name) + 1)"), "^[=:\"']+", "")).otherwise(F.col("bare")))
+                F.expr("substring(bare, locate(name, bare) + length(name))"), "^[=:\"']+", "")).otherwise(F.col("bare")))
             .withColumn("quoted", F.col("raw").rlike("[\"'`]").cast("int"))
-            .where(f"length(value) >= {LEAST}").select("doc_id", "pos", "name", "value", "left", "right", "quoted"))
+            .where((F.length("raw") >= LEAST) & F.col("raw").rlike("[0-9]") & (F.length("value") >= LEAST)
+                   | F.col("value").rlike(r"[\p{L}\p{N}]") & ~F.lower("value").rlike(BETWEEN)
+                   & (F.col("after") | F.lower("name").rlike(NAMED)))
+            .select("doc_id", "pos", "name", "value", "left", "right", "quoted"))
 
 
 def _count(value: str | Column, pattern: str) -> Column:
@@ -91,7 +102,8 @@ def self_labelled(found: DataFrame) -> DataFrame:
         near.rlike(f"(^|[^a-z])({CREDENTIAL})\\s*[=:]*\\s*$") & F.col("value").rlike("^[A-Za-z0-9+/_=-]{16,}$")
         & ((F.col("name") != "") | F.col("left").rlike("[=:]$")))
     harmless = (F.col("value").rlike(r"^[^@\s]+@[^@\s]+\.[A-Za-z]{2,}$") | F.col("value").rlike(r"^[0-9.,:/+()-]+$")
-                | F.col("value").rlike("^(https?|ftp)"))
+                | F.col("value").rlike("^(https?|ftp)")
+                | ((F.col("name") == "") & ~F.col("left").rlike("[=:]$") & F.col("value").rlike("^[A-Z]?[a-z]+$")))
     return found.withColumn("label", F.when(sure, 1.0).when(harmless, 0.0)).where("label is not null")
 
 

@@ -41,3 +41,14 @@ def test_edges(spark, rng):
     got = rows(sc.scan(clashing(df)))
     assert got == rows(sc.scan(df)) and sum(r[0] == 20 for r in got) == 2
     assert sc.scan(df.limit(0)).count() == 0
+
+
+def test_values_beside_credential_names_are_candidates(spark, rng):
+    plain = ["login password=hunter2x9 today", "my password: Tr0ub4dor now", "set password=CorrectHorseBattery here", 'use "api_key":"zebra" there',
+             "the passwd is opensesame ok", "run --token=abc now", "pwd = s3cr3t", "compass hunter2x9 passage", "a secret garden grows"]
+    docs = [(1000 + i, t) for i, t in enumerate(plain)]
+    df = spark.createDataFrame(corpus(rng) + docs, "doc_id long, text string")
+    got = [r for r in sc.scan(df).collect() if r.doc_id >= 1000]
+    assert sorted((r.doc_id - 1000, r.value) for r in got) == [
+        (0, "hunter2x9"), (1, "Tr0ub4dor"), (2, "CorrectHorseBattery"), (3, "zebra"), (4, "opensesame"), (5, "abc"), (6, "s3cr3t"), (8, "garden")]
+    assert {0, 2} <= {r.doc_id - 1000 for r in got if r.is_secret}
