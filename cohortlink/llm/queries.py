@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import html_text, quality, secrets, toxicity
 from .decontaminate import find_items
+from .exact_dedup import exact_duplicates
 from .frames import table
 from .jaccard_join import jaccard_components
 from .line_dedup import line_summary
 from .mixing import mix
+from .oracle import ORACLE
+from .spelling import spelling_variants
 from .suffix_dedup import remove_repeats
+from .vector_codes import vector_codes
 from .winnow import edited_fingerprints
 
 
@@ -58,6 +62,18 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_mixing": op2_mixing,
@@ -69,6 +85,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_benchmark_decontamination": op9_benchmark_decontamination,
     "op10_document_fingerprints": op10_document_fingerprints,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_exact_dedup": op13_exact_dedup,
 }
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
