@@ -7,8 +7,8 @@ words are found by range searches in k-d trees over letter-count vectors, one tr
 length: words of equal length within 2, words one letter longer within 1; what is left is
 verified on the order of the letters.
 
-The tree has two levels. Its top is built per length from a sample of ``SAMPLE`` words (those of
-least hash: it decides the balance, not the results) down to cells of about ``CELL`` words. Every word
+The tree has two levels. Its top is built per length from a sample of about ``SAMPLE`` words (those whose
+hash a divisor divides: it decides the balance, not the results) down to cells of about ``CELL`` words. Every word
 is stored in one cell and sent as a query to each cell that its L1 ball touches. In a cell, a
 tree of tight boxes is searched: letter counts are held in unary, one bit per (letter, k) "has k or more", so
 the AND and OR of a node's words are the corners of its box and popcounts are L1 distances. Cells
@@ -363,8 +363,10 @@ def _search(key: tuple, t: pa.Table) -> pa.Table:
 def near_words(words: DataFrame, cell: int = CELL, sample: int = SAMPLE) -> DataFrame:
     """(word, n, n_near, form, form_n) of a checkpointed (word, n): how many words are one edit away, and
     the most frequent of them if it has at least RATIO times the word's count."""
-    some = [r.word for r in words.select("word").orderBy(F.xxhash64("word"), "word").limit(sample).collect()]
-    trees = Trees(some, words.count(), cell)
+    total = words.count()
+    every = max(1, total // sample)
+    some = [r.word for r in words.select("word").where(F.pmod(F.xxhash64("word"), F.lit(every)) == 0).collect()]
+    trees = Trees(some, total, cell)
     sent = words.mapInArrow(_send(trees), PACKED)
     parts = sent.groupBy("cell").applyInArrow(_search, PARTIAL)
     out = parts.groupBy("word").agg(F.max("n").alias("n"), F.sum("n_near").alias("n_near"),
