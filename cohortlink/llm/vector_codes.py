@@ -12,7 +12,8 @@ its entries (one exclusive-or), and ANDing the dimensions' uint64 masks gives ex
 half-width, among them all within that Euclidean distance. The initial radius is the distance to the entry of
 the last round, or at first to the middle entry of the first dimension: some entry is that near, so
 the cube holds the nearest one. A quarter of the radius is tried first; it decides all parts whose best entry
-lies within it and tightens the radius of the others.
+lies within it and tightens the radius of the others. Where vectors are so spread that masks name more than 1/DENSE
+of the entries, the candidates' distances of a block come from one matrix product instead of one by one.
 
 Rows stay where they are: a round sends one row per task, part and entry (count and sums) to a sum by (part,
 entry). Codebooks (PARTS x ENTRIES integer parts) are all that the driver holds.
@@ -40,6 +41,7 @@ PARTS, ENTRIES, ROUNDS = 4, 256, 4
 SCALE = 1024
 LARGEST = 1 << 26
 STEP = 2048  # vectors searched together
+SMALL, DENSE = 1 << 20, 8  # integers whose distances are exact in doubles; 1 / the share of candidates from which they are computed together
 U64 = np.uint64
 
 
@@ -48,6 +50,7 @@ class Codebook:
 
     def __init__(self, entries: np.ndarray):
         self.entries = entries
+        self.small = bool(np.abs(entries).max(initial=0) <= SMALL and entries.shape[1] <= 1 << 8)
         k, dims = entries.shape
         self.words = -(-k // 64)
         own = np.zeros((k, self.words), U64)
@@ -70,9 +73,22 @@ class Codebook:
     def distance(self, x: np.ndarray, entry: np.ndarray) -> np.ndarray:
         return ((x - self.entries[entry]) ** 2).sum(1)
 
+    def _all(self, x: np.ndarray) -> np.ndarray:
+        """All squared distances by one matrix product; exact, as SMALL integers keep every sum below 2**53."""
+        a, e = x.astype(np.float64), self.entries.astype(np.float64)
+        return (a * a).sum(1)[:, None] + (e * e).sum(1)[None, :] - 2 * (a @ e.T)
+
     def _best(self, x: np.ndarray, radius: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(nearest entry inside the radius' cube, its squared distance); no entry: 0 and the largest long."""
         bits = np.unpackbits(self.inside(x, radius).view(np.uint8), axis=1, bitorder="little")
+        if self.small and len(x) and np.abs(x).max() <= SMALL and bits.sum() * DENSE > bits.size:
+            d = np.where(bits[:, :len(self.entries)], self._all(x), np.inf)
+            at = d.argmin(1)  # the first of equal ones
+            best = d[np.arange(len(x)), at]
+            none = np.isinf(best)
+            far = np.where(none, 0, best).astype(np.int64)
+            far[none] = np.iinfo(np.int64).max
+            return at, far
         row, entry = np.divmod(np.flatnonzero(bits), bits.shape[1])
         best, at = np.full(len(x), np.iinfo(np.int64).max), np.zeros(len(x), np.int64)
         if len(row):
