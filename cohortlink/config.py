@@ -40,6 +40,28 @@ ETHNIC_GROUP_CODES: dict[str, int] = {
     "White": 8,
 }
 
+# Vendor subject (measurement scale) code -> subject. Spanish reading is stored as 12 and reported as 7.
+SUBJECT_CODES: dict[int, str] = {
+    1: "Math",
+    2: "Reading",
+    3: "Language Usage",
+    4: "Science - General Science",
+    5: "Science - Concepts and Processes",
+    6: "Social Studies",
+    7: "Reading - Spanish",
+    100: "Algebra 1",
+    101: "Algebra 2",
+    102: "Geometry",
+    103: "Integrated Math 1",
+    104: "Integrated Math 1 and 2",
+    105: "Integrated Math 2",
+    106: "Integrated Math 3",
+    107: "Earth and Space Sciences",
+    108: "Life Sciences",
+    109: "Physical Sciences",
+    110: "Earth, Space, and Life Sciences",
+}
+
 # Score-column suffixes of the wide partner table.
 SCORE_SUFFIXES = ("SS", "PLCODE", "PLDESC", "TESTNAME", "TESTDATE", "RETEST")
 

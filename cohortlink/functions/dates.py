@@ -4,6 +4,7 @@ test-window and term checks. Pure Column expressions, no Python on workers."""
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,38 +12,73 @@ from pyspark.sql import functions as F
 from ..config import DOB_MAX_AGE, DOB_MIN_AGE, NON_SPRING_PATTERNS, TEST_WINDOW_END, TEST_WINDOW_START
 from .text import _c, strip, try_cast
 
-def _year2(text: Column) -> Column:
-    """Two-digit year text with its century (%y: 69 and later are 19xx)."""
-    return F.concat(F.when(text >= "69", F.lit("19")).otherwise(F.lit("20")), text)
+# A date is handled as the number yyyymmdd until it is known to be real: no text is parsed to find out.
+_DAY = "( [1-9]|[0-9]{1,2})"
+_LAYOUTS = (f"^([0-9]{{1,2}}/{_DAY}/([0-9]{{2}}|[0-9]{{4}})|[0-9]{{1,2}}-{_DAY}-[0-9]{{4}}"  # month first
+            f"|[0-9]{{4}}/[0-9]{{1,2}}/{_DAY}|[0-9]{{4}}-[0-9]{{1,2}}-{_DAY})$")             # year first
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, however often the body names it. As the body of a
+    lambda it also stays out of the stage's generated code, which has a size limit."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _div(n: Column, by: int) -> Column:
+    return F.floor(n / by).cast("int")
+
+
+def _century(yy: Column, last: int) -> Column:
+    """Two-digit year as a year: up to ``last`` in this century, later ones in the one before."""
+    return yy + F.when(yy > last, 1900).otherwise(2000)
+
+
+def _ymd(y: Column, m: Column, d: Column) -> Column:
+    return y * 10000 + m * 100 + d
+
+
+def _real(n: Column) -> Column:
+    """Whether a number yyyymmdd is a date of the years 1 to 9999."""
+    y, m, d = _div(n, 10000), _div(n, 100) % 100, n % 100
+    leap = ((y % 4 == 0) & (y % 100 != 0)) | (y % 400 == 0)
+    days = F.when(m == 2, F.when(leap, 29).otherwise(28)).when(m.isin(4, 6, 9, 11), 30).otherwise(31)
+    return (y >= 1) & m.between(1, 12) & d.between(1, days)
 
 
 def _with_separators(s: Column) -> Column:
-    """``y-M-d`` text of the slash and dash layouts; other texts come out unlike a date."""
-    day = "( [1-9]|[0-9]{1,2})"
-    u = F.regexp_replace(s, f"^([0-9]{{1,2}})/{day}/([0-9]{{2}})$", "~$3-$1-$2")            # M/D/yy
-    u = F.regexp_replace(u, f"^([0-9]{{1,2}})([/-]){day}\\2([0-9]{{4}})$", "$4-$1-$3")      # M/D/Y, M-D-Y
-    u = F.regexp_replace(u, f"^([0-9]{{4}})/([0-9]{{1,2}})/{day}$", "$1-$2-$3")             # Y/M/D
-    u = F.when(u.startswith("~"), F.concat(_year2(F.substring(u, 2, 2)), F.substring(u, 4, 9))).otherwise(u)
-    return F.when(u.rlike(f"^[0-9]{{4}}-[0-9]{{1,2}}-{day}$"), F.translate(u, " ", ""))
+    """Number of the slash and dash layouts (two-digit years: 69 and later are 19xx); null for other texts."""
+    sep = F.when(s.contains("/"), "/").otherwise("-")
+    a = F.substring_index(s, "/", 1), F.substring_index(s, "-", 1)
+    c = F.substring_index(s, "/", -1), F.substring_index(s, "-", -1)
+    slash = sep == "/"
+    first, last = F.when(slash, a[0]).otherwise(a[1]), F.when(slash, c[0]).otherwise(c[1])
+    middle = F.substring(s, F.length(first) + 2, F.length(s) - F.length(first) - F.length(last) - 2)
+    x, y, z = (try_cast(F.trim(p), "int") for p in (first, middle, last))
+    month_first = _ymd(F.when(F.length(last) == 2, _century(z, 68)).otherwise(z), x, y)
+    return F.when(s.rlike(_LAYOUTS), F.when(F.length(first) == 4, _ymd(x, y, z)).otherwise(month_first))
 
 
 def _compact(s: Column) -> Column:
-    """``y-M-d`` texts that a run of 4 to 8 digits may mean, in the order in which they are tried."""
-    def part(a: int, n: int) -> Column:
-        return F.substring(s, a, n)
+    """Numbers that a run of 4 to 8 digits may mean, in the order in which they are tried."""
+    return _let(try_cast(s, "int"), lambda v: _readings(v, F.length(s)))
 
-    def ymd(y: Column, m: Column, d: Column) -> Column:
-        return F.concat_ws("-", y, m, d)
 
-    pivot30 = F.concat(F.when(part(5, 2) > "30", F.lit("19")).otherwise(F.lit("20")), part(5, 2))
-    n = F.length(s)
-    return (F.when(n == 8, F.array(ymd(part(5, 4), part(1, 2), part(3, 2)), ymd(part(1, 4), part(5, 2), part(7, 2))))
-            .when(n == 7, F.array(ymd(part(4, 4), part(1, 1), part(2, 2)), ymd(part(1, 4), part(5, 2), part(7, 1)),
-                                  ymd(part(1, 4), part(5, 1), part(6, 2)), ymd(part(4, 4), part(1, 2), part(3, 1))))
-            .when(n == 6, F.array(ymd(pivot30, part(1, 2), part(3, 2)), ymd(part(1, 4), part(5, 1), part(6, 1)),
-                                  ymd(part(3, 4), part(1, 1), part(2, 1))))
-            .when(n == 5, F.array(ymd(_year2(part(4, 2)), part(1, 2), part(3, 1)), ymd(_year2(part(4, 2)), part(1, 1), part(2, 2))))
-            .when(n == 4, F.array(ymd(_year2(part(3, 2)), part(1, 1), part(2, 1)))))
+def _readings(v: Column, n: Column) -> Column:
+    def part(at: int, size: int, of: int) -> Column:
+        """Digits at..at+size of a run of ``of`` digits."""
+        return _div(v, 10 ** (of - at - size)) % 10 ** size
+
+    def reading(of: int, y: tuple[int, int], m: tuple[int, int], d: tuple[int, int], last: int | None = None) -> Column:
+        year = part(*y, of)
+        return _ymd(year if last is None else _century(year, last), part(*m, of), part(*d, of))
+
+    return (F.when(n == 8, F.array(reading(8, (4, 4), (0, 2), (2, 2)), reading(8, (0, 4), (4, 2), (6, 2))))
+            .when(n == 7, F.array(reading(7, (3, 4), (0, 1), (1, 2)), reading(7, (0, 4), (4, 2), (6, 1)),
+                                  reading(7, (0, 4), (4, 1), (5, 2)), reading(7, (3, 4), (0, 2), (2, 1))))
+            .when(n == 6, F.array(reading(6, (4, 2), (0, 2), (2, 2), 30), reading(6, (0, 4), (4, 1), (5, 1)),
+                                  reading(6, (2, 4), (0, 1), (1, 1))))
+            .when(n == 5, F.array(reading(5, (3, 2), (0, 2), (2, 1), 68), reading(5, (3, 2), (0, 1), (1, 2), 68)))
+            .when(n == 4, F.array(reading(4, (2, 2), (0, 1), (1, 1), 68))))
 
 
 def parse_partner_date(c: Column | str) -> Column:
@@ -53,12 +89,15 @@ def parse_partner_date(c: Column | str) -> Column:
     then MDYYYY; 5 and 4 digits month, day and two-digit year (pivot 69). Otherwise the slash
     and dash layouts, month or four-digit year first. Else null; there is no year 0.
 
-    The text is sorted into one of the two classes first; a class yields candidate texts and one
-    parser reads them, which keeps the generated code of a row small."""
-    s = F.regexp_replace(strip(c), r"(?U)\s+[0-9]{1,2}:[0-9]{2}(:[0-9]{2})?$", "")
-    texts = F.when(s.rlike("^[0-9]{4,8}$"), _compact(s)).otherwise(F.array(_with_separators(s)))
-    real = F.filter(F.transform(texts, lambda t: F.when(~t.startswith("0000"), F.try_to_date(t, "y-M-d"))), lambda d: d.isNotNull())
-    return F.get(real, F.lit(0))
+    Readings are plain arithmetic on the digits, so a reading that is no date costs no failed parse."""
+    c = _c(c)
+    text = F.when(c.rlike("^[0-9/-]*$"), c).otherwise(F.regexp_replace(strip(c), r"(?U)\s+[0-9]{1,2}:[0-9]{2}(:[0-9]{2})?$", ""))
+
+    def first_real(s: Column) -> Column:
+        numbers = F.when(s.rlike("^[0-9]{4,8}$"), _compact(s)).otherwise(F.array(_with_separators(s)))
+        return F.get(F.transform(F.filter(numbers, _real), lambda n: F.make_date(_div(n, 10000), _div(n, 100) % 100, n % 100)), F.lit(0))
+
+    return _let(text, first_real)
 
 
 def date_text(d: Column | str) -> Column:
@@ -68,9 +107,7 @@ def date_text(d: Column | str) -> Column:
 
 def plausible_dob(d: Column | str, as_of: _dt.date) -> Column:
     """Keep a birth date only if (as-of year - birth year) lies in [4, 25]."""
-    d = _c(d)
-    age = F.lit(as_of.year) - F.year(d)
-    return F.when(age.between(DOB_MIN_AGE, DOB_MAX_AGE), d)
+    return _let(_c(d), lambda x: F.when((F.lit(as_of.year) - F.year(x)).between(DOB_MIN_AGE, DOB_MAX_AGE), x))
 
 
 def study_year(settings_term: Column | str) -> Column:
@@ -109,20 +146,19 @@ def incorrect_term(d_term: Column | str, settings_term: Column | str) -> Column:
     isolated two-digit numbers 0..50 read as 20dd): none -> False; study year or the year
     before among them -> False; otherwise True.
 
-    Written without higher-order functions so the whole rule stays in generated code:
-    membership of a year is a lookup in the regex match arrays."""
-    t = F.upper(strip(_c(d_term).cast("string")))
-    y = study_year(settings_term)
-    season = t.rlike("(?U)" + "|".join(NON_SPRING_PATTERNS))
-    four = F.regexp_extract_all(t, F.lit("20[0-9]{2}"), 0)
-    two = F.regexp_extract_all(t, F.lit("(?<![0-9])([0-9]{2})(?![0-9])"), 1)
-    has_years = (F.size(four) > 0) | t.rlike("(?<![0-9])([0-4][0-9]|50)(?![0-9])")
-
-    def named(year: Column) -> Column:
-        short = year - 2000
-        in_two = short.between(0, 50) & F.array_contains(two, F.lpad(short.cast("string"), 2, "0"))
-        return F.array_contains(four, year.cast("string")) | in_two
-
-    near = named(y) | named(y - 1)
-    verdict = F.when(season, True).when(has_years & ~near, True).otherwise(False)
-    return F.when(t.isNull() | y.isNull(), F.lit(False)).otherwise(verdict)
+    The texts, the study year and the years found are each computed once per row (``_let``)."""
+    def verdict(x: Column) -> Column:
+        season = x["t"].rlike("(?U)" + "|".join(NON_SPRING_PATTERNS))
+        found = F.struct(F.regexp_extract_all(x["t"], F.lit("20[0-9]{2}"), 0).alias("four"),
+                         F.filter(F.regexp_extract_all(x["t"], F.lit("(?<![0-9])([0-9]{2})(?![0-9])"), 1), lambda v: v <= "50").alias("two"))
+
+        def named(z: Column, year: Column) -> Column:
+            return F.array_contains(z["four"], year.cast("string")) | F.array_contains(z["two"], F.substring(year.cast("string"), 3, 2)) & year.between(2000, 2050)
+
+        def far(z: Column) -> Column:
+            return (F.size(z["four"]) + F.size(z["two"]) > 0) & ~(named(z, x["y"]) | named(z, x["y"] - 1))
+
+        return F.when(x["t"].isNull() | x["y"].isNull(), F.lit(False)).when(season, F.lit(True)).otherwise(_let(found, far))
+
+    text = F.upper(strip(_c(d_term).cast("string")))
+    return _let(F.struct(text.alias("t"), study_year(settings_term).alias("y")), verdict)

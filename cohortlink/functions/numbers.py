@@ -7,15 +7,22 @@ from itertools import chain
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ..config import ETHNIC_GROUP_CODES, GRADE_VARIANTS
+from ..config import ETHNIC_GROUP_CODES, GRADE_VARIANTS, SUBJECT_CODES
 from .text import _c, try_cast, grade_text_norm, strip
 
 
 def clean_int(c: Column | str) -> Column:
     """Partner integer rule: blank/non-numeric -> null; a fraction truncates toward zero
     (``4.7`` -> 4, ``-4.7`` -> -4); too long for bigint -> null. Never via double."""
+    c = _c(c)
+    return F.when(c.rlike("^[0-9]{1,18}$"), try_cast(c, "bigint")).otherwise(try_cast(_decimal(c), "bigint"))
+
+
+def _decimal(c: Column | str) -> Column:
+    """Text as decimal(38,10), null where it is no number. Texts with other characters than a number has
+    are turned away first: a failed cast costs more than the rest of the row."""
     v = strip(c)
-    return try_cast(try_cast(v, "decimal(38,10)"), "bigint")
+    return F.when(~v.rlike("[^0-9+.eE-]"), try_cast(v, "decimal(38,10)"))
 
 
 def try_number(c: Column | str, sentinel: int | None = None) -> Column:
@@ -41,7 +48,7 @@ def clean_grade(c: Column | str) -> Column:
     """Partner grade: a whole number in {1..12, 14} wins; else the spelling lookup on the
     normal form; else null. ``04``/``4.0`` -> 4, ``K`` -> 14, ``13``/``KG`` -> null."""
     c = _c(c)
-    num = try_cast(strip(c), "decimal(38,10)")
+    num = _decimal(c)
     whole = F.when(num == F.floor(num), try_cast(num, "int"))
     valid = sorted(GRADE_VARIANTS)
     numeric = F.when(whole.isin(*valid), whole)
@@ -74,6 +81,14 @@ def parse_grade_list(c: Column | str) -> Column:
     return F.array_sort(F.array_distinct(F.flatten(F.transform(tokens, token_grades))))
 
 
+def simple_grade_list(c: Column | str) -> Column:
+    """Older study grade list: whole numbers between commas, in order, blanks between commas skipped, null/blank text -> empty list.
+    Anything else (a range, a word) makes the whole list null, where the older reader stopped with an error."""
+    tokens = F.filter(F.transform(F.split(F.coalesce(_c(c).cast("string"), F.lit("")), ","), strip), lambda t: t != "")
+    fits = F.forall(tokens, lambda t: t.rlike(r"^[+-]?[0-9]{1,9}$"))
+    return F.when(fits, F.transform(tokens, lambda t: try_cast(t, "int")))
+
+
 def vendor_grade(c: Column | str) -> Column:
     """Vendor grade recode: 13/16/17 -> 0, 14 -> -1, 1..12 unchanged, else null."""
     c = _c(c)
@@ -89,6 +104,12 @@ def scale_code(c: Column | str) -> Column:
     return F.when(c == 12, F.lit(7)).otherwise(c)
 
 
+def subject_name(c: Column | str) -> Column:
+    """Subject of a vendor subject code (12 counts as 7); null for codes outside the list."""
+    m = F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in SUBJECT_CODES.items()))
+    return F.element_at(m, scale_code(c).cast("int"))
+
+
 def ethnic_code(c: Column | str) -> Column:
     m = F.create_map(*chain.from_iterable((F.lit(k), F.lit(v)) for k, v in ETHNIC_GROUP_CODES.items()))
     return F.element_at(m, _c(c)).cast("int")

@@ -114,3 +114,24 @@ def list_to_text(c: Column | str) -> Column:
     c = _c(c)
     return F.when(c.isNotNull(),
                   F.concat(F.lit("["), F.array_join(c.cast("array<string>"), ", "), F.lit("]")))
+
+
+def sanitize_columns(df: DataFrame) -> DataFrame:
+    """Form for saving: list columns as text like ``[3, 4]``, text columns trimmed; the rest unchanged. One projection."""
+    cols = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, T.ArrayType):
+            c = list_to_text(c)
+        elif isinstance(f.dataType, T.StringType):
+            c = strip(c)
+        cols.append(c.alias(f.name))
+    return df.select(*cols)
+
+
+def timestamped_name(name: Column | str, when: Column, fmt: str = "yyyyMMdd_HHmmss") -> Column:
+    """File name with ``_<time>`` before its extension (the last dot that does not begin the name)."""
+    name = _c(name)
+    ext = F.regexp_extract(name, r"(?s)[^.].*?(\.[^.]*)\z", 1)
+    stem = F.substring(name, F.lit(1), F.length(name) - F.length(ext))
+    return F.concat(stem, F.lit("_"), F.date_format(when, fmt), ext)

@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import yyyymm_number
 from ..functions.numbers import ethnic_code, scale_code, try_number, vendor_grade
 from ..functions.text import upper_trim
+from .ranking import ranked
 
 EXTRACT_COLUMNS = (
     "test_event_business_identifier", "state", "district_business_identifier", "district_standard_name",
@@ -39,19 +41,12 @@ def included_schools(organization: DataFrame, state: str | None = None) -> DataF
     return s.join(d, s["_pid"] == d["partner_id"]).drop("_pid")
 
 
-def score_rank(partition: Sequence[str], score: str, tiebreak: Sequence[str]) -> F.Column:
-    """``row_number`` by score descending within the partition; ties broken by the listed
-    columns so the result is deterministic."""
-    w = Window.partitionBy(*partition).orderBy(F.col(score).desc_nulls_last(), *[F.col(c) for c in tiebreak])
-    return F.row_number().over(w)
-
-
 def event_extract(schools: DataFrame, students: DataFrame, ethnic_groups: DataFrame, events: DataFrame,
                   tests: DataFrame, content_tests: DataFrame, test_names: Sequence[str] | None,
                   term: int | None = None) -> DataFrame:
     """Join events to schools, students, tests and content tests; filter valid growth
     events with a score for the listed tests; recode grade / scale / ethnic group;
-    rank scores per (student, term, raw scale)."""
+    rank scores per (student, term, raw scale), whatever share of the events one of these holds."""
     ev = events.where(F.col("valid_event_yn") & F.col("growth_event_yn") & F.col("score").isNotNull())
     if term is not None:
         ev = ev.where(F.col("term_number") == term)
@@ -85,9 +80,10 @@ def event_extract(schools: DataFrame, students: DataFrame, ethnic_groups: DataFr
         "subject", "term_number", "test_grade_low", "test_grade_high",
         F.col("event_end_date").alias("testdate"), "language_id",
         F.col("date_of_birth").alias("dob"),
-        F.date_format(F.trunc("date_of_birth", "MM"), "yyyyMM").cast("int").alias("dob_yyyy_mm"),
+        yyyymm_number("date_of_birth").alias("dob_yyyy_mm"),
         F.col("score").alias("_score"),
         "growth_event_yn")
-    rank = score_rank(["student_business_identifier", "term_number", "measurement_scale_bid_raw"], "_score",
-                      ["test_event_business_identifier", "test_key", "school_business_identifier", "testdate", "sem"])
-    return x.withColumn("score_rank", rank).select(*EXTRACT_COLUMNS)
+    keys = ["student_business_identifier", "term_number", "measurement_scale_bid_raw"]
+    source = ev.select(F.col("student_bid").alias(keys[0]), keys[1], F.col("measurement_scale_bid").alias(keys[2]))
+    order = ["test_event_business_identifier", "test_key", "school_business_identifier", "testdate", "sem"]
+    return ranked(x, keys, "_score", order, source=source).select(*EXTRACT_COLUMNS)

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from ..config import (LOG_COLUMNS, PROVENANCE_DROP_BEFORE_CHECK, STATUS_EDITED_REJECTED,
                       STATUS_EDITED_WORKING, STATUS_REJECTED, STATUS_WORKING, STATUS_EDITED)
-from ..functions.text import BLANK_RE, agency_code, blank_to_null, is_edited_file, strip_edited_prefix
+from ..functions.text import BLANK_RE, agency_code, agency_code_legacy, blank_to_null, is_edited_file, strip_edited_prefix
 
 LOG_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in LOG_COLUMNS])
 
@@ -162,3 +162,35 @@ def skip_report(verdicts: DataFrame) -> DataFrame:
     detail = F.coalesce(F.col("read_error"), F.format_string("expected %d, got %d", "expected_cols", "received_cols"))
     return verdicts.select(F.col("file_name").alias("FILE"), reason.alias("REASON"), detail.alias("DETAIL")) \
                    .where(F.col("REASON").isNotNull())
+
+
+class FileStructureError(RuntimeError):
+    """Some files of a set do not fit the template."""
+
+
+def structure_offenders(verdicts: DataFrame) -> DataFrame:
+    """(file_name, problem, detail), one row per problem of a file of the set: it cannot be read, its column
+    count differs from the template's, or its name holds no district code."""
+    v = verdicts
+    unreadable = F.when(v["read_error"].isNotNull(), F.struct(F.lit("UNREADABLE").alias("problem"), v["read_error"].alias("detail")))
+    columns = F.when(v["received_cols"] != v["expected_cols"], F.struct(
+        F.lit("COL_MISMATCH").alias("problem"), F.format_string("expected %d, got %d", v["expected_cols"], v["received_cols"]).alias("detail")))
+    code = F.when(agency_code_legacy(v["file_name"]).isNull(), F.struct(
+        F.lit("NO_DISTRICT_CODE").alias("problem"), F.lit("no digits in the file name").alias("detail")))
+    return v.select("file_name", F.inline(F.filter(F.array(unreadable, columns, code), lambda p: p.isNotNull())))
+
+
+def require_structure(verdicts: DataFrame) -> None:
+    """The gate of the older combine: any offender stops the whole set, with the list of all of them
+    (names and reasons of files, never rows)."""
+    bad = structure_offenders(verdicts).orderBy("file_name", "problem").collect()
+    if bad:
+        raise FileStructureError("these files do not match the data template:\n" + "\n".join(f"{r.file_name}: {r.problem} ({r.detail})" for r in bad))
+
+
+def combine_strict(cells: DataFrame, template: Sequence[str]) -> DataFrame:
+    """The older combine: nothing is stacked unless every file of the set fits; columns are named by the
+    template and stay text, with the district code (last digits of the file name) and the file name."""
+    require_structure(file_verdicts(cells, len(template), drop_provenance=True))
+    out = combine_with_template(cells, template)
+    return out.withColumn("AGENCYCODE", agency_code_legacy("FILENAMEFROMDISTRICT"))

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from ..config import LEGACY_MATCH_TYPES, MATCH_PHASES
 from ..functions.numbers import pct
 from ..functions.text import id_key, name_key
+from .skew import hot_hashes, key_hash, salted_join
 
 KEY_COLS = ("test_name", "state_key", "local_key", "fname_key", "lname_key", "dob")
 
@@ -94,14 +95,16 @@ def phase_candidates(partner: DataFrame, vendor: DataFrame, vendor_cols: Sequenc
 
     Both sides are exploded to one row per applicable lookup, the partner side is reduced
     to one row per (lookup, key), and a single equi-join on (lookup, key) finds the hits:
-    one partner aggregation, one join, no per-lookup re-scan of either input."""
+    one partner aggregation, one join, no per-lookup re-scan of either input. Vendor rows of a hot
+    key are dealt to many tasks, with copies of its one partner row."""
     lk = _lookup_keys(include_dob_only)
     best = (partner.select(F.struct("p_id", *partner_carry).alias("p"), F.explode(lk).alias("l"))
             .groupBy(F.col("l.lid").alias("lid"), F.col("l.key").alias("key"))
             .agg(F.min("p").alias("p"), F.min("l.rank").alias("phase_rank")))
     v = vendor.select(*vendor_cols, F.explode(lk).alias("l")).select(
         *vendor_cols, F.col("l.lid").alias("lid"), F.col("l.key").alias("key"))
-    return v.join(best, ["lid", "key"]).select(*vendor_cols, "phase_rank", "p")
+    hot = hot_hashes(v, key_hash("lid", "key"))  # keys that many events share, such as a placeholder id
+    return salted_join(v, best, ["lid", "key"], F.struct(*vendor_cols), hot).select(*vendor_cols, "phase_rank", "p")
 
 
 def best_per(cands: DataFrame, group: Sequence[str], tiebreak: Sequence[str] = ()) -> DataFrame:
@@ -121,6 +124,12 @@ def link_best(partner: DataFrame, vendor: DataFrame, partner_carry: Sequence[str
                        "test_key", "m_id", "p.*", *vendor_carry)
 
 
+def linked_sample(best: DataFrame) -> DataFrame:
+    """The linked sample in the order in which it is saved: by student, then test key (a range
+    partition and a sort per range)."""
+    return best.orderBy(F.col("student_business_identifier").asc_nulls_last(), F.col("test_key").asc_nulls_last())
+
+
 def link_per_event(partner: DataFrame, vendor: DataFrame, include_dob_only: bool = True) -> DataFrame:
     """Best phase and partner for every vendor event with a candidate."""
     vcols = ["m_id", "student_business_identifier", "test_key"]

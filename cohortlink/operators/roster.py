@@ -11,9 +11,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import yyyymm_number
 from ..functions.numbers import ethnic_code, scale_code, try_number, vendor_grade
 from ..functions.text import upper_trim
-from .extract import score_rank
+from .ranking import ranked
+
+RANK_KEYS = ["student_business_identifier", "term_number", "measurement_scale_bid"]
 
 
 def included_terms(terms: DataFrame, term_number: int | None = None) -> DataFrame:
@@ -42,7 +45,7 @@ def included_students(schools: DataFrame, enrollments: DataFrame, terms: DataFra
                     upper_trim("name_last").alias("student_last_name"),
                     try_number("state_student_external_id").alias("student_state_id"),
                     try_number("district_student_external_id").alias("student_id"), F.col("date_of_birth").alias("dob"),
-                    F.date_format(F.trunc("date_of_birth", "MM"), "yyyyMM").cast("int").alias("dob_yyyy_mm")))
+                    yyyymm_number("date_of_birth").alias("dob_yyyy_mm")))
 
 
 def term_events(roster: DataFrame, events: DataFrame, courses: DataFrame, tests: DataFrame, content_tests: DataFrame,
@@ -60,9 +63,7 @@ def term_events(roster: DataFrame, events: DataFrame, courses: DataFrame, tests:
     x = (ev.join(roster, ["student_business_identifier", "partner_id", "term_bid"]).join(courses, "course_id").join(t, "test_id"))
     x = x.join(content, number == F.col("_content_key"), "left")
     x = x.withColumn("test_event_business_identifier", F.col("test_event_bid"))
-    rank = score_rank(["student_business_identifier", "term_number", "measurement_scale_bid"], "score",
-                      ["test_event_business_identifier", "school_business_identifier"])
-    x = x.withColumn("score_rank", rank)
+    x = ranked(x, RANK_KEYS, "score", ["test_event_business_identifier", "school_business_identifier"])
     return x.select(
         "test_event_business_identifier", "state", "district_business_identifier", "district_standard_name",
         "district_agency_code", "school_business_identifier", "school_standard_name", "grade_ordinal",
@@ -85,8 +86,6 @@ def view_events_with_roster(events: DataFrame, roster: DataFrame, state: str, te
     births = roster.where(F.col("term_number") == term).select("student_business_identifier", "term_number",
                                                                F.col("date_of_birth").alias("r_dob")).distinct()
     x = ev.join(births, ["student_business_identifier", "term_number"], "left")
-    rank = score_rank(["student_business_identifier", "term_number", "measurement_scale_bid"], "score",
-                      ["test_event_business_identifier", "r_dob"])
-    x = x.withColumn("score_rank", rank).withColumn("measurement_scale_bid_raw", F.col("measurement_scale_bid"))
+    x = ranked(x, RANK_KEYS, "score", ["test_event_business_identifier", "r_dob"], source=ev.select(*RANK_KEYS)).withColumn("measurement_scale_bid_raw", F.col("measurement_scale_bid"))
     return (x.withColumn("measurement_scale_bid", scale_code("measurement_scale_bid"))
             .drop("valid_event_yn", "growth_event_yn").distinct())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ..config import SUBJECT_CODES
 from .roles import STUDY_SCALE_CODES, STUDY_TEST_NAMES
 
 _TESTS = ", ".join(f"'{t}'" for t in STUDY_TEST_NAMES)
@@ -828,3 +829,81 @@ ORACLE["missingness_long_table"] = (
     + _missingness("shown", ["D_GRADE_CLEAN", "D_FILENAMEFROMDISTRICT"],
                    ["D_SS", "D_SS_CLEAN", "D_GRADE", "D_TERM", "D_TESTNAME", "D_TESTDATE_CLEAN", "D_DOB_CLEAN", "D_STATE_STID_CLEAN"],
                    {"D_SS", "D_GRADE", "D_TERM", "D_TESTNAME", "D_TESTDATE_CLEAN", "D_DOB_CLEAN"}))
+
+
+# ---------------------------------------------------------------------------
+# Routed files, structure gate, merge, subject codes, saved forms
+# ---------------------------------------------------------------------------
+ORACLE["routed_lines"] = f"""WITH {INTAKE_CTE}
+SELECT v.STATUS, c.file_name, c.row_idx, array_to_string(list_transform(c.cells, lambda x:
+         CASE WHEN regexp_matches(x, '[",\\r\\n]') THEN '"' || replace(x, '"', '""') || '"' ELSE coalesce(x, '') END), ',') AS line
+FROM cells c JOIN verdicts v ON c.file_name = v.file_name WHERE c.read_error IS NULL AND v.STATUS IS NOT NULL"""
+
+ORACLE["structure_offenders"] = f"""WITH {INTAKE_CTE}
+SELECT file_name, 'UNREADABLE' AS problem, read_error AS detail FROM pf WHERE read_error IS NOT NULL
+UNION ALL SELECT file_name, 'COL_MISMATCH', printf('expected %d, got %d', {INTAKE_EXPECTED_COLS}, own_cols) FROM pf WHERE own_cols <> {INTAKE_EXPECTED_COLS}
+UNION ALL SELECT file_name, 'NO_DISTRICT_CODE', 'no digits in the file name' FROM pf WHERE NOT regexp_matches(file_name, '[0-9]')"""
+
+ORACLE["merge_insert"] = ORACLE["insert_if_absent"].replace("SELECT * FROM s WHERE", "SELECT * FROM t UNION ALL SELECT * FROM s WHERE")
+
+ORACLE["subject_codes"] = f"""WITH {EVENT_VIEW}
+SELECT CASE CASE WHEN MEASUREMENT_SCALE_BID = 12 THEN 7 ELSE MEASUREMENT_SCALE_BID END {' '.join(f"WHEN {k} THEN '{v}'" for k, v in SUBJECT_CODES.items())} END AS subject,
+       TERM_NUMBER, count(*) AS test_count FROM ev GROUP BY ALL"""
+
+ORACLE["linked_sample"] = ORACLE["link_best"] + " ORDER BY student_business_identifier, test_key"
+
+_SIMPLE = "list_filter(list_transform(string_split(grades_text, ','), lambda t: trim(t)), lambda t: t <> '')"
+ORACLE["simple_grades"] = f"""WITH p AS (SELECT o_orderkey, o_orderstatus, {_grade_text('o_orderkey', 'o_custkey')} AS grades_text FROM orders),
+t AS (SELECT *, {_SIMPLE} AS tok FROM p),
+q AS (SELECT *, CASE WHEN len(list_filter(tok, lambda t: NOT regexp_full_match(t, '[+-]?[0-9]{{1,9}}'))) = 0 THEN list_transform(tok, lambda t: CAST(t AS INTEGER)) END AS g FROM t),
+s AS (SELECT o_orderstatus, list_sort(list_distinct(flatten(list(g) FILTER (WHERE g IS NOT NULL)))) AS sg FROM q GROUP BY 1)
+SELECT q.o_orderkey, q.o_orderstatus, q.grades_text, {sql_list_text('q.g')} AS grades, {sql_list_text('s.sg')} AS status_grades
+FROM q JOIN s ON q.o_orderstatus = s.o_orderstatus"""
+
+_TRIMMED = ("D_RECORD_ID", "D_SUBJECT", "SETTINGS_VENDOR_TEST_NAME", "D_GRADE", "D_SS", "D_TERM", "D_TESTDATE", "FLAG_REASON", "D_LNAME", "D_DISTRICTNAME")
+ORACLE["sanitized_flags"] = f"""WITH {PARTNER_CTES}
+SELECT {', '.join(f"regexp_replace({c}, '^\\s+|\\s+$', '', 'g') AS {c}" for c in (*_TRIMMED, 'SETTINGS_NOTES'))}, {sql_list_text('SETTINGS_GRADE_LIST')} AS SETTINGS_GRADE_LIST FROM split"""
+
+ORACLE["report_names"] = f"""WITH f AS (SELECT o.o_orderkey, o.o_orderdate, {_messy_name('o.o_orderkey', 'c.c_nationkey')} AS file_name
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey),
+e AS (SELECT *, regexp_extract(file_name, '(?s)[^.].*?(\\.[^.]*)$', 1) AS ext FROM f)
+SELECT o_orderkey, file_name, left(file_name, length(file_name) - length(ext)) || '_' ||
+       strftime(CAST(o_orderdate AS TIMESTAMP) + to_seconds(o_orderkey % 86400), '%Y%m%d_%H%M%S') || ext AS report_name FROM e"""
+
+_LEG_KEYS = ((("state_id", "student_state_id"),), (("agency_code", "district_agency_code"), ("local_id", "student_id")),
+             (("agency_code", "district_agency_code"), ("lname", "student_last_name"), ("fname", "student_first_name"), ("dob", "r_dob")))
+
+
+def _leg_members(side: int) -> str:
+    table, member = (("partner", "p_id"), ("vendor", "m_id"))[side]
+    return " UNION ALL ".join(
+        f"SELECT {i} AS leg, concat_ws('|', test_name, {', '.join(f'CAST({c[side]} AS VARCHAR)' for c in leg)}) AS class_key, '{table}' AS side, "
+        f"CAST({member} AS VARCHAR) AS member_id FROM {table} WHERE test_name IS NOT NULL AND {' AND '.join(f'{c[side]} IS NOT NULL' for c in leg)}"
+        for i, leg in enumerate(_LEG_KEYS))
+
+
+ORACLE["legacy_classes"] = f"""WITH {PARTNER_CTES},\n{LINK_CTE},
+members AS ({_leg_members(0)} UNION ALL {_leg_members(1)}),
+sized AS (SELECT *, count(*) FILTER (WHERE side = 'partner') OVER w AS n_partner, count(*) FILTER (WHERE side = 'vendor') OVER w AS n_vendor
+  FROM members WINDOW w AS (PARTITION BY leg, class_key))
+SELECT * FROM sized WHERE n_partner > 0 AND n_vendor > 0"""
+
+ORACLE["legacy_pair_counts"] = ("WITH pairs AS (" + ORACLE["link_legacy"] + ") SELECT MATCH_TYPE, test_name, count(*) AS pairs FROM pairs GROUP BY ALL")
+
+_SET_KEYS = _DIST + ", GRADE"
+
+
+def _set_part(report: str, keys: str, where: str, events: bool) -> str:
+    own = [k.strip() for k in keys.split(",")]
+    cols = ", ".join(k if k in own else f"NULL AS {k}" for k in _SET_KEYS.split(", "))
+    measures = "count(*) AS test_count, NULL AS school_count, NULL AS student_count" if events else f"NULL AS test_count, {_COUNTS}"
+    return f"SELECT '{report}' AS report, {cols}, {measures} FROM g WHERE {where} GROUP BY {', '.join(own)}"
+
+
+ORACLE["event_report_set"] = f"WITH {EVENT_VIEW}, g AS (SELECT *, GRADE_ORDINAL AS GRADE FROM ev)\n" + " UNION ALL BY NAME ".join((
+    _set_part("total_by_test", _BASE, f"MEASUREMENT_SCALE_BID IN ({_SCALES}) AND GROWTH_EVENT_YN", True), _set_part("by_grade", _BASE + ", GRADE", _FLT1, False),
+    _set_part("by_district", _DIST, _FLT1, False), _set_part("by_district_grade", _DIST + ", GRADE", _FLT1, False)))
+
+ORACLE["legacy_tests_by_grade"] = f"""WITH {CHECKED_CTE}
+SELECT {sql_clean_grade('GRADE')} AS GRADE, {', '.join(f"count(TRY_CAST(trim({c}) AS DECIMAL(38,0))) AS {c}" for c in LEGACY_GRADES)}
+FROM checked WHERE reason IS NULL GROUP BY 1"""

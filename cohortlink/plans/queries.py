@@ -8,12 +8,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import datetime as _dt
+import uuid
 
 from pyspark.sql import functions as F
 
 from .. import functions as fx
 from ..config import SCORE_SUFFIXES
-from ..operators import counts, extract, intake, legacy_checks, linkage, quality, reshape, roster, store
+from ..operators import counts, extract, intake, legacy_checks, legacy_classes, linkage, quality, report_set, reshape, roster, routed, store
+from ..operators.merge import MergeTable
+from ..session import ensure_checkpoint_dir
 from . import roles
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -175,7 +178,8 @@ def q_match_rates(spark: SparkSession, sf: str) -> DataFrame:
     return linkage.match_rates(q_link_best(spark, sf), "D_GRADE_CLEAN")
 
 
-def q_link_legacy(spark: SparkSession, sf: str) -> DataFrame:
+def legacy_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Partner and vendor side of the older linking rule."""
     _, kept, _ = quality.split_flagged(partner_flags(spark, sf))
     partner = kept.select(
         F.concat_ws("|", "D_RECORD_ID", "D_SUBJECT", "SETTINGS_VENDOR_TEST_NAME").alias("p_id"),
@@ -189,7 +193,23 @@ def q_link_legacy(spark: SparkSession, sf: str) -> DataFrame:
                       fx.try_number("state_student_external_id").alias("student_state_id"),
                       fx.try_number("district_student_external_id").alias("student_id"),
                       "district_agency_code", "student_last_name", "student_first_name", "r_dob")
-    return linkage.link_legacy(partner, vendor)
+    return partner, vendor
+
+
+def q_link_legacy(spark: SparkSession, sf: str) -> DataFrame:
+    return linkage.link_legacy(*legacy_inputs(spark, sf))
+
+
+def q_legacy_classes(spark: SparkSession, sf: str) -> DataFrame:
+    """The older rule's classes: one row per member, with the class's size on either side."""
+    members = legacy_classes.classes(*legacy_inputs(spark, sf))
+    return members.select("leg", F.array_join("key", "|").alias("class_key"), "side", "member_id", "n_partner", "n_vendor")
+
+
+def q_legacy_pair_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """How many pairs the older rule has per match type and test, from the classes' counts."""
+    counts_ = legacy_classes.pair_counts(*legacy_inputs(spark, sf))
+    return counts_.withColumn("pairs", F.col("pairs").cast("long"))
 
 
 def q_intake_routing(spark: SparkSession, sf: str) -> DataFrame:
@@ -385,6 +405,77 @@ def q_missingness_long_table(spark: SparkSession, sf: str) -> DataFrame:
     return counts.missingness_long(long, ["D_GRADE_CLEAN", "D_FILENAMEFROMDISTRICT"], columns_to_summarize=LONG_SUMMARY)
 
 
+def q_routed_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """The lines of the working and rejected files."""
+    cells = roles.raw_cells(spark, sf)
+    return routed.routed_lines(cells, intake.file_verdicts(cells, roles.INTAKE_EXPECTED_COLS))
+
+
+def q_structure_offenders(spark: SparkSession, sf: str) -> DataFrame:
+    return intake.structure_offenders(intake.file_verdicts(roles.raw_cells(spark, sf), roles.INTAKE_EXPECTED_COLS, drop_provenance=True))
+
+
+def q_merge_insert(spark: SparkSession, sf: str) -> DataFrame:
+    """The rows of a stored table after two batches of orders, of which the second is delivered twice
+    and then once more under another name."""
+    root = f"{ensure_checkpoint_dir(spark)}/merge-{uuid.uuid4().hex}"
+    target = _order_slice(spark, sf, ("1-URGENT", "2-HIGH", "3-MEDIUM"), "batch_a.csv")
+    staged = _order_slice(spark, sf, ("2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"), "batch_b.csv")
+    table = MergeTable(spark, root, target.schema, ignore=["source_file"])
+    try:
+        for rows, batch in ((target, "a"), (staged, "b"), (staged, "b"), (staged, "c")):
+            table.insert(rows, batch)
+        return table.read().checkpoint()
+    finally:
+        table.remove()
+
+
+def q_subject_codes(spark: SparkSession, sf: str) -> DataFrame:
+    """Events per subject of the vendor's code list (null: a code outside it)."""
+    ev = roles.event_view(spark, sf)
+    return ev.groupBy(fx.subject_name("MEASUREMENT_SCALE_BID").alias("subject"), "TERM_NUMBER").agg(F.count(F.lit(1)).alias("test_count"))
+
+
+def q_linked_sample(spark: SparkSession, sf: str) -> DataFrame:
+    return linkage.linked_sample(q_link_best(spark, sf))
+
+
+def q_simple_grades(spark: SparkSession, sf: str) -> DataFrame:
+    """Grade lists by the older grammar, and per status the sorted grades of all lists that it can read."""
+    o = roles.read_table(spark, sf, "orders")
+    text = roles.grade_list_text(F.col("o_orderkey"), F.col("o_custkey"))
+    parsed = o.select("o_orderkey", "o_orderstatus", text.alias("grades_text")).withColumn("grades", fx.simple_grade_list("grades_text"))
+    per_status = reshape.collect_sorted_sets(parsed, "o_orderstatus", "grades", "status_grades")
+    return parsed.join(per_status, "o_orderstatus").select(
+        "o_orderkey", "o_orderstatus", "grades_text", fx.list_to_text("grades").alias("grades"), fx.list_to_text("status_grades").alias("status_grades"))
+
+
+def q_sanitized_flags(spark: SparkSession, sf: str) -> DataFrame:
+    """Flagged and clean long rows in the form in which they are saved."""
+    flags = partner_flags(spark, sf).select(*[c for c in FLAG_OUTPUT if not c.endswith("_CLEAN")], "D_LNAME", "D_DISTRICTNAME", "SETTINGS_GRADE_LIST", "SETTINGS_NOTES")
+    return fx.sanitize_columns(flags)
+
+
+def q_report_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Names of the files that an order's reports go to: the name with the order's date before the extension."""
+    o = roles.read_table(spark, sf, "orders")
+    c = roles.read_table(spark, sf, "customer")
+    x = o.join(c, o.o_custkey == c.c_custkey)
+    name = roles.messy_file_name(F.col("o_orderkey"), F.col("c_nationkey"))
+    when = F.timestamp_seconds(F.unix_timestamp(F.col("o_orderdate").cast("timestamp")) + F.col("o_orderkey") % 86400)
+    return x.select("o_orderkey", name.alias("file_name"), when.alias("_when")).select(
+        "o_orderkey", "file_name", fx.timestamped_name("file_name", F.col("_when")).alias("report_name"))
+
+
+def q_event_report_set(spark: SparkSession, sf: str) -> DataFrame:
+    """The four count reports of a study in one frame."""
+    return report_set.event_reports(roles.event_view(spark, sf), report_set.count_reports(roles.STUDY_SCALE_CODES, roles.STUDY_TEST_NAMES))
+
+
+def q_legacy_tests_by_grade(spark: SparkSession, sf: str) -> DataFrame:
+    return report_set.tests_by_grade(checked(spark, sf).where("reasonForRemoval is null"), list(roles.LEGACY_GRADES))
+
+
 QUERIES: dict[str, Query] = {
     "counts_total_by_test": q_counts_total_by_test,
     "counts_by_grade": q_counts_by_grade,
@@ -432,4 +523,16 @@ QUERIES: dict[str, Query] = {
     "merge_rates": q_merge_rates,
     "missingness_by_file": q_missingness_by_file,
     "missingness_long_table": q_missingness_long_table,
+    "routed_lines": q_routed_lines,
+    "structure_offenders": q_structure_offenders,
+    "merge_insert": q_merge_insert,
+    "subject_codes": q_subject_codes,
+    "linked_sample": q_linked_sample,
+    "simple_grades": q_simple_grades,
+    "sanitized_flags": q_sanitized_flags,
+    "report_names": q_report_names,
+    "legacy_classes": q_legacy_classes,
+    "legacy_pair_counts": q_legacy_pair_counts,
+    "event_report_set": q_event_report_set,
+    "legacy_tests_by_grade": q_legacy_tests_by_grade,
 }

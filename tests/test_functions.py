@@ -102,3 +102,22 @@ def test_pct_half_even(spark):
     df = spark.createDataFrame([(1, 400), (1, 0), (1, None)], "a int, b int")
     got = [r[0] for r in df.select(fx.pct("a", "b", 1)).collect()]
     assert got == [0.2, None, None]
+
+
+def test_saved_forms(spark):
+    df = spark.createDataFrame([(" a ", [3, None, 4], 1.5), (None, None, None)], "t string, l array<int>, d double")
+    assert [tuple(r) for r in fx.sanitize_columns(df.where("d > 1")).collect()] == [("a", "[3, 4]", 1.5)]
+    assert tuple(fx.sanitize_columns(df.where("d is null")).first()) == (None, None, None)
+    names = ["counts.xlsx", "a.b.csv", "none", ".hidden", "..x.txt", "dot.", "two\nlines.csv"]
+    when = F.timestamp_seconds(F.lit(86400 + 3661))
+    got = spark.createDataFrame([(n,) for n in names], "n string").select("n", fx.timestamped_name("n", when).alias("o")).collect()
+    import os
+    assert {r.n: r.o for r in got} == {n: os.path.splitext(n)[0] + "_19700102_010101" + os.path.splitext(n)[1] for n in names}
+
+
+def test_simple_grade_list_and_subjects(spark):
+    cases = {"3, 4,5": [3, 4, 5], " 7 ": [7], "": [], None: [], ",,2,": [2], "3-5": None, "K": None, "+4,-1": [4, -1]}
+    got = spark.createDataFrame([(c,) for c in cases], "c string").select("c", fx.simple_grade_list("c").alias("g")).collect()
+    assert {r.c: r.g for r in got} == cases
+    got = {r.c: r.s for r in spark.createDataFrame([(1,), (7,), (12,), (110,), (99,), (None,)], "c int").select("c", fx.subject_name("c").alias("s")).collect()}
+    assert got == {1: "Math", 7: "Reading - Spanish", 12: "Reading - Spanish", 110: "Earth, Space, and Life Sciences", 99: None, None: None}

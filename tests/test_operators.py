@@ -53,8 +53,6 @@ def test_intake_verdicts_and_combine(spark):
     assert v["notes.txt"]["STATUS"] == "WORKING_FILES" and v["no_extension"]["non_blank_records"] == 1
     assert v["book.xlsx"]["STATUS"] is None and v["book.xlsx"]["read_error"] == "not a text file"
     assert v["gaps 13.csv"]["non_blank_records"] == 2 and v["gaps 13.csv"]["received_cols"] == 4
-    small = {r["file_name"]: r for r in intake.file_verdicts(read_raw_cells(spark, folder, max_bytes=40), 4).collect()}
-    assert small.keys() == v.keys() and small["North District 0123.csv"]["read_error"] == "file too large"
     assert {r["file_name"] for r in intake.routing_rows(intake.file_verdicts(cells, 4), "d").selectExpr("original_file as file_name").collect()} == v.keys()
     verdicts = intake.file_verdicts(cells, 4, drop_provenance=True)
     combined = intake.combine_with_template(cells, ["LNAME", "FNAME", "GRADE", "MATH_SS"])
@@ -358,3 +356,39 @@ def test_roster_takes_the_enrollment_of_the_term(spark):
     births = spark.createDataFrame([(1, 2025, d), (1, 2025, d), (1, 2025, dt.date(2013, 1, 1))], "student_business_identifier long, term_number int, date_of_birth date")
     v = roster.view_events_with_roster(ev, births, "ZZ", 2025, ["T"]).collect()
     assert sorted((r["test_event_business_identifier"], r["r_dob"].year, r["measurement_scale_bid"]) for r in v) == [(77, 2012, 7), (77, 2013, 7)]
+
+
+def test_structure_gate(spark):
+    folder = _partner_folder()
+    cells = read_raw_cells(spark, folder)
+    verdicts = intake.file_verdicts(cells, 4, drop_provenance=True)
+    got = {(r.file_name, r.problem): r.detail for r in intake.structure_offenders(verdicts).collect()}
+    assert got[("East-7.csv", "COL_MISMATCH")] == "expected 4, got 5" and ("notes.txt", "NO_DISTRICT_CODE") in got
+    assert {f for f, p in got if p == "UNREADABLE"} == {"empty 5.csv", "ragged 10.csv", "book.xlsx"}
+    with pytest.raises(intake.FileStructureError) as e:
+        intake.combine_strict(cells, ["LNAME", "FNAME", "GRADE", "MATH_SS"])
+    assert all(f in str(e.value) for f, _ in got)  # every offender is named
+    good = cells.where(F.col("file_name").isin("North District 0123.csv", "agency 12.csv"))
+    rows = {(r.FILENAMEFROMDISTRICT, r.LNAME, r.AGENCYCODE) for r in intake.combine_strict(good, ["LNAME", "FNAME", "GRADE", "MATH_SS"]).collect()}
+    assert rows == {("North District 0123.csv", "Lee", "0123"), ("North District 0123.csv", "Kim", "0123"), ("agency 12.csv", "A", "12")}
+
+
+def test_settings_source(spark, tmp_path):
+    from cohortlink.sources.settings import SETTINGS_COLUMNS, read_settings
+    p = tmp_path / "settings.csv"
+    p.write_text(' d_subject , VENDOR_TEST_NAME,Study_Grades,TERM, extra\nMATH, T 1 ,"3, 4",202502,x\n,,,,\nELA,T2, ,202502,\n')
+    got = read_settings(spark, str(p))
+    assert got.columns == list(SETTINGS_COLUMNS) and {d for _, d in got.dtypes} == {"string"}
+    assert sorted(map(tuple, got.collect())) == [("ELA", "T2", None, "202502", None), ("MATH", "T 1", "3, 4", "202502", None)]
+    got.write.parquet(str(tmp_path / "s.parquet"))
+    assert sorted(read_settings(spark, str(tmp_path / "s.parquet")).collect()) == sorted(got.collect())
+    assert quality.prepare_settings(got).where("SETTINGS_D_SUBJECT = 'MATH'").first()["SETTINGS_GRADE_LIST"] == [3, 4]
+    p.write_text("D_SUBJECT,TERM\nMATH,202502\n")
+    with pytest.raises(ValueError, match="VENDOR_TEST_NAME"):
+        read_settings(spark, str(p))
+
+
+def test_linked_sample_order(spark):
+    rows = [(i * 7 % 50, f"k{i % 3}", i) for i in range(200)] + [(None, "a", 1)]
+    got = [(r[0], r[1]) for r in linkage.linked_sample(spark.createDataFrame(rows, "student_business_identifier int, test_key string, x int").repartition(9)).collect()]
+    assert got == sorted(got, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
