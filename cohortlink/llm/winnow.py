@@ -7,7 +7,11 @@ of two below, 1 under 48. Two texts that share a run of GRAM + window - 1 code p
 larger of their windows, share a chosen hash, as a smaller window chooses all that a larger one
 does; so a text of 31 code points or more shares one with every text that keeps its first half.
 Nothing shorter than GRAM matches except in texts shorter than that, whose fingerprint is the
-hash of all they hold. Likenesses of texts of different classes are taken by the larger window.
+hash of all they hold.
+
+A stored fingerprint is ``<grams>:<window>:<hashes>:<positions>``: the number of grams of the text, and hashes and positions in
+hexadecimal, 8 digits each, in order of position. Fingerprints are compared without their texts (``likeness_of``): where
+windows differ, the choice by the larger window is derived from the finer fingerprint, which holds it.
 
 Neighbours in ascending doc_id come from a range partition: split points (one per partition) are
 taken from the ids, each text is dealt to its range once, and the first text of a range also goes
@@ -18,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -69,6 +74,50 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return 2 * len(np.intersect1d(a, b, assume_unique=True)) / (len(a) + len(b))
 
 
+class Print(NamedTuple):
+    """A text's fingerprint: how many grams the text has, the window, the chosen hashes and their positions."""
+
+    grams: int
+    window: int
+    hashes: np.ndarray
+    positions: np.ndarray
+
+    def text(self) -> str:
+        """Form for storing; empty for the empty text."""
+        if not self.grams:
+            return ""
+        return f"{self.grams}:{self.window}:{self.hashes.astype('>u4').tobytes().hex()}:{self.positions.astype('>u4').tobytes().hex()}"
+
+    def by_window(self, window: int) -> np.ndarray:
+        """The hashes that a larger window would have chosen: each larger window's least hash, and the rightmost of
+        equal ones, is also some smaller window's choice, so nothing but the fingerprint is needed."""
+        if window <= self.window or not self.grams:
+            return self.hashes
+        key = np.full(self.grams, ~U64(0))
+        key[self.positions] = (self.hashes.astype(U64) << U64(32)) | (U64(0xFFFFFFFF) - self.positions.astype(U64))
+        low = tk.sliding_min(key, min(window, self.grams))
+        return (low[np.r_[True, low[1:] != low[:-1]]] >> U64(32)).astype(np.uint32)
+
+
+def print_of(code: np.ndarray, gram: int = GRAM, window: int | None = None) -> Print:
+    hashes, positions = winnow(code, gram, window)
+    return Print(max(0, len(code) - min(gram, len(code)) + 1) if len(code) else 0, window or window_of(len(code)), hashes, positions)
+
+
+def read_print(text: str) -> Print:
+    """A stored fingerprint."""
+    if not text:
+        return Print(0, 1, np.zeros(0, np.uint32), np.zeros(0, np.int64))
+    grams, window, hashes, positions = text.split(":")
+    return Print(int(grams), int(window), np.frombuffer(bytes.fromhex(hashes), ">u4").astype(np.uint32), np.frombuffer(bytes.fromhex(positions), ">u4").astype(np.int64))
+
+
+def likeness_of(a: Print, b: Print) -> float:
+    """Likeness of two fingerprints, by the larger of their windows; no text is needed."""
+    window = max(a.window, b.window) if a.grams and b.grams else 0
+    return likeness(np.unique(a.by_window(window)), np.unique(b.by_window(window)))
+
+
 def fingerprints(docs: DataFrame, gram: int = GRAM, window: int | None = None) -> DataFrame:
     """(doc_id, hashes array<long>, positions array<long>) of every row of (doc_id, text).
 
@@ -127,23 +176,12 @@ def edited_fingerprints(docs: DataFrame, gram: int = GRAM, window: int | None =
     names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next", "positions"]
     types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.list_(pa.int32())]
 
-    def hexed(h: np.ndarray) -> str:
-        return h.astype(">u4").tobytes().hex()
-
-    def alike(a: str, a_hashes: np.ndarray, b: str, b_hashes: np.ndarray) -> float:
-        m, n = window or window_of(len(a)), window or window_of(len(b))
-        if m < n:
-            a_hashes, _ = winnow(codes(a), gram, n)
-        elif n < m:
-            b_hashes, _ = winnow(codes(b), gram, m)
-        return likeness(np.unique(a_hashes), np.unique(b_hashes))
-
     def one(doc_id, text, own, nxt_text, nxt) -> tuple:
         half = len(text) // 2
         edited = text[:len(text) - half] + nxt_text[:half]
-        e, _ = winnow(codes(edited), gram, window)
-        return (doc_id, len(text), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), hexed(own[0]), hexed(e),
-                alike(text, own[0], edited, e), alike(text, own[0], nxt_text, nxt[0]), own[1].astype(np.int32))
+        e = print_of(codes(edited), gram, window)
+        return (doc_id, len(text), hashlib.sha256(edited.encode("utf-8", "surrogatepass")).hexdigest(), own.text(), e.text(),
+                likeness_of(own, e), likeness_of(own, nxt), own.positions.astype(np.int32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, out = None, []
@@ -153,7 +191,7 @@ def edited_fingerprints(docs: DataFrame, gram: int = GRAM, window: int | None =
                 for rng, tail, doc_id, text in zip(part.column("range").to_pylist(), part.column("tail").to_pylist(),
                                                    part.column("doc_id").to_pylist(), part.column("text").to_pylist()):
                     if last is not None or not tail:
-                        print_ = winnow(codes(text), gram, window)
+                        print_ = print_of(codes(text), gram, window)
                     if last is not None:
                         out.append(one(*last[:3], text, print_))
                     last = None if tail else (doc_id, text, print_)

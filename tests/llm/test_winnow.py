@@ -26,6 +26,21 @@ def test_windows_and_guarantee(rng):
     assert set(a.tolist()) & set(b.tolist())
 
 
+def dice(a, b):
+    """Likeness of two texts by definition: both winnowed anew by the larger of their windows."""
+    window = max(wn.window_of(len(a)), wn.window_of(len(b))) if a and b else None
+    x, y = (set(wn.winnow(wn.codes(t), wn.GRAM, window)[0].tolist()) for t in (a, b))
+    return 2 * len(x & y) / (len(x) + len(y)) if x or y else 1.0
+
+
+def test_coarser_choice_from_the_fingerprint(rng):
+    for _ in range(60):
+        code = wn.codes("".join(rng.choice("ab ") for _ in range(rng.randrange(1, 400))))
+        for small, large in ((1, 2), (1, 48), (4, 16), (8, 9), (16, 48), (48, 4)):
+            want = wn.winnow(code, wn.GRAM, max(small, large))[0].tolist()
+            assert wn.print_of(code, wn.GRAM, small).by_window(large).tolist() == want
+
+
 def test_neighbours_and_edits(spark, rng):
     docs = [(i * 7 - 40, sentence(rng, rng.randrange(0, 50)) + ("é😀" if i % 3 else "")) for i in range(90)]
     df = spark.createDataFrame(rng.sample(docs, len(docs)), "doc_id long, text string").repartition(6)
@@ -38,9 +53,14 @@ def test_neighbours_and_edits(spark, rng):
             e = t[:len(t) - half] + nxt[:half]
             r = got[i]
             assert r.n_chars == len(t) and r.edited_sha256 == hashlib.sha256(e.encode()).hexdigest()
-            assert r.fingerprint == wn.winnow(wn.codes(t))[0].astype(">u4").tobytes().hex()
-            assert r.edited_fingerprint == wn.winnow(wn.codes(e))[0].astype(">u4").tobytes().hex()
-            assert 0 <= r.near_next <= 1 and 0 <= r.near_edited <= 1
+            for stored, whole in ((r.fingerprint, t), (r.edited_fingerprint, e)):
+                hashes, positions = wn.winnow(wn.codes(whole))
+                again = wn.read_print(stored)
+                assert again.hashes.tolist() == hashes.tolist() and again.positions.tolist() == positions.tolist() and again.text() == stored
+            # the likenesses are those of the returned fingerprints, by the definition: Dice by the larger window
+            follows = got[docs[(k + 1) % len(docs)][0]].fingerprint
+            assert r.near_edited == dice(t, e) == wn.likeness_of(wn.read_print(r.fingerprint), wn.read_print(r.edited_fingerprint))
+            assert r.near_next == dice(t, nxt) == wn.likeness_of(wn.read_print(r.fingerprint), wn.read_print(follows))
 
 
 def test_edges(spark, rng):
