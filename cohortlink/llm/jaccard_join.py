@@ -285,13 +285,13 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, group: int = GRO
     """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id, text).
 
     Null or blank texts have empty sets and link with nothing: component_id is their own doc_id.
-    Rows with a null doc_id belong to the component of equal texts with an id; a text that only
-    such rows hold links with equal texts alone, and its component_id is null. Repeated rows are
+    Rows with a null doc_id link like any others; they have no id to offer, so the component_id of a
+    component that only such rows form is null. Repeated rows are
     returned as often as they come. An empty table gives no rows. Columns other than doc_id and text are ignored. ``buckets`` (default: the session's
     shuffle partitions) is the number of signature groups tasks; give more for larger inputs.
     """
     spark = docs.sparkSession
-    docs = pick(docs, "doc_id", "text")
+    docs = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     rows = keep_plan(docs.mapInArrow(_nodes(percent), "doc_id long, n_shingles long, node long, sure long, sketch binary"))
     nodes = keep_plan(rows.where("node is not null").groupBy("node")
                       .agg(F.min("doc_id").alias("rep"), F.first("sure").alias("sure"), F.first("sketch").alias("sketch"),
@@ -319,12 +319,13 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, group: int = GRO
                       .where("h >= sure").select("node"))
     need = (tried.select(F.explode(F.array("a", "b")).alias("node"), F.lit(True).alias("tried"))
             .unionByName(open_.select("node", F.lit(False).alias("tried"))).groupBy("node").agg(F.max("tried").alias("tried")))
-    need = keep_plan(nodes.join(need, "node").select("node", "tried", F.col("rep").alias("doc_id")).where("doc_id is not null"))
+    need = keep_plan(nodes.join(need, "node").select("node", "tried", F.col("rep").alias("doc_id")))
     # texts go by a table of ID_PLACES places first, so that most others are not shuffled
     place = F.shiftrightunsigned(F.xxhash64("doc_id"), 64 - ID_PLACES.bit_length() + 1)
     some = docs.where("doc_id is not null").withColumn("_place", place).join(
-        F.broadcast(need.select(place.alias("_place")).distinct()), "_place", "left_semi")  # ID_PLACES rows at most
-    sets = keep_plan(some.join(need.select("doc_id").distinct(), "doc_id", "left_semi").select("text")
+        F.broadcast(need.where("doc_id is not null").select(place.alias("_place")).distinct()), "_place", "left_semi")  # ID_PLACES rows at most
+    some = some.join(need.select("doc_id").distinct(), "doc_id", "left_semi").select("text")
+    sets = keep_plan(some.unionByName(docs.where("doc_id is null").select("text"))  # texts that only rows without id may hold
                      .mapInArrow(_sets, "node long, shingles binary")
                      .groupBy("node").agg(F.first("shingles").alias("shingles")).join(need.select("node", "tried"), "node"))
     drop_shuffles(spark)
@@ -336,13 +337,16 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, group: int = GRO
 
     links = verified(tried, sets.where("tried"))
     drop_shuffles(spark)
-    rep = nodes.select("node", "rep")
+    known = nodes.count()
 
     def labels(linked: DataFrame) -> DataFrame:
-        edges = linked.join(rep.toDF("a", "_ra"), "a").join(rep.toDF("b", "_rb"), "b").select(F.col("_ra").alias("a"), F.col("_rb").alias("b"))
-        root = components(edges.where("a is not null and b is not null"))
-        return (nodes.join(root.withColumnRenamed("node", "rep"), "rep", "left")
-                .select("node", "n", "sure", "copies", F.coalesce("root", "rep").alias("component_id")))
+        """(node, comp, copies, component_id): components of nodes, then the least doc_id that one of them has."""
+        at = keep_plan(nodes.join(components(linked), "node", "left").select("node", "copies", "rep", "root"))
+        least = keep_plan(at.where("root is not null").groupBy("root").agg(F.min("rep").alias("component_id"), F.count("*").alias("_m")))
+        hot = least.where(F.col("_m") * HOT_SHARE > known)
+        in_one = join_by_key(at.where("root is not null"), least.drop("_m"), "root", hot)
+        return (in_one.select("node", F.col("root").alias("comp"), "copies", "component_id")
+                .unionByName(at.where("root is null").select("node", F.col("node").alias("comp"), "copies", F.col("rep").alias("component_id"))))
 
     label = keep_plan(labels(links))
     # Open nodes that are not connected yet: prefix filtering, rare shingles first. Any order is
@@ -353,7 +357,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, group: int = GRO
                .toArrow())  # FREQUENT rows at most
     frequent[counted.column("place").to_numpy()] = counted.column("n").to_numpy()
     order = spark.sparkContext.broadcast(frequent)
-    tokens = keep_plan(loose.join(label.select("node", F.col("component_id").alias("comp")), "node").select("node", "comp", "shingles")
+    tokens = keep_plan(loose.join(label.select("node", "comp"), "node").select("node", "comp", "shingles")
                        .mapInArrow(_prefixes(percent, order), "node long, comp long, n long, token long, index boolean, pos long"))
     index = tokens.where("index").select("token", F.col("comp").alias("_ci"), F.col("node").alias("_i"), F.col("n").alias("_ni"), F.col("pos").alias("_pi"))
     probe = tokens.select("token", F.col("comp").alias("_cp"), F.col("node").alias("_p"), F.col("n").alias("_np"), F.col("pos").alias("_pp"))

@@ -97,3 +97,24 @@ def test_set_keys_and_chunks_agree():
     one = [set(s.tolist()) for _, b, o in tk.chunks(pa.array(texts)) for s in tk.shingle_sets(b, o)]
     cut = [set(s.tolist()) for _, b, o in tk.chunks(pa.array(texts), 64) for s in tk.shingle_sets(b, o)]
     assert one == cut and [len(s) for s in one] == [len(shingles(t)) for t in texts]
+
+
+def test_rows_without_id_are_bridges(spark, rng):
+    """Texts that only rows without doc_id hold link like any others, and lead from one document to the next."""
+    w = sentence(rng, 60).split()
+    texts = [" ".join(w[:60 - cut]) for cut in (0, 9, 18, 26)]
+    sets = [shingles(t) for t in texts]
+
+    def linked(a, b):
+        return 100 * len(a & b) >= 75 * len(a | b)
+
+    assert [linked(sets[i], sets[i + 1]) for i in range(3)] == [True] * 3 and not linked(sets[0], sets[2]) and not linked(sets[1], sets[3])
+    alone = sentence(rng, 40)
+    rows_ = [(5, texts[0]), (None, texts[1]), (3, texts[2]), (None, texts[3]), (None, alone), (None, alone), (9, sentence(rng, 30))]
+    df = spark.createDataFrame(rows_, "doc_id int, text string")  # narrower ids are taken as well
+    got = {}
+    for r in jj.jaccard_components(df).collect():
+        got.setdefault(r.doc_id, []).append(r.component_id)
+    assert got[5] == [3] and got[3] == [3] and sorted(map(str, got[None])) == ["3", "3", "None", "None"]
+    ids = spark.createDataFrame([r for r in rows_ if r[0] in (5, 3)], "doc_id int, text string")
+    assert {r.component_id for r in jj.jaccard_components(ids).collect()} == {5, 3}  # without the bridge
