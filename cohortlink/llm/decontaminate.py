@@ -2,7 +2,7 @@
 
 Test items are short and documents long, so the Jaccard similarity of an item and a whole
 document says little. Items are partitioned by the size of their shingle set (classes up to
-16, 32, 64 ... shingles). For a class of up to u shingles every text is read as windows of 2u
+1, 2, 4, 8 ... shingles). For a class of up to u shingles every text is read as windows of 2u
 shingles that start every u, so that any stretch of an item's length lies inside one window.
 An item q of the class (u/2 < q <= u) contained to the threshold t in such a window has Jaccard
 similarity of at least t q / (2u + (1 - t) q) with it; that bound gives the number of MinHash
@@ -30,7 +30,6 @@ from .frames import filter_rows, pick
 
 PERCENT = 75
 MISS = 1e-5
-LEAST_CLASS = 16
 BLOCK_BYTES = 8 << 20
 U64 = np.uint64
 
@@ -43,13 +42,13 @@ class ItemIndex:
         by_class = defaultdict(list)
         for i, s in enumerate(sets):
             if len(s):
-                by_class[max(LEAST_CLASS, 1 << (len(s) - 1).bit_length())].append(i)
+                by_class[1 << (len(s) - 1).bit_length()].append(i)
         self.classes = []  # (u, functions, per function: sorted minima and their items)
         t = percent / 100
         for u, items in sorted(by_class.items()):
             q = min(len(sets[i]) for i in items)
             similar = t * q / (2 * u + (1 - t) * q)
-            count = min(256, math.ceil(math.log(MISS) / math.log(1 - similar)))
+            count = math.ceil(math.log(MISS) / math.log(1 - similar))  # 60 at most, as q > u / 2
             functions = tk.mix(np.arange(1, count + 1, dtype=U64)) | U64(1)
             minima = []
             for f in functions:

@@ -47,3 +47,28 @@ def test_edges(spark, rng):
     assert kept.columns == full.columns and {r[0] for r in kept.collect()} == {3, 4, 5, 6, 7, 8, 9, 10}
     assert dc.find_items(df.limit(0), items).count() == 0 and dc.find_items(df, items.limit(0)).count() == 0
     assert dc.without_items(df, items.limit(0)).count() == 12
+
+
+def test_functions_suffice_for_every_size(rng):
+    """The MinHash functions of a class miss a match of its smallest item with probability MISS at most."""
+    for n in [*range(1, 70), 200, 1000]:
+        text = " ".join(f"w{i}" for i in range(n + 4))
+        index = dc.ItemIndex([1], [next(s for _, b, o in dc.tk.chunks(dc.pa.array([text])) for s in dc.tk.shingle_sets(b, o))], 75)
+        (u, functions, _), = index.classes
+        least = 0.75 * n / (2 * u + 0.25 * n)
+        assert n <= u < 2 * n and (1 - least) ** len(functions) <= dc.MISS and len(functions) <= 66
+
+
+def test_items_of_few_shingles(spark, rng):
+    items = [(j, sentence(rng, 5 + j % 4)) for j in range(60)]
+    docs = []
+    for i in range(120):
+        w = sentence(rng, rng.choice([0, 40, 400])).split()
+        for _ in range(2):
+            a = rng.randrange(len(w) + 1)
+            w[a:a] = rng.choice(items)[1].split()
+        docs.append((i, " ".join(w)))
+    want = brute(docs, items)
+    assert len(want) > 200
+    got = dc.find_items(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), spark.createDataFrame(items, "item_id long, text string"))
+    assert rows(got) == want
