@@ -14,17 +14,18 @@ def within_one(a, b):
     return len(b) - len(a) <= 1 and a[k + (len(a) == len(b)):] == b[k + 1:]
 
 
-def brute(docs):
+def brute(docs, equal_chars=ld.MIN_CHARS):
+    """Lines go that equal an earlier one (not blank, ``equal_chars`` or longer) or, from MIN_CHARS on, are within one edit of it."""
     first = {}
     for i, t in sorted(docs):
         for p, s in enumerate((t or "").split("\n")):
-            if len(s) >= ld.MIN_CHARS:
+            if len(s) >= ld.MIN_CHARS or len(s) >= equal_chars and s.strip("\t\n\x0b\x0c\r "):
                 first.setdefault(s, (i, p))
-    least = {s: min(first[r] for r in first if within_one(s, r)) for s in first}
+    least = {s: min(first[r] for r in first if r == s or min(len(r), len(s)) >= ld.MIN_CHARS and within_one(s, r)) for s in first}
     out = []
     for i, t in docs:
         lines = (t or "").split("\n")
-        kept = [s for p, s in enumerate(lines) if len(s) < ld.MIN_CHARS or least[s] >= (i, p)]
+        kept = [s for p, s in enumerate(lines) if s not in least or least[s] >= (i, p)]
         text = "\n".join(kept)
         out.append((i, 0 if t is None else len(lines), len(lines) - len(kept), hashlib.sha256(text.encode()).hexdigest()))
     return sorted(out, key=repr)
