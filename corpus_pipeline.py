@@ -27,8 +27,8 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without lines that occur earlier; documents with nothing left go; n_chars follows."""
-    out = numbered(dedup_lines(docs, drop_emptied=True))  # ends with the numbers of lines and of removed ones
+    """Texts without lines that occur earlier, short ones too; documents with nothing left go; n_chars follows."""
+    out = numbered(dedup_lines(docs, drop_emptied=True, equal_chars=1))  # ends with the numbers of lines and of removed ones
     names = docs.columns
     cols = [F.col(f"_c{i}") for i in range(len(names))]
     if "n_chars" in names:
@@ -39,7 +39,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest doc_id; null ids stay."""
+    """Of each group of linked documents the one with the smallest doc_id; null ids stay, and so do
+    repeated rows of that doc_id."""
     key = f"_c{docs.columns.index('doc_id')}"
     others = jaccard_components(docs).where("component_id <> doc_id").select(F.col("doc_id").alias(key)).distinct()
     flat = numbered(docs)
@@ -68,9 +69,17 @@ ORACLE_SQL = None  # trained scores, edit distances and Newton iterations are be
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of the last stage over ``documents``, with the folder of the stages' results below the shared
+    checkpoint folder: the last one is read by the result, the others are removed once their successor is written. Nulls, empty
+    texts, repeated rows and empty tables are handled as each stage's operator says."""
     docs = table(spark, sf_dir, "documents")
     folder = f"{ensure_checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    before = None
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            path = spark._jvm.org.apache.hadoop.fs.Path(before)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        before = f"{folder}/{name}"
     return docs
