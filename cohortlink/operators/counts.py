@@ -7,7 +7,8 @@ and spreads a hot group over the (group, value) keys of the first phase.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -80,21 +81,40 @@ def counts_by_district_grade(ev: DataFrame, test_names: Sequence[str] | None,
 
 def counts_grouping_sets(ev: DataFrame, test_names: Sequence[str] | None, state: str | None = None,
                          term: str | int | None = None) -> DataFrame:
-    """The three count reports in one scan: GROUPING SETS over grade / district /
-    district x grade, labelled by ``report``."""
-    ev = filter_events(ev, state, term, test_names).withColumn("GRADE", F.col("GRADE_ORDINAL"))
-    sets = [[F.col(c) for c in GRADE_KEYS], [F.col(c) for c in DISTRICT_KEYS],
-            [F.col(c) for c in DISTRICT_GRADE_KEYS]]
-    cols = [F.col(c) for c in DISTRICT_GRADE_KEYS]
-    agg = ev.groupingSets(sets, *cols).agg(
-        F.countDistinct("SCHOOL_STANDARD_NAME").alias("school_count"),
-        F.countDistinct("STUDENT_BUSINESS_IDENTIFIER").alias("student_count"),
-        F.grouping("GRADE").alias("_g_grade"),
-        F.grouping("DISTRICT_STANDARD_NAME").alias("_g_district"))
-    report = (F.when(F.col("_g_district") == 1, F.lit("by_grade"))
-              .when(F.col("_g_grade") == 1, F.lit("by_district"))
-              .otherwise(F.lit("by_district_grade")))
-    return agg.withColumn("report", report).drop("_g_grade", "_g_district")
+    """The three count reports in one scan, labelled by ``report``: by grade, by district, by both.
+
+    Distinct ids roll up: the scan is reduced once to distinct (finest group, id) rows, two rows per event at most; the
+    finest report counts them, and the coarser ones drop keys from them and reduce again. No event is multiplied by reports, and distinct
+    rows of further terms can be added to those of earlier ones without reading their events."""
+    ids = distinct_ids(filter_events(ev, state, term, test_names).withColumn("GRADE", F.col("GRADE_ORDINAL")), DISTRICT_GRADE_KEYS)
+    return roll_up(ids, DISTRICT_GRADE_KEYS, {"by_grade": GRADE_KEYS, "by_district": DISTRICT_KEYS, "by_district_grade": DISTRICT_GRADE_KEYS})
+
+
+def distinct_ids(ev: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct (keys, _school, _student) rows with one of the two ids; a group without ids has one row without."""
+    school, student = F.col("SCHOOL_STANDARD_NAME"), F.col("STUDENT_BUSINESS_IDENTIFIER")
+    kinds = dict(ev.select(school, student).dtypes)
+    pairs = ((school, F.lit(None).cast(kinds["STUDENT_BUSINESS_IDENTIFIER"])), (F.lit(None).cast(kinds["SCHOOL_STANDARD_NAME"]), student))
+    return ev.select(*keys, F.inline(F.array(*[F.struct(a.alias("_school"), b.alias("_student")) for a, b in pairs]))).distinct()
+
+
+def roll_up(ids: DataFrame, finest: Sequence[str], reports: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Distinct counts per report from the distinct rows of the finest keys; keys that a report lacks are null."""
+    kinds = dict(ids.dtypes)
+
+    def keys_of(name: str) -> list[Column]:
+        return [(F.col(k) if k in reports[name] else F.lit(None).cast(kinds[k])).alias(k) for k in finest]
+
+    def counted(rows: DataFrame) -> DataFrame:
+        out = rows.groupBy("report", *finest).agg(F.count("_school").alias("school_count"), F.count("_student").alias("student_count"))
+        return out.select(*finest, "school_count", "student_count", "report")
+
+    coarse = [n for n, keys in reports.items() if set(keys) != set(finest)]
+    out = [counted(ids.withColumn("report", F.lit(n))) for n in reports if n not in coarse]
+    if coarse:
+        each = F.inline(F.array(*[F.struct(F.lit(n).alias("report"), *keys_of(n)) for n in coarse]))
+        out.append(counted(ids.select(each, "_school", "_student").distinct()))
+    return reduce(DataFrame.unionByName, out)
 
 
 def record_counts(df: DataFrame, keys: Sequence[str], name: str = "record_count") -> DataFrame:

@@ -36,18 +36,15 @@ def file_verdicts(cells: DataFrame, expected_cols: int, working: str = STATUS_WO
     note; unreadable files keep only their read error. Routing counts every received column;
     ``drop_provenance`` leaves the provenance columns out (the combine's own count).
 
-    Each row is first reduced to three small numbers, so the aggregation hashes numbers and
-    never sorts cells; the few error texts are joined back."""
+    Each row is first reduced to its width, whether it holds anything, and its error if it has one, so that one
+    aggregation over small rows is all: the files are decoded once and cells never move."""
     width = F.size(F.filter(_kept_header(), lambda k: k)) if drop_provenance else F.size("cells")
     small = cells.select(
         "file_name", F.when(F.col("row_idx") == 0, width).alias("w"),
-        F.when((F.col("row_idx") > 0) & F.exists("cells", _nonblank_cell), 1).otherwise(0).alias("nb"),
-        F.when(F.col("read_error").isNotNull(), 1).otherwise(0).alias("bad"))
+        F.when((F.col("row_idx") > 0) & F.exists("cells", _nonblank_cell), 1).otherwise(0).alias("nb"), "read_error")
     per_file = small.groupBy("file_name").agg(
-        F.max("w").alias("received_cols"), F.sum("nb").alias("non_blank_records"), F.max("bad").alias("bad"))
-    errors = (cells.where(F.col("read_error").isNotNull()).groupBy("file_name").agg(F.max("read_error").alias("read_error")))
-    per_file = per_file.join(errors, "file_name", "left")
-    readable = F.col("bad") == 0
+        F.max("w").alias("received_cols"), F.sum("nb").alias("non_blank_records"), F.max("read_error").alias("read_error"))
+    readable = F.col("read_error").isNull()
     status = F.when(readable, F.when(F.col("received_cols") == expected_cols, working).otherwise(rejected))
     note = F.when(readable & (F.col("received_cols") != expected_cols),
                   F.format_string("expected_cols=%d; received_cols=%d", F.lit(expected_cols), F.col("received_cols")))
@@ -143,10 +140,14 @@ def edited_verdicts(cells: DataFrame, expected_cols: int) -> DataFrame:
 def combine_with_template(cells: DataFrame, template: Sequence[str]) -> DataFrame:
     """Stack the files that fit the template as text: provenance columns of the received header
     removed, the other cells renamed by position, blank cells null, plus FILENAMEFROMDISTRICT
-    and AGENCYCODE. One join brings each file's header mask to its rows."""
-    hdr = cells.where((F.col("row_idx") == 0) & F.col("read_error").isNull()).select("file_name", _kept_header().alias("keep"))
-    hdr = hdr.where(F.size(F.filter("keep", lambda k: k)) == len(template))
-    body = cells.where(F.col("row_idx") > 0).select("file_name", "cells").join(hdr, "file_name")
+    and AGENCYCODE. Cells that were read with ``drop=PROVENANCE_DROP_BEFORE_CHECK`` carry the header's mask, so this is one
+    narrow pass over the files; for other cells one join brings each file's mask to its rows."""
+    fits = F.size(F.filter("keep", lambda k: k)) == len(template)
+    if "keep" in cells.columns:
+        body = cells.where((F.col("row_idx") > 0) & F.col("read_error").isNull() & fits).select("file_name", "cells", "keep")
+    else:
+        hdr = cells.where((F.col("row_idx") == 0) & F.col("read_error").isNull()).select("file_name", _kept_header().alias("keep"))
+        body = cells.where(F.col("row_idx") > 0).select("file_name", "cells").join(hdr.where(fits), "file_name")
     kept = F.filter(F.arrays_zip("cells", "keep"), lambda z: z["keep"])
     body = body.select("file_name", F.transform(kept, lambda z: z["cells"]).alias("c"))
     cols = [blank_to_null(F.col("c")[i]).alias(name) for i, name in enumerate(template)]

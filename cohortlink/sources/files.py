@@ -16,6 +16,9 @@ replacement), the header's width and the first fault of the file. The second pas
 from its true state. Records that cross a border are emitted as fragments and joined by (file, row).
 
 The fold's result that tasks need is 17 bytes per range of a cut file, about 10**-7 of the bytes read.
+With ``drop`` each row also carries ``keep array<boolean>``, which of the header's cells are not among the dropped names, so
+that readers of the rows need no second look at the header.
+
 A record (not a file) over ``MAX_RECORD`` bytes, as an unclosed quote makes one, is reported as the file's read error.
 Compressed files are read as their content.
 """
@@ -42,9 +45,12 @@ RAW_CELLS_SCHEMA = "file_name string, row_idx bigint, cells array<string>, read_
 ENCODINGS = ("utf-8-sig", "utf-8", "cp1252")
 BATCH_ROWS = 10_000
 MAX_RECORD = 1 << 28
+MAX_HEADER = 1 << 20
 BOM = b"\xef\xbb\xbf"
 _NOT_CP1252 = re.compile(rb"[\x81\x8d\x8f\x90\x9d]")
-_CELLS = pa.schema([("file_name", pa.string()), ("row_idx", pa.int64()), ("cells", pa.list_(pa.string())), ("read_error", pa.string())])
+KEEP_SCHEMA = RAW_CELLS_SCHEMA + ", keep array<boolean>"
+_CELLS = pa.schema([("file_name", pa.string()), ("row_idx", pa.int64()), ("cells", pa.list_(pa.string())), ("read_error", pa.string()),
+                    ("keep", pa.list_(pa.bool_()))])
 
 
 def decode_bytes(data: bytes) -> str:
@@ -95,15 +101,24 @@ def parse_csv_rows(name: str, data: bytes, null_tokens: Sequence[str]) -> Iterat
         yield (name, i, _finished(r, width, tokens) if i else r, None)
 
 
-def _batches(rows: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
+def _kept(header: Sequence[str], drop: frozenset[str]) -> list[bool]:
+    return [h.strip(" ").upper() not in drop for h in header]
+
+
+def _batches(rows: Iterator[tuple], columns: int) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema(list(_CELLS)[:columns])
     buf: list[tuple] = []
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*buf), schema)], schema=schema)
+
     for row in rows:
         buf.append(row)
         if len(buf) >= BATCH_ROWS:
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*buf), _CELLS)], schema=_CELLS)
+            yield batch()
             buf = []
     if buf:
-        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*buf), _CELLS)], schema=_CELLS)
+        yield batch()
 
 
 # --- ranges -----------------------------------------------------------------------------------
@@ -168,32 +183,42 @@ class Shape(NamedTuple):
     through: bool  # that record does not end here
     tail: int  # width so far of the record that is open at the end and began here, 0 if none
     peaks: list  # (number among the new, width) of closed records wider than all before them
+    head: list | None  # cells of the first record that begins here
+    rest: list | None  # cells of what is left of the record that was open; None over MAX_HEADER bytes
 
 
 _END = "S\n"
+_MARK = BOM.decode("latin-1")
 
 
 def shape(text: str, inside: bool) -> Shape:
     """Run the CSV automaton over a range. A leading quote puts it inside a quoted cell; a last line of
     one cell shows whether it ends outside."""
-    new, lead, through, tail, peaks, top = 0, 0, False, 0, [], 0
+    new, lead, through, tail, peaks, top, head, rest = 0, 0, False, 0, [], 0, None, None
     last, first = None, inside
+
+    def left(cells: list) -> list | None:
+        return cells if sum(map(len, cells)) <= MAX_HEADER else None
+
     for r in _csv_rows(('"' if inside else "") + text + _END):
         if last is not None:
             if first:
-                lead, first = len(last), False
+                lead, first, rest = len(last), False, left(last)
             else:
+                head = left(last) if new == 0 else head
                 if len(last) > top:
                     top = len(last)
                     peaks.append((new, top))
                 new += 1
         last = r
     if last != ["S"]:  # still inside quotes: the last line went into the open cell
+        last = last[:-1] + [last[-1].removesuffix(_END)]
         if first:
-            lead, through = len(last), True
+            lead, through, rest = len(last), True, left(last)
         else:
+            head = left(last) if new == 0 else head
             tail, new = len(last), new + 1
-    return Shape(new, lead, through, tail, peaks)
+    return Shape(new, lead, through, tail, peaks, head, rest)
 
 
 _FACTS = "file_name string, start bigint, size bigint, bytes bigint, utf8 boolean, cp1252 boolean, nul boolean, shapes string"
@@ -213,9 +238,9 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text = r.data.decode("latin-1")
         out = shape(text, False)
         if r.start:
-            other = shape(text, True) if '"' in text else Shape(0, 1, True, 0, [])
+            other = shape(text, True) if '"' in text else Shape(0, 1, True, 0, [], None, [text] if len(text) <= MAX_HEADER else None)
         else:
-            other = shape("x" + text, False) if text[0] in '"\r\n' else out
+            other = shape(_MARK + text, False)
         row = (r.name, r.start, r.size, len(r.data), utf8, not _NOT_CP1252.search(r.data), b"\0" in r.data, json.dumps([out, other]))
         yield pa.RecordBatch.from_pylist([dict(zip(("file_name", "start", "size", "bytes", "utf8", "cp1252", "nul", "shapes"), row))],
                                          schema=pa.schema([("file_name", pa.string()), ("start", pa.int64()), ("size", pa.int64()), ("bytes", pa.int64()),
@@ -223,7 +248,11 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 _FOLDED = ("file_name string, starts binary, rows binary, inside binary, encoding string, mark string, newline boolean, "
-           "width int, error string")
+           "width int, error string, header array<string>")
+
+
+def _decoded(data: bytes, encoding: str) -> str:
+    return data.decode("utf-8", "replace") if encoding == "replace" else data.decode(encoding)
 
 
 def fold(facts: pd.DataFrame) -> pd.DataFrame:
@@ -236,6 +265,7 @@ def fold(facts: pd.DataFrame) -> pd.DataFrame:
     error = "not a text file" if facts["nul"].any() else None
     width, row, inside, wide, held = 0, 0, False, 0, 0
     starts, rows, states = [], [], []
+    header: list[str] | None = None
 
     def check(i: int, cells: int) -> str | None:
         nonlocal width
@@ -252,20 +282,28 @@ def fold(facts: pd.DataFrame) -> pd.DataFrame:
             wide, held = wide + s.lead - 1, held + size
             if held > MAX_RECORD:
                 error = error or f"row {row - 1} is longer than {MAX_RECORD} bytes"
+            if row == 1:
+                header = header and s.rest and header[:-1] + [header[-1] + s.rest[0]] + s.rest[1:]
             if s.through:
                 continue
             error = check(row - 1, wide)
         for i, cells in s.peaks:
             error = check(row + i, cells)
+        if row == 0 and s.new:
+            header = s.head
         row += s.new
         inside, wide, held = s.tail > 0, s.tail, 0
     if inside:
         error = check(row - 1, wide)
     if not row:
         error = error or "no header"
+    elif header is None:
+        error = error or f"header is longer than {MAX_HEADER} bytes"
+    else:  # the ranges were read as single bytes
+        header = [_decoded(h.encode("latin-1"), encoding) for h in header]
     return pd.DataFrame([(facts["file_name"].iloc[0], np.array(starts, "<i8").tobytes(), np.array(rows, "<i8").tobytes(),
-                          np.array(states, np.uint8).tobytes(), encoding, mark, newline, width, error)],
-                        columns=["file_name", "starts", "rows", "inside", "encoding", "mark", "newline", "width", "error"])
+                          np.array(states, np.uint8).tobytes(), encoding, mark, newline, width, error, header)],
+                        columns=["file_name", "starts", "rows", "inside", "encoding", "mark", "newline", "width", "error", "header"])
 
 
 class CutFile(NamedTuple):
@@ -277,6 +315,7 @@ class CutFile(NamedTuple):
     newline: bool
     width: int
     error: str | None
+    header: list[str] | None
 
     def pieces(self, r: Range) -> Iterator[tuple[int, list[str], bool]]:
         """(row, cells, whole) of the records that touch a range."""
@@ -285,7 +324,7 @@ class CutFile(NamedTuple):
             raise RuntimeError(f"{r.name}: byte ranges changed between the passes (spark.sql.files.* settings)")
         last = at + 1 == len(self.starts)
         data = r.data[:-1] if last and not self.newline else r.data
-        text = data.decode("utf-8", "replace") if self.encoding == "replace" else data.decode(self.encoding)
+        text = _decoded(data, self.encoding)
         text = (self.mark if at == 0 else '"' if self.inside[at] else "") + text
         row, part, open_ = int(self.rows[at]) - int(self.inside[at]), bool(self.inside[at]), not last and bool(self.inside[at + 1])
         held = None
@@ -298,9 +337,21 @@ class CutFile(NamedTuple):
             yield row, held, not (part or open_)
 
 
-def _parse(cut: dict[str, CutFile], null_tokens: Sequence[str], fragments: bool):
+def _parse(cut: dict[str, CutFile], null_tokens: Sequence[str], drop: Sequence[str] | None, fragments: bool):
     """Ranges -> cells of whole records, or the fragments of records that cross borders."""
-    tokens = frozenset(null_tokens)
+    tokens, dropped = frozenset(null_tokens), frozenset(c.upper() for c in drop or ())
+    columns = 4 if fragments or drop is None else 5
+
+    def masked(r: Range) -> Iterator[tuple]:
+        rows = of(r)
+        if columns == 4:
+            yield from rows
+            return
+        keep = _kept(cut[r.name].header or (), dropped) if r.name in cut else None
+        for row in rows:
+            if r.whole and row[1] == 0:
+                keep = _kept(row[2], dropped) if row[3] is None else None
+            yield (*row, keep if row[3] is None else None)
 
     def of(r: Range) -> Iterator[tuple]:
         if r.whole:
@@ -322,21 +373,22 @@ def _parse(cut: dict[str, CutFile], null_tokens: Sequence[str], fragments: bool)
                 yield (r.name, row, _finished(cells, f.width, tokens) if row else cells, None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _batches(row for r in _ranges(batches) for row in of(r))
+        return _batches((row for r in _ranges(batches) for row in masked(r)), columns)
 
     return run
 
 
-def _join_fragments(cut: dict[str, CutFile], null_tokens: Sequence[str]):
-    tokens = frozenset(null_tokens)
+def _join_fragments(cut: dict[str, CutFile], null_tokens: Sequence[str], drop: Sequence[str] | None):
+    tokens, dropped = frozenset(null_tokens), frozenset(c.upper() for c in drop or ())
+    schema = _CELLS if drop is not None else pa.schema(list(_CELLS)[:4])
 
     def run(key: tuple, t: pa.Table) -> pa.Table:
         name, row = key[0].as_py(), key[1].as_py()
         cells: list[str] = []
         for part in t.sort_by("read_error").column("cells").to_pylist():
             cells = cells[:-1] + [cells[-1] + part[0]] + part[1:] if cells else part
-        return pa.Table.from_pylist([{"file_name": name, "row_idx": row, "read_error": None,
-                                      "cells": _finished(cells, cut[name].width, tokens) if row else cells}], schema=_CELLS)
+        done = _finished(cells, cut[name].width, tokens) if row else cells
+        return pa.Table.from_pylist([{"file_name": name, "row_idx": row, "read_error": None, "cells": done, "keep": _kept(cut[name].header or (), dropped)}], schema=schema)
     return run
 
 
@@ -348,18 +400,21 @@ def cut_files(spark: SparkSession, paths: str | Sequence[str], glob: str = "*")
     lines = raw_lines(spark, paths, glob).where(F.col("size") > least)
     folded = lines.mapInArrow(_survey, _FACTS).groupBy("file_name").applyInPandas(fold, _FOLDED)
     return {r.file_name: CutFile(np.frombuffer(r.starts, "<i8"), np.frombuffer(r.rows, "<i8"), np.frombuffer(r.inside, np.uint8), r.encoding, r.mark,
-                                 r.newline, r.width, r.error) for r in folded.collect()}
+                                 r.newline, r.width, r.error, r.header) for r in folded.collect()}
 
 
-def cells_of(spark: SparkSession, paths: str | Sequence[str], glob: str = "*", null_tokens: Sequence[str] = DEFAULT_NULL_TOKENS) -> DataFrame:
-    """Raw cells of the files at ``paths`` (a folder or files)."""
+def cells_of(spark: SparkSession, paths: str | Sequence[str], glob: str = "*", null_tokens: Sequence[str] = DEFAULT_NULL_TOKENS,
+             drop: Sequence[str] | None = None) -> DataFrame:
+    """Raw cells of the files at ``paths`` (a folder or files); with ``drop``, header names, also the mask ``keep``."""
     cut = cut_files(spark, paths, glob)
     lines = raw_lines(spark, paths, glob)
-    cells = lines.mapInArrow(_parse(cut, null_tokens, False), RAW_CELLS_SCHEMA)
+    schema = RAW_CELLS_SCHEMA if drop is None else KEEP_SCHEMA
+    cells = lines.mapInArrow(_parse(cut, null_tokens, drop, False), schema)
     crossed = {name: f for name, f in cut.items() if not f.error and f.inside.any()}
     if crossed:
-        parts = lines.where(F.col("size") > min(int(f.starts[1]) for f in crossed.values())).mapInArrow(_parse(cut, null_tokens, True), RAW_CELLS_SCHEMA)
-        cells = cells.unionByName(parts.groupBy("file_name", "row_idx").applyInArrow(_join_fragments(crossed, null_tokens), RAW_CELLS_SCHEMA))
+        least = min(int(f.starts[1]) for f in crossed.values())
+        parts = lines.where(F.col("size") > least).mapInArrow(_parse(cut, null_tokens, drop, True), RAW_CELLS_SCHEMA)
+        cells = cells.unionByName(parts.groupBy("file_name", "row_idx").applyInArrow(_join_fragments(crossed, null_tokens, drop), schema))
     return cells
 
 
@@ -375,12 +430,12 @@ def file_listing(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame
 
 
 def read_raw_cells(spark: SparkSession, folder: str, glob: str = "*",
-                   null_tokens: Sequence[str] = DEFAULT_NULL_TOKENS) -> DataFrame:
+                   null_tokens: Sequence[str] = DEFAULT_NULL_TOKENS, drop: Sequence[str] | None = None) -> DataFrame:
     """Raw cells of every file of the folder, whatever its extension and size. Zero-byte files,
-    which the line reader skips, get their read error from the listing."""
+    which the line reader skips, get their read error from the listing. ``drop``: see ``cells_of``."""
     empty = file_listing(spark, folder, glob).where("length = 0").select(
         "file_name", F.lit(0).cast("bigint").alias("row_idx"), F.lit(None).cast("array<string>").alias("cells"), F.lit("empty file").alias("read_error"))
-    return cells_of(spark, folder, glob, null_tokens).unionByName(empty)
+    return cells_of(spark, folder, glob, null_tokens, drop).unionByName(empty, allowMissingColumns=True)
 
 
 def template_columns(spark: SparkSession, path: str) -> list[str]:

@@ -78,13 +78,35 @@ def test_no_task_holds_a_file(spark, tmp_path, split_size):
     assert longest < 200
 
 
+def test_rows_carry_the_header_mask(spark, tmp_path, split_size):
+    """The combine needs neither a join nor a second look at the header, also where the header crosses ranges."""
+    from cohortlink.config import PROVENANCE_DROP_BEFORE_CHECK
+    from cohortlink.operators import intake
+    (tmp_path / "a 1.csv").write_text("X,agencycode ,Y\n" + "".join(f"{i},9,y{i}\n" for i in range(30)))
+    (tmp_path / "b 2.csv").write_bytes('"X\nlong header \u00e9",AGENCY_CODE,"Y\n\nmore"\n1,2,"3\n\n4"\n5,6\n'.encode("cp1252"))
+    (tmp_path / "c 3.csv").write_bytes(files.BOM + b"FilenameFromDistrict,X,Y\nf,1,2\n")
+    (tmp_path / "d 4.csv").write_text("X,Y,Z\n1,2,3\n")
+    (tmp_path / "e 5.csv").write_text("X,Y\n1,2,3\n")
+    for size in (1 << 20, 9):
+        split_size(size)
+        cells = read_raw_cells(spark, str(tmp_path), drop=PROVENANCE_DROP_BEFORE_CHECK)
+        got = {(r.file_name, r.row_idx): r.keep for r in cells.collect()}
+        assert got[("a 1.csv", 30)] == [True, False, True] and got[("b 2.csv", 1)] == [True, False, True] == got[("b 2.csv", 0)]
+        assert got[("c 3.csv", 1)] == [False, True, True] and got[("e 5.csv", 0)] is None
+        combined = intake.combine_with_template(cells, ["X", "Y"])
+        assert "Join" not in combined._jdf.queryExecution().optimizedPlan().toString()
+        rows = sorted((tuple(r) for r in combined.collect()), key=repr)
+        assert rows == sorted((tuple(r) for r in intake.combine_with_template(cells.drop("keep"), ["X", "Y"]).collect()), key=repr)
+        assert ("1", "3\n\n4", "b 2.csv", "2") in rows and ("1", "2", "c 3.csv", "3") in rows and len(rows) == 33
+
+
 def test_unclosed_quote_is_reported(spark, tmp_path, split_size, monkeypatch):
     (tmp_path / "open.csv").write_text("a,b\n1,2\n" + '3,"never closed\n' + "x,y\n" * 500)
     split_size(64)
     assert [r[1] for r in _cells(read_raw_cells(spark, str(tmp_path)))] == [0, 1, 2]
     import pandas as pd
     facts = pd.DataFrame([dict(file_name="f", start=64 * i, size=200, bytes=64, utf8=True, cp1252=True, nul=False,
-                               shapes='[[2,0,false,1,[[0,2]]],[0,1,true,0,[]]]') for i in range(4)])
+                               shapes='[[2,0,false,1,[[0,2]],["a","b"],null],[0,1,true,0,[],null,["z"]]]') for i in range(4)])
     monkeypatch.setattr(files, "MAX_RECORD", 100)
     assert files.fold(facts)["error"].iloc[0] == "row 1 is longer than 100 bytes"
 
