@@ -65,3 +65,45 @@ forms AS MATERIALIZED (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE W
 walk AS (SELECT word, word AS root, form AS next FROM forms
   UNION ALL SELECT walk.word, walk.next, f.form FROM walk JOIN forms f ON f.word = walk.next)
 SELECT f.word, f.form, w.root, f.n, f.n_near, f.form_n FROM forms f JOIN (SELECT word, root FROM walk WHERE next IS NULL) w USING (word)"""
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _shingles(name: str, table: str, key: str) -> str:
+    """CTEs <name>_w (row, key, words) and <name>_s (row, shingle), distinct per row: five words, or all of fewer."""
+    return f"""{name}_w AS MATERIALIZED (SELECT row_number() OVER () AS row, {key}, regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+') AS w FROM {table}),
+{name}_s AS MATERIALIZED (SELECT DISTINCT row, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 4], ' ') END AS s
+  FROM (SELECT row, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM {name}_w WHERE len(w) > 0))"""
+
+
+# Links by counting common shingles, components by walking the links from every document that has one.
+ORACLE["op4_ngram_jaccard_join"] = f"""WITH RECURSIVE {_shingles('d', 'documents', 'doc_id')},
+n AS MATERIALIZED (SELECT row, count(*) AS n FROM d_s GROUP BY row),
+common AS (SELECT a.row AS x, b.row AS y, count(*) AS c FROM d_s a JOIN d_s b ON a.s = b.s AND a.row < b.row GROUP BY ALL),
+links AS MATERIALIZED (SELECT x, y FROM common JOIN n a ON a.row = x JOIN n b ON b.row = y WHERE 100 * c >= 75 * (a.n + b.n - c)),
+way AS MATERIALIZED (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT DISTINCT x AS row, x AS there FROM way UNION SELECT reach.row, way.y FROM reach JOIN way ON way.x = reach.there),
+least AS (SELECT reach.row, min(doc_id) AS component_id FROM reach JOIN d_w ON d_w.row = reach.there GROUP BY reach.row)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id
+FROM d_w LEFT JOIN n USING (row) LEFT JOIN least USING (row)"""
+
+ORACLE["op9_benchmark_decontamination"] = f"""WITH {_shingles('d', 'documents', 'doc_id')},
+{_shingles('q', 'benchmark', 'item_id')},
+n AS (SELECT row, count(*) AS n_item FROM q_s GROUP BY row),
+hit AS (SELECT d.row AS dr, q.row AS qr, count(*) AS n_shared FROM d_s d JOIN q_s q USING (s) GROUP BY ALL)
+SELECT doc_id, item_id, n_item, n_shared, CAST(n_shared AS DOUBLE) / n_item AS containment
+FROM hit JOIN n ON n.row = qr JOIN d_w ON d_w.row = dr JOIN q_w ON q_w.row = qr WHERE 100 * n_shared >= 75 * n_item"""
+
+# Hexadecimal bytes; starts of repeated 50-byte strings are merged into runs, and what lies between them is kept.
+ORACLE["op6_suffix_array_dedup"] = """WITH d AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, '')) AS n_bytes FROM documents),
+spots AS (SELECT doc_id, p, md5(substr(h, 2 * p + 1, 100)) AS k FROM (SELECT doc_id, h, unnest(range(0, n_bytes - 49)) AS p FROM d)),
+early AS (SELECT k, min(doc_id) AS f FROM spots GROUP BY k HAVING min(doc_id) < max(doc_id)),
+hit AS (SELECT doc_id, p FROM spots JOIN early USING (k) WHERE f < doc_id),
+marked AS (SELECT doc_id, p, coalesce(p > lag(p) OVER w + 50, true)::INT AS new FROM hit WINDOW w AS (PARTITION BY doc_id ORDER BY p)),
+runs AS (SELECT doc_id, min(p) AS a, max(p) + 50 AS z FROM (SELECT doc_id, p, sum(new) OVER (PARTITION BY doc_id ORDER BY p) AS r FROM marked) GROUP BY doc_id, r),
+gaps AS (SELECT doc_id, coalesce(lag(z) OVER w, 0) AS a, a AS z FROM runs WINDOW w AS (PARTITION BY doc_id ORDER BY a)
+  UNION ALL SELECT doc_id, max(z), NULL FROM runs GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * a + 1, 2 * (coalesce(z, n_bytes) - a)), '' ORDER BY a) AS h FROM gaps JOIN d USING (doc_id) GROUP BY doc_id),
+sums AS (SELECT doc_id, sum(z - a) AS n_removed, count(*) AS n_spans FROM runs GROUP BY doc_id)
+SELECT d.doc_id, n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept.h, d.h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN sums USING (doc_id)"""
