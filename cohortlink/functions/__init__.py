@@ -1,7 +1,7 @@
 """Column expressions: text, numbers/grades/codes, dates/terms."""
 
-from .dates import (date_text, incorrect_term, parse_partner_date, plausible_dob, study_year,
-                    term_year, test_date_out_of_range, yyyymm_number)
+from .dates import (contradicts, date_text, incorrect_term, outside_test_window, parse_partner_date, plausible_dob, study_year,
+                    term_reading, term_year, test_date_out_of_range, yyyymm_number)
 from .numbers import (clean_grade, clean_int, ethnic_code, gender_fix, parse_grade_list, pct,
                       scale_code, sentinel_to_null, sex_code, simple_grade_list, subject_name, try_number,
                       vendor_grade)

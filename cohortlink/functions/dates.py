@@ -89,8 +89,31 @@ def parse_partner_date(c: Column | str) -> Column:
     then MDYYYY; 5 and 4 digits month, day and two-digit year (pivot 69). Otherwise the slash
     and dash layouts, month or four-digit year first. Else null; there is no year 0.
 
-    Readings are plain arithmetic on the digits, so a reading that is no date costs no failed parse."""
+    The usual layouts (slashes, ISO with or without time, eight digits) have generated code; readings of
+    the others are plain arithmetic on the digits, so one that is no date costs no failed parse."""
     c = _c(c)
+    return _usual_layouts(c, _any_layout(c))
+
+
+def _usual_layouts(c: Column, other: Column) -> Column:
+    """Date of the layouts that most files use, by the cast from year-month-day text; ``other`` for all other texts."""
+    def ymd(year: Column, month: Column, day: Column) -> Column:
+        return try_cast(F.concat(year, F.lit("-"), month, F.lit("-"), day), "date")
+
+    def digits(at: int, size: int) -> Column:
+        return F.substring(c, at, size)
+
+    last, month, day = F.substring_index(c, "/", -1), F.substring_index(c, "/", 1), F.substring_index(F.substring_index(c, "/", 2), "/", -1)
+    month_first = F.when(digits(5, 4) != "0000", ymd(digits(5, 4), digits(1, 2), digits(3, 2)))
+    year_first = F.when(digits(1, 4) != "0000", ymd(digits(1, 4), digits(5, 2), digits(7, 2)))
+    return (F.when(c.rlike(r"^[0-9]{1,2}/[0-9]{1,2}/(?:(?!0000)[0-9]{2})?[0-9]{2}\z"),
+                   ymd(F.when(F.length(last) == 4, last).otherwise(F.concat(F.when(last > "68", "19").otherwise("20"), last)), month, day))
+            .when(c.rlike(r"^(?!0000)[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}(?: [0-9]{1,2}:[0-9]{2}(?::[0-9]{2})?)?\z"), try_cast(F.substring_index(c, " ", 1), "date"))
+            .when(c.rlike(r"^[0-9]{8}\z"), F.coalesce(month_first, year_first))
+            .otherwise(other))
+
+
+def _any_layout(c: Column) -> Column:
     text = F.when(c.rlike("^[0-9/-]*$"), c).otherwise(F.regexp_replace(strip(c), r"(?U)\s+[0-9]{1,2}:[0-9]{2}(:[0-9]{2})?$", ""))
 
     def first_real(s: Column) -> Column:
@@ -107,7 +130,10 @@ def date_text(d: Column | str) -> Column:
 
 def plausible_dob(d: Column | str, as_of: _dt.date) -> Column:
     """Keep a birth date only if (as-of year - birth year) lies in [4, 25]."""
-    return _let(_c(d), lambda x: F.when((F.lit(as_of.year) - F.year(x)).between(DOB_MIN_AGE, DOB_MAX_AGE), x))
+    def kept(x: Column) -> Column:
+        return F.when((F.lit(as_of.year) - F.year(x)).between(DOB_MIN_AGE, DOB_MAX_AGE), x)
+
+    return kept(F.col(d)) if isinstance(d, str) else _let(d, kept)
 
 
 def study_year(settings_term: Column | str) -> Column:
@@ -126,8 +152,12 @@ def test_date_out_of_range(test_date: Column | str, settings_term: Column | str,
     """True when the test date falls before 1 Feb or after 30 Jun of the study year.
     Null on either side -> False. Dates outside the nanosecond-timestamp range
     (years before 1678 or after 2261) are not flagged unless ``flag_absurd_dates``."""
-    d = _c(test_date)
-    y = study_year(settings_term)
+    return outside_test_window(test_date, study_year(settings_term), flag_absurd_dates)
+
+
+def outside_test_window(test_date: Column | str, year: Column | str, flag_absurd_dates: bool = False) -> Column:
+    """``test_date_out_of_range`` for a study year that is known already."""
+    d, y = _c(test_date), _c(year)
     start = F.make_date(y, F.lit(TEST_WINDOW_START[0]), F.lit(TEST_WINDOW_START[1]))
     end = F.make_date(y, F.lit(TEST_WINDOW_END[0]), F.lit(TEST_WINDOW_END[1]))
     out = (d < start) | (d > end)
@@ -146,19 +176,26 @@ def incorrect_term(d_term: Column | str, settings_term: Column | str) -> Column:
     isolated two-digit numbers 0..50 read as 20dd): none -> False; study year or the year
     before among them -> False; otherwise True.
 
-    The texts, the study year and the years found are each computed once per row (``_let``)."""
-    def verdict(x: Column) -> Column:
-        season = x["t"].rlike("(?U)" + "|".join(NON_SPRING_PATTERNS))
-        found = F.struct(F.regexp_extract_all(x["t"], F.lit("20[0-9]{2}"), 0).alias("four"),
-                         F.filter(F.regexp_extract_all(x["t"], F.lit("(?<![0-9])([0-9]{2})(?![0-9])"), 1), lambda v: v <= "50").alias("two"))
+    ``term_reading`` holds what the text says, ``contradicts`` compares it with the study year; each is computed once per row (``_let``)."""
+    return _let(F.struct(term_reading(d_term).alias("r"), study_year(settings_term).alias("y")), lambda x: contradicts(x["r"], x["y"]))
+
 
-        def named(z: Column, year: Column) -> Column:
-            return F.array_contains(z["four"], year.cast("string")) | F.array_contains(z["two"], F.substring(year.cast("string"), 3, 2)) & year.between(2000, 2050)
+def term_reading(d_term: Column | str) -> Column:
+    """What a term text says, whatever the study: struct of ``season`` (fall, summer or winter wording), ``four`` (every
+    20dd) and ``two`` (isolated numbers 00 to 50); null for a null text."""
+    text = F.upper(strip(_c(d_term).cast("string")))
+    season = text.rlike("(?U)" + "|".join(NON_SPRING_PATTERNS))
+    four = F.regexp_extract_all(text, F.lit("20[0-9]{2}"), 0).cast("array<int>")
+    two = F.regexp_extract_all(text, F.lit("(?<![0-9])([0-4][0-9]|50)(?![0-9])"), 1).cast("array<int>")
+    return F.when(text.isNotNull(), F.struct(season.alias("season"), four.alias("four"), two.alias("two")))
 
-        def far(z: Column) -> Column:
-            return (F.size(z["four"]) + F.size(z["two"]) > 0) & ~(named(z, x["y"]) | named(z, x["y"] - 1))
 
-        return F.when(x["t"].isNull() | x["y"].isNull(), F.lit(False)).when(season, F.lit(True)).otherwise(_let(found, far))
+def contradicts(reading: Column | str, year: Column | str) -> Column:
+    """Whether a term's reading rules out the study year, see ``incorrect_term``."""
+    r, y = _c(reading), _c(year)
 
-    text = F.upper(strip(_c(d_term).cast("string")))
-    return _let(F.struct(text.alias("t"), study_year(settings_term).alias("y")), verdict)
+    def named(x: Column) -> Column:
+        return F.array_contains(r["four"], x) | F.array_contains(r["two"], x - 2000)
+
+    years = (F.size(r["four"]) > 0) | (F.size(r["two"]) > 0)
+    return F.when(r.isNull() | y.isNull(), F.lit(False)).when(r["season"], F.lit(True)).otherwise(years & ~(named(y) | named(y - 1)))

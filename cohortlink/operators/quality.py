@@ -18,12 +18,16 @@ from pyspark.sql import functions as F
 from ..config import (DATE_CLEAN_COLUMNS, FLAG_GRADE_NOT_IN_STUDY, FLAG_INCORRECT_TERM,
                       FLAG_MISSING_GRADE, FLAG_NON_NUMERIC_SS, FLAG_TEST_DATE_OUT_OF_RANGE,
                       INT_CLEAN_COLUMNS)
-from ..functions.dates import (date_text, incorrect_term, parse_partner_date, plausible_dob,
-                               test_date_out_of_range)
+from ..functions.dates import (contradicts, date_text, outside_test_window, parse_partner_date, plausible_dob,
+                               study_year, term_reading)
 from ..functions.numbers import clean_grade, clean_int, parse_grade_list
 from ..functions.text import is_nonblank, rename_with_prefix, strip
 from .reshape import place_clean_next_to_originals
 
+# Helper columns of the flag rules, dropped with the rules: what the term text says, and the study's year.
+READING, STUDY_YEAR = "D__TERM_READING", "_study_year"
+
+
 def add_clean_columns(long: DataFrame, as_of: _dt.date, grade_col: str = "D_GRADE",
                       int_cols: Sequence[str] = INT_CLEAN_COLUMNS,
                       date_cols: Sequence[str] = DATE_CLEAN_COLUMNS) -> DataFrame:
@@ -36,16 +40,22 @@ def add_clean_columns(long: DataFrame, as_of: _dt.date, grade_col: str = "D_GRAD
             new.append(clean_int(c).alias(f"{c}_CLEAN"))
     dates = [c for c in date_cols if c in long.columns]
     for c in dates:
-        d = parse_partner_date(c)
-        if c.endswith("DOB"):
-            d = plausible_dob(d, as_of)
-        new.append(d.alias(f"{c}_DATE"))
-    # parse each date once; the text form is derived from the parsed column
+        new.append(parse_partner_date(c).alias(f"{c}_DATE"))
+    # parse each date once; plausibility and the text form are derived from the parsed column
     out = long.select("*", *new)
+    out = out.withColumns({f"{c}_DATE": plausible_dob(f"{c}_DATE", as_of) for c in dates if c.endswith("DOB")})
     out = out.select("*", *[date_text(f"{c}_DATE").alias(f"{c}_CLEAN") for c in dates])
     return place_clean_next_to_originals(out)
 
 
+def clean_records(wide: DataFrame, as_of: _dt.date, prefix: str = "D_") -> DataFrame:
+    """The columns that ``add_clean_columns`` and the term rule derive from columns of the record, on the wide table
+    and so once per record instead of once per score; headers get the prefix after the unpivot."""
+    out = add_clean_columns(wide, as_of, "GRADE", [c.removeprefix(prefix) for c in INT_CLEAN_COLUMNS],
+                            [c.removeprefix(prefix) for c in DATE_CLEAN_COLUMNS])
+    return out.withColumn(READING.removeprefix(prefix), term_reading("TERM")) if "TERM" in wide.columns else out
+
+
 def prepare_settings(settings: DataFrame) -> DataFrame:
     """Trim headers and grade text, prefix ``SETTINGS_``, add the parsed grade list."""
     s = settings.toDF(*[c.strip().upper() for c in settings.columns])
@@ -64,7 +74,7 @@ def subject_grade_union(settings_prefixed: DataFrame) -> DataFrame:
 def join_settings(long: DataFrame, settings_prefixed: DataFrame) -> DataFrame:
     """Left join on subject (fan-out to every study of the subject) with a ``_merge``
     indicator: ``both`` (kept) or ``left_only`` (subject not in the study)."""
-    s = settings_prefixed.withColumn("_in_settings", F.lit(True))
+    s = settings_prefixed.withColumn("_in_settings", F.lit(True)).withColumn(STUDY_YEAR, study_year("SETTINGS_TERM"))
     joined = long.join(s, long["D_SUBJECT"] == s["SETTINGS_D_SUBJECT"], "left")
     return joined.withColumn("_merge", F.when(F.col("_in_settings"), "both").otherwise("left_only")) \
                  .drop("_in_settings")
@@ -74,6 +84,10 @@ def add_flags(merged: DataFrame, settings_prefixed: DataFrame, flag_absurd_dates
     """FLAG_REASON over kept rows (subjects in the study; dropped subjects stay null): missing_grade, grade_not_in_study, non_numeric_SS,
     incorrect_term, test_date_out_of_range (in that order)."""
     union = subject_grade_union(settings_prefixed)
+    if READING not in merged.columns:
+        merged = merged.withColumn(READING, term_reading("D_TERM"))
+    if STUDY_YEAR not in merged.columns:
+        merged = merged.withColumn(STUDY_YEAR, study_year("SETTINGS_TERM"))
     df = merged.join(union, merged["D_SUBJECT"] == union["_subj"], "left").drop("_subj")
     grade = F.col("D_GRADE_CLEAN")
     rules = [
@@ -81,8 +95,8 @@ def add_flags(merged: DataFrame, settings_prefixed: DataFrame, flag_absurd_dates
         (grade.isNotNull() & ~F.coalesce(F.array_contains("_subject_grades", grade), F.lit(False)),
          FLAG_GRADE_NOT_IN_STUDY),
         (is_nonblank("D_SS") & F.col("D_SS_CLEAN").isNull(), FLAG_NON_NUMERIC_SS),
-        (incorrect_term("D_TERM", "SETTINGS_TERM"), FLAG_INCORRECT_TERM),
-        (test_date_out_of_range("D_TESTDATE_DATE", "SETTINGS_TERM", flag_absurd_dates),
+        (contradicts(READING, STUDY_YEAR), FLAG_INCORRECT_TERM),
+        (outside_test_window("D_TESTDATE_DATE", STUDY_YEAR, flag_absurd_dates),
          FLAG_TEST_DATE_OUT_OF_RANGE),
     ]
     # Each rule becomes a small boolean once; as the output of a generator it is not computed
@@ -92,7 +106,7 @@ def add_flags(merged: DataFrame, settings_prefixed: DataFrame, flag_absurd_dates
     on = [F.col(f"_flag{i}") for i in range(len(rules))]
     reason = F.concat_ws("|", *[F.when(f, F.lit(name)) for f, (_, name) in zip(on, rules)])
     df = df.withColumn("FLAG_REASON", F.when((F.col("_merge") == "both") & reduce(lambda a, b: a | b, on), reason))
-    return df.drop("_subject_grades", *[f"_flag{i}" for i in range(len(rules))])
+    return df.drop("_subject_grades", READING, STUDY_YEAR, *[f"_flag{i}" for i in range(len(rules))])
 
 
 def grade_allowed(df: DataFrame) -> Column:

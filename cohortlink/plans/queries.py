@@ -52,9 +52,16 @@ def partner_long(spark: SparkSession, sf: str) -> DataFrame:
     return fx.rename_with_prefix(long, "D_")
 
 
+def partner_clean(spark: SparkSession, sf: str) -> DataFrame:
+    """Long rows with clean columns: those of the record are cleaned on the wide table, those of the score on the long one."""
+    wide = quality.clean_records(fx.normalize_strings(roles.partner_wide(spark, sf)), AS_OF)
+    long = fx.rename_with_prefix(reshape.wide_to_long(wide, SCORE_SUFFIXES, drop_rows_missing_ss=True), "D_")
+    return quality.add_clean_columns(long, AS_OF, grade_col="", int_cols=("D_SS",), date_cols=("D_TESTDATE",))
+
+
 def partner_flags(spark: SparkSession, sf: str) -> DataFrame:
     """Long + clean columns, settings join (fan-out per study) and flags."""
-    long = quality.add_clean_columns(partner_long(spark, sf), AS_OF)
+    long = partner_clean(spark, sf)
     s = quality.prepare_settings(roles.settings(spark))
     merged = quality.join_settings(long, s)
     return quality.add_flags(merged, s)
@@ -401,7 +408,7 @@ LONG_SUMMARY = ("D_SS", "D_SS_CLEAN", "D_GRADE", "D_TERM", "D_TESTNAME", "D_TEST
 
 
 def q_missingness_long_table(spark: SparkSession, sf: str) -> DataFrame:
-    long = quality.add_clean_columns(partner_long(spark, sf), AS_OF)
+    long = partner_clean(spark, sf)
     return counts.missingness_long(long, ["D_GRADE_CLEAN", "D_FILENAMEFROMDISTRICT"], columns_to_summarize=LONG_SUMMARY)
 
 

@@ -121,3 +121,25 @@ def test_simple_grade_list_and_subjects(spark):
     assert {r.c: r.g for r in got} == cases
     got = {r.c: r.s for r in spark.createDataFrame([(1,), (7,), (12,), (110,), (99,), (None,)], "c int").select("c", fx.subject_name("c").alias("s")).collect()}
     assert got == {1: "Math", 7: "Reading - Spanish", 12: "Reading - Spanish", 110: "Earth, Space, and Life Sciences", 99: None, None: None}
+
+
+def test_usual_date_layouts_read_like_any_layout(spark):
+    from cohortlink.functions import dates
+    heads = ["1/2/2024", "01/02/2024", "13/1/2024", "2/30/2024", "2/29/2023", "2/29/24", "1/2/68", "1/2/69", "1/2/0000", "1/2/0001", "0/1/2024",
+             "2024-01-02", "2024-1-2", "0000-1-2", "2024-13-1", "2024-02-30", "01022024", "20240102", "13132024", "00000000", "02300000",
+             "99991231", "12319999", "1/2/224", "1-2-2024", "2024/1/2", "1/ 2/2024", "102024", "12024", "1124", "1/2", "x", "", "2024-01-02T00:00"]
+    tails = ["", " ", "\n", " 00:00", " 00:00:00", " 9:05:1", "  00:00", " x"]
+    texts = [None] + [lead + h + t for lead in ("", " ") for h in heads for t in tails]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    differ = df.where(~fx.parse_partner_date("v").eqNullSafe(dates._any_layout(F.col("v")))).collect()
+    assert differ == []
+    assert "transform" not in df.select(dates._usual_layouts(F.col("v"), F.lit(None).cast("date")))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_term_readings_tell_what_incorrect_term_tells(spark):
+    terms = [None, "", "Spring 2025", "2024-25", "SP25", "50", "51", "125", "2050", "20512", "FALL 25", "W25", "1/25", "2099"]
+    df = spark.createDataFrame([(t, y) for t in terms for y in ("202502", "205102", "002502", "405002", "x", None)], "t string, y string")
+    got = df.select(fx.incorrect_term("t", "y").alias("a"), fx.contradicts(fx.term_reading("t"), fx.study_year("y")).alias("b")).collect()
+    assert all(r.a == r.b and r.a is not None for r in got)
+    assert [r.a for r in df.where("y = '202502'").select(fx.incorrect_term("t", "y").alias("a")).collect()] == [
+        False, False, False, False, False, True, False, False, True, True, True, True, False, True]
