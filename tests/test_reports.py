@@ -85,3 +85,21 @@ def test_replaced_files_drop_out(spark, tmp_path):
     check()
     (tmp_path / "partial" / "_batches" / "b-000000003").unlink()  # as if batch 3 had broken before its marker
     assert store.batches() == [1, 2] and missing_report(store, "missing", ["GRADE"]).count() > 0
+
+
+def test_flag_summary_deals_a_files_groups_to_many_windows(spark):
+    from pyspark.sql import functions as F
+    from cohortlink.operators import counts
+    names = ["_merge", "FLAG_REASON", "D_FILENAMEFROMDISTRICT", "D_SUBJECT", "D_GRADE", "D_GRADE_CLEAN", "D_SS", "D_TERM", "SETTINGS_TERM", "D_TESTDATE", "D_TESTDATE_CLEAN"]
+    rows = [("both", "non_numeric_SS", f, "MATH", "4", 4, f"{i}x", "t", "s", None, None) for f in ("a.csv", None) for i in range(200)]
+    rows += [("both", None, f, "MATH", "4", 4, "1", "t", "s", None, None) for f in ("a.csv", None) for _ in range(8)]
+    rows += [("both", "missing_grade", "b.csv", None, None, None, "1", "t", "s", None, None), ("left_only", None, "b.csv", None, "4", 4, "1", "t", "s", None, None)]
+    flags = spark.createDataFrame(rows, ", ".join(f"{n} {'int' if n == 'D_GRADE_CLEAN' else 'string'}" for n in names))
+    out = counts.flag_summary(flags, F.lit(True))
+    got = sorted((str(r.D_FILENAMEFROMDISTRICT), r.record_count, r.total_partner_subject_records, r.pct_affected_records) for r in out.collect())
+    assert got == [("None", 1, 8, 12.5)] * 200 + [("a.csv", 1, 8, 12.5)] * 200 + [("b.csv", 1, None, None)]
+    keys = [n for n in out.columns if n != "_salt"]
+    assert keys == out.columns and "D_SUBJECT" in keys
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    window = next(line for line in plan.split("\n") if "Window [" in line)
+    assert "_salt" in window  # one window per (file, subject) held all groups of the file
