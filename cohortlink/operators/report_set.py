@@ -1,7 +1,7 @@
 """Report sets: all reports of a run from one scan of their source.
 
-**Event counts.** Every event is tagged with the reports whose filter it passes, the superset of the reports' key
-columns is nulled where a report does not use a key, and one aggregation counts all of them; one write partitioned by report
+**Event counts.** Every event is shuffled once, by the keys that all reports have, and counted there in each report whose filter
+it passes; the superset of the reports' key columns is null where a report does not use a key. One write partitioned by report
 puts them on disk. A report is read back with its own columns only.
 
 **Older record checks.** The checked records are written once, accepted and removed ones as two partitions of one
@@ -12,28 +12,15 @@ source behind the checks is read once.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numbers import clean_grade
-from .counts import BASE_KEYS, DISTRICT_GRADE_KEYS, DISTRICT_KEYS, GRADE_KEYS
+from .counts import BASE_KEYS, DISTRICT_GRADE_KEYS, DISTRICT_KEYS, EVENTS, GRADE_KEYS, SCHOOLS, STUDENTS, Report, tally
 from .legacy_checks import district_report
 
-EVENTS, SCHOOLS, STUDENTS = "test_count", "school_count", "student_count"
-
-
-class Report(NamedTuple):
-    """A count report: its keys, the rows it counts, and which of the measures it has."""
-
-    name: str
-    keys: tuple[str, ...]
-    where: Column
-    measures: tuple[str, ...]
-
-
 def count_reports(scale_codes: Sequence[int], test_names: Sequence[str], state: str | None = None, term: int | None = None) -> list[Report]:
     """The four count reports of a study: growth events by test, and distinct schools and students by grade,
     by district, and by district and grade."""
@@ -49,24 +36,16 @@ def count_reports(scale_codes: Sequence[int], test_names: Sequence[str], state:
             Report("by_district", tuple(DISTRICT_KEYS), scored, distinct), Report("by_district_grade", tuple(DISTRICT_GRADE_KEYS), scored, distinct)]
 
 
-def event_reports(ev: DataFrame, reports: Sequence[Report]) -> DataFrame:
+def event_reports(ev: DataFrame, reports: Sequence[Report], salts: int = 1) -> DataFrame:
     """All reports in one frame: report, the superset of their keys, the three measures (null where a
-    report does not have them). One scan, one aggregation."""
-    keys = list(dict.fromkeys(k for r in reports for k in r.keys))
-    tags = F.filter(F.array(*[F.when(r.where, F.lit(r.name)) for r in reports]), lambda t: t.isNotNull())
-
-    def used(column: Column, names: Sequence[str]) -> Column:
-        return column if len(names) == len(reports) else F.when(F.col("report").isin(list(names)), column)
-
-    def having(measure: str) -> list[str]:
-        return [r.name for r in reports if measure in r.measures]
-
-    rows = ev.withColumn("GRADE", F.col("GRADE_ORDINAL")).withColumn("report", F.explode(tags))
-    rows = rows.select("report", *[used(F.col(k), [r.name for r in reports if k in r.keys]).alias(k) for k in keys],
-                       used(F.lit(1), having(EVENTS)).alias("_event"), used(F.col("SCHOOL_STANDARD_NAME"), having(SCHOOLS)).alias("_school"),
-                       used(F.col("STUDENT_BUSINESS_IDENTIFIER"), having(STUDENTS)).alias("_student"))
-    out = rows.groupBy("report", *keys).agg(F.count("_event").alias(EVENTS), F.countDistinct("_school").alias(SCHOOLS), F.countDistinct("_student").alias(STUDENTS))
-    return out.select("report", *keys, *[used(F.col(m), having(m)).alias(m) for m in (EVENTS, SCHOOLS, STUDENTS)])
+    report does not have them). One scan, one shuffle of the events (``counts.tally``, also for ``salts``)."""
+    out = tally(ev.withColumn("GRADE", F.col("GRADE_ORDINAL")), reports, salts)
+
+    def used(measure: str) -> Column:
+        having = [r.name for r in reports if measure in r.measures]
+        return F.col(measure) if len(having) == len(reports) else F.when(F.col("report").isin(having), F.col(measure)).alias(measure)
+
+    return out.select(*[c for c in out.columns if c not in (EVENTS, SCHOOLS, STUDENTS)], *[used(m) for m in (EVENTS, SCHOOLS, STUDENTS)])
 
 
 def write_event_reports(ev: DataFrame, reports: Sequence[Report], root: str, run: str) -> str:
