@@ -14,6 +14,7 @@ linear in the rows; pairs are made on demand (``expand``), and pair counts come
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -39,8 +40,8 @@ def _values(legs: Sequence[int], side: int) -> list[Column]:
 
 def _key(legs: Sequence[int], side: int) -> Column:
     """The key as an array of text, null where a value is missing (missing values never link)."""
-    values = F.array(*_values(legs, side))
-    return F.when(F.forall(values, lambda v: v.isNotNull()), values)
+    values = _values(legs, side)
+    return F.when(reduce(lambda a, b: a & b, [v.isNotNull() for v in values]), F.array(*values))
 
 
 def _members(rows: DataFrame, side: int, id_col: str) -> DataFrame:
@@ -76,6 +77,9 @@ def _keyed_counts(rows: DataFrame, side: int, name: str) -> DataFrame:
     """(subset of legs, key, count): rows that have all keys of the subset."""
     subsets = [s for n in range(1, len(LEGS) + 1) for s in combinations(range(len(LEGS)), n)]
     of = F.array(*[F.struct(F.lit("".join(str(leg + 1) for leg in s)).alias("legs"), _key(s, side).alias("key")) for s in subsets])
+    # values become text once: as the output of a generator they are not computed again in every subset
+    cols = list(dict.fromkeys(p[side] for p in (TEST, *[c for leg in LEGS for c in leg])))
+    rows = rows.select(F.inline(F.array(F.struct(*[F.col(c).cast("string").alias(c) for c in cols]))))
     return rows.select(F.explode(of).alias("l")).select("l.legs", "l.key").where(F.col("key").isNotNull()).groupBy("legs", "key").agg(F.count(F.lit(1)).alias(name))
 
 

@@ -70,8 +70,8 @@ _UNUSED_DATE = "0001-01-01"
 
 
 def _lookup_keys(include_dob_only: bool) -> Column:
-    """Array of (lookup id, phase rank, key struct) for every lookup whose keys are all
-    present on this row; unused key fields hold a constant so one struct type fits all."""
+    """Array of (lookup id, phase rank, key struct) per lookup, null where a key is missing
+    on this row; unused key fields hold a constant so one struct type fits all."""
     items = []
     for i, (rank, keys) in enumerate(PHASE_LOOKUPS):
         if not include_dob_only and keys == ("test_name", "dob"):
@@ -86,7 +86,7 @@ def _lookup_keys(include_dob_only: bool) -> Column:
                 fields.append(F.lit(_UNUSED_TEXT).alias(k))
         entry = F.struct(F.lit(i).alias("lid"), F.lit(rank).alias("rank"), F.struct(*fields).alias("key"))
         items.append(F.when(_not_null(keys), entry))
-    return F.filter(F.array(*items), lambda x: x.isNotNull())
+    return F.array(*items)
 
 
 def phase_candidates(partner: DataFrame, vendor: DataFrame, vendor_cols: Sequence[str],
@@ -98,10 +98,10 @@ def phase_candidates(partner: DataFrame, vendor: DataFrame, vendor_cols: Sequenc
     one partner aggregation, one join, no per-lookup re-scan of either input. Vendor rows of a hot
     key are dealt to many tasks, with copies of its one partner row."""
     lk = _lookup_keys(include_dob_only)
-    best = (partner.select(F.struct("p_id", *partner_carry).alias("p"), F.explode(lk).alias("l"))
+    best = (partner.select(F.struct("p_id", *partner_carry).alias("p"), F.explode(lk).alias("l")).where(F.col("l").isNotNull())
             .groupBy(F.col("l.lid").alias("lid"), F.col("l.key").alias("key"))
             .agg(F.min("p").alias("p"), F.min("l.rank").alias("phase_rank")))
-    v = vendor.select(*vendor_cols, F.explode(lk).alias("l")).select(
+    v = vendor.select(*vendor_cols, F.explode(lk).alias("l")).where(F.col("l").isNotNull()).select(
         *vendor_cols, F.col("l.lid").alias("lid"), F.col("l.key").alias("key"))
     hot = hot_hashes(v, key_hash("lid", "key"))  # keys that many events share, such as a placeholder id
     return salted_join(v, best, ["lid", "key"], F.struct(*vendor_cols), hot).select(*vendor_cols, "phase_rank", "p")
@@ -140,7 +140,7 @@ def link_per_event(partner: DataFrame, vendor: DataFrame, include_dob_only: bool
 
 
 def _leg_keys(legs: Sequence[Sequence[str]]) -> Column:
-    """Array of (leg id, key struct) for every leg whose key columns are all present;
+    """Array of (leg id, key struct) per leg, null where a key column is missing;
     values as text (equal values give equal text), unused positions filled."""
     width = max(len(leg) for leg in legs)
     items = []
@@ -148,7 +148,7 @@ def _leg_keys(legs: Sequence[Sequence[str]]) -> Column:
         fields = [F.col(c).cast("string").alias(f"k{j}") for j, c in enumerate(cols)]
         fields += [F.lit(_UNUSED_TEXT).alias(f"k{j}") for j in range(len(cols), width)]
         items.append(F.when(_not_null(cols), F.struct(F.lit(i).alias("leg"), F.struct(*fields).alias("key"))))
-    return F.filter(F.array(*items), lambda x: x.isNotNull())
+    return F.array(*items)
 
 
 def equi_legs_pairs(partner: DataFrame, vendor: DataFrame, legs: Sequence[Sequence[tuple[str, str]]],
@@ -158,8 +158,8 @@ def equi_legs_pairs(partner: DataFrame, vendor: DataFrame, legs: Sequence[Sequen
     several legs is kept from the first that fits, which its own columns tell: no second
     shuffle. One scan of each side. Every matching pair is the defined result, so an id that
     many rows of both sides share gives as many pairs as their product."""
-    p = partner.select(*partner_cols, F.explode(_leg_keys([[pk for pk, _ in leg] for leg in legs])).alias("l"))
-    v = vendor.select(*vendor_cols, F.explode(_leg_keys([[vk for _, vk in leg] for leg in legs])).alias("l"))
+    p = partner.select(*partner_cols, F.explode(_leg_keys([[pk for pk, _ in leg] for leg in legs])).alias("l")).where(F.col("l").isNotNull())
+    v = vendor.select(*vendor_cols, F.explode(_leg_keys([[vk for _, vk in leg] for leg in legs])).alias("l")).where(F.col("l").isNotNull())
     p = p.select(*partner_cols, F.col("l.leg").alias("leg"), F.col("l.key").alias("key"))
     v = v.select(*vendor_cols, F.col("l.leg").alias("leg"), F.col("l.key").alias("key"))
 

@@ -392,3 +392,23 @@ def test_linked_sample_order(spark):
     rows = [(i * 7 % 50, f"k{i % 3}", i) for i in range(200)] + [(None, "a", 1)]
     got = [(r[0], r[1]) for r in linkage.linked_sample(spark.createDataFrame(rows, "student_business_identifier int, test_key string, x int").repartition(9)).collect()]
     assert got == sorted(got, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+
+
+def test_link_keys_are_built_in_generated_code(spark):
+    """Rows with missing keys give no lookup, and no lambda runs per row on the vendor side or for pair counts."""
+    from cohortlink.operators import legacy_classes
+    cols = "id int, test_name string, state_key string, local_key string, fname_key string, lname_key string, dob date"
+    rows = [(1, "T", "1", None, "A", "B", None), (2, None, "1", "2", "A", "B", None), (3, "T", None, None, "A", "B", None)]
+    df = spark.createDataFrame(rows, cols)
+    p, v = df.withColumnRenamed("id", "p_id"), df.withColumnRenamed("id", "m_id")
+    cands = linkage.phase_candidates(p, v, ["m_id"])
+    assert [(r.m_id, r.phase_rank, r.p.p_id) for r in cands.collect()] == [(1, 4, 1)]
+    assert "lambda" not in linkage.phase_candidates(p, v, ["m_id"])._jdf.queryExecution().optimizedPlan().toString()
+    part = spark.createDataFrame([(1, "T", "7", None, "a", "l", "f", None), (2, "T", "7", "8", "a", "l", "f", None)],
+                                 "p_id int, test_name string, state_id string, local_id string, agency_code string, lname string, fname string, dob date")
+    vend = spark.createDataFrame([(1, "T", "7", "8", "a", "l", "f", None), (2, "T", None, "8", "a", "l", "f", None)],
+                                 "m_id int, test_name string, student_state_id string, student_id string, district_agency_code string, "
+                                 "student_last_name string, student_first_name string, r_dob date")
+    out = legacy_classes.pair_counts(part, vend)
+    assert {r.MATCH_TYPE: int(r.pairs) for r in out.collect()} == {"STATE_STID": 2, "LOCAL": 1}
+    assert "lambda" not in out._jdf.queryExecution().optimizedPlan().toString()
