@@ -182,9 +182,10 @@ def incorrect_term(d_term: Column | str, settings_term: Column | str) -> Column:
 
 def term_reading(d_term: Column | str) -> Column:
     """What a term text says, whatever the study: struct of ``season`` (fall, summer or winter wording), ``four`` (every
-    20dd) and ``two`` (isolated numbers 00 to 50); null for a null text."""
-    text = F.upper(strip(_c(d_term).cast("string")))
-    season = text.rlike("(?U)" + "|".join(NON_SPRING_PATTERNS))
+    20dd) and ``two`` (isolated numbers 00 to 50); null for a null text. Blanks at the ends are no part of any pattern, and
+    numbers have no upper case."""
+    text = _c(d_term).cast("string")
+    season = F.upper(text).rlike("(?U)" + "|".join(NON_SPRING_PATTERNS))
     four = F.regexp_extract_all(text, F.lit("20[0-9]{2}"), 0).cast("array<int>")
     two = F.regexp_extract_all(text, F.lit("(?<![0-9])([0-4][0-9]|50)(?![0-9])"), 1).cast("array<int>")
     return F.when(text.isNotNull(), F.struct(season.alias("season"), four.alias("four"), two.alias("two")))

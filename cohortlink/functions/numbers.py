@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..config import ETHNIC_GROUP_CODES, GRADE_VARIANTS, SUBJECT_CODES
+from .dates import _let
 from .text import _c, try_cast, grade_text_norm, strip
 
 
@@ -47,12 +48,16 @@ def _grade_lookup_map() -> Column:
 def clean_grade(c: Column | str) -> Column:
     """Partner grade: a whole number in {1..12, 14} wins; else the spelling lookup on the
     normal form; else null. ``04``/``4.0`` -> 4, ``K`` -> 14, ``13``/``KG`` -> null."""
-    c = _c(c)
-    num = _decimal(c)
-    whole = F.when(num == F.floor(num), try_cast(num, "int"))
-    valid = sorted(GRADE_VARIANTS)
-    numeric = F.when(whole.isin(*valid), whole)
-    return F.coalesce(numeric, F.element_at(_grade_lookup_map(), grade_text_norm(c))).cast("int")
+    c, valid = _c(c), sorted(GRADE_VARIANTS)
+
+    def of_number(num: Column) -> Column:
+        whole = try_cast(num, "int")
+        return F.when((num == F.floor(num)) & whole.isin(*valid), whole)
+
+    # of runs of digits the lookup knows none that is no valid number; texts with other characters than a number has go by the lookup alone
+    run, known = try_cast(c, "int"), F.element_at(_grade_lookup_map(), grade_text_norm(c))
+    return (F.when(c.rlike(r"^[0-9]{1,9}\z"), F.when(run.isin(*valid), run)).when(c.rlike(r"(?U)[^0-9+.eE\s-]"), known)
+            .otherwise(F.coalesce(_let(_decimal(c), of_number), known)).cast("int"))
 
 
 def grade_token_lookup(c: Column | str) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +32,12 @@ def strip(c: Column | str) -> Column:
     return F.regexp_replace(_c(c), r"(?U)^\s+|\s+$", "")
 
 
+def _strip_often(c: Column) -> Column:
+    """``strip`` for columns of whole tables: most texts begin and end with a printable ASCII character, which comparisons
+    of bytes tell without the pattern. Its code is longer, so it is for projections that ``apart`` keeps in small methods."""
+    return F.when(c.between("!", "~") & F.substring(c, -1, 1).between("!", "~"), c).otherwise(strip(c))
+
+
 def blank_to_null(c: Column | str) -> Column:
     """Null for null, empty or all-whitespace text; else the text unchanged. Most texts begin with a
     printable ASCII character, which a comparison of bytes tells without the pattern."""
@@ -39,7 +47,7 @@ def blank_to_null(c: Column | str) -> Column:
 
 def is_nonblank(c: Column | str) -> Column:
     c = _c(c)
-    return c.isNotNull() & ~c.rlike(BLANK_RE)
+    return c.isNotNull() & (c.between("!", "~") | ~c.rlike(BLANK_RE))
 
 
 def null_tokens_to_null(c: Column | str, tokens: tuple[str, ...]) -> Column:
@@ -60,7 +68,8 @@ def normalize_strings(df: DataFrame, upper_headers: bool = True) -> DataFrame:
         text = c.cast("string")
         name = f.name.strip().upper() if upper_headers else f.name
         clean = blank_to_null(text)
-        cols.append((apart(clean) if i % 10 == 0 else clean).alias(name))
+        # the lambda sees the plain column only: what is inside one is not in generated code
+        cols.append((F.when(apart(text).isNotNull(), clean) if i % 10 == 0 else clean).alias(name))
     return df.select(*cols)
 
 
@@ -125,15 +134,19 @@ def list_to_text(c: Column | str) -> Column:
                   F.concat(F.lit("["), F.array_join(c.cast("array<string>"), ", "), F.lit("]")))
 
 
-def sanitize_columns(df: DataFrame) -> DataFrame:
-    """Form for saving: list columns as text like ``[3, 4]``, text columns trimmed; the rest unchanged. One projection."""
-    cols = []
+def sanitize_columns(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Form for saving: list columns as text like ``[3, 4]``, text columns trimmed; the rest unchanged. One projection.
+    With ``columns`` only these. A column's form depends on nothing else in its row, so those of a record or of the settings
+    can be brought into it before the row is repeated by an unpivot or a join."""
+    cols, strips = [], 0
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, T.ArrayType):
-            c = list_to_text(c)
-        elif isinstance(f.dataType, T.StringType):
-            c = strip(c)
+        if columns is None or f.name in columns:
+            if isinstance(f.dataType, T.ArrayType):
+                c = list_to_text(c)
+            elif isinstance(f.dataType, T.StringType):
+                c, strips = _strip_often(c), strips + 1
+                c = F.when(apart(F.col(f"`{f.name}`")).isNotNull(), c) if strips % 6 == 0 else c
         cols.append(c.alias(f.name))
     return df.select(*cols)
 

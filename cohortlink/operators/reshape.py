@@ -1,8 +1,8 @@
 """Wide <-> long reshapes and column-layout helpers.
 
 ``wide_to_long`` resolves the score columns from the *schema* on the driver (names only),
-then emits one ``explode(array(struct(...)))`` projection: a single narrow scan of the wide
-table, no per-subject re-scan and no union.
+then unpivots into columns: a single narrow scan of the wide table, no per-subject re-scan and no
+union, and score columns that a query leaves out are neither made nor read.
 """
 
 from __future__ import annotations
@@ -40,23 +40,26 @@ def wide_to_long(df: DataFrame, suffixes: Sequence[str], drop_rows_missing_ss: b
                          *[F.lit(None).cast("string").alias(s) for s in suffixes])
     subjects = sorted({subj for subj, _ in mapping.values()})
     by_subject = {(subj, suf): c for c, (subj, suf) in mapping.items()}
-    structs = []
-    for subj in subjects:
-        fields = [F.lit(subj).alias(subject_col)]
-        for suf in suffixes:
-            src = by_subject.get((subj, suf))
-            val = F.col(f"`{src}`").cast("string") if src else F.lit(None).cast("string")
-            fields.append(val.alias(suf))
-        structs.append(F.struct(*fields))
-    long = df.select(*keep_cols, F.explode(F.array(*structs)).alias("_s"))
-    # blank -> null once per suffix after the explode (not once per subject inside it)
-    long = long.select(*[F.col(f"`{c}`") for c in keep], F.col(f"_s.{subject_col}").alias(subject_col),
-                       *[blank_to_null(F.col(f"_s.{suf}")).alias(suf) for suf in suffixes])
-    if drop_rows_all_scores_missing:
-        long = long.dropna(how="all", subset=suffixes)
-    if drop_rows_missing_ss and "SS" in suffixes:
-        long = long.where(F.col("SS").isNotNull())
-    return long
+    none, into = "__no_score", [f"__score_{k}" for k in range(len(suffixes))]
+
+    def place(i: int, k: int) -> str:
+        return f"__score_{i}_{k}" if (subjects[i], suffixes[k]) in by_subject else none
+
+    def names(columns: Sequence[str]) -> str:
+        return columns[0] if len(columns) == 1 else f"({', '.join(columns)})"
+
+    def quoted(subj: str) -> str:
+        return "`" + subj.replace("`", "``").replace("{", "{{").replace("}", "}}") + "`"
+
+    cells = {place(i, k): by_subject.get((subj, suf)) for i, subj in enumerate(subjects) for k, suf in enumerate(suffixes)}
+    wide = df.select(*keep_cols, F.lit(None).cast("string").alias(none), *[F.col(f"`{c}`").cast("string").alias(p) for p, c in cells.items() if c])
+    rows = ", ".join(f"{names([place(i, k) for k in range(len(suffixes))])} AS {quoted(subj)}" for i, subj in enumerate(subjects))
+    long = df.sparkSession.sql(f"SELECT * FROM {{wide}} UNPIVOT INCLUDE NULLS ({names(into)} FOR __subject IN ({rows}))", wide=wide)
+    # blank -> null once per suffix after the unpivot (not once per subject inside it)
+    long = long.select(*keep_cols, F.col("__subject").alias(subject_col), *[blank_to_null(F.col(p)).alias(suf) for p, suf in zip(into, suffixes)])
+    if drop_rows_missing_ss and "SS" in suffixes:  # such a row has a score
+        return long.where(F.col("SS").isNotNull())
+    return long.dropna(how="all", subset=suffixes) if drop_rows_all_scores_missing else long
 
 
 def place_clean_next_to_originals(df: DataFrame, marker: str = "_CLEAN") -> DataFrame:

@@ -3,7 +3,7 @@ match the oracle SQL of the same name (``plans/oracle.py``)."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,18 +52,20 @@ def partner_long(spark: SparkSession, sf: str) -> DataFrame:
     return fx.rename_with_prefix(long, "D_")
 
 
-def partner_clean(spark: SparkSession, sf: str) -> DataFrame:
-    """Long rows with clean columns: those of the record are cleaned on the wide table, those of the score on the long one."""
-    wide = quality.clean_records(fx.normalize_strings(roles.partner_wide(spark, sf)), AS_OF)
+def partner_clean(spark: SparkSession, sf: str, saved: Sequence[str] = ()) -> DataFrame:
+    """Long rows with clean columns: those of the record are cleaned on the wide table, those of the score on the long one.
+    The record's columns ``saved`` are brought into their form for saving, once the others are derived from them."""
+    wide = fx.sanitize_columns(quality.clean_records(fx.normalize_strings(roles.partner_wide(spark, sf)), AS_OF), saved)
     long = fx.rename_with_prefix(reshape.wide_to_long(wide, SCORE_SUFFIXES, drop_rows_missing_ss=True), "D_")
     return quality.add_clean_columns(long, AS_OF, grade_col="", int_cols=("D_SS",), date_cols=("D_TESTDATE",))
 
 
-def partner_flags(spark: SparkSession, sf: str) -> DataFrame:
-    """Long + clean columns, settings join (fan-out per study) and flags."""
-    long = partner_clean(spark, sf)
+def partner_flags(spark: SparkSession, sf: str, saved: Sequence[str] = ()) -> DataFrame:
+    """Long + clean columns, settings join (fan-out per study) and flags. ``saved``: output columns of the record or the
+    settings that are brought into their form for saving before scores and studies repeat them."""
+    long = partner_clean(spark, sf, [c.removeprefix("D_") for c in saved])
     s = quality.prepare_settings(roles.settings(spark))
-    merged = quality.join_settings(long, s)
+    merged = quality.join_settings(long, fx.sanitize_columns(s, saved))
     return quality.add_flags(merged, s)
 
 
@@ -457,10 +459,15 @@ def q_simple_grades(spark: SparkSession, sf: str) -> DataFrame:
         "o_orderkey", "o_orderstatus", "grades_text", fx.list_to_text("grades").alias("grades"), fx.list_to_text("status_grades").alias("status_grades"))
 
 
+# Columns of the saved form that come from the record or the settings.
+SAVED_ONCE = ("D_RECORD_ID", "D_GRADE", "D_TERM", "D_LNAME", "D_DISTRICTNAME", "SETTINGS_VENDOR_TEST_NAME", "SETTINGS_GRADE_LIST", "SETTINGS_NOTES")
+
+
 def q_sanitized_flags(spark: SparkSession, sf: str) -> DataFrame:
     """Flagged and clean long rows in the form in which they are saved."""
-    flags = partner_flags(spark, sf).select(*[c for c in FLAG_OUTPUT if not c.endswith("_CLEAN")], "D_LNAME", "D_DISTRICTNAME", "SETTINGS_GRADE_LIST", "SETTINGS_NOTES")
-    return fx.sanitize_columns(flags)
+    flags = partner_flags(spark, sf, SAVED_ONCE).select(*[c for c in FLAG_OUTPUT if not c.endswith("_CLEAN")], "D_LNAME", "D_DISTRICTNAME",
+                                                        "SETTINGS_GRADE_LIST", "SETTINGS_NOTES")
+    return fx.sanitize_columns(flags, [c for c in flags.columns if c not in SAVED_ONCE])
 
 
 def q_report_names(spark: SparkSession, sf: str) -> DataFrame:
