@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from ..config import LEGACY_MATCH_TYPES, MATCH_PHASES
 from ..functions.numbers import pct
 from ..functions.text import id_key, name_key
+from .sieve import key_bits, sift
 from .skew import hot_hashes, key_hash, salted_join
 
 KEY_COLS = ("test_name", "state_key", "local_key", "fname_key", "lname_key", "dob")
@@ -95,16 +96,23 @@ def phase_candidates(partner: DataFrame, vendor: DataFrame, vendor_cols: Sequenc
 
     Both sides are exploded to one row per applicable lookup, the partner side is reduced
     to one row per (lookup, key), and a single equi-join on (lookup, key) finds the hits:
-    one partner aggregation, one join, no per-lookup re-scan of either input. Vendor rows of a hot
+    one partner aggregation, one join, no per-lookup re-scan of either input. Vendor rows whose key no partner
+    has are mostly sifted out before the shuffle. Vendor rows of a hot
     key are dealt to many tasks, with copies of its one partner row."""
     lk = _lookup_keys(include_dob_only)
+    # Lookups are read by the sieve and by the join, out of one shuffle if both plans are alike. Spark gives all columns of the second
+    # one's unpivot new ids, which makes it differ from one that passes columns on; with the empty union the first has new ids too.
+    partner = partner.limit(0).union(partner)
+    found = F.col("lid").isNotNull() & F.col("key").isNotNull()
     best = (partner.select(F.struct("p_id", *partner_carry).alias("p"), F.explode(lk).alias("l")).where(F.col("l").isNotNull())
-            .groupBy(F.col("l.lid").alias("lid"), F.col("l.key").alias("key"))
-            .agg(F.min("p").alias("p"), F.min("l.rank").alias("phase_rank")))
+            .select("p", F.col("l.lid").alias("lid"), F.col("l.key").alias("key"), F.col("l.rank").alias("rank")).where(found)
+            .groupBy("lid", "key").agg(F.min("p").alias("p"), F.min("rank").alias("phase_rank")))
+    # both results are looked at, so that the keys come out of the aggregation that the join reads, not of a second one
+    bits = key_bits(best.where(F.col("p").isNotNull() & F.col("phase_rank").isNotNull()), key_hash("lid", "key"))
     v = vendor.select(*vendor_cols, F.explode(lk).alias("l")).where(F.col("l").isNotNull()).select(
         *vendor_cols, F.col("l.lid").alias("lid"), F.col("l.key").alias("key"))
     hot = hot_hashes(v, key_hash("lid", "key"))  # keys that many events share, such as a placeholder id
-    return salted_join(v, best, ["lid", "key"], F.struct(*vendor_cols), hot).select(*vendor_cols, "phase_rank", "p")
+    return salted_join(sift(v, key_hash("lid", "key"), bits), best, ["lid", "key"], F.struct(*vendor_cols), hot).select(*vendor_cols, "phase_rank", "p")
 
 
 def best_per(cands: DataFrame, group: Sequence[str], tiebreak: Sequence[str] = ()) -> DataFrame:
@@ -114,20 +122,27 @@ def best_per(cands: DataFrame, group: Sequence[str], tiebreak: Sequence[str] = (
 
 
 def link_best(partner: DataFrame, vendor: DataFrame, partner_carry: Sequence[str] = (),
-              vendor_carry: Sequence[str] = (), include_dob_only: bool = True) -> DataFrame:
+              vendor_carry: Sequence[str] = (), include_dob_only: bool = True, in_order: bool = False) -> DataFrame:
     """One row per vendor (student, test key) that has any candidate: MATCH_TYPE, ids and
-    the carried columns of both sides."""
+    the carried columns of both sides. ``in_order``: candidates meet in ranges of (student, test key), the order of
+    ``linked_sample``, which then sorts the result where it lies."""
     cands = phase_candidates(partner, vendor, ["m_id", "student_business_identifier", "test_key", *vendor_carry],
                              partner_carry, include_dob_only)
+    if in_order:
+        cands = cands.repartitionByRange(*_saved_order())
     best = best_per(cands, ["student_business_identifier", "test_key"], ["m_id", *vendor_carry])
     return best.select(phase_label(F.col("phase_rank")).alias("MATCH_TYPE"), "student_business_identifier",
                        "test_key", "m_id", "p.*", *vendor_carry)
 
 
+def _saved_order() -> list[Column]:
+    return [F.col("student_business_identifier").asc_nulls_last(), F.col("test_key").asc_nulls_last()]
+
+
 def linked_sample(best: DataFrame) -> DataFrame:
     """The linked sample in the order in which it is saved: by student, then test key (a range
-    partition and a sort per range)."""
-    return best.orderBy(F.col("student_business_identifier").asc_nulls_last(), F.col("test_key").asc_nulls_last())
+    partition, unless ``best`` lies in such ranges, and a sort per range)."""
+    return best.orderBy(*_saved_order())
 
 
 def link_per_event(partner: DataFrame, vendor: DataFrame, include_dob_only: bool = True) -> DataFrame:

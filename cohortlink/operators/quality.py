@@ -1,7 +1,8 @@
 """Typed *_CLEAN columns, the study-settings join, record flags and the split.
 
-The settings table is a study configuration (one row per subject x vendor test); how it is
-joined is left to the optimizer. Every flag is a Column expression evaluated in the
+The settings table is a study configuration (one row per subject x vendor test) and is broadcast: a
+shuffle of the scores by subject would put them into as many tasks as there are subjects, and its size is
+unknown to the optimizer when its rows come from the driver. Every flag is a Column expression evaluated in the
 same projection, so the long table is scanned once with no shuffle between the file
 scan and the flag split.
 """
@@ -73,9 +74,9 @@ def subject_grade_union(settings_prefixed: DataFrame) -> DataFrame:
 
 def join_settings(long: DataFrame, settings_prefixed: DataFrame) -> DataFrame:
     """Left join on subject (fan-out to every study of the subject) with a ``_merge``
-    indicator: ``both`` (kept) or ``left_only`` (subject not in the study)."""
+    indicator: ``both`` (kept) or ``left_only`` (subject not in the study). Long rows stay where they are."""
     s = settings_prefixed.withColumn("_in_settings", F.lit(True)).withColumn(STUDY_YEAR, study_year("SETTINGS_TERM"))
-    joined = long.join(s, long["D_SUBJECT"] == s["SETTINGS_D_SUBJECT"], "left")
+    joined = long.join(F.broadcast(s), long["D_SUBJECT"] == s["SETTINGS_D_SUBJECT"], "left")
     return joined.withColumn("_merge", F.when(F.col("_in_settings"), "both").otherwise("left_only")) \
                  .drop("_in_settings")
 
@@ -88,7 +89,7 @@ def add_flags(merged: DataFrame, settings_prefixed: DataFrame, flag_absurd_dates
         merged = merged.withColumn(READING, term_reading("D_TERM"))
     if STUDY_YEAR not in merged.columns:
         merged = merged.withColumn(STUDY_YEAR, study_year("SETTINGS_TERM"))
-    df = merged.join(union, merged["D_SUBJECT"] == union["_subj"], "left").drop("_subj")
+    df = merged.join(F.broadcast(union), merged["D_SUBJECT"] == union["_subj"], "left").drop("_subj")
     grade = F.col("D_GRADE_CLEAN")
     rules = [
         (grade.isNull(), FLAG_MISSING_GRADE),

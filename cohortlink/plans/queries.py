@@ -172,9 +172,9 @@ def linkage_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return partner, vendor
 
 
-def q_link_best(spark: SparkSession, sf: str) -> DataFrame:
+def q_link_best(spark: SparkSession, sf: str, in_order: bool = False) -> DataFrame:
     partner, vendor = linkage_inputs(spark, sf)
-    best = linkage.link_best(partner, vendor, PARTNER_CARRY, ("M_STATE_STID", "M_LOCAL_STID", "R_DOB", "M_SEX"))
+    best = linkage.link_best(partner, vendor, PARTNER_CARRY, ("M_STATE_STID", "M_LOCAL_STID", "R_DOB", "M_SEX"), in_order=in_order)
     return best.withColumn("SEX", fx.sex_code("D_SEX", "M_SEX")).withColumn("STATE", F.lit("ZZ"))
 
 
@@ -446,7 +446,7 @@ def q_subject_codes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_linked_sample(spark: SparkSession, sf: str) -> DataFrame:
-    return linkage.linked_sample(q_link_best(spark, sf))
+    return linkage.linked_sample(q_link_best(spark, sf, in_order=True))
 
 
 def q_simple_grades(spark: SparkSession, sf: str) -> DataFrame:
